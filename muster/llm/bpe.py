@@ -13,16 +13,22 @@ alike. Other columns of the input are left as they are; a column named like an o
 from __future__ import annotations
 
 import base64
+import hashlib
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from muster.llm.common import chunks, column_bytes
+
 #: Most pieces that a worker remembers; beyond it the memory starts anew, so it stays bounded on any input.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 OFFSETS = "array<struct<start:int,end:int>>"
 
 
@@ -56,30 +62,44 @@ class Codec:
             if known.get(token[:i], rank) < rank and known.get(token[i:], rank) < rank
         ]
         vocabulary = {spelled[token]: rank for token, rank in known.items()}
-        self.model = Tokenizer(models.BPE(vocab=vocabulary, merges=merges, ignore_merges=True))
+        self.model = Tokenizer(models.BPE(vocab=vocabulary, merges=merges, ignore_merges=True, cache_capacity=0))
         self.model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.split = regex.compile(pattern).findall
         back = {character: byte for byte, character in table.items()}
-        self.token_bytes = {rank: bytes(back[c] for c in token) for token, rank in vocabulary.items()}
-        self.lengths = np.zeros(max(self.token_bytes, default=0) + 1, np.int32)
-        for rank, token in self.token_bytes.items():
-            self.lengths[rank] = len(token)
-        self.pieces: dict[str, tuple[int, ...]] = {}
-
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        split = [self.split(text) if text else [] for text in texts]
-        new = list(set(chain.from_iterable(split)).difference(self.pieces))
+        tokens = [b""] * (max(vocabulary.values(), default=-1) + 1)
+        for token, rank in vocabulary.items():
+            tokens[rank] = bytes(back[c] for c in token)
+        self.lengths = np.array([len(t) for t in tokens], np.int32)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.table = np.frombuffer(b"".join(tokens), np.uint8)
+        self.pieces: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and each text's bounds in them. A piece's ids are kept as the bytes of an int32 array."""
+        split = [self.split(text) if text else () for text in texts]
+        new = set(chain.from_iterable(split)).difference(self.pieces)
         if len(self.pieces) + len(new) > REMEMBERED:
             self.pieces.clear()
-            new = list(set(chain.from_iterable(split)))
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
+            new = set(chain.from_iterable(split))
+        some = list(new)
+        for at in range(0, len(some), 4096):
+            part = some[at : at + 4096]
             for piece, got in zip(part, self.model.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.pieces[piece] = tuple(got.ids)
-        return [list(chain.from_iterable(map(self.pieces.__getitem__, pieces))) for pieces in split]
-
-    def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.token_bytes.__getitem__, ids))
+                self.pieces[piece] = array("i", got.ids).tobytes()
+        found = [b"".join(map(self.pieces.__getitem__, pieces)) for pieces in split]
+        bounds = np.zeros(len(texts) + 1, np.int64)
+        np.cumsum([len(x) // 4 for x in found], out=bounds[1:])
+        return np.frombuffer(b"".join(found), np.int32), bounds
+
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all ids, and each list's bounds in them."""
+        if len(ids) and (ids.min() < 0 or ids.max() >= len(self.lengths)):
+            raise ValueError("an id that the vocabulary doesn't hold")
+        lengths = self.lengths[ids]
+        end = np.zeros(len(ids) + 1, np.int64)
+        np.cumsum(lengths, out=end[1:])
+        shift = np.repeat((self.starts[ids] - end[:-1]).astype(np.int32), lengths)
+        return self.table[shift + np.arange(end[-1], dtype=np.int32)], end[bounds]
 
     def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The characters that each token touches; of a split character, every token that holds a part has it."""
@@ -95,15 +115,22 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(path, pattern)
 
 
-def _slices(n: int, lengths, most: int):
-    at, held = 0, 0
-    for i in range(n):
-        held += lengths(i)
-        if held >= most:
-            yield at, i + 1
-            at, held = i + 1, 0
-    if at < n:
-        yield at, n
+def _texts(column: pa.Array, most: int = 1 << 20) -> Iterator[list[str | None]]:
+    """The column's texts, in parts of about so many bytes."""
+    size = np.cumsum(column_bytes(column))
+    at = 0
+    while at < len(column):
+        end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + most, "right")))
+        yield column.slice(at, end - at).to_pylist()
+        at = end
+
+
+def _list(values: pa.Array, bounds: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), values)
+
+
+def _joined(parts: list[pa.Array], kind: pa.DataType) -> pa.Array:
+    return pa.concat_arrays(parts) if parts else pa.array([], kind)
 
 
 def _encoded(path: str, pattern: str, with_offsets: bool):
@@ -112,18 +139,16 @@ def _encoded(path: str, pattern: str, with_offsets: bool):
 
     def run(column: pa.Array) -> pa.Array:
         own, out, spans = codec(path, pattern), [], []
-        texts = column.to_pylist()
-        for at, end in _slices(len(texts), lambda i: len(texts[i] or ""), 1 << 20):
-            ids = own.encode(texts[at:end])
-            out.append(pa.array([np.array(x, np.int32) for x in ids], kind))
+        for texts in _texts(column):
+            ids, bounds = own.encode(texts)
+            out.append(_list(pa.array(ids), bounds))
             if with_offsets:
-                both = [own.offsets(t or "", np.array(x, np.int64)) if x else ((), ()) for t, x in zip(texts[at:end], ids, strict=True)]
-                spans.append(pa.array([[{"start": a, "end": b} for a, b in zip(*x, strict=True)] for x in both], span))
-            del ids
-        ids = pa.concat_arrays(out) if out else pa.array([], kind)
+                both = [own.offsets(t, ids[a:b]) for t, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True) if b > a]
+                start, end = (np.concatenate([np.zeros(0, np.int64), *(x[i] for x in both)]).astype(np.int32) for i in (0, 1))
+                spans.append(_list(pa.StructArray.from_arrays([pa.array(start), pa.array(end)], ["start", "end"]), bounds))
         if not with_offsets:
-            return ids
-        return pa.StructArray.from_arrays([ids, pa.concat_arrays(spans) if spans else pa.array([], span)], ["ids", "offsets"])
+            return _joined(out, kind)
+        return pa.StructArray.from_arrays([_joined(out, kind), _joined(spans, span)], ["ids", "offsets"])
 
     return run
 
@@ -138,19 +163,24 @@ def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str
     return df.withColumn(inner, both).withColumn(out, F.col(f"{inner}.ids")).withColumn(offsets, F.col(f"{inner}.offsets")).drop(inner)
 
 
-def decoded(ids: Column, path: str, pattern: str) -> Column:
-    """The bytes that the ids stand for. A null list has none; an unknown id is an error."""
-
+def _decoded(path: str, pattern: str):
     def run(column: pa.Array) -> pa.Array:
-        own = codec(path, pattern)
-        offsets = column.offsets.to_numpy()
-        values = column.values.to_numpy(zero_copy_only=False)
-        out = []
-        for at, end in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
-            out.append(own.decode(values[at:end].tolist()))
-        return pa.array(out, pa.binary())
+        own, out = codec(path, pattern), []
+        if column.null_count:
+            column = pc.fill_null(column, pa.scalar([], column.type))
+        for at in range(0, len(column), 256):
+            part = column.slice(at, 256)
+            bounds = part.offsets.to_numpy().astype(np.int64)
+            raw, ends = own.decode(part.values.to_numpy(zero_copy_only=False)[bounds[0] : bounds[-1]], bounds - bounds[0])
+            out.append(pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(raw)]).cast(pa.binary()))
+        return _joined(out, pa.binary())
 
-    return F.arrow_udf(run, "binary")(F.coalesce(ids, F.array().cast("array<int>")))
+    return run
+
+
+def decoded(ids: Column, path: str, pattern: str) -> Column:
+    """The bytes that the ids stand for. A null list has none; an unknown id is an error."""
+    return F.arrow_udf(_decoded(path, pattern), "binary")(ids)
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "text") -> DataFrame:
@@ -160,11 +190,26 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
 
 
 def digests(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: number of tokens, SHA-256 of the ids and SHA-256 of what they decode to."""
-    ids = encode(df.select(F.col(key), F.col(text).alias("__text")), path, pattern, "__text", "__ids")
-    return ids.select(
-        F.col(key),
-        F.size("__ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.concat_ws(",", F.col("__ids").cast("array<string>")), 256).alias("ids_sha256"),
-        F.sha2(decoded(F.col("__ids"), path, pattern), 256).alias("decoded_sha256"),
-    )
+    """Per row: number of tokens, SHA-256 of the ids and SHA-256 of what they decode to.
+
+    One worker encodes and decodes, so the vocabulary is held once."""
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = _encoded(path, pattern, False), _decoded(path, pattern)
+        for batch in chunks(batches, "text", 1 << 20):
+            ids = encoder(batch.column("text"))
+            back = decoder(ids)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pc.list_value_length(ids).cast(pa.int64()), _sha256(_commas(ids)), _sha256(back)], ["key", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    found = df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    return found.withColumnRenamed("key", key)
+
+
+def _commas(ids: pa.Array) -> pa.Array:
+    """Each list as decimal numbers with commas between."""
+    return pc.binary_join(pa.ListArray.from_arrays(ids.offsets, ids.values.cast(pa.string())), ",")
+
+
+def _sha256(column: pa.Array) -> pa.Array:
+    return pa.array([hashlib.sha256(x.as_buffer()).hexdigest() for x in column], pa.string())
