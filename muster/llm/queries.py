@@ -24,3 +24,30 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from muster.llm import bpe
 
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm import warc
+
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
+ORACLE_SQL["op9_warc"] = """
+WITH payload AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), best AS (
+  SELECT payload_digest, max(page_id) AS last_id FROM payload WHERE payload_bytes >= 1000 GROUP BY payload_digest
+)
+SELECT p.page_id, CAST(p.payload_bytes AS BIGINT) AS payload_bytes, p.payload_digest,
+       CASE WHEN p.page_id < b.last_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN p.page_id < b.last_id THEN b.last_id END AS refers_to, CAST(NULL AS VARCHAR) AS problem
+FROM payload p LEFT JOIN best b ON p.payload_digest = b.payload_digest AND p.payload_bytes >= 1000
+"""
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm import toxicity
+
+    return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
