@@ -51,3 +51,21 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from muster.llm import toxicity
 
     return toxicity.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm import langid
+
+    return langid.predictions(table(spark, sf_dir, "documents"))
+
+
+#: The key of the surrogates; a user gives their own.
+PII_KEY = b"a key of the user's own"
+
+
+@query
+def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm import pii
+
+    return pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY, spans="entities")
