@@ -16,7 +16,6 @@ class's complement (0, 0.5 without any rows, or 1). Only the key and the text ar
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -30,6 +29,8 @@ from muster.llm.common import written
 
 #: Most labelled rows that training takes.
 SAMPLE = 20_000
+#: Tasks that work on the sample.
+SPREAD = 24
 #: Most terms of the learned lexicon, and the log-odds that a term needs.
 TERMS, LEAST_ODDS = 400, 2.5
 #: Lengths of the word beginnings that the lexicon may hold.
@@ -47,6 +48,7 @@ SECOND_PERSON = frozenset("you your yours yourself u ur du dich dir dein deine i
 SIGNS = str.maketrans("013457@$!|", "oieastasil", "*.-_+")
 LETTERS = re.compile(r"[^\W\d_]+")
 BROKEN = re.compile(r"[^\W\d_]+(?:[0-9@$!|*._+\-]+[^\W\d_]+)+")
+CAPITAL_WORDS = re.compile(r"\b[^\W\d_a-zà-ÿ]{3,}\b")
 SPELLED = re.compile(r"(?<!\w)(?:[^\W\d_][ .*_\-]){2,}[^\W\d_](?!\w)")
 FEATURES = (
     "insult_density", "insult_hits", "learned_density", "learned_hits", "learned_kinds", "best_term", "near_second_person", "second_person",
@@ -56,63 +58,93 @@ FEATURES = (
 
 
 @lru_cache(1)
-def character_kinds() -> np.ndarray:
+def character_kinds() -> list[int]:
     """Of each character of the first 64 k: 1 capital, 2 punctuation, 3 exclamation or question mark, 4 other sign, 5 digit, 0 else."""
-    out = np.zeros(1 << 16, np.uint8)
+    out = [0] * (1 << 16)
     for i in range(1 << 16):
         c = chr(i)
         out[i] = 1 if c.isupper() else 5 if c.isdigit() else 3 if c in "!?¡¿" else 2 if c in ".,;:'\"()[]-–—«»…" else 4 if i > 32 and not c.isalnum() and not c.isspace() else 0
     return out
 
 
-class Weights(dict):
-    """Term weights by word; what a word gets is worked out once."""
+#: What is kept of a token: sums over a text's tokens give its features.
+(WORDS, INSULT, LEARNED, WEIGHT, YOU, LETTER, CAPITAL, CAPITAL_WORD, PUNCTUATION, EXCLAMATION, SIGN, DIGIT, BROKEN_WORD, BROKEN_HIT, SINGLE, LENGTH) = range(16)
+#: Most tokens that a worker remembers; beyond it the memory starts anew. Longer tokens are worked out each time.
+REMEMBERED, LONGEST = 400_000, 64
+
+
+class Tokens:
+    """Features of texts under one learned lexicon. What a token adds is worked out once, since tokens repeat."""
 
     def __init__(self, terms: dict[str, float]) -> None:
-        super().__init__()
         self.terms = terms
-
-    def __missing__(self, word: str) -> float:
-        got = max([self.terms.get(word, 0.0), *(self.terms.get(f"{word[:k]}*", 0.0) for k in BEGINNINGS if len(word) >= k)])
-        if len(self) > 1_000_000:
-            self.clear()
-        self[word] = got
-        return got
-
-
-def features(text: str | None, weights: Weights) -> list[float]:
-    """The features of one text, in the order of FEATURES."""
-    if not text:
-        return [0.0] * len(FEATURES)
-    low = text.lower()
-    found = LETTERS.findall(low)
-    n = max(1, len(found))
-    counts = Counter(found)
-    hit = {w: weights[w] for w in counts}
-    hit = {w: v for w, v in hit.items() if v}
-    insults = sum(counts[w] for w in INSULTS.intersection(counts))
-    learned = sum(counts[w] for w in hit)
-    you = sum(counts[w] for w in SECOND_PERSON.intersection(counts))
-    near = 0
-    if you and (hit or insults):
-        marked = set(hit) | INSULTS
-        at = np.array([i for i, w in enumerate(found) if w in marked])
-        who = np.array([i for i, w in enumerate(found) if w in SECOND_PERSON])
-        left = np.searchsorted(who, at - 5)
-        near = int((np.searchsorted(who, at + 5, "right") > left).sum())
-    codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    kinds = np.bincount(character_kinds()[np.minimum(codes, 0xFFFF)], minlength=6) / len(codes)
-    broken = BROKEN.findall(low)
-    undone = [w.translate(SIGNS) for w in broken]
-    spelled = ["".join(LETTERS.findall(w)) for w in SPELLED.findall(low)]
-    capital_words = sum(1 for w in re.findall(r"\b[^\W\d_a-zà-ÿ]{3,}\b", text)) if kinds[1] > 0.02 else 0
-    letters = sum(len(w) * c for w, c in counts.items())
-    return [
-        insults / n, min(insults, 20), learned / n, min(learned, 50), len(hit), max(hit.values(), default=0.0), near / n * 100, you / n,
-        kinds[1], capital_words / n, kinds[2], kinds[3], kinds[4], kinds[5],
-        len(broken) / n, sum(1 for w in undone if w in INSULTS or weights[w]), len(spelled) / n, sum(1 for w in spelled if w in INSULTS or weights[w]),
-        np.log1p(len(found)), letters / n, len(counts) / n,
-    ]
+        self.place: dict[str, int] = {}
+        self.rows = np.zeros((1 << 12, 16))
+
+    def weight(self, word: str) -> float:
+        """The weight of the word, or of its heaviest known beginning; 0 if the lexicon has neither."""
+        return max([self.terms.get(word, 0.0), *(self.terms.get(f"{word[:k]}*", 0.0) for k in BEGINNINGS if len(word) >= k)])
+
+    def row(self, token: str) -> list[float]:
+        low = token.lower()
+        capitals = 0 if low == token else sum(map(str.isupper, token))
+        if low.isalpha():
+            weight = self.weight(low)
+            return [1, low in INSULTS, weight > 0, weight, low in SECOND_PERSON, len(low), capitals, capitals == len(token) > 2, 0, 0, 0, 0, 0, 0, len(low) == 1, len(token)]
+        found = LETTERS.findall(low)
+        weights = [self.weight(w) for w in found]
+        kinds = character_kinds()
+        kind = [kinds[ord(c)] if c < "\uffff" else 4 for c in token]
+        undone = [w.translate(SIGNS) for w in BROKEN.findall(low)] if found else []
+        return [
+            len(found), sum(w in INSULTS for w in found), sum(w > 0 for w in weights), max(weights, default=0.0), sum(w in SECOND_PERSON for w in found), sum(map(len, found)),
+            capitals, len(CAPITAL_WORDS.findall(token)) if capitals > 2 else 0, kind.count(2), kind.count(3), kind.count(4), kind.count(5),
+            len(undone), sum(w in INSULTS or self.weight(w) > 0 for w in undone), 0, len(token),
+        ]
+
+    def places(self, tokens: list[str]) -> np.ndarray:
+        new = set(tokens).difference(self.place)
+        if new and len(self.place) + len(new) > REMEMBERED:
+            self.place.clear()
+            new = set(tokens)
+        for token in new:
+            at = len(self.place)
+            if at == len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows[at] = self.row(token)
+            self.place[token] = at
+        return np.fromiter(map(self.place.__getitem__, tokens), np.int64, len(tokens))
+
+    def features(self, text: str | None) -> list[float]:
+        """The features of one text, in the order of FEATURES."""
+        tokens = text.split() if text else []
+        if not tokens:
+            return [0.0] * len(FEATURES)
+        long = [t for t in tokens if len(t) > LONGEST]
+        at = self.places([t for t in tokens if len(t) <= LONGEST] if long else tokens)
+        rows = self.rows[at]
+        if long:
+            rows = np.concatenate([rows, [self.row(t) for t in long]])
+        total = rows.sum(0)
+        n, characters = max(1.0, total[WORDS]), len(text)
+        marked = np.flatnonzero((rows[:, INSULT] > 0) | (rows[:, LEARNED] > 0))
+        kinds = len(np.unique(at[rows[: len(at), LEARNED] > 0])) if total[LEARNED] else 0
+        near = 0
+        if total[YOU] and len(marked):
+            who = np.flatnonzero(rows[:, YOU] > 0)
+            near = int((np.searchsorted(who, marked + 5, "right") > np.searchsorted(who, marked - 5)).sum())
+        spelled = 0, 0
+        single = np.flatnonzero(rows[:, SINGLE])
+        if (single[2:] - single[:-2] == 2).any():
+            runs = [x for x in SPELLED.findall(text.lower())]
+            whole = ["".join(LETTERS.findall(x)) for x in runs]
+            spelled = len(runs), sum(w in INSULTS or self.weight(w) > 0 for w in whole)
+        return [
+            total[INSULT] / n, min(total[INSULT], 20), total[LEARNED] / n, min(total[LEARNED], 50), kinds, rows[:, WEIGHT].max(), near / n * 100, total[YOU] / n,
+            total[CAPITAL] / characters, total[CAPITAL_WORD] / n, total[PUNCTUATION] / characters, total[EXCLAMATION] / characters, total[SIGN] / characters, total[DIGIT] / characters,
+            total[BROKEN_WORD] / n, total[BROKEN_HIT], spelled[0] / n, spelled[1],
+            np.log1p(total[WORDS]), total[LETTER] / n, len(set(tokens)) / len(tokens),
+        ]
 
 
 @dataclass
@@ -139,7 +171,9 @@ class Model:
         return out
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        return np.interp(self.raw(x), *self.steps)
+        """Calibrated; a small share of the plain logistic score keeps the order of rows within a step."""
+        raw = self.raw(x)
+        return 0.998 * np.interp(raw, *self.steps) + 0.002 / (1 + np.exp(-raw))
 
 
 def boosted(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: float = 0.15, bins: int = 48, least: int = 20, ridge: float = 1.0) -> Model:
@@ -218,9 +252,9 @@ def learned(sample: DataFrame) -> dict[str, float]:
 
 def _featured(terms: dict[str, float], keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = Weights(terms)
+        own = Tokens(terms)
         for batch in batches:
-            rows = [features(t, weights) for t in batch.column("text").to_pylist()]
+            rows = [own.features(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(rows, pa.list_(pa.float64()))], [*keep, "x"])
 
     return run
@@ -233,7 +267,7 @@ def sampled(docs: DataFrame, labels: DataFrame, allowed: Column | None, most: in
         known = known.where(allowed)
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")  # at most `most` rows of two numbers
-    return written(texts.dropDuplicates(["text"]), "toxic-sample")
+    return written(texts.dropDuplicates(["text"]).repartition(SPREAD), "toxic-sample")
 
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, most: int = SAMPLE) -> Model:
@@ -269,11 +303,11 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights = Weights(model.terms)
+        own = Tokens(model.terms)
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                x = np.array([features(t, weights) for t in part.column(1).to_pylist()], float).reshape(-1, len(FEATURES))
+                x = np.array([own.features(t) for t in part.column(1).to_pylist()], float).reshape(-1, len(FEATURES))
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.score(x))], ["key", "score"])
 
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, score double").select(F.col("key").alias(key), "score")
@@ -296,8 +330,8 @@ def kept(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFram
     kind = pa.float64()
 
     def run(column: pa.Array) -> pa.Array:
-        weights = Weights(model.terms)
-        x = np.array([features(t, weights) for t in column.to_pylist()], float).reshape(-1, len(FEATURES))
+        own = Tokens(model.terms)
+        x = np.array([own.features(t) for t in column.to_pylist()], float).reshape(-1, len(FEATURES))
         return pa.array(model.score(x), kind)
 
     return docs.where(F.arrow_udf(run, "double")(F.col("text")) < threshold)
