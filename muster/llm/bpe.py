@@ -189,21 +189,20 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
     return df.withColumn(out, broken(decoded(F.col(ids), path, pattern)))
 
 
-def digests(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: number of tokens, SHA-256 of the ids and SHA-256 of what they decode to.
+def digests(df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", ids: bool = False) -> DataFrame:
+    """Per row: number of tokens, SHA-256 of the ids and SHA-256 of what they decode to; with ids, the ids too.
 
     One worker encodes and decodes, so the vocabulary is held once."""
-    kind = df.schema[key].dataType.simpleString()
+    kind = f"key {df.schema[key].dataType.simpleString()}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, decoder = _encoded(path, pattern, False), _decoded(path, pattern)
         for batch in chunks(batches, "text", 1 << 20):
-            ids = encoder(batch.column("text"))
-            back = decoder(ids)
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pc.list_value_length(ids).cast(pa.int64()), _sha256(_commas(ids)), _sha256(back)], ["key", "n_tokens", "ids_sha256", "decoded_sha256"])
+            found = encoder(batch.column("text"))
+            columns = [batch.column("key"), pc.list_value_length(found).cast(pa.int64()), _sha256(_commas(found)), _sha256(decoder(found)), *[found] * ids]
+            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in kind.split(", ")])
 
-    found = df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
-    return found.withColumnRenamed("key", key)
+    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, kind).withColumnRenamed("key", key)
 
 
 def _commas(ids: pa.Array) -> pa.Array:

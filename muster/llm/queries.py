@@ -69,3 +69,129 @@ def op6_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from muster.llm import pii
 
     return pii.pseudonymised(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY, spans="entities")
+
+
+@query
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm import ngram_join
+
+    return ngram_join.join(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm import substring_dedup
+
+    return substring_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from muster.llm import ann
+
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from muster.llm import exact_topk
+
+    return exact_topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+#: The tree of the mix: sources of each domain, and weights of its nodes.
+MIX_DOMAINS = {"web": [f"src{i}" for i in range(10)], "reference": [f"src{i}" for i in range(10, 16)], "forum": [f"src{i}" for i in range(16, 20)]}
+MIX_WEIGHTS = {"domain": {"web": 50, "reference": 30, "forum": 20, "other": 5}, "language": {"en": 50, "de": 20, "fr": 20, "es": 10}}
+MIX_DEFAULT, MIX_EPOCHS, MIX_SEED = 4, 4, "muster"
+
+
+def mix_domain():
+    from pyspark.sql import functions as F
+
+    out = F.lit("other")
+    for name, sources in MIX_DOMAINS.items():
+        out = F.when(F.col("source").isin(sources), F.lit(name)).otherwise(out)
+    return out
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm import mixing
+
+    return mixing.mix(table(spark, sf_dir, "documents"), mix_domain(), MIX_WEIGHTS, MIX_DEFAULT, MIX_EPOCHS, seed=MIX_SEED)
+
+
+def _case(column: str, choices: dict[str, object], default: object) -> str:
+    return f"CASE {' '.join(f'WHEN {column} = {k!r} THEN {v}' for k, v in choices.items())} ELSE {default} END" if choices else str(default)
+
+
+def _shared_sql(nodes: str, parent: str, child: str) -> str:
+    """The SQL of mixing.shared() over a table with weight, capacity and budget."""
+    return f"""
+    SELECT *, part + CASE WHEN NOT filled AND weight > 0 AND place <= left_over THEN 1 ELSE 0 END AS share FROM (
+      SELECT *, rest - coalesce(sum(CASE WHEN NOT filled THEN part END) OVER (PARTITION BY {parent}), 0) AS left_over,
+             row_number() OVER (PARTITION BY {parent} ORDER BY (filled OR weight <= 0), {child}) AS place FROM (
+        SELECT *, CASE WHEN filled THEN capacity WHEN weight > 0 THEN (rest * weight) // nullif(rest_weight, 0) ELSE 0 END AS part FROM (
+          SELECT *, budget - coalesce(sum(CASE WHEN filled THEN capacity END) OVER (PARTITION BY {parent}), 0) AS rest,
+                 sum(CASE WHEN NOT filled THEN weight ELSE 0 END) OVER (PARTITION BY {parent}) AS rest_weight FROM (
+            SELECT *, weight > 0 AND capacity * weight_left <= (budget - cap_before) * weight AS filled FROM (
+              SELECT *, coalesce(sum(capacity) OVER o, 0) AS cap_before,
+                     sum(weight) OVER (PARTITION BY {parent}) - coalesce(sum(weight) OVER o, 0) AS weight_left
+              FROM {nodes}
+              WINDOW o AS (PARTITION BY {parent} ORDER BY CASE WHEN weight > 0 THEN capacity / weight END NULLS LAST, {child}
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)))))) """
+
+
+def mix_sql(documents: str = "documents") -> str:
+    sources = {s: f"'{d}'" for d, own in MIX_DOMAINS.items() for s in own}
+    return rf"""
+WITH docs AS (
+  SELECT * FROM (
+    SELECT doc_id, CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '')) AS BIGINT) AS tokens,
+           {_case("source", sources, "'other'")} AS domain, coalesce(lang, '') AS language, coalesce(source, '') AS origin
+    FROM {documents}) WHERE tokens > 0
+), leaves AS (
+  SELECT domain, language, origin, CAST(sum(tokens) AS BIGINT) AS tokens, CAST(sum(tokens) AS BIGINT) * {MIX_EPOCHS} AS capacity,
+         {MIX_DEFAULT} AS weight FROM docs GROUP BY ALL
+), domains AS (
+  SELECT domain, sum(capacity) AS capacity, {_case("domain", MIX_WEIGHTS["domain"], MIX_DEFAULT)} AS weight,
+         least(sum(sum(tokens)) OVER (), sum(sum(capacity)) OVER ()) AS budget, 0 AS one FROM leaves GROUP BY domain
+), domain_shares AS ({_shared_sql("domains", "one", "domain")}
+), languages AS (
+  SELECT l.domain, language, sum(l.capacity) AS capacity, {_case("language", MIX_WEIGHTS["language"], MIX_DEFAULT)} AS weight, any_value(s.share) AS budget
+  FROM leaves l JOIN domain_shares s ON l.domain = s.domain GROUP BY l.domain, language
+), language_shares AS ({_shared_sql("languages", "domain", "language")}
+), origins AS (
+  SELECT l.*, s.share AS budget FROM leaves l JOIN language_shares s ON l.domain = s.domain AND l.language = s.language
+), plan AS (
+  SELECT domain, language, origin, CAST(share // tokens AS BIGINT) AS whole, CAST(share % tokens AS BIGINT) AS rest
+  FROM ({_shared_sql("origins", "domain, language", "origin")}) WHERE share > 0
+), placed AS (
+  SELECT d.*, whole, rest, md5('{MIX_SEED}:' || whole || ':' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+  FROM docs d JOIN plan p ON d.domain = p.domain AND d.language = p.language AND d.origin = p.origin
+), summed AS (
+  SELECT *, greatest(0, least(tokens, rest - (CAST(sum(tokens) OVER (PARTITION BY domain, language, origin ORDER BY place, doc_id, tokens ROWS UNBOUNDED PRECEDING) AS BIGINT) - tokens))) AS last
+  FROM placed
+)
+SELECT doc_id, domain, language, origin, epoch, tokens, CAST(CASE WHEN epoch < whole THEN tokens ELSE last END AS BIGINT) AS taken
+FROM (SELECT *, unnest(range(0, whole + 1)) AS epoch FROM summed) WHERE epoch < whole OR last > 0
+"""
+
+
+ORACLE_SQL["op7_mixing"] = mix_sql()
+
+ORACLE_SQL["op5_exact_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.x, c.x), p -> p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5
+"""
