@@ -4,7 +4,7 @@ Features: densities of a given and of a learned lexicon (words and word beginnin
 capitals, punctuation, and obfuscation (digits or signs inside words, spelled-out letters, hits after undoing them).
 
 Training takes a bounded sample of the labelled rows (SAMPLE rows, those with the smallest hash of their id, one per
-distinct text). Half of it teaches the lexicon: distributed counts, per class, of the texts that hold a word or a
+group of near copies). Half of it teaches the lexicon: distributed counts, per class, of the texts that hold a word or a
 word's beginning. The other half gives features, of which 70 % train the trees and 30 % the calibration; so neither
 the trees nor the calibration see features that were fitted to their own rows. Scoring reads every whole text.
 
@@ -33,6 +33,8 @@ SAMPLE = 20_000
 SPREAD = 24
 #: Most terms of the learned lexicon, and the log-odds that a term needs.
 TERMS, LEAST_ODDS = 400, 2.5
+#: Share of the toxic texts that a term is in at least.
+SUPPORT = 0.01
 #: Lengths of the word beginnings that the lexicon may hold.
 BEGINNINGS = (4, 5, 6)
 #: The given lexicon: common insults of four languages.
@@ -246,7 +248,7 @@ def learned(sample: DataFrame) -> dict[str, float]:
     terms = sample.select("y", F.explode(F.array_distinct(F.concat(word, *starts))).alias("term"))
     counted = terms.groupBy("term").agg(F.sum("y").alias("p"), F.sum(1 - F.col("y")).alias("q"))
     odds = F.log((F.col("p") + 0.5) / F.lit(pos + 1.0)) - F.log((F.col("q") + 0.5) / F.lit(neg + 1.0))
-    best = counted.where(F.col("p") >= max(3, round(0.004 * pos))).withColumn("w", odds).where(F.col("w") >= LEAST_ODDS)
+    best = counted.where(F.col("p") >= max(3, round(SUPPORT * pos))).withColumn("w", odds).where(F.col("w") >= LEAST_ODDS)
     return {r["term"]: float(r["w"]) for r in best.orderBy((F.col("p") * F.col("w")).desc(), "term").limit(TERMS).collect()}
 
 
@@ -261,13 +263,16 @@ def _featured(terms: dict[str, float], keep: list[str]):
 
 
 def sampled(docs: DataFrame, labels: DataFrame, allowed: Column | None, most: int) -> DataFrame:
-    """At most so many labelled rows (doc_id, text, y), one for each text, as a table."""
+    """At most so many labelled rows (doc_id, text, y) as a table; of texts with one smallest 5-gram hash (copies, near
+    or exact) one, or the lexicon would learn what a group of copies has in common."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
     if allowed is not None:
         known = known.where(allowed)
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")  # at most `most` rows of two numbers
-    return written(texts.dropDuplicates(["text"]).repartition(SPREAD), "toxic-sample")
+    word = F.split("text", r"\s+")
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(word) - 4)), lambda i: F.xxhash64(F.array_join(F.slice(word, i, 5), " ")))
+    return written(texts.withColumn("gram", F.array_min(grams)).dropDuplicates(["gram"]).drop("gram").repartition(SPREAD), "toxic-sample")
 
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, most: int = SAMPLE) -> Model:
