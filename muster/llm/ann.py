@@ -145,7 +145,9 @@ def search(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "e
     cuts = table.sparkSession.createDataFrame([(i, max(1, -(-int(n) // PART)), max(1, -(-int(a) // QUERIES))) for i, (n, a) in enumerate(zip(sizes, asks, strict=True)) if n and a], "list int, parts int, crowds int")
     cuts = F.broadcast(cuts)  # a row for each centroid: at most MOST
     data = table.join(cuts, "list").withColumn("part", F.pmod(F.xxhash64("key"), "parts").cast("int")).withColumn("crowd", F.explode(F.sequence(F.lit(0), F.col("crowds") - 1)))
+    data = data.select("list", "part", "crowd", "key", "vector", "codes")
     crowd = sent.join(cuts, "list").withColumn("crowd", F.pmod(F.xxhash64("query"), "crowds").cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    crowd = crowd.select(F.col("list").alias("of_list"), F.col("part").alias("of_part"), F.col("crowd").alias("of_crowd"), "query", F.col("vector").alias("asked"))
 
     def scanned(group: pa.Table, asking: pa.Table) -> pa.Table:
         out: list[tuple] = []
@@ -157,7 +159,7 @@ def search(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "e
         x = matrix(group.column("vector").combine_chunks())
         codes = np.frombuffer(b"".join(group.column("codes").to_pylist()), np.uint8).reshape(len(ids), -1).astype(np.int64)
         own = index.centroids[group.column("list")[0].as_py()]
-        q = matrix(asking.column("vector").combine_chunks())
+        q = matrix(asking.column("asked").combine_chunks())
         tables = index.tables(unit(q) - own)
         flat = codes + np.arange(codes.shape[1]) * tables.shape[2] if len(index.books[0]) == tables.shape[2] else codes
         for query, vector, t in zip(asking.column("query").to_pylist(), q, tables, strict=True):
@@ -178,7 +180,6 @@ def search(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "e
         a, b, c = zip(*out, strict=True)
         return pa.table({"query": pa.array(a, pa.int64()), "found": pa.array(b, pa.int64()), "score": pa.array(c, pa.float64())})
 
-    keys = ["list", "part", "crowd"]
-    found = data.groupBy(*keys).cogroup(crowd.groupBy(*keys)).applyInArrow(scanned, "query bigint, found bigint, score double")
+    found = data.groupBy("list", "part", "crowd").cogroup(crowd.groupBy("of_list", "of_part", "of_crowd")).applyInArrow(scanned, "query bigint, found bigint, score double")
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "found"))
     return found.distinct().withColumn("rank", rank).where(F.col("rank") <= k).select(F.col("query").alias("query_id"), "rank", F.col("found").alias(key), "score")

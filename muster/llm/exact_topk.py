@@ -121,6 +121,7 @@ def search(df: DataFrame, queries: Column, scale: int = 256, key: str = "vec_id"
     shards, crowds = max(1, -(-n_blocks // BLOCKS)), max(1, -(-n_asked // QUERIES))
     data = blocks.withColumn("shard", F.pmod(F.xxhash64("ids"), F.lit(shards)).cast("int")).withColumn("crowd", F.explode(F.sequence(F.lit(0), F.lit(crowds - 1))))
     crowd = asked.withColumn("crowd", F.pmod(F.xxhash64("query"), F.lit(crowds)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    crowd = crowd.select(F.col("shard").alias("of_shard"), F.col("crowd").alias("of_crowd"), "query", "asked")
 
     def scanned(group: pa.Table, asking: pa.Table) -> pa.Table:
         none = pa.table({"query": pa.array([], pa.int64()), "found": pa.array([], pa.int64()), "score": pa.array([], pa.int64())})
@@ -155,6 +156,6 @@ def search(df: DataFrame, queries: Column, scale: int = 256, key: str = "vec_id"
         a, b, c = zip(*out, strict=True)
         return pa.table({"query": pa.array(a, pa.int64()), "found": pa.array(b, pa.int64()), "score": pa.array(c, pa.int64())})
 
-    found = data.groupBy("shard", "crowd").cogroup(crowd.groupBy("shard", "crowd")).applyInArrow(scanned, "query bigint, found bigint, score bigint")
+    found = data.groupBy("shard", "crowd").cogroup(crowd.groupBy("of_shard", "of_crowd")).applyInArrow(scanned, "query bigint, found bigint, score bigint")
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "found"))
     return found.distinct().withColumn("rank", rank).where(F.col("rank") <= k).select(F.col("query").alias("query_id"), "rank", F.col("found").alias(key), "score")

@@ -151,7 +151,7 @@ def mix_sql(documents: str = "documents") -> str:
     return rf"""
 WITH docs AS (
   SELECT * FROM (
-    SELECT doc_id, CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '')) AS BIGINT) AS tokens,
+    SELECT doc_id, CAST(len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '')) AS BIGINT) AS tokens,
            {_case("source", sources, "'other'")} AS domain, coalesce(lang, '') AS language, coalesce(source, '') AS origin
     FROM {documents}) WHERE tokens > 0
 ), leaves AS (
@@ -186,10 +186,10 @@ ORACLE_SQL["op7_mixing"] = mix_sql()
 
 ORACLE_SQL["op5_exact_topk"] = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.x, c.x), p -> p[1] * p[2])) AS BIGINT) AS score
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2])) AS BIGINT) AS score
   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score

@@ -80,7 +80,7 @@ def packed(records: list[bytes], level: int, dictionary_bytes: int, samples: int
             break
         some.append(r[: 8 * dictionary_bytes])  # what trains the dictionary; records are stored whole
         held += len(some[-1])
-    if len(some) >= 16 and held >= 8 * dictionary_bytes:
+    if len(some) >= 16 and held >= 2 * dictionary_bytes:
         try:
             trained = zstandard.train_dictionary(dictionary_bytes, some, k=256, d=8)
         except zstandard.ZstdError:
