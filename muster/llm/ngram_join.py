@@ -56,10 +56,10 @@ def gram_sets(batch: pa.RecordBatch, text: str, n: int) -> list[np.ndarray]:
         if b - a >= n:
             out.append(np.unique(rolled[a : b - n + 1]))
         elif b > a:
-            one = np.uint64(b - a)
-            for h in hashes[a:b]:
-                one = mixed(np.array([one * np.uint64(0x9E3779B97F4A7C15) + h + np.uint64(1)]))[0]
-            out.append(np.array([one], np.uint64))
+            one = np.array([b - a], np.uint64)
+            for i in range(a, b):
+                one = mixed(one * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + 1] + np.uint64(1))
+            out.append(one)
         else:
             out.append(np.zeros(0, np.uint64))
     return out
