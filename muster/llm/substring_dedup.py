@@ -5,11 +5,10 @@ right symbol (sides fall by a hash of the symbol). Names follow from what they s
 substrings get equal symbols in any document, but for a few symbols at their ends, which depend on what is beside.
 For every window of `window` words it is therefore known which symbols are certain, whatever surrounds the window.
 
-1. Each document is rewritten ROUNDS times. Groups of GROUP high-level symbols are thinned out by winnowing over SPAN
-   groups: a window with enough certain symbols holds a chosen group, the same one wherever the window occurs. Windows
-   with fewer (runs, mostly) are chosen themselves. What is chosen is kept per document, with the window positions
-   that hold it.
-2. Spark counts in which texts each chosen symbol occurs. Only windows around shared symbols can repeat.
+1. Each document is rewritten ROUNDS times. GROUP high-level symbols in a row form a name, and of SPAN names in a row
+   the smallest is chosen. The first and the last SPAN names among a window's certain symbols so choose two names, the
+   same ones wherever the window occurs. Windows with fewer certain symbols (runs, mostly) choose a name of their own.
+2. Spark counts in which texts each chosen name occurs. Only windows whose two names are shared can repeat.
 3. Those windows are verified by a 128-bit digest of their words; per digest the smallest document id is found, and
    windows with a smaller one elsewhere mark their words as removed.
 
@@ -79,54 +78,37 @@ def recompressed(symbol: np.ndarray, row: np.ndarray, rounds: int, window: int):
 
 
 def chosen(hashes: np.ndarray, bounds: np.ndarray, window: int, rounds: int, group: int, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Names that are chosen in these documents, with the first and last window (by its first word) that holds each."""
+    """The windows of these documents (by first word), and the first and the last name that is chosen in each.
+
+    Both follow from the window's words alone. A window with too few certain symbols has its own name for both."""
     n = len(hashes)
-    none = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if n < window:
-        return none
     size = np.diff(bounds)
     row = np.repeat(np.arange(len(size)), size)
-    ends = bounds[1:][row]
-    symbol, start, own, first, last = recompressed(hashes, row, rounds, window)
-    stop = np.append(start[1:], n)
-    windows = np.flatnonzero(np.arange(n) + window <= ends)
-    certain = last[windows + window] - first[windows]
-    covered = certain >= group + span - 1
-    names, low, high = [], [], []
+    windows = np.flatnonzero(np.arange(n) + window <= bounds[1:][row]) if n else np.zeros(0, np.int64)
+    left = np.zeros(len(windows), np.uint64)
+    right = left.copy()
+    if not len(windows):
+        return windows, left, right
+    symbol, _, _, first, last = recompressed(hashes, row, rounds, window)
+    low, high = first[windows], last[windows + window] - (group + span - 1)  # of groups' spans that are certain
+    covered = low <= high
     m = len(symbol) - group + 1
-    if m >= span:
+    if covered.any():
         name = symbol[:m].copy()
         for k in range(1, group):
             name = mixed(name * _A + symbol[k : k + m] + _B)
-        best, arg = name[: m - span + 1].copy(), np.zeros(m - span + 1, np.int64)
+        best = name[: m - span + 1].copy()
         for k in range(1, span):
-            x = name[k : k + m - span + 1]
-            better = x < best
-            best[better], arg[better] = x[better], k
-        whole = own[: m - span + 1] == own[group + span - 2 : group + span - 2 + m - span + 1]
-        at = np.unique((np.arange(m - span + 1) + arg)[whole])
-        a, b = start[at], stop[at + group - 1]
-        lo, hi = np.maximum(b - window, bounds[:-1][own[at]]), np.minimum(a, bounds[1:][own[at]] - window)
-        some = (lo <= hi) & (b - a <= window)
-        names.append(name[at][some])
-        low.append(lo[some])
-        high.append(hi[some])
+            np.minimum(best, name[k : k + m - span + 1], out=best)
+        left[covered], right[covered] = best[low[covered]], best[high[covered]]
     rest = windows[~covered]
     if len(rest):
         weights = mixed(np.arange(1, window + 1, dtype=np.uint64) * _B) | np.uint64(1)
-        name = np.zeros(len(rest), np.uint64)
+        own = np.zeros(len(rest), np.uint64)
         for k in range(window):
-            name += mixed(hashes[rest + k] + np.uint64(k)) * weights[k]
-        name = mixed(name)
-        opens = np.ones(len(rest), bool)
-        opens[1:] = (name[1:] != name[:-1]) | (rest[1:] != rest[:-1] + 1) | (row[rest[1:]] != row[rest[:-1]])
-        at = np.flatnonzero(opens)
-        names.append(name[at])
-        low.append(rest[at])
-        high.append(rest[np.append(at[1:], len(rest)) - 1])
-    if not names:
-        return none
-    return np.concatenate(names), np.concatenate(low), np.concatenate(high)
+            own += mixed(hashes[rest + k] + np.uint64(k)) * weights[k]
+        left[~covered] = right[~covered] = mixed(own)
+    return windows, left, right
 
 
 def normal(text: str | None) -> bytes:
@@ -135,21 +117,20 @@ def normal(text: str | None) -> bytes:
 
 
 def parsed(docs: DataFrame, window: int, rounds: int, group: int, span: int) -> DataFrame:
-    """Per row (key, text): number of words, SHA-256 of the words, and what is chosen with its windows."""
-    kind = "key bigint, n_words bigint, sha string, names array<bigint>, low array<int>, high array<int>"
+    """Per row (key, text): number of words, SHA-256 of the words, and the names that are chosen in its windows."""
+    kind = "key bigint, n_words bigint, sha string, names array<bigint>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text", 1 << 20):
             plain = [normal(t) for t in batch.column("text").to_pylist()]
             sizes = np.concatenate([[0], np.cumsum([len(p) for p in plain])]).astype(np.int64)
             _, _, hashes, bounds = words(np.frombuffer(b"".join(plain), np.uint8), sizes)
-            names, low, high = chosen(hashes, bounds, window, rounds, group, span)
-            order = np.argsort(low, kind="stable")
-            names, low, high = names[order].astype(np.int64), low[order], high[order]
-            cut = np.searchsorted(low, bounds)
-            shift = np.repeat(bounds[:-1], np.diff(cut))
-            lists = [pa.ListArray.from_arrays(pa.array(cut.astype(np.int32)), pa.array(x)) for x in (names, (low - shift).astype(np.int32), (high - shift).astype(np.int32))]
-            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(np.diff(bounds), pa.int64()), pa.array([hashlib.sha256(p).hexdigest() for p in plain], pa.string()), *lists], [x.split()[0] for x in kind.split(", ")])
+            at, left, right = chosen(hashes, bounds, window, rounds, group, span)
+            cut = np.searchsorted(at, bounds)
+            names = [np.unique(np.concatenate([left[a:b], right[a:b]])) for a, b in zip(cut[:-1], cut[1:], strict=True)]
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in names])]).astype(np.int32)
+            listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.uint64), *names]).astype(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(np.diff(bounds), pa.int64()), pa.array([hashlib.sha256(p).hexdigest() for p in plain], pa.string()), listed], [x.split()[0] for x in kind.split(", ")])
 
     return docs.mapInArrow(run, kind)
 
@@ -169,8 +150,9 @@ def _merged(spans: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
         yield low, high
 
 
-def verified(candidates: DataFrame, window: int) -> DataFrame:
-    """(digest, key, low, high): the windows of the candidates' spans, those that follow each other alike as one row."""
+def verified(candidates: DataFrame, window: int, rounds: int, group: int, span: int) -> DataFrame:
+    """(digest, key, low, high) of the candidates' windows whose chosen names are both shared; windows that follow each
+    other with the same words are one row."""
     kind = "digest binary, key bigint, low int, high int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,31 +162,32 @@ def verified(candidates: DataFrame, window: int) -> DataFrame:
             def rows() -> pa.RecordBatch:
                 return pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(keys, pa.int64()), pa.array(low, pa.int32()), pa.array(high, pa.int32())], ["digest", "key", "low", "high"])
 
-            for key, text, sha, spans in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "sha", "spans")), strict=True):
+            for key, text, sha, shared in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "sha", "names")), strict=True):
                 plain = normal(text)
                 if hashlib.sha256(plain).hexdigest() != sha:
                     continue  # another row with this id
                 raw = np.frombuffer(plain, np.uint8)
-                gaps = np.flatnonzero(raw == 32)
-                begin, end = np.append(0, gaps + 1).tolist(), np.append(gaps, len(raw)).tolist()
-                for first, last in _merged([(s["low"], s["high"]) for s in spans]):
-                    before = None
-                    for p in range(first, last + 1):
-                        digest = hashlib.blake2b(plain[begin[p] : end[p + window - 1]], digest_size=16).digest()
-                        if digest == before:
-                            high[-1] = p
-                        else:
-                            digests.append(digest)
-                            keys.append(key)
-                            low.append(p)
-                            high.append(p)
-                            before = digest
+                begin, end, hashes, bounds = words(raw, np.array([0, len(raw)]))
+                at, left, right = chosen(hashes, bounds, window, rounds, group, span)
+                known = np.array(shared, np.int64).astype(np.uint64)
+                at = at[np.isin(left, known) & np.isin(right, known)].tolist()
+                begin, end, before, last = begin.tolist(), end.tolist(), None, -2
+                for p in at:
+                    digest = hashlib.blake2b(plain[begin[p] : end[p + window - 1]], digest_size=16).digest()
+                    if digest == before and p == last + 1:
+                        high[-1] = p
+                    else:
+                        digests.append(digest)
+                        keys.append(key)
+                        low.append(p)
+                        high.append(p)
+                    before, last = digest, p
                 if len(keys) > 100_000:
                     yield rows()
                     digests, keys, low, high = [], [], [], []
             yield rows()
 
-    return candidates.select("key", "text", "sha", "spans").mapInArrow(run, kind)
+    return candidates.select("key", "text", "sha", "names").mapInArrow(run, kind)
 
 
 def cleaned(hits: DataFrame, window: int) -> DataFrame:
@@ -239,16 +222,15 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
     rows = written(parsed(base, window, rounds, group, span), "parsed")
     meta = rows.select("key", "n_words", "sha")
     classes = meta.where(F.col("n_words") >= window).groupBy("sha").agg(F.min("key").alias("rep"))
-    held = rows.where("key is not null").select("key", "sha", F.explode(F.arrays_zip("names", "low", "high")).alias("x")).select("key", "sha", "x.*")
-    own = F.xxhash64("sha")
-    shared = held.select("names", own.alias("t")).groupBy("names").agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a <> b").select("names")
-    spans = held.join(shared, "names").groupBy("key", "sha").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    spans = spans.join(classes.select(F.col("rep").alias("key"), "sha"), ["key", "sha"])
-    candidates = written(base.join(spans, "key"), "candidates")
-    windows = written(verified(candidates, window), "windows")
+    held = rows.where("key is not null").select("key", F.xxhash64("sha").alias("t"), F.explode("names").alias("name"))
+    shared = held.groupBy("name").agg(F.min("t").alias("a"), F.max("t").alias("b")).where("a <> b").select("name")
+    names = held.join(written(shared, "shared"), "name").groupBy("key", "t").agg(F.collect_list("name").alias("names"))
+    names = names.join(classes.select(F.col("rep").alias("key"), F.xxhash64("sha").alias("t"), "sha"), ["key", "t"]).drop("t")
+    candidates = written(base.join(names, "key"), "candidates")
+    windows = written(verified(candidates, window, rounds, group, span), "windows")
     firsts = windows.groupBy("digest").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first <> last").select("digest", "first")
     hits = windows.join(firsts, "digest").where("key > first").groupBy("key").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
-    found = cleaned(candidates.drop("spans").join(hits, "key"), window)
+    found = cleaned(candidates.drop("names").join(hits, "key"), window)
     found = (found if texts else found.drop("kept_text")).dropDuplicates(["key", "sha"])
     copy = (F.col("n_words") >= window) & F.col("rep").isNotNull() & (F.col("key") > F.col("rep"))
     out = meta.join(classes, "sha", "left").join(found, ["key", "sha"], "left")
