@@ -95,7 +95,7 @@ def attempts(documents: DataFrame, text: str = "value") -> DataFrame:
 
 
 def read_attempts(spark: SparkSession, path: str) -> DataFrame:
-    return attempts(spark.read.option("wholetext", True).text(path))
+    return attempts(spark.read.text(path, wholetext=True))
 
 
 def read_classifications(spark: SparkSession, path: str | None, required: bool = False) -> DataFrame:
