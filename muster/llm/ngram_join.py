@@ -6,8 +6,8 @@ document with the smallest id. Each gets a signature in each of the forest's tre
 a prefix meet. Prefixes start at the tries' full depth and are shortened until the chance that a pair at the threshold
 meets in some tree reaches the target recall. Pairs that meet are verified on their whole sets.
 
-The pairs of a bucket are never listed. A document has a home, the largest bucket it is in; homes are cut into blocks
-of bounded size; blocks that some bucket brings together are compared as a whole in one task, by matrix products over
+The pairs of a bucket are never listed. A document has a hub, the smallest id that it shares a bucket with; documents
+of one hub are cut into blocks of bounded size; blocks that some bucket brings together are compared as a whole in one task, by matrix products over
 the n-grams they share. So every pair of documents meets in one task at most, and a task returns a row per document:
 how many documents it is linked with there, and the smallest id it is connected with. A hot bucket is many block
 pairs, which many tasks share. Classes are the connected components of the links.
@@ -145,11 +145,11 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORD
     sets = rows.where("size > 0 and key is not null").groupBy("digest").agg(F.min("key").alias("rep"), F.count("*").alias("copies"), F.min_by(F.struct("size", "prefixes"), "key").alias("x"))
     sets = written(sets.select("rep", "copies", "digest", "x.size", "x.prefixes"), "sets")
     member = sets.select("rep", "size", F.posexplode("prefixes").alias("tree", "prefix"))
-    bucket = member.groupBy("tree", "prefix").agg(F.count("*").alias("n")).where("n > 1")
+    bucket = member.groupBy("tree", "prefix").agg(F.count("*").alias("n"), F.min("rep").alias("hub")).where("n > 1")
     member = written(member.join(bucket, ["tree", "prefix"]), "buckets")
-    home = member.groupBy("rep").agg(F.max(F.struct("n", "tree", "prefix")).alias("h"), F.first("size").alias("size")).select("rep", "size", "h.tree", "h.prefix")
-    fill = home.groupBy("tree", "prefix").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("size") / BLOCK_GRAMS)).alias("parts"))
-    home = home.join(fill, ["tree", "prefix"]).select("rep", F.xxhash64("tree", "prefix", F.pmod(F.xxhash64("rep"), "parts")).alias("block"))
+    home = member.groupBy("rep").agg(F.min("hub").alias("hub"), F.first("size").alias("size"))
+    fill = home.groupBy("hub").agg(F.greatest(F.ceil(F.count("*") / BLOCK_DOCS), F.ceil(F.sum("size") / BLOCK_GRAMS)).alias("parts"))
+    home = home.join(fill, "hub").select("rep", F.xxhash64("hub", F.pmod(F.xxhash64("rep"), "parts")).alias("block"))
     home = written(home, "homes")
     meet = written(member.select("rep", "tree", "prefix").join(home, "rep").select("tree", "prefix", "block").distinct(), "meet")
     met = meet.join(meet.withColumnRenamed("block", "other"), ["tree", "prefix"]).where("block <= other").select("block", "other").distinct()
