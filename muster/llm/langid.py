@@ -156,17 +156,16 @@ def train(docs: DataFrame, allowed: Column, key: str = "doc_id", text: str = "te
     for r in totals:
         frequency[r["at"]] = r["n"]
     idf = np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1
-    sample = seen.where("lang is not null").orderBy(F.xxhash64("key", F.lit("order")), "key", "lang").limit(MOST).collect()
+    sample = seen.where("lang is not null").orderBy(F.xxhash64("key", F.lit("order")), "key", "lang").limit(MOST).select("lang", "at", "n").toArrow()
     model = Model(languages, idf, np.zeros((len(languages), BUCKETS + 1)), 1.0)
-    if not sample:
+    if not sample.num_rows:
         return Model([], idf, model.weights, 1.0)
     found = []
-    for r in sample:
-        c = np.array(r["n"], float)
-        at = np.array(r["at"])
-        x = np.log1p(c) * idf[at]
+    for at, n in zip(sample.column("at"), sample.column("n"), strict=True):
+        at = at.values.to_numpy().astype(np.int32)
+        x = np.log1p(n.values.to_numpy()) * idf[at]
         found.append((at, x / np.sqrt((x * x).sum())))
-    y = np.array([languages.index(r["lang"]) for r in sample])
+    y = np.array([languages.index(name) for name in sample.column("lang").to_pylist()])
     cut = max(1, len(found) * 2 // 3)
     model.weights = ftrl(found[:cut], y[:cut], len(languages))
     logits = np.array([model.weights[:, at] @ x + model.weights[:, -1] for at, x in found[cut:]]).reshape(-1, len(languages))
