@@ -25,7 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from muster.llm.common import written
+from muster.llm.common import chunks, written
+from muster.llm.ngram_join import gram_sets
 
 #: Most labelled rows that training takes.
 SAMPLE = 20_000
@@ -270,9 +271,14 @@ def sampled(docs: DataFrame, labels: DataFrame, allowed: Column | None, most: in
         known = known.where(allowed)
     known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(known), "doc_id")  # at most `most` rows of two numbers
-    word = F.split("text", r"\s+")
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(word) - 4)), lambda i: F.xxhash64(F.array_join(F.slice(word, i, 5), " ")))
-    return written(texts.withColumn("gram", F.array_min(grams)).dropDuplicates(["gram"]).drop("gram").repartition(SPREAD), "toxic-sample")
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text"):
+            least = [int(g[0]) if len(g) else 0 for g in gram_sets(batch, "text", 5)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "text", "y")), pa.array(np.array(least, np.uint64).astype(np.int64))], ["doc_id", "text", "y", "gram"])
+
+    marked = texts.select("doc_id", "text", "y").mapInArrow(sketched, "doc_id bigint, text string, y int, gram bigint")
+    return written(marked.dropDuplicates(["gram"]).drop("gram").repartition(SPREAD), "toxic-sample")
 
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, most: int = SAMPLE) -> Model:
@@ -291,7 +297,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, mos
     cut = round(0.7 * len(y))
     if len(set(y[:cut])) < 2 or len(set(y[cut:])) < 2:
         cut = len(y)
-    model = boosted(x[:cut], y[:cut])
+    model = boosted(x[:cut], y[:cut], least=int(np.clip(cut // 50, 3, 20)))
     model.terms = terms
     held = slice(cut, None) if cut < len(y) else slice(None)
     model.steps = isotonic(model.raw(x[held]), y[held])

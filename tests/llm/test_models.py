@@ -90,7 +90,9 @@ def test_toxicity_on_held_out_documents(spark):
 
 def test_toxicity_edges(spark):
     schema = "doc_id long, text string, toxic string, score double"
-    rows = [(i, "you are an idiot and a moron " * 3 if i % 4 == 0 else "plain words about the weather today " * 3, "x", 0.1) for i in range(200)]
+    rng = random.Random(6)
+    plain = lambda: [rng.choice([f"word{k}" for k in range(300)]) for _ in range(30)]
+    rows = [(i, " ".join(plain() + (["you", "idiot", "you", "moron"] if i % 4 == 0 else [])), "x", 0.1) for i in range(200)]
     rows += [(900, None, "x", 0.0), (901, "", "x", 0.0), (902, "word " * 60_000, "x", 0.0), (903, "you  i d i o t", "x", 0.0), (904, "1d10t", "x", 0.0)]
     docs = spark.createDataFrame(rows, schema)
     labels = spark.createDataFrame([(i, 1 if i % 4 == 0 else 0) for i in range(200)] + [(7, None), (None, 1)], "doc_id long, toxic int")
