@@ -100,6 +100,8 @@ def signed(docs: DataFrame, key: str, text: str, n: int, trees: int, length: int
 
 def linked(own: list[np.ndarray], other: list[np.ndarray] | None, threshold: float) -> np.ndarray:
     """Which pairs of the sets (of one list, or of two) are similar enough, by exact counts of common n-grams."""
+    if not own or other == []:
+        return np.zeros((len(own), len(own if other is None else other)), bool)
     both = own if other is None else own + other
     size = np.array([len(x) for x in both])
     who = np.repeat(np.arange(len(both)), size)
@@ -154,43 +156,41 @@ def join(docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = WORD
     meet = written(member.select("rep", "tree", "prefix").join(home, "rep").select("tree", "prefix", "block").distinct(), "meet")
     met = meet.join(meet.withColumnRenamed("block", "other"), ["tree", "prefix"]).where("block <= other").select("block", "other").distinct()
     met = written(met, "block-pairs")
-    own = met.select("block", F.col("block").alias("a"), F.col("other").alias("b"))
-    sides = own.union(met.where("block <> other").select(F.col("other").alias("block"), F.col("block").alias("a"), F.col("other").alias("b")))
-    tasks = home.join(sides, "block").join(sets.select("rep", "copies", "digest"), "rep")
     texts = docs.select(F.col(key).cast("bigint").alias("rep"), F.col(text).alias("text"))
-    needed = texts.join(tasks.groupBy("rep").agg(F.first("copies").alias("copies"), F.first("digest").alias("digest"), F.collect_set(F.struct("block", "a", "b")).alias("at")), "rep")
-    spread = needed.select("rep", "copies", "digest", "text", F.explode("at").alias("x")).select("rep", "copies", "digest", "text", "x.*")
-
-    def verified(group: pa.Table) -> pa.Table:
-        batch = group.combine_chunks().to_batches()[0]
-        ids, blocks, digests, copies = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "block", "digest", "copies"))
-        a, b = batch.column("a")[0].as_py(), batch.column("b")[0].as_py()
-        found = gram_sets(batch, "text", n)
-        seen: set[int] = set()
-        take = []
-        for i in range(len(ids)):  # of rows with one id, the one whose set the class stands for
+    needed = texts.join(home.join(sets.select("rep", "copies", "digest"), "rep"), "rep")
+    # a row for each block: at most about BLOCK_DOCS documents or BLOCK_GRAMS n-grams
+    blocks = written(needed.groupBy("block").agg(F.collect_list(F.struct("rep", "copies", "digest", "text")).alias("docs")), "blocks")
+    second = blocks.select(F.col("block").alias("second"), F.col("docs").alias("others"))
+    both = met.withColumn("second", F.when(F.col("block") != F.col("other"), F.col("other"))).join(blocks, "block").join(second, "second", "left")
+
+    def unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """Ids, copies and n-gram sets of a block; of rows with one id, the one whose set the class stands for."""
+        batch = pa.RecordBatch.from_arrays(column.flatten(), names=["rep", "copies", "digest", "text"])
+        ids, copies, digests = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "copies", "digest"))
+        found, seen, take = gram_sets(batch, "text", n), set(), []
+        for i in range(len(ids)):
             if ids[i] not in seen and hashlib.blake2b(found[i].tobytes(), digest_size=16).digest() == digests[i]:
                 seen.add(ids[i])
                 take.append(i)
-        left = [i for i in take if blocks[i] == a]
-        right = [i for i in take if blocks[i] == b] if a != b else None
-        empty = pa.table({"rep": pa.array([], pa.int64()), "links": pa.array([], pa.int64()), "least": pa.array([], pa.int64())})
-        if not left or right is not None and not right:
-            return empty
-        link = linked([found[i] for i in left], None if right is None else [found[i] for i in right], threshold)
-        if right is None:
-            nodes = np.array(left)
-            links = link @ copies[nodes].astype(np.int64)
-            pairs = np.argwhere(link)
+        return ids[take], copies[take].astype(np.int64), [found[i] for i in take]
+
+    def verified(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        ids, copies, left = unpacked(group.column("docs").chunk(0).flatten())
+        right = None
+        if group.column("others").null_count:
+            link = linked(left, None, threshold)
+            links, pairs = link @ copies, np.argwhere(link)
         else:
-            nodes = np.array(left + right)
-            links = np.concatenate([link @ copies[right].astype(np.int64), link.T @ copies[left].astype(np.int64)])
-            pairs = np.argwhere(link) + [0, len(left)]
-        least = smallest(len(nodes), pairs, ids[nodes])
+            more, weight, right = unpacked(group.column("others").chunk(0).flatten())
+            link = linked(left, right, threshold)
+            links, pairs = np.concatenate([link @ weight, link.T @ copies]), np.argwhere(link) + [0, len(left)]
+            ids = np.concatenate([ids, more])
         some = links > 0
-        return pa.table({"rep": pa.array(ids[nodes][some], pa.int64()), "links": pa.array(links[some], pa.int64()), "least": pa.array(least[some], pa.int64())})
+        least = smallest(len(ids), pairs, ids)
+        return pa.table({"rep": pa.array(ids[some], pa.int64()), "links": pa.array(links[some], pa.int64()), "least": pa.array(least[some], pa.int64())})
 
-    links = written(spread.groupBy("a", "b").applyInArrow(verified, "rep bigint, links bigint, least bigint"), "links")
+    links = written(both.select("block", "other", "docs", "others").groupBy("block", "other").applyInArrow(verified, "rep bigint, links bigint, least bigint"), "links")
     counted = links.groupBy("rep").agg(F.sum("links").alias("links"))
     classes = components(links, "rep", "least").withColumnRenamed("node", "rep")
     found = sets.select("digest", "rep", "copies").join(counted, "rep", "left").join(classes, "rep", "left")
