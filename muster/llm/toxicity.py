@@ -179,8 +179,8 @@ class Model:
         return 0.998 * np.interp(raw, *self.steps) + 0.002 / (1 + np.exp(-raw))
 
 
-def boosted(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: float = 0.15, bins: int = 48, least: int = 20, ridge: float = 1.0) -> Model:
-    """Newton boosting of the logistic loss on histograms of the features' quantiles."""
+def boosted(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate: float = 0.15, bins: int = 48, least: int = 20, ridge: float = 1.0, gain: float = 4.0) -> Model:
+    """Newton boosting of the logistic loss on histograms of the features' quantiles; a split must win `gain`."""
     edges = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(x.shape[1])]
     binned = np.stack([np.searchsorted(e, x[:, f], "left") for f, e in enumerate(edges)], 1)
     share = np.clip(y.mean(), 1e-4, 1 - 1e-4)
@@ -197,7 +197,7 @@ def boosted(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate:
             if len(own) < 2 * least:
                 continue
             g, h = grad[own], hess[own]
-            best = (1e-6, -1, 0)
+            best = (gain, -1, 0)
             whole = g.sum() ** 2 / (h.sum() + ridge)
             for f, e in enumerate(edges):
                 if not len(e):
@@ -206,11 +206,11 @@ def boosted(x: np.ndarray, y: np.ndarray, trees: int = 80, depth: int = 4, rate:
                 gl = np.cumsum(np.bincount(b, g, len(e) + 1))[:-1]
                 hl = np.cumsum(np.bincount(b, h, len(e) + 1))[:-1]
                 nl = np.cumsum(np.bincount(b, minlength=len(e) + 1))[:-1]
-                gain = gl**2 / (hl + ridge) + (g.sum() - gl) ** 2 / (h.sum() - hl + ridge) - whole
-                gain[(nl < least) | (len(own) - nl < least)] = 0
-                at = int(gain.argmax())
-                if gain[at] > best[0]:
-                    best = (gain[at], f, at)
+                won = gl**2 / (hl + ridge) + (g.sum() - gl) ** 2 / (h.sum() - hl + ridge) - whole
+                won[(nl < least) | (len(own) - nl < least)] = 0
+                at = int(won.argmax())
+                if won[at] > best[0]:
+                    best = (won[at], f, at)
             if best[1] >= 0:
                 feature[k], threshold[k] = best[1], edges[best[1]][best[2]]
                 node[own] = 2 * k + 1 + (binned[own, best[1]] > best[2])
