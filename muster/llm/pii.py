@@ -7,7 +7,10 @@ follows from a keyed hash (HMAC-SHA-256) of both, so one entity has one surrogat
 separators, lengths, letter case, script, country codes, check digits, private or public address, gender of a name.
 
 Collision checks: over all distinct entities, no two get the same surrogate and none gets a value that occurs as a
-real entity. Whoever collides draws anew (a counter in the hash), until nothing collides. Only these few exceptions
+real entity. Whoever collides draws anew (a counter in the hash), until nothing collides. After GROWS draws the free
+part of a surrogate grows with each draw: a name by a syllable, a mail address or secret by a letter; a private address
+leaves its block, a telephone number its country code. Only numbers of fixed length (telephone, card and social-security
+numbers, IBAN, IP addresses) then have an end, that of their form. Only these few exceptions
 are handed to the pass that rewrites: broadcast up to BROADCAST of them, joined by document beyond.
 
 Null text stays null and empty text empty; texts without entities come back unchanged. Long texts are read whole.
@@ -32,6 +35,10 @@ from muster.llm.common import written
 BROADCAST = 20_000
 #: Most draws for one entity before the check gives up with an error.
 DRAWS = 60
+#: Draws after which the free part of a surrogate grows.
+GROWS = 3
+#: Longest local part of a mail address and longest secret that are detected.
+LONGEST = {"email": 64, "secret": 200}
 
 #: Forms of address by gender, in the languages that are detected.
 MALE = "Mr Mister Sir Herr Monsieur Señor Sr Signor Don Г-н Господин".split()
@@ -132,6 +139,11 @@ def _alike(draw: Draw, value: str) -> str:
     return "".join(map(pick, value))
 
 
+def _grown(draw: Draw, kind: str, value: str, more: int) -> str:
+    """The value with so many letters more at its end, within the length that is detected."""
+    return value[: LONGEST[kind] - more] + "".join(draw.of("abcdefghijklmnopqrstuvwxyz") for _ in range(more))
+
+
 def _luhn(digits: str) -> int:
     return sum(d if i % 2 == 0 else sum(divmod(2 * d, 10)) for i, d in enumerate(map(int, reversed(digits)))) % 10
 
@@ -145,13 +157,16 @@ def _script(name: str) -> str:
 def surrogate(key: bytes, kind: str, value: str, draw: int = 0) -> str:
     """The canonical value that stands for the entity; put into the text's form by dressed()."""
     d = Draw(key, kind, value, draw)
+    more = max(0, draw - GROWS)
     if kind == "email":
         local, _, host = value.rpartition("@")
         labels = host.split(".")
-        return _alike(d, local) + "@" + ".".join([*(_alike(d, x) for x in labels[:-1]), labels[-1]])
+        return _grown(d, kind, _alike(d, local), more) + "@" + ".".join([*(_alike(d, x) for x in labels[:-1]), labels[-1]])
     if kind == "ip":
         octets = [int(x) for x in value.split(".")]
         kept = {10: 1, 127: 1, 192: 2 if octets[1] == 168 else 0, 172: 2 if 16 <= octets[1] < 32 else 0}.get(octets[0], 0)
+        if kept and more:  # the block may be used up: the largest private one, then any
+            octets, kept = ([10], 1) if more < 12 else (octets, 0)
         fresh = [d.of([x for x in range(1, 224) if x not in (10, 127, 169, 172, 192)]), *(d.below(254) + 1 for _ in range(3))]
         return ".".join(map(str, octets[:kept] + fresh[kept:]))
     if kind == "card":
@@ -159,10 +174,10 @@ def surrogate(key: bytes, kind: str, value: str, draw: int = 0) -> str:
         last = d.below(10) if _luhn(value) else next(x for x in range(10) if _luhn(body + str(x)) == 0)
         return body + str(last)
     if kind == "phone":
-        kept = max(0, len(value) - 10)
+        kept = max(0, len(value) - 10) if more < 12 else 0
         return value[:kept] + "".join(d.of("23456789" if i in (0, 3) else "0123456789") for i in range(len(value) - kept))
     if kind == "ssn":
-        return "9" + "".join(d.of("0123456789") for _ in range(8))
+        return ("9" if more < 12 else d.of("0123456789")) + "".join(d.of("0123456789") for _ in range(8))
     if kind == "iban":
         body = _alike(d, value[4:])
         number = "".join(str(int(c, 36)) for c in body + value[:2] + "00")
@@ -172,9 +187,9 @@ def surrogate(key: bytes, kind: str, value: str, draw: int = 0) -> str:
     if kind == "person":
         gender, _, name = value.partition(":")
         script = _script(name)
-        part = lambda: d.of(STEMS[script]) + d.of(MIDDLES[script]) + (d.of(MIDDLES[script]) if draw > 3 else "") + d.of(ENDINGS[script][gender or "n"])
+        part = lambda: d.of(STEMS[script]) + "".join(d.of(MIDDLES[script]) for _ in range(1 + more)) + d.of(ENDINGS[script][gender or "n"])
         return f"{gender}:" + " ".join(part().casefold() for _ in name.split())
-    return _alike(d, value)
+    return _grown(d, kind, _alike(d, value), more)
 
 
 def dressed(kind: str, original: str, value: str) -> str:

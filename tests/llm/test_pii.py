@@ -68,6 +68,35 @@ def test_collisions_are_drawn_anew(spark, monkeypatch):
     assert not {(r.type, r.surrogate) for r in settled} & {(r.type, r.value) for r in settled}
 
 
+@pytest.mark.parametrize(
+    "kind, values",
+    [
+        ("person", ["m:" + "".join("αβγδεζηθικ"[int(c)] for c in f"{i:04d}") for i in range(3_000)]),  # two middles make 2,352
+        ("person", ["f:" + "".join("abcdefghij"[int(c)] for c in f"{i:05d}") for i in range(20_000)]),  # two middles make 8,800
+        ("email", [f"{a}@{b}.co" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz"]),
+        ("ip", [f"192.168.{a}.{b}" for a in range(256) for b in range(256)]),
+        ("secret", ["************", *(f"-----{i}" for i in range(10))]),
+    ],
+)
+def test_surrogates_do_not_run_out(spark, kind, values):
+    found = spark.createDataFrame([(kind, v) for v in values], "type string, value string")
+    settled = pii.assigned(found, KEY).collect()
+    assert sorted(r.value for r in settled) == sorted(values)
+    new = {r.surrogate for r in settled}
+    assert len(new) == len(values) and not new & set(values)
+    if kind == "ip":
+        assert all(x.startswith(("192.168.", "10.")) for x in new)
+    if kind == "email":
+        assert all(pii.EMAIL.fullmatch(x) and x.endswith(".co") for x in new)
+
+
+def test_grown_surrogates_stay_within_what_is_detected():
+    for local in ("a" * 64, "." * 64):
+        new = pii.surrogate(KEY, "email", f"{local}@b.co", 59)
+        assert pii.EMAIL.fullmatch(new) and new != f"{local}@b.co"
+    assert len(pii.surrogate(KEY, "secret", "*" * 200, 59)) == 200
+
+
 @pytest.mark.parametrize("bound", [20_000, 0])
 def test_rows_equal_the_plain_rewriting(spark, bound, monkeypatch):
     rows = [(1, TEXT, "v", "t", 1), (1, TEXT, "v", "t", 1), (2, None, "v", "t", 2), (3, "", "v", "t", 3), (4, "clean text stays", "v", "t", 4), (None, "x " * 50_000 + "a@b.example.com", "v", "t", 5)]
