@@ -382,18 +382,27 @@ def normalized_dates(p: Panel) -> DataFrame:
     return p.raw.select("source_line_no", normal_as_of_date(F.col("As-of Date")).alias("as_of_date"))
 
 
+def list_parts(p: Panel) -> DataFrame:
+    """Orders written as lists in parts, a list for each quarter and priority, and read back with their line numbers."""
+    path = fresh_path(p.spark, "lists")
+    name = F.concat_ws(".", "as_of_date", F.regexp_replace("source_list", "/", "-"))
+    line = F.concat_ws(",", F.col("source_line_no") - 1, F.coalesce(F.nullif(F.trim(F.regexp_replace("Registry Status", " ", "")), F.lit("")), F.lit("")), F.lit('"x'))
+    landing.written_lists(p.raw.select(name.alias("file"), F.col("source_line_no").alias("place"), line.alias("line")), "key,status,mark", path)
+    return landing.part_lines(p.spark, path).where("line_no > 1 and text <> ''")
+
+
+@query("""SELECT as_of_date || '.' || replace(source_list, '/', '-') AS source_list, line_no, text FROM (
+  SELECT as_of_date, source_list, 1::BIGINT + row_number() OVER (PARTITION BY as_of_date, source_list ORDER BY source_line_no) AS line_no, o_orderkey || ',' || coalesce(status, '') || ',"x' AS text FROM plain)""")
+def landing_files(p: Panel) -> DataFrame:
+    """The lines of landing_lines, each under its list's name."""
+    return list_parts(p)
+
+
 @query("""SELECT as_of_date || '.' || source_list AS source_list, line_no, text FROM (
   SELECT as_of_date, source_list, 1::BIGINT + row_number() OVER (PARTITION BY as_of_date, source_list ORDER BY source_line_no) AS line_no, o_orderkey || ',' || coalesce(status, '') || ',"x' AS text FROM plain)""")
 def landing_lines(p: Panel) -> DataFrame:
-    """Orders written as list files, a file for each quarter and list, and read back with their line numbers."""
-    path = fresh_path(p.spark, "lists")
-    name = F.concat_ws(".", "as_of_date", F.regexp_replace("source_list", "/", "-"))
-    rows = p.raw.select(name.alias("file"), "source_list", "source_line_no", F.concat_ws(",", F.col("source_line_no") - 1, F.coalesce(F.nullif(F.trim(F.regexp_replace("Registry Status", " ", "")), F.lit("")), F.lit("")), F.lit('"x')).alias("line"))
-    listed = rows.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("source_line_no", "line"))).alias("x"))
-    text = listed.select("file", F.concat(F.lit("key,status,mark\n"), F.array_join(F.transform("x", lambda r: r["line"]), "\n")).alias("value"))
-    text.write.partitionBy("file").text(path)
-    lines = landing.list_lines(p.spark, path)
-    return lines.where("line_no > 1 and text <> ''").select(F.lit(None).cast("string").alias("source_list"), "line_no", "text")
+    """Orders written as lists and read back; the lists' names are in landing_files."""
+    return list_parts(p).select(F.lit(None).cast("string").alias("source_list"), "line_no", "text")
 
 
 ORACLE_SQL["landing_lines"] = BASE + """SELECT NULL::VARCHAR AS source_list, line_no, text FROM (

@@ -22,20 +22,48 @@ def cp1252(raw: Column) -> Column:
     return F.translate(F.decode(raw.cast("binary"), "ISO-8859-1"), _FROM, _TO)
 
 
+def encoded(text: Column) -> Column:
+    """What cp1252() reads back as the text; a letter outside the code page fails."""
+    return F.encode(F.translate(text, _TO, _FROM), "ISO-8859-1").cast("string")
+
+
+def written_lists(rows: DataFrame, header: str, path: str) -> None:
+    """Lists (file, place, line) as a folder of text parts each, the header first, in order of place.
+
+    Ranges of places are dealt out, so that a long list is written by many tasks; a list's parts are in order of their names."""
+    named = rows.select(F.coalesce("file", F.lit("")).alias("file"), F.lit(1).alias("below"), F.col("place").cast("bigint").alias("place"), "line")
+    heads = named.select("file").distinct().select("file", F.lit(0).alias("below"), F.lit(None).cast("bigint").alias("place"), F.lit(header).alias("line"))
+    order = ("file", "below", "place", "line")
+    listed = heads.union(named).repartitionByRange(*order).sortWithinPartitions(*order)
+    listed.select("file", encoded(F.col("line")).alias("value")).write.partitionBy("file").text(path)
+
+
+def part_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(source_list, line_no, text) of lists that written_lists() wrote; lines are numbered through all parts of a list."""
+    return _numbered(spark.read.schema("value string, file string").text(path), F.col("file"), F.col("file"))
+
+
 def list_lines(spark: SparkSession, path: str) -> DataFrame:
     """(source_list, line_no, text) of every physical line of the files below a path, blank ones too.
 
     Files are split into blocks by Spark; a line's number is the count of lines in the file's earlier blocks (a small
     table with a row per block) and its place in its own block, so no task holds a whole file."""
-    lines = spark.read.text(path).select(
-        F.regexp_replace(F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1), r"\.csv$", "").alias("source_list"),
+    path_of = F.col("_metadata.file_path")
+    return _numbered(spark.read.text(path), F.regexp_replace(F.element_at(F.split(path_of, "/"), -1), r"\.csv$", ""), path_of)
+
+
+def _numbered(texts: DataFrame, name: Column, whole: Column) -> DataFrame:
+    """`whole` tells which files are numbered through, in order of their paths."""
+    lines = texts.select(
+        name.alias("source_list"),
+        whole.alias("whole"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("id"),
         cp1252(F.col("value")).alias("text"),
     )
-    order = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = lines.groupBy("file", "block").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    order = Window.partitionBy("whole").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = lines.groupBy("whole", "file", "block").agg(F.count("*").alias("n"), F.min("id").alias("first"))
     blocks = blocks.select("file", "block", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"), "first")
     # ids rise by one within a block, as a block is read by one task in order
     return lines.join(blocks, ["file", "block"]).select("source_list", (F.col("before") + F.col("id") - F.col("first") + 1).alias("line_no"), "text")

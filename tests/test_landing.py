@@ -54,6 +54,25 @@ def test_line_numbers_over_many_blocks(spark, tmp_path, end):
     assert got == list(enumerate(texts, 1))
 
 
+def test_lists_in_parts(spark, tmp_path):
+    """A list is written by many tasks, and its lines keep its name and their order."""
+    rows = [("one list", i, f"é€ {i}") for i in range(4_000)] + [("other", i, f"row {i}") for i in range(5)]
+    path = str(tmp_path / "lists")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        landing.written_lists(spark.createDataFrame(rows[::-1], "file string, place long, line string").repartition(7), "head", path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "lists").glob("file=one*/part-*"))) > 1
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = sorted(tuple(r) for r in landing.part_lines(spark, path).collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == sorted([("one list", 1, "head"), ("other", 1, "head"), *((f, i + 2, line) for f, i, line in rows)])
+
+
 def test_reasons_of_files(spark, tmp_path):
     path = release(tmp_path, operate=(HEAD + "\r\n" + line(name="x\x81y") + "\r\n").encode("latin-1"), operating=[line(key="7") + ",extra", "short"], status=b"\r\n" + line(key="8").encode())
     found = [x[0] for x in reasons(spark, path)]
