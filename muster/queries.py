@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muster.adapters import SPEC, Panel, table
-from muster.contracts import RELEASE
+from muster.contracts import ATTEMPT_KEYS, RELEASE
 from muster.functions.expr import normal_as_of_date
 from muster.functions.shared import fresh_path
 from muster.operators import metrics, panel, publish, scan, validation
@@ -427,12 +427,29 @@ def capture_status(p: Panel) -> DataFrame:
     return publish.capture_status(metrics.capture_runs(p.attempts()), p.promoted)
 
 
+def attempt_bodies(attempts: DataFrame) -> DataFrame:
+    """Attempts as JSON documents (value), each with the exact keys of its own form; null values are written."""
+    value = F.lit(None).cast("string")
+    for name, own in ATTEMPT_KEYS.items():
+        body = F.struct(*(F.col("raw_status").alias(k) if k == "status" else F.col(k) for k in sorted(own)))
+        value = F.when(F.col("attempt_shape") == name, F.to_json(body, {"ignoreNullFields": "false"})).otherwise(value)
+    return attempts.select(F.coalesce(value, F.raise_error(F.lit("an attempt of no known form")).cast("string")).alias("value"))
+
+
+@query("""SELECT source_schema_version AS schema_version, attempt_shape, attempt_id, raw_status, as_of_date, CASE WHEN attempt_shape <> 'admission_v1' THEN release_revision END AS release_revision,
+  CASE WHEN attempt_shape <> 'admission_v1' THEN revision_fingerprint END AS revision_fingerprint, CASE WHEN attempt_shape <> 'store_v1' THEN reason_count END AS reason_count,
+  CASE WHEN attempt_shape = 'store_v1' THEN event_id % 2 = 0 END AS recovered, strftime(t0, '%Y-%m-%d %H:%M:%S.%g') AS started_at_utc, strftime(t1, '%Y-%m-%d %H:%M:%S.%g') AS ended_at_utc FROM attempts""")
+def attempt_forms(p: Panel) -> DataFrame:
+    """Every attempt written as a JSON document of its own form, and all of them read back as rows of one form."""
+    path = fresh_path(p.spark, "attempts")
+    attempt_bodies(p.attempts()).write.text(path)
+    return landing.attempts(p.spark.read.text(path))
+
+
 @query("""SELECT attempt_id, attempt_shape, raw_status, source_schema_version AS schema_version FROM attempts WHERE event_id % 5 >= 2""")
 def attempt_documents(p: Panel) -> DataFrame:
-    """Attempts of the second form written as JSON documents and read back."""
-    rows = p.attempts().where("attempt_shape = 'v2'")
-    body = F.struct("schema_version", "attempt_id", "started_at_utc", "ended_at_utc", F.col("raw_status").alias("status"), *RELEASE, "reason_count")
-    found = landing.attempts(rows.select(F.to_json(body, {"ignoreNullFields": "false"}).alias("value")))
+    """Those of attempt_forms that have the second form."""
+    found = attempt_forms(p).where("attempt_shape = 'v2'")
     return found.select("attempt_id", "attempt_shape", "raw_status", "schema_version")
 
 

@@ -139,6 +139,23 @@ def test_attempt_documents(spark, tmp_path):
         landing.read_attempts(spark, str(tmp_path)).collect()
 
 
+def test_each_attempt_is_written_in_its_own_form(spark):
+    from muster.contracts import ATTEMPT_KEYS, ATTEMPTS
+    from muster.queries import attempt_bodies
+
+    rows = [
+        (1, "admission_v1", "a", "rejected", "2020-01-15", None, None, 3, None, None, None),
+        (1, "store_v1", "b", "accepted", None, 1, "f", None, False, None, None),
+        (2, "v2", "c", "accepted", "2020-01-15", 1, "f", 0, None, None, "2020-01-15T00:00:09Z"),
+    ]
+    bodies = attempt_bodies(spark.createDataFrame(rows, ATTEMPTS))
+    keys = [set(json.loads(r.value)) for r in bodies.collect()]
+    assert keys == [set(ATTEMPT_KEYS[r[1]]) for r in rows]
+    assert sorted(map(tuple, landing.attempts(bodies).collect()), key=lambda r: r[2]) == rows
+    with pytest.raises(Exception, match="no known form"):
+        attempt_bodies(spark.createDataFrame([(1, None, *rows[0][2:])], ATTEMPTS)).collect()
+
+
 def test_classifications(spark, tmp_path):
     row = lambda k, c="eligible": json.dumps({"registration_number": k, "classification": c, "classification_version": "v"})
     path = tmp_path / "c.json"
