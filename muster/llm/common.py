@@ -93,7 +93,8 @@ def powers(base: int, n: int) -> np.ndarray:
 _POWERS: dict[int, np.ndarray] = {}
 
 
-def _power(base: int, n: int) -> np.ndarray:
+def power(base: int, n: int) -> np.ndarray:
+    """powers(), remembered up to a bounded length."""
     if base not in _POWERS or len(_POWERS[base]) < n:
         if n > 1 << 22:
             return powers(base, n)
@@ -118,6 +119,6 @@ def words(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     closes[cuts - 1] = first[cuts - 1]
     start, end = np.flatnonzero(opens), np.flatnonzero(closes) + 1
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * _power(BASE, n), out=total[1:])
-    value = (total[end] - total[start]) * _power(BASE_INVERSE, n)[start]
+    np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * power(BASE, n), out=total[1:])
+    value = (total[end] - total[start]) * power(BASE_INVERSE, n)[start]
     return start, end, mixed(value ^ (end - start).astype(np.uint64)), np.searchsorted(start, bounds)

@@ -74,3 +74,43 @@ def test_empty_table_and_texts(spark):
     rows = [(1, text, "x", "y"), (2, f"head {text} tail", "x", "y"), (3, None, "x", "y"), (4, text, "x", "y")]
     got = substring_dedup.dedup(spark.createDataFrame(rows, SCHEMA), texts=True)
     assert {r.doc_id: r.kept_text for r in got.collect()} == {1: text, 2: "head tail", 3: "", 4: ""}
+
+
+def test_texts_under_one_id_are_told_apart(spark):
+    a, b, c, d = ([f"{x}{i}" for i in range(n)] for x, n in (("a", 80), ("b", 80), ("c", 60), ("d", 90)))
+    rows = [(i, " ".join(w), "x", "y") for i, w in ((1, a), (2, b), (5, a + c), (5, d + b), (5, a + c), (6, c), (6, d[5:] + c))]
+    assert found(spark, rows) == brute(rows, 50)
+
+
+def test_spans_cover_each_window_once():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    bounds = np.array([0, 0, 30, 79, 400, 1000])
+    hashes = rng.integers(1, 4, 1000).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    low, high, *_ = substring_dedup.spans_of(hashes, bounds, 50, substring_dedup.ROUNDS)
+    got = [p for a, b in zip(low, high, strict=True) for p in range(a, b + 1)]
+    assert got == [p for a, b in zip(bounds[:-1], bounds[1:], strict=True) for p in range(a, b - 49)]
+
+
+def test_a_window_has_one_anchor_wherever_it_is():
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    for letters in (2, 3, 500):
+        draw = lambda n: rng.integers(1, letters + 1, n).astype(np.uint64) * np.uint64(0xD1342543DE82EF95)  # noqa: B023, E731
+        for _ in range(150):
+            window = draw(50)
+            if rng.random() < 0.3:
+                window[: rng.integers(1, 50)] = window[0]
+            names = set()
+            for _ in range(4):
+                left, right = draw(rng.integers(0, 40)), draw(rng.integers(0, 40))
+                if rng.random() < 0.5:
+                    left[-rng.integers(0, 20) :], right[: rng.integers(0, 20)] = window[0], window[-1]
+                text = np.concatenate([left, window, right])
+                low, high, name, *_ = substring_dedup.spans_of(text, np.array([0, len(text)]), 50, substring_dedup.ROUNDS)
+                at = int(np.searchsorted(low, len(left), "right")) - 1
+                assert low[at] <= len(left) <= high[at]
+                names.add(int(name[at]))
+            assert len(names) == 1
