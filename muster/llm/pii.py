@@ -2,19 +2,26 @@
 
 Detected are mail addresses, telephone, card and social-security numbers, account numbers (IBAN), IP addresses, access
 keys, passwords and tokens after their names, and persons after a form of address. An entity is its type and its
-canonical value (digits of a number, lower case of an address, a name without its form of address). Its surrogate
-follows from a keyed hash (HMAC-SHA-256) of both, so one entity has one surrogate in all texts, and keeps the form:
-separators, lengths, letter case, script, country codes, check digits, private or public address, gender of a name.
+canonical value: the digits of a number, an address in lower case, and each word of a person's name by itself, whatever
+form of address it had. So "Mrs Anna Berg", "Dr Anna Berg", "Anna Berg" and "Ms Berg" get the same words. A surrogate
+follows from a keyed hash (HMAC-SHA-256) of type and value, so an entity has one surrogate in all texts, and keeps the
+form: separators, lengths, letter case, script, country codes, check digits, private or public address, gender of a given
+name (from the form of address; for Cyrillic and Greek names from their ending). Where texts give a word several genders,
+one is settled for all: female, else male. Names in scripts without a list of syllables get letters of the same block.
 
 Collision checks: over all distinct entities, no two get the same surrogate and none gets a value that occurs as a
 real entity. Whoever collides draws anew (a counter in the hash), until nothing collides. After GROWS draws the free
 part of a surrogate grows with each draw: a name by a syllable, a mail address or secret by a letter; a private address
 leaves its block, a telephone number its country code. Only numbers of fixed length (telephone, card and social-security
-numbers, IBAN, IP addresses) then have an end, that of their form. Only these few exceptions
-are handed to the pass that rewrites: broadcast up to BROADCAST of them, joined by document beyond.
+numbers, IBAN, IP addresses) then have an end, that of their form; after DISTINCT draws one may take another real value,
+as long as surrogates differ. Only words and values that drew anew, or have a gender settled, are handed to the pass that
+rewrites: broadcast up to BROADCAST of them, joined by text beyond.
 
+A secret without letters and digits is a mask (`********`) and stays. A name is found after a form of address, and in the
+same text wherever it (or its last word) occurs again; a name that never has a form of address in its text stays.
 Null text stays null and empty text empty; texts without entities come back unchanged. Long texts are read whole.
-Repeated rows come back as often as they went in. Columns of the input stay; the text column is replaced.
+Repeated rows come back as often as they went in. Columns of the input stay, whatever they are called; the text column is
+replaced.
 """
 
 from __future__ import annotations
@@ -24,19 +31,22 @@ import hmac
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from muster.llm.common import written
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+
+from muster.llm.common import chunks, written
 
 #: Most exceptions that are broadcast.
 BROADCAST = 20_000
 #: Most draws for one entity before the check gives up with an error.
 DRAWS = 60
-#: Draws after which the free part of a surrogate grows.
-GROWS = 3
+#: Draws after which the free part of a surrogate grows, and after which one of fixed length may be another's real value.
+GROWS, DISTINCT = 3, 40
 #: Longest local part of a mail address and longest secret that are detected.
 LONGEST = {"email": 64, "secret": 200}
 
@@ -75,7 +85,7 @@ Found = tuple[int, int, str, str, str]  # start, end, type, canonical value, gen
 
 
 def detect(text: str) -> list[Found]:
-    """The entities of a text in order; where two overlap, the earlier rule's stands."""
+    """The entities of a text in order, names word by word; where two overlap, the earlier rule's stands."""
     out: list[Found] = []
 
     def take(start: int, end: int, kind: str, value: str, gender: str = "") -> None:
@@ -84,7 +94,7 @@ def detect(text: str) -> list[Found]:
 
     if _WORDS.search(text):
         for m in SECRET.finditer(text):
-            if any(c.isdigit() for c in m[3]) or len(m[3]) >= 12:
+            if any(map(str.isalnum, m[3])) and (any(map(str.isdigit, m[3])) or len(m[3]) >= 12):
                 take(m.start(3), m.end(3), "secret", m[3])
     if _MARK.search(text):
         if "@" in text:
@@ -96,20 +106,36 @@ def detect(text: str) -> list[Found]:
         for kind, rule in (("ip", IP), ("iban", IBAN), ("ssn", SSN), ("card", CARD), ("phone", PHONE)):
             for m in rule.finditer(text):
                 take(m.start(), m.end(), kind, re.sub(r"[^A-Z0-9.]" if kind in ("ip", "iban") else r"\D", "", m[0]))
-    names: dict[str, str] = {}
-    for m in PERSON.finditer(text):
-        gender = "m" if m[1] in MALE else "f" if m[1] in FEMALE else "n"
-        value = " ".join(m[3].split())
-        names.setdefault(value, gender)
-        take(m.start(3), m.end(3), "person", _person(value, gender), gender)
-    for name, gender in names.items():  # the same name elsewhere in the text, without a form of address
-        for m in re.finditer(rf"(?<!\w){re.escape(name)}(?!\w)", text):
-            take(m.start(), m.end(), "person", _person(name, gender), gender)
+    titled = [(m[1], m.start(3), re.sub(r"['’]s$", "", m[3])) for m in PERSON.finditer(text)]
+    if titled:
+        genders: dict[str, str] = {}  # of given names
+        again: dict[str, None] = {}
+        for title, _, name in titled:
+            for word in name.split()[:-1]:
+                genders[word] = min(genders.get(word, "n"), "m" if title in MALE else "f" if title in FEMALE else "n")
+            again[" ".join(name.split())] = None
+        again |= dict.fromkeys(name.split()[-1] for name in [*again])
+
+        def words(start: int, name: str) -> None:
+            for w in re.finditer(r"\S+", name):
+                take(start + w.start(), start + w.end(), "name", w[0].casefold(), _gender(w[0], genders.get(w[0], "n")))
+
+        for _, start, name in titled:
+            words(start, name)
+        for name in again:  # the same name elsewhere in the text, without a form of address
+            for m in re.finditer(rf"(?<![\w\-]){re.escape(name)}(?![\w\-])", text):
+                words(m.start(), m[0])
     return sorted(out)
 
 
-def _person(name: str, gender: str) -> str:
-    return f"{gender}:{name.casefold()}"
+def _gender(word: str, given: str) -> str:
+    """That of the form of address for a given name; by the ending where the script has gendered endings."""
+    script, last = _script(word), word[-1:].casefold()
+    if script == "CYRILLIC":
+        return "f" if last in "ая" else "m"
+    if script == "GREEK":
+        return "m" if last == "σ" else "f"
+    return given
 
 
 class Draw:
@@ -131,11 +157,29 @@ class Draw:
         return choices[self.below(len(choices))]
 
 
+@lru_cache(4096)
+def _letters(block: int, lower: bool, upper: bool) -> list[str]:
+    """The letters of this case among 256 characters; a case that isn't there has the others."""
+    every = [c for c in map(chr, range(block * 256, block * 256 + 256)) if c.isalpha()]
+    return [c for c in every if (c.islower(), c.isupper()) == (lower, upper)] or every
+
+
 def _alike(draw: Draw, value: str) -> str:
-    """Each letter becomes a letter of its case and each digit a digit; a hexadecimal value stays one."""
+    """Each letter becomes a letter of its case and block and each digit a digit; a hexadecimal value stays one."""
     plain = [c for c in value if c.isalnum()]
     hexadecimal = any(c.isdigit() for c in plain) and all(c in "0123456789abcdef" for c in plain)
-    pick = lambda c: draw.of("0123456789") if c.isdigit() else draw.of("abcdef" if hexadecimal else "abcdefghijklmnopqrstuvwxyz") if c.islower() else draw.of("ABCDEFGHIJKLMNOPQRSTUVWXYZ") if c.isupper() else c
+
+    def pick(c: str) -> str:
+        if c.isdigit():
+            return draw.of("0123456789")
+        if not c.isalpha():
+            return c
+        if hexadecimal and c.islower():
+            return draw.of("abcdef")
+        if ord(c) < 0x250:
+            return draw.of("ABCDEFGHIJKLMNOPQRSTUVWXYZ" if c.isupper() else "abcdefghijklmnopqrstuvwxyz")
+        return draw.of(_letters(ord(c) >> 8, c.islower(), c.isupper()))
+
     return "".join(map(pick, value))
 
 
@@ -150,11 +194,10 @@ def _luhn(digits: str) -> int:
 
 def _script(name: str) -> str:
     letter = next((c for c in name if c.isalpha()), "a")
-    script = unicodedata.name(letter, "LATIN").split()[0]
-    return script if script in STEMS else "LATIN"
+    return unicodedata.name(letter, "LATIN").split()[0].split("-")[0]
 
 
-def surrogate(key: bytes, kind: str, value: str, draw: int = 0) -> str:
+def surrogate(key: bytes, kind: str, value: str, draw: int = 0, gender: str = "n") -> str:
     """The canonical value that stands for the entity; put into the text's form by dressed()."""
     d = Draw(key, kind, value, draw)
     more = max(0, draw - GROWS)
@@ -184,11 +227,11 @@ def surrogate(key: bytes, kind: str, value: str, draw: int = 0) -> str:
         return f"{value[:2]}{98 - int(number) % 97:02d}{body}"
     if kind == "access_key":
         return value[:4] + "".join(d.of("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in value[4:])
-    if kind == "person":
-        gender, _, name = value.partition(":")
-        script = _script(name)
-        part = lambda: d.of(STEMS[script]) + "".join(d.of(MIDDLES[script]) for _ in range(1 + more)) + d.of(ENDINGS[script][gender or "n"])
-        return f"{gender}:" + " ".join(part().casefold() for _ in name.split())
+    if kind == "name":
+        script = _script(value)
+        if script not in STEMS:
+            return _alike(d, value + value[-1] * more).casefold()
+        return (d.of(STEMS[script]) + "".join(d.of(MIDDLES[script]) for _ in range(1 + more)) + d.of(ENDINGS[script][gender])).casefold()
     return _grown(d, kind, _alike(d, value), more)
 
 
@@ -197,21 +240,25 @@ def dressed(kind: str, original: str, value: str) -> str:
     if kind in ("phone", "card", "ssn", "iban"):
         rest = iter(value)
         return "".join(next(rest, "") if c.isalnum() else c for c in original)
-    if kind == "person":
-        words = value.partition(":")[2].split(" ")
-        if original.isupper() and len(original) > 1:
-            return " ".join(words).upper()
-        return " ".join(w[:1].upper() + w[1:] for w in words)
+    if kind == "name":
+        if len(original) > 1 and original.isupper():
+            return value.upper()
+        value = re.sub(r"σ$", "ς", value)
+        return value[:1].upper() + value[1:] if original[:1].isupper() else value
     if kind == "email":
         return value.upper() if original.isupper() else value
     return value
 
 
-def rewritten(text: str, key: bytes, exceptions: dict[tuple[str, str], int]) -> tuple[str, list[tuple[str, int, int]]]:
+Known = dict[tuple[str, str], tuple[int, str]]  # draw and gender by type and value
+
+
+def rewritten(text: str, key: bytes, exceptions: Known) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with surrogates, and type, start and length of each in the new text."""
     out, at, spans, size = [], 0, [], 0
-    for start, end, kind, value, _ in detect(text):
-        new = dressed(kind, text[start:end], surrogate(key, kind, value, exceptions.get((kind, value), 0)))
+    for start, end, kind, value, gender in detect(text):
+        draw, gender = exceptions.get((kind, value), (0, gender))
+        new = dressed(kind, text[start:end], surrogate(key, kind, value, draw, gender or "n"))
         out += [text[at:start], new]
         size += start - at
         spans.append((kind, size, len(new)))
@@ -221,69 +268,79 @@ def rewritten(text: str, key: bytes, exceptions: dict[tuple[str, str], int]) ->
 
 
 def entities(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(type, value) of every entity of the texts, as often as rows hold it."""
+    """(row, type, value, gender) of the distinct entities of each text; row is a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, kinds, values = [], [], []
-            for i, t in enumerate(batch.column(1).to_pylist()):
-                for kind, value in sorted({(x[2], x[3]) for x in detect(t)}) if t else ():
-                    row.append(i)
-                    kinds.append(kind)
-                    values.append(value)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(kinds, pa.string()), pa.array(values, pa.string())], ["row", "type", "value"])
+        for batch in chunks(batches, "text", 1 << 20):
+            row, found = [], []
+            for i, t in enumerate(batch.column(1)):
+                own = sorted({x[2:] for x in detect(t.as_py())}) if t.is_valid else ()
+                row += [i] * len(own)
+                found += own
+            columns = list(zip(*found, strict=True)) if found else [()] * 3
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), *(pa.array(c, pa.string()) for c in columns)], ["row", "type", "value", "gender"])
 
-    return docs.select(F.xxhash64(text).alias("row"), F.col(text).alias("text")).mapInArrow(run, "row bigint, type string, value string")
+    return docs.select(F.xxhash64(text).alias("row"), F.col(text).alias("text")).mapInArrow(run, "row bigint, type string, value string, gender string")
 
 
 def assigned(found: DataFrame, key: bytes) -> DataFrame:
-    """(type, value, draw, surrogate) of every distinct entity, without collisions."""
+    """(type, value, gender, settled, draw, surrogate) of every distinct entity, without collisions; `settled` tells that
+    texts gave it several genders."""
 
     @F.arrow_udf("string")
-    def drawn(kind: pa.Array, value: pa.Array, draw: pa.Array) -> pa.Array:
-        return pa.array([surrogate(key, *x) for x in zip(kind.to_pylist(), value.to_pylist(), draw.to_pylist(), strict=True)], pa.string())
+    def drawn(kind: pa.Array, value: pa.Array, draw: pa.Array, gender: pa.Array) -> pa.Array:
+        return pa.array([surrogate(key, k, v, d, g or "n") for k, v, d, g in zip(*(x.to_pylist() for x in (kind, value, draw, gender)), strict=True)], pa.string())
 
-    real = written(found.select("type", "value").distinct(), "pii-entities")
-    settled = written(real.withColumn("draw", F.lit(0)).withColumn("surrogate", drawn("type", "value", "draw")), "pii-draw")
+    new = drawn("type", "value", "draw", "gender")
+    real = written(found.groupBy("type", "value").agg(F.min("gender").alias("gender"), (F.min("gender") < F.max("gender")).alias("settled")), "pii-entities")
+    now = written(real.withColumn("draw", F.lit(0)).withColumn("surrogate", new), "pii-draw")
     for _ in range(DRAWS):
         taken = real.select("type", F.col("value").alias("surrogate"), F.lit(True).alias("is_real"))
-        first = settled.groupBy("type", "surrogate").agg(F.min(F.struct("draw", "value")).alias("first"), F.count("*").alias("n"))
+        first = now.groupBy("type", "surrogate").agg(F.min(F.struct("draw", "value")).alias("first"), F.count("*").alias("n"))
         bad = first.join(taken, ["type", "surrogate"], "left").where("n > 1 or is_real")
-        if bad.isEmpty():
-            return settled
-        clash = settled.join(bad, ["type", "surrogate"], "left")
-        again = F.coalesce(F.col("is_real"), F.lit(False)) | (F.col("n").isNotNull() & (F.col("first.value") != F.col("value")))
-        moved = clash.select("type", "value", (F.col("draw") + again.cast("int")).alias("draw"), F.when(~again, F.col("surrogate")).alias("old"))
-        settled = written(moved.withColumn("surrogate", F.when(F.col("old").isNotNull(), F.col("old")).otherwise(drawn("type", "value", "draw"))).drop("old"), "pii-draw")
+        clash = now.join(bad, ["type", "surrogate"], "left")
+        other = F.coalesce("is_real", F.lit(False)) & ((F.col("draw") < DISTINCT) | (F.col("surrogate") == F.col("value")))
+        again = other | (F.col("n").isNotNull() & (F.col("first.value") != F.col("value")))
+        moved = written(clash.where(again).select("type", "value", "gender", "settled", (F.col("draw") + 1).alias("draw")).withColumn("surrogate", new), "pii-moved")
+        if moved.isEmpty():
+            return now
+        now = written(now.join(moved.select("type", "value"), ["type", "value"], "left_anti").unionByName(moved), "pii-draw")
     raise RuntimeError(f"surrogates still collide after {DRAWS} draws")
 
 
 def pseudonymised(docs: DataFrame, key: bytes, text: str = "text", spans: str | None = None, bound: int = BROADCAST) -> DataFrame:
     """The rows with surrogates in the text; `spans` names a column for type, start and length of each."""
     found = written(entities(docs, text), "pii-found")
-    settled = assigned(found, key)
-    odd = settled.where("draw > 0").select("type", "value", "draw")
+    odd = assigned(found, key).where("draw > 0 or settled").select("type", "value", "draw", "gender")
     few = odd.limit(bound + 1).collect()
-    shape = "struct<text:string,spans:array<struct<type:string,start:int,length:int>>>"
-    kind = pa.struct([("text", pa.string()), ("spans", pa.list_(pa.struct([("type", pa.string()), ("start", pa.int32()), ("length", pa.int32())])))])
-
-    def of(texts: pa.Array, exceptions) -> pa.Array:
-        out = []
-        for t, known in zip(texts.to_pylist(), exceptions, strict=True):
-            new, marks = (t, []) if not t else rewritten(t, key, known)
-            out.append({"text": new, "spans": [{"type": a, "start": b, "length": c} for a, b, c in marks]})
-        return pa.array(out, kind)
-
-    if len(few) <= bound:
-        shared = {(r["type"], r["value"]): r["draw"] for r in few}
-        rewrite = F.arrow_udf(lambda texts: of(texts, [shared] * len(texts)), shape)
-        both = docs.withColumn("__new", rewrite(F.col(text)))
-    else:
-        own = found.join(odd, ["type", "value"]).groupBy("row").agg(F.collect_set(F.struct("type", "value", "draw")).alias("__odd"))
-        given = lambda column: [{(x["type"], x["value"]): x["draw"] for x in v or ()} for v in column.to_pylist()]
-        rewrite = F.arrow_udf(lambda texts, odds: of(texts, given(odds)), shape)
-        both = docs.withColumn("row__", F.xxhash64(text)).join(own.withColumnRenamed("row", "row__"), "row__", "left").withColumn("__new", rewrite(F.col(text), F.col("__odd"))).drop("row__", "__odd")
-    out = both.withColumn(text, F.col("__new.text"))
-    if spans:
-        out = out.withColumn(spans, F.col("__new.spans"))
-    return out.drop("__new")
+    columns = docs.columns
+    place = columns.index(text)
+    kind = pa.list_(pa.struct([("type", pa.string()), ("start", pa.int32()), ("length", pa.int32())]))
+    shared = {(r["type"], r["value"]): (r["draw"], r["gender"]) for r in few} if len(few) <= bound else None
+    asked, given = docs, None
+    if shared is None:
+        given = next(n for n in ("odd" + "_" * i for i in range(len(columns) + 2)) if n not in columns and n + "row" not in columns)
+        own = found.select("row", "type", "value").join(odd, ["type", "value"]).groupBy("row").agg(F.collect_set(F.struct("type", "value", "draw", "gender")).alias(given))
+        asked = docs.withColumn(given + "row", F.xxhash64(text)).join(own.withColumnRenamed("row", given + "row"), given + "row", "left").select(*columns, given)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, text, 1 << 20):
+            new, marks = [], []
+            for i, t in enumerate(batch.column(place)):
+                known = shared if shared is not None else {(x["type"], x["value"]): (x["draw"], x["gender"]) for x in batch.column(len(columns))[i].as_py() or ()}
+                plain = t.as_py()
+                changed, own = rewritten(plain, key, known) if plain else (plain, [])
+                new.append(changed)
+                marks.append([{"type": a, "start": b, "length": c} for a, b, c in own])
+            arrays = [batch.column(i) for i in range(len(columns))]
+            arrays[place] = pa.array(new, pa.string())
+            if spans and spans in columns:
+                arrays[columns.index(spans)] = pa.array(marks, kind)
+            elif spans:
+                arrays.append(pa.array(marks, kind))
+            yield pa.RecordBatch.from_arrays(arrays, names=[f.name for f in schema])
+
+    shape = ArrayType(StructType([StructField("type", StringType()), StructField("start", IntegerType()), StructField("length", IntegerType())]))
+    fields = [StructField(f.name, StringType()) if f.name == text else StructField(f.name, shape) if f.name == spans else f for f in docs.schema]
+    schema = StructType(fields + ([StructField(spans, shape)] if spans and spans not in columns else []))
+    return asked.mapInArrow(run, schema)
