@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from muster.llm.common import written
+from muster.llm.common import chunks, written
 
 #: Features, longest n-gram, and the sample's bounds.
 BUCKETS, GRAMS = 1 << 14, 3
@@ -132,7 +132,7 @@ def train(docs: DataFrame, allowed: Column, key: str = "doc_id", text: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency, n = np.zeros(BUCKETS, np.int64), 0
         names = ["key", "lang", "at", "n"]
-        for batch in batches:
+        for batch in chunks(batches, "text"):
             rows = []
             for k, t, la, chosen in zip(*(batch.column(c).to_pylist() for c in ("key", "text", "lang", "chosen")), strict=True):
                 found = counts(t)
@@ -178,11 +178,9 @@ def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "te
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                got = [model.predict(t) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())], ["key", "lang_pred", "score"])
+        for batch in chunks(batches, "text", 1 << 20):
+            got = [model.predict(t.as_py()) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())], ["key", "lang_pred", "score"])
 
     found = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, lang_pred string, score double")
     return found.withColumnRenamed("key", key)

@@ -4,11 +4,11 @@ Features: densities of a given and of a learned lexicon (words and word beginnin
 capitals, punctuation, and obfuscation (digits or signs inside words, spelled-out letters, hits after undoing them).
 
 Training takes a bounded sample of the labelled rows (SAMPLE rows, those with the smallest hash of their id, one per
-group of near copies). Half of it teaches the lexicon: distributed counts, per class, of the texts that hold a word or a
+group of near copies, that with the smallest id). The same rows give the same scores however they are partitioned. Half of it teaches the lexicon: distributed counts, per class, of the texts that hold a word or a
 word's beginning. The other half gives features, of which 70 % train the trees and 30 % the calibration; so neither
 the trees nor the calibration see features that were fitted to their own rows. Scoring reads every whole text.
 
-Null and empty texts get the score of all-zero features. Labels that are null are not used; a document labelled twice
+Null and empty texts get the score of all-zero features; repeated rows are scored alike and kept or dropped together. Labels that are null are not used; a document labelled twice
 counts as toxic if one label says so. With no labelled rows of one class, every score is the share of the other
 class's complement (0, 0.5 without any rows, or 1). Only the key and the text are read, so other columns don't matter.
 """
@@ -73,7 +73,7 @@ def character_kinds() -> list[int]:
 #: What is kept of a token: sums over a text's tokens give its features.
 (WORDS, INSULT, LEARNED, WEIGHT, YOU, LETTER, CAPITAL, CAPITAL_WORD, PUNCTUATION, EXCLAMATION, SIGN, DIGIT, BROKEN_WORD, BROKEN_HIT, SINGLE, LENGTH) = range(16)
 #: Most tokens that a worker remembers; beyond it the memory starts anew. Longer tokens are worked out each time.
-REMEMBERED, LONGEST = 400_000, 64
+REMEMBERED, LONGEST = 100_000, 64
 
 
 class Tokens:
@@ -256,7 +256,7 @@ def learned(sample: DataFrame) -> dict[str, float]:
 def _featured(terms: dict[str, float], keep: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Tokens(terms)
-        for batch in batches:
+        for batch in chunks(batches, "text"):
             rows = [own.features(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(rows, pa.list_(pa.float64()))], [*keep, "x"])
 
@@ -278,7 +278,8 @@ def sampled(docs: DataFrame, labels: DataFrame, allowed: Column | None, most: in
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "text", "y")), pa.array(np.array(least, np.uint64).astype(np.int64))], ["doc_id", "text", "y", "gram"])
 
     marked = texts.select("doc_id", "text", "y").mapInArrow(sketched, "doc_id bigint, text string, y int, gram bigint")
-    return written(marked.dropDuplicates(["gram"]).drop("gram").repartition(SPREAD), "toxic-sample")
+    one = marked.groupBy("gram").agg(F.min(F.struct("doc_id", "text", "y")).alias("row")).select("row.*")
+    return written(one.repartition(SPREAD, "doc_id"), "toxic-sample")
 
 
 def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, most: int = SAMPLE) -> Model:
@@ -289,7 +290,7 @@ def train(docs: DataFrame, labels: DataFrame, allowed: Column | None = None, mos
     rows = sample.where(half >= 5).mapInArrow(_featured(terms, ["doc_id", "y"]), "doc_id bigint, y int, x array<double>").collect()
     if len(rows) < 40:
         rows += sample.where(half < 5).mapInArrow(_featured(terms, ["doc_id", "y"]), "doc_id bigint, y int, x array<double>").collect()
-    rows.sort(key=lambda r: (hash_of(r["doc_id"]), r["doc_id"]))
+    rows.sort(key=lambda r: (hash_of(r["doc_id"]), r["doc_id"], r["y"], r["x"]))
     y = np.array([r["y"] for r in rows], float)
     if not len(y) or y.min() == y.max():
         return Model(terms, steps=(np.array([0.0]), np.array([float(y[0]) if len(y) else 0.5])))
@@ -309,17 +310,21 @@ def hash_of(key: int) -> int:
     return (key * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 20
 
 
+def scored(model: Model, batches: Iterator[pa.RecordBatch], text: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Pieces of the batches, bounded in bytes of text, with the score of each row."""
+    own = Tokens(model.terms)
+    for batch in chunks(batches, text, 1 << 20):
+        x = np.array([own.features(t.as_py()) for t in batch.column(text)], float).reshape(-1, len(FEATURES))
+        yield batch, model.score(x)
+
+
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, score) of every row."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Tokens(model.terms)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                x = np.array([own.features(t) for t in part.column(1).to_pylist()], float).reshape(-1, len(FEATURES))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(model.score(x))], ["key", "score"])
+        for batch, found in scored(model, batches, "text"):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], ["key", "score"])
 
     return docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, score double").select(F.col("key").alias(key), "score")
 
@@ -338,11 +343,9 @@ def predictions(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> D
 def kept(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """The documents whose score is below the threshold, all columns as they were."""
     model = train(docs, labels, ~held_out(F.col("doc_id"), 4, 2))
-    kind = pa.float64()
 
-    def run(column: pa.Array) -> pa.Array:
-        own = Tokens(model.terms)
-        x = np.array([own.features(t) for t in column.to_pylist()], float).reshape(-1, len(FEATURES))
-        return pa.array(model.score(x), kind)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, found in scored(model, batches, "text"):
+            yield batch.filter(pa.array(found < threshold))
 
-    return docs.where(F.arrow_udf(run, "double")(F.col("text")) < threshold)
+    return docs.mapInArrow(run, docs.schema)

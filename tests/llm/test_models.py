@@ -123,3 +123,16 @@ def test_isotonic_equals_the_pooled_means():
     xs, ys = toxicity.isotonic(np.array([1.0, 2.0, 3.0, 4.0]), np.array([0.0, 1.0, 0.0, 1.0]))
     assert np.interp([1, 2, 3, 4], xs, ys).tolist() == [0.0, 0.5, 0.5, 1.0]
     assert (np.diff(ys) >= 0).all()
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    docs = docs.union(docs.where("doc_id < 20"))  # repeated rows
+    one = sorted((r.doc_id, r.score) for r in toxicity.predictions(docs, labels).collect())
+    other = sorted((r.doc_id, r.score) for r in toxicity.predictions(docs.repartition(7, "source").sortWithinPartitions("text"), labels.repartition(3)).collect())
+    assert one == other
+    again = {}
+    for i, score in one:
+        assert again.setdefault(i, score) == score
+    kept = toxicity.kept(docs, labels)
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i, score in one if score < 0.3]
