@@ -232,12 +232,12 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
     base = docs.select(F.col(key).cast("bigint").alias("key"), F.xxhash64(text).alias("tid"), F.col(text).alias("text"))
     rows = written(parsed(base, window, rounds), "parsed")
     held = rows.where("key is not null").select("key", "tid", F.explode(F.arrays_zip("low", "high", "name", "a", "b")).alias("x")).select("key", "tid", "x.*")
-    shared = held.groupBy("name").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").select("name")
-    spans = written(held.join(shared, "name"), "spans")
-    owners = spans.groupBy("name", "a", "b").agg(F.min("key").alias("owner"))
-    ends = owners.groupBy("name").agg(F.count("*").alias("kinds"))
-    known = owners.join(ends, "name")
-    decided = spans.join(known, ["name", "a", "b"]).where("key > owner or kinds > 1").select("key", "tid", F.struct("low", "high", (F.col("key") <= F.col("owner")).alias("open")).alias("span"))
+    # groupings are written before they are joined: a join of plain shuffles is one whose hot keys adaptive execution splits
+    kinds = (F.min("a") < F.max("a")) | (F.min("b") < F.max("b"))
+    shared = held.groupBy("name").agg(F.min("key").alias("first"), F.max("key").alias("last"), kinds.alias("ends")).where("first < last").select("name", "ends")
+    spans = written(held.join(written(shared, "shared"), "name"), "spans")
+    owners = written(spans.groupBy("name", "a", "b").agg(F.min("key").alias("owner")), "owners")
+    decided = spans.join(owners, ["name", "a", "b"]).where("key > owner or ends").select("key", "tid", F.struct("low", "high", (F.col("key") <= F.col("owner")).alias("open")).alias("span"))
     windows = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + F.when(s["open"], F.lit(0)).otherwise(s["high"] - s["low"] + 1))
     lists = decided.groupBy("key", "tid").agg(F.collect_set("span").alias("spans")).withColumn("gone", windows)
     meta = rows.select("key", "tid", "n_words", "sha")
@@ -245,7 +245,7 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
     candidates = written(base.join(lists.where("not whole"), ["key", "tid"]), "candidates")
     opened = written(compared(candidates.where(F.exists("spans", lambda s: s["open"])), window), "windows")
     firsts = opened.groupBy("digest").agg(F.min("key").alias("first"), F.max("key").alias("last")).where("first < last").select("digest", "first")
-    more = opened.join(firsts, "digest").where("key > first").groupBy("key", "tid").agg(F.collect_set(F.struct("low", "high")).alias("more"))
+    more = opened.join(written(firsts, "firsts"), "digest").where("key > first").groupBy("key", "tid").agg(F.collect_set(F.struct("low", "high")).alias("more"))
     found = cleaned(candidates.join(more, ["key", "tid"], "left"), window, texts)
     found = (found if texts else found.drop("kept_text")).dropDuplicates(["key", "tid"])
     out = meta.join(lists.select("key", "tid", "whole"), ["key", "tid"], "left").join(found, ["key", "tid"], "left")
