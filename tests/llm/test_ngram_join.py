@@ -82,11 +82,79 @@ def test_empty_table_and_repeated_rows(spark):
     assert found == [(-1, -1, 0), (1, 1, 1), (1, 1, 1)]
 
 
+def test_two_texts_under_one_id_lose_no_link(spark):
+    rng = random.Random(8)
+    a, b = ([rng.choice([f"w{i}" for i in range(400)]) for _ in range(60)] for _ in range(2))
+    rows = [(5, " ".join(a), "x"), (5, " ".join(b), "y"), (6, " ".join([*a, "z"]), "x"), (7, " ".join([*b, "z"]), "x"), (5, " ".join(a), "x")]
+    found = ngram_join.join(spark.createDataFrame(rows, SCHEMA))
+    assert sorted(map(tuple, found.collect())) == brute(rows)
+    kept = sorted((r.doc_id, r.text) for r in ngram_join.kept(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert kept == sorted([(5, " ".join(a)), (5, " ".join(b))])
+
+
+def test_repeated_rows_and_clashing_columns(spark):
+    schema = "doc_id long, text string, own int, tid string, times int, row string, sid int"
+    rows = [(2, "a b c d e f", 1, "t", 2, "r", 3)] * 5 + [(1, "a b c d e f", 1, "t", 2, "r", 3)] * 3 + [(3, " ", 0, "", 0, "", 0)] * 2
+    docs = spark.createDataFrame(rows, schema)
+    assert sorted(map(tuple, ngram_join.kept(docs).collect())) == [rows[5], rows[8], rows[8]]
+    assert sorted(map(tuple, ngram_join.join(docs).collect())) == [(1, 1, 7)] * 3 + [(2, 1, 7)] * 5 + [(3, 3, 0)] * 2
+
+
+def missed(steps, counts, threshold=0.8, trees=24):
+    out = (1 - threshold**ngram_join.FLOOR) ** (trees - len(counts))
+    for _, d in steps[-1]:
+        out *= 1 - threshold**d
+    return out
+
+
 def test_prefixes_shorten_until_the_recall():
-    lengths = [ngram_join.prefix_length(0.8, 24, 8, r) for r in (0.5, 0.9, 0.99, 0.9999)]
-    assert lengths == sorted(lengths, reverse=True)
-    k = lengths[-1]
-    assert 1 - (1 - 0.8**k) ** 24 >= 0.9999 > 1 - (1 - 0.8 ** (k + 1)) ** 24
+    alone = ngram_join.standing({}, 24, 0.8, 0.9999)
+    assert alone == [[]] and missed(alone, {}) < 1e-4
+    few = {t: [5] for t in range(24)}
+    assert ngram_join.standing(few, 24, 0.8, 0.9999) == [[(t, 4) for t in range(24)]]
+    hot = {t: [60, 50, 40, 30, 10] if t < 4 else [5] for t in range(24)}
+    assert ngram_join.standing(hot, 24, 0.8, 0.9999) == [[(t, 8 if t < 4 else 4) for t in range(24)]]  # the others are enough
+    hot = {t: [3000, 900, 300, 100, 20] for t in range(24)}
+    steps = ngram_join.standing(hot, 24, 0.8, 0.9999)
+    assert [s[0][1] for s in steps] == [8, 8, 7, 5, 4][-len(steps) :] or [s[0][1] for s in steps] == sorted((s[0][1] for s in steps), reverse=True)
+    assert missed(steps, hot) <= 1e-4 < missed(steps[:-1], hot)
+    one = {t: [10**9] * 5 for t in range(24)}
+    assert ngram_join.standing(one, 24, 0.8, 0.9999)[-1] == [(t, 4) for t in range(24)]
+
+
+def test_partners_stand_in_the_same_node():
+    rng = random.Random(4)
+    for _ in range(200):
+        shared = sorted((rng.randint(2, 5000) for _ in range(5)), reverse=True)
+        depth = rng.randint(1, 5)  # of the five nodes, both paths have so many
+        a = {0: shared[:depth] + sorted((rng.randint(1, shared[depth - 1]) for _ in range(5 - depth)), reverse=True)}
+        b = {0: shared[:depth] + sorted((rng.randint(1, shared[depth - 1]) for _ in range(5 - depth)), reverse=True)}
+        for x, y in zip(ngram_join.standing(a, 24, 0.8, 2.0), ngram_join.standing(b, 24, 0.8, 2.0), strict=False):
+            if min(x[0][1], y[0][1]) - ngram_join.FLOOR < depth:
+                assert x == y
+
+
+def test_recall_on_the_documents(spark):
+    """Every true link of the tables, found by listing what documents share an n-gram."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    sets = {r.doc_id: grams(r.text) for r in docs.collect()}
+    holders = defaultdict(list)
+    for i, own in sets.items():
+        for g in own:
+            holders[g].append(i)
+    common = defaultdict(int)
+    for who in holders.values():
+        for x in range(len(who)):
+            for y in range(x):
+                common[who[y], who[x]] += 1
+    links = defaultdict(int)
+    for (x, y), n in common.items():
+        if n >= 0.8 * (len(sets[x]) + len(sets[y]) - n):
+            links[x] += 1
+            links[y] += 1
+    found = {r.doc_id: r.n_links for r in ngram_join.join(docs).collect()}
+    assert sum(found.values()) >= 0.99 * sum(links.values()) > 0
+    assert all(n <= links[i] for i, n in found.items())
 
 
 def test_components_on_paths_and_stars(spark):
