@@ -3,16 +3,22 @@
 Largest inner products are nearest neighbours once every row gets one more component that brings all rows to the same
 length (a query gets 0 there). In that space each row is keyed by its nearest pivot and its distance to it. Rows are
 sorted by that key over the cluster and cut into annuli: blocks of at most BLOCK rows of one pivot and a range of
-distances. A query is at a known distance from the pivot, so by the triangle inequality nothing in an annulus is nearer
-than the gap between that distance and the annulus. Each task takes some annuli and some queries, goes through the
-annuli from the smallest gap on, and stops for a query when no later annulus can hold a score as good as its k-th best.
-Scores are integers, computed exactly; bounds have a margin for rounding, so nothing is lost.
+distances; BLOCKS blocks in a row are a shard. A query is at a known distance from the pivot, so by the triangle
+inequality nothing in an annulus is nearer than the gap between that distance and the annulus.
 
-Pivots are rows of a bounded sample; they only steer the order of work. Blocks and groups of queries have bounded
-sizes; equal vectors, however many, are spread over blocks by their id.
+First pass: each query's k-th best score in a bounded sample bounds its true k-th from below; with it follows the widest
+gap that may hold a better score, and so, for each pivot, the range of distances in which a query still has to look. A
+join by pivot and range sends it to the shards in that range, no others. Second pass: a task takes a shard and some
+queries, goes through the annuli from the smallest gap on, and stops for a query when no later annulus can hold a score
+as good as its k-th best. Scores are integers, computed exactly; bounds have a margin for rounding, so nothing is lost.
+
+Pivots are rows of the sample; they only steer the order of work. Blocks and groups of queries have bounded sizes; equal
+vectors, however many, are spread over blocks by their id.
 
 Null vectors and those with null or non-finite components or of another length than most take no part; zero vectors
-do. Ties go to the smaller id; a row is never its own neighbour. An empty table gives no rows.
+do. Ties go to the smaller id. Of rows with one id, the best score counts, be they repeated or different vectors, asked or
+found: an id is found once per query, and rows with the query's own id are never its neighbours. An empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -21,11 +27,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from muster.llm.common import written
-from muster.llm.vectors import matrix, sample, usable
+from muster.llm.vectors import lists, matrix, sample, usable
 
 #: Pivots and the sample they come from; rows of a block, blocks of a task, queries of a task.
 PIVOTS, SAMPLE, BLOCK, BLOCKS, QUERIES = 64, 8192, 1024, 32, 1024
@@ -53,15 +60,24 @@ def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return whole(q).dot(whole(x).T)
 
 
-def top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-    """Places of the k best scores, ties to the smaller id."""
-    if len(scores) > 4 * k and scores.dtype != object:
-        bound = np.partition(scores, len(scores) - k)[len(scores) - k]
-        at = np.flatnonzero(scores >= bound)
-    else:
-        at = np.arange(len(scores))
-    order = sorted(at.tolist(), key=lambda i: (-scores[i], ids[i]))
-    return np.array(order[:k], np.int64)
+def top(scores: np.ndarray, ids: np.ndarray, k: int, own: int) -> list[tuple[int, int]]:
+    """Score and id of the k best ids but the own one, ties to the smaller id; an id has its best score."""
+    at = np.flatnonzero(ids != own)
+    if len(at) > 4 * k and scores.dtype != object:
+        more = k
+        while True:  # repeated ids may need further rows
+            bound = np.partition(scores[at], len(at) - more)[len(at) - more]
+            some = at[scores[at] >= bound]
+            if more == len(at) or len(np.unique(ids[some])) >= k:
+                at = some
+                break
+            more = min(len(at), 4 * more)
+    best: dict[int, int] = {}
+    for i in sorted(at.tolist(), key=lambda i: (-scores[i], ids[i])):
+        best.setdefault(int(ids[i]), int(scores[i]))
+        if len(best) == k:
+            break
+    return [(score, i) for i, score in best.items()]
 
 
 def search(df: DataFrame, queries: Column, scale: int = 256, key: str = "vec_id", vector: str = "embedding", k: int = 5) -> DataFrame:
@@ -74,7 +90,7 @@ def search(df: DataFrame, queries: Column, scale: int = 256, key: str = "vec_id"
     most = rows.agg(F.max("square")).first()[0]
     if most is None:
         return spark.createDataFrame([], f"query_id bigint, rank int, {key} bigint, score bigint")
-    some = sample(rows, SAMPLE)
+    known, some = sample(rows, SAMPLE)
     lifted = lambda x: np.append(x, np.sqrt(np.maximum(0, most - (x * x).sum(1)))[:, None], 1)
     pivots = pivots_of(lifted(some), PIVOTS)
     margin = 1e-6 * (1 + most)
@@ -95,18 +111,22 @@ def search(df: DataFrame, queries: Column, scale: int = 256, key: str = "vec_id"
             t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
             d = t.column("distance").to_numpy()
             yield pa.RecordBatch.from_arrays(
-                [t.column("pivot")[:1], pa.array([d.min()]), pa.array([d.max()]), pa.array([len(d)], pa.int32()), pa.array([t.column("key").to_numpy().tobytes()], pa.binary()), pa.array([matrix(t.column("vector")).tobytes()], pa.binary())],
-                ["pivot", "low", "high", "rows", "ids", "data"],
+                [pa.array([(TaskContext.get().partitionId() << 32) + shard]), t.column("pivot")[:1], pa.array([d.min()]), pa.array([d.max()]), pa.array([len(d)], pa.int32()), pa.array([t.column("key").to_numpy().tobytes()], pa.binary()), pa.array([matrix(t.column("vector")).tobytes()], pa.binary())],
+                ["shard", "pivot", "low", "high", "rows", "ids", "data"],
             )
 
         held: list[pa.RecordBatch] = []
+        shard, blocks = 0, 0
         for batch in batches:
             pivot = batch.column("pivot").to_numpy()
             at = 0
             while at < batch.num_rows:
-                if held and (held[0].column("pivot")[0].as_py() != pivot[at] or sum(h.num_rows for h in held) >= BLOCK):
+                other = held and held[0].column("pivot")[0].as_py() != pivot[at]
+                if other or sum(h.num_rows for h in held) >= BLOCK:
                     yield from row(held)
-                    held = []
+                    held, blocks = [], blocks + 1
+                    if other or blocks == BLOCKS:
+                        shard, blocks = shard + 1, 0
                 room = BLOCK - sum(h.num_rows for h in held)
                 same = int(np.searchsorted(pivot[at : at + room] != pivot[at], True))
                 held.append(batch.slice(at, max(1, same)))
@@ -115,13 +135,31 @@ def search(df: DataFrame, queries: Column, scale: int = 256, key: str = "vec_id"
             yield from row(held)
 
     sorted_rows = rows.select("key", "vector").mapInArrow(keyed, "key bigint, vector array<double>, pivot int, distance double").repartitionByRange("pivot", "distance", "key").sortWithinPartitions("pivot", "distance", "key")
-    blocks = written(sorted_rows.mapInArrow(blocked, "pivot int, low double, high double, rows int, ids binary, data binary"), "annuli")
+    blocks = written(sorted_rows.mapInArrow(blocked, "shard bigint, pivot int, low double, high double, rows int, ids binary, data binary"), "annuli")
     asked = rows.select(F.col("key").alias(key), F.col("vector").alias("__vector")).where(queries).select(F.col(key).alias("query"), F.col("__vector").alias("asked"))
-    n_blocks, n_asked = blocks.count(), asked.count()
-    shards, crowds = max(1, -(-n_blocks // BLOCKS)), max(1, -(-n_asked // QUERIES))
-    data = blocks.withColumn("shard", F.pmod(F.xxhash64("ids"), F.lit(shards)).cast("int")).withColumn("crowd", F.explode(F.sequence(F.lit(0), F.lit(crowds - 1))))
-    crowd = asked.withColumn("crowd", F.pmod(F.xxhash64("query"), F.lit(crowds)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    crowd = crowd.select(F.col("shard").alias("of_shard"), F.col("crowd").alias("of_crowd"), "query", "asked")
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
+                q = matrix(part.column("asked"))
+                kth = np.full(len(q), -np.inf)
+                for i, (own, s) in enumerate(zip(part.column("query").to_pylist(), products(q, some), strict=True)):
+                    best = top(s, known, k, own)
+                    if len(best) == k:
+                        kth[i] = best[-1][0]
+                far = distances(np.append(q, np.zeros((len(q), 1)), 1))
+                gap = np.sqrt(np.maximum(0, (q * q).sum(1) + most - 2 * (kth - margin)))[:, None]  # wider ones hold lower scores only
+                yield pa.RecordBatch.from_arrays([part.column("query"), part.column("asked"), pa.array(kth), lists(far - gap), lists(far + gap)], ["query", "asked", "kth", "near", "far"])
+
+    uid = F.xxhash64("query", "asked")
+    asked = written(asked.mapInArrow(bounded, "query bigint, asked array<double>, kth double, near array<double>, far array<double>").withColumn("uid", uid).dropDuplicates(["uid"]), "asked")
+    ranges = asked.select("uid", F.posexplode(F.arrays_zip("near", "far")).alias("pivot", "x")).select("uid", "pivot", "x.near", "x.far")
+    shards = blocks.groupBy("shard", "pivot").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    sent = written(ranges.join(shards, "pivot").where("low <= far and high >= near").select("uid", "shard"), "sent")
+    crowds = sent.groupBy("shard").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("crowds"))
+    data = blocks.join(crowds, "shard").withColumn("crowd", F.explode(F.sequence(F.lit(0), F.col("crowds") - 1))).drop("crowds")
+    crowd = sent.join(crowds, "shard").join(asked.select("uid", "query", "asked", "kth"), "uid")
+    crowd = crowd.select(F.col("shard").alias("of_shard"), F.pmod(F.col("uid"), "crowds").cast("int").alias("of_crowd"), "query", "asked", "kth")
 
     def scanned(group: pa.Table, asking: pa.Table) -> pa.Table:
         none = pa.table({"query": pa.array([], pa.int64()), "found": pa.array([], pa.int64()), "score": pa.array([], pa.int64())})
@@ -135,7 +173,7 @@ def search(df: DataFrame, queries: Column, scale: int = 256, key: str = "vec_id"
         gap = np.maximum(0, np.maximum(low[None] - far[:, pivot], far[:, pivot] - high[None]))
         best = (square[:, None] + most - gap * gap) / 2 + margin  # no score in the annulus is above
         order = np.argsort(gap.min(0), kind="stable")
-        kth = np.full(len(q), -np.inf)
+        kth = asking.column("kth").to_numpy().copy()
         tops: list[list[tuple[int, int]]] = [[] for _ in who]
         for b in order:
             ask = np.flatnonzero(best[:, b] >= kth)
@@ -145,11 +183,12 @@ def search(df: DataFrame, queries: Column, scale: int = 256, key: str = "vec_id"
             x = np.frombuffer(group.column("data")[b].as_py(), np.float64).reshape(len(ids), -1)
             scores = products(q[ask], x)
             for i, s in zip(ask.tolist(), scores, strict=True):
-                at = top(s, ids, k + 1)
-                new = [(int(s[j]), int(ids[j])) for j in at if ids[j] != who[i]]
-                tops[i] = sorted(tops[i] + new, key=lambda x: (-x[0], x[1]))[:k]
+                own = {found: score for score, found in tops[i]}
+                for score, found in top(s, ids, k, who[i]):
+                    own[found] = max(score, own.get(found, score))
+                tops[i] = sorted(((score, found) for found, score in own.items()), key=lambda x: (-x[0], x[1]))[:k]
                 if len(tops[i]) == k:
-                    kth[i] = tops[i][-1][0]
+                    kth[i] = max(kth[i], tops[i][-1][0])
         out = [(int(w), found, score) for w, t in zip(who, tops, strict=True) for score, found in t]
         if not out:
             return none
@@ -158,4 +197,5 @@ def search(df: DataFrame, queries: Column, scale: int = 256, key: str = "vec_id"
 
     found = data.groupBy("shard", "crowd").cogroup(crowd.groupBy("of_shard", "of_crowd")).applyInArrow(scanned, "query bigint, found bigint, score bigint")
     rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "found"))
-    return found.distinct().withColumn("rank", rank).where(F.col("rank") <= k).select(F.col("query").alias("query_id"), "rank", F.col("found").alias(key), "score")
+    found = found.groupBy("query", "found").agg(F.max("score").alias("score"))
+    return found.withColumn("rank", rank).where(F.col("rank") <= k).select(F.col("query").alias("query_id"), "rank", F.col("found").alias(key), "score")

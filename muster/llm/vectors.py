@@ -32,7 +32,7 @@ def lists(m: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * width, pa.int32()), pa.array(np.ascontiguousarray(m).reshape(-1)))
 
 
-def sample(rows: DataFrame, most: int) -> np.ndarray:
-    """The vectors of at most so many rows, those with the smallest hash of their key."""
-    got = rows.orderBy(F.xxhash64("key", F.lit("fit")), "key").limit(most).select("vector").toArrow()
-    return matrix(got.column(0).combine_chunks()) if got.num_rows else np.zeros((0, 0))
+def sample(rows: DataFrame, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and vectors of at most so many rows, those with the smallest hash of their key."""
+    got = rows.orderBy(F.xxhash64("key", F.lit("fit")), "key", "vector").limit(most).select("key", "vector").toArrow()
+    return got.column(0).to_numpy(), matrix(got.column(1).combine_chunks()) if got.num_rows else np.zeros((0, 0))

@@ -21,17 +21,28 @@ def usable(rows, zero):
 
 
 def best(scores, k=5):
-    return [(n + 1, i, s) for n, (s, i) in enumerate(sorted(scores, key=lambda x: (-x[0], x[1]))[:k])]
+    """Of (score, id): the best score of each id, and of these the first k."""
+    of: dict = {}
+    for s, i in scores:
+        of[i] = max(s, of.get(i, s))
+    return [(n + 1, i, s) for n, (s, i) in enumerate(sorted(((s, i) for i, s in of.items()), key=lambda x: (-x[0], x[1]))[:k])]
+
+
+def brute(fit, every, score):
+    found: dict = {}
+    for i, v in fit:
+        if i % every == 0:
+            found.setdefault(i, []).extend((score(v, w), j) for j, w in fit if j != i)
+    return {i: best(x) for i, x in found.items()}
 
 
 def brute_dot(rows, every):
-    fit = [(i, [math.floor(256 * x) for x in v]) for i, v in usable(rows, True)]
-    return {i: best([(sum(a * b for a, b in zip(v, w, strict=True)), j) for j, w in fit if j != i]) for i, v in fit if i % every == 0}
+    return brute([(i, [math.floor(256 * x) for x in v]) for i, v in usable(rows, True)], every, lambda v, w: sum(a * b for a, b in zip(v, w, strict=True)))
 
 
 def brute_cos(rows, every):
     fit = [(i, np.array(v)) for i, v in usable(rows, False)]
-    return {i: best([(float((v * w).sum() / (np.sqrt((v * v).sum()) * np.sqrt((w * w).sum()))), j) for j, w in fit if j != i]) for i, v in fit if i % every == 0}
+    return brute(fit, every, lambda v, w: float((v * w).sum() / (np.sqrt((v * v).sum()) * np.sqrt((w * w).sum()))))
 
 
 def odd_rows(n, dim, seed=1):
@@ -106,3 +117,30 @@ def test_ann_ties_go_to_the_smaller_id(spark):
     found = collected(ann.search(table(spark, rows), F.col("vec_id") % 50 == 0))
     assert [j for _, j, _ in found[0]] == [1, 2, 3, 4, 5]
     assert [j for _, j, _ in found[50]] == [0, 1, 2, 3, 4]
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_repeated_ids(spark, seed):
+    """Repeated rows, several vectors under one id, and both of the query's own id."""
+    rng = np.random.default_rng(seed)
+    v = lambda: rng.normal(size=4).tolist()
+    one, seven = v(), v()
+    rows = [(0, one)] * 10 + [(7, seven)] * 200 + [(i, v()) for i in range(1, 7)] + [(10, v()), (10, v()), (10, one), (20, one), (20, [-x for x in one]), (3, v())]
+    assert collected(exact_topk.search(table(spark, rows), F.col("vec_id") % 5 == 0)) == brute_dot(rows, 5)
+    found, truth = collected(ann.search(table(spark, rows), F.col("vec_id") % 5 == 0)), brute_cos(rows, 5)
+    assert {i: [x[:2] for x in t] for i, t in found.items()} == {i: [x[:2] for x in t] for i, t in truth.items()}
+
+
+def test_queries_go_only_to_shards_in_their_range(spark, monkeypatch):
+    """Clustered rows: a query reaches few of the shards, and the answer is that of all rows."""
+    for name, n in (("BLOCK", 32), ("BLOCKS", 1), ("PIVOTS", 8)):
+        monkeypatch.setattr(exact_topk, name, n)
+    rng = np.random.default_rng(9)
+    centres = rng.normal(size=(8, 4)) * 10
+    rows = [(i, (centres[i % 8] + rng.normal(size=4) * 0.1).tolist()) for i in range(800)]
+    sent = []
+    plain = exact_topk.written
+    monkeypatch.setattr(exact_topk, "written", lambda df, name="table": sent.append((name, plain(df, name))) or sent[-1][1])
+    assert collected(exact_topk.search(table(spark, rows), F.col("vec_id") % 50 == 0)) == brute_dot(rows, 50)
+    tables = dict(sent)
+    assert tables["sent"].count() < 0.7 * 16 * tables["annuli"].select("shard").distinct().count()
