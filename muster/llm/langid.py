@@ -3,8 +3,9 @@
 Text is lower-cased, whatever is no letter becomes one space, and the 1- to GRAMS-grams of characters are hashed into
 BUCKETS features, weighted by log(1 + count) and by the inverse document frequency over all rows that may be learned
 from, and scaled to length one. The regression is trained by follow-the-regularised-leader with elastic-net penalties
-on a bounded sample (PER_LANGUAGE rows of each language on average, MOST in all, chosen by a hash of the row's key);
-a third of the sample is kept for the temperature that calibrates the scores.
+on a bounded sample (PER_LANGUAGE rows of each language on average, MOST in all, or LEAST for each language if that is
+more, chosen by a hash of the row's key); a third of the sample is kept for the temperature that calibrates the scores.
+Every language that a row may be learned from with is learned; the languages' names and counts are held by the driver.
 
 Null texts and texts without a letter are `und` with score 0. Rows with a null language are not learned from; with
 nothing to learn from, every text is `und`. Repeated rows are predicted alike; long texts are read whole. Only the
@@ -26,7 +27,7 @@ from muster.llm.common import chunks, written
 
 #: Features, longest n-gram, and the sample's bounds.
 BUCKETS, GRAMS = 1 << 14, 3
-PER_LANGUAGE, MOST = 1000, 8000
+PER_LANGUAGE, MOST, LEAST = 1000, 8000, 40
 
 
 @lru_cache(1)
@@ -120,14 +121,14 @@ def tempered(logits: np.ndarray, y: np.ndarray) -> float:
 def train(docs: DataFrame, allowed: Column, key: str = "doc_id", text: str = "text", lang: str = "lang") -> Model:
     """A model from the rows that `allowed` lets through; other rows' texts and languages are not read."""
     known = docs.where(allowed & F.col(lang).isNotNull())
-    sizes = {r[0]: r[1] for r in known.groupBy(lang).count().orderBy(F.desc("count"), lang).limit(MOST // 40).collect()}
+    sizes = {r[0]: r[1] for r in known.groupBy(lang).count().collect()}
     languages = sorted(sizes)
-    share = F.lit(0.0)
-    per = max(40, min(PER_LANGUAGE, MOST // max(1, len(languages))))
-    for name, n in sizes.items():
-        share = F.when(F.col(lang) == name, F.lit(min(1.0, per / n))).otherwise(share)
-    place = (F.xxhash64(F.col(key)).bitwiseAND(F.lit((1 << 40) - 1))) / F.lit(float(1 << 40))
-    marked = known.select(F.col(key).cast("string").alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"), (place < share).alias("chosen"))
+    most = max(MOST, LEAST * len(languages))
+    per = min(PER_LANGUAGE, most // max(1, len(languages)))
+    shares = docs.sparkSession.createDataFrame([(name, min(1.0, per / n)) for name, n in sizes.items()], "lang string, share double")
+    place = (F.xxhash64("key").bitwiseAND(F.lit((1 << 40) - 1))) / F.lit(float(1 << 40))
+    marked = known.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang")).join(F.broadcast(shares), "lang")  # a row for each language
+    marked = marked.select(F.col("key").cast("string").alias("key"), "text", "lang", (place < F.col("share")).alias("chosen"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency, n = np.zeros(BUCKETS, np.int64), 0
@@ -156,7 +157,7 @@ def train(docs: DataFrame, allowed: Column, key: str = "doc_id", text: str = "te
     for r in totals:
         frequency[r["at"]] = r["n"]
     idf = np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1
-    sample = seen.where("lang is not null").orderBy(F.xxhash64("key", F.lit("order")), "key", "lang").limit(MOST).select("lang", "at", "n").toArrow()
+    sample = seen.where("lang is not null").orderBy(F.xxhash64("key", F.lit("order")), "key", "lang").limit(most).select("lang", "at", "n").toArrow()
     model = Model(languages, idf, np.zeros((len(languages), BUCKETS + 1)), 1.0)
     if not sample.num_rows:
         return Model([], idf, model.weights, 1.0)
@@ -165,7 +166,8 @@ def train(docs: DataFrame, allowed: Column, key: str = "doc_id", text: str = "te
         at = at.values.to_numpy().astype(np.int32)
         x = np.log1p(n.values.to_numpy()) * idf[at]
         found.append((at, x / np.sqrt((x * x).sum())))
-    y = np.array([languages.index(name) for name in sample.column("lang").to_pylist()])
+    place_of = {name: i for i, name in enumerate(languages)}
+    y = np.array([place_of[name] for name in sample.column("lang").to_pylist()])
     cut = max(1, len(found) * 2 // 3)
     model.weights = ftrl(found[:cut], y[:cut], len(languages))
     logits = np.array([model.weights[:, at] @ x + model.weights[:, -1] for at, x in found[cut:]]).reshape(-1, len(languages))

@@ -136,3 +136,78 @@ def test_scores_do_not_depend_on_partitions(spark):
         assert again.setdefault(i, score) == score
     kept = toxicity.kept(docs, labels)
     assert sorted(r.doc_id for r in kept.collect()) == [i for i, score in one if score < 0.3]
+
+
+def test_every_language_is_learned(spark):
+    """More languages than any fixed number: each is predicted for its own texts, and repeated rows are predicted alike."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(220):
+        word = letters[k % 26] * 3 + letters[k // 26] * 4
+        rows += [(k * 20 + i, " ".join([word] * (3 + i % 4)), f"l{k:03d}", "s", 0.0, "k") for i in range(12)]
+    rows += rows[:5]
+    found = langid.predictions(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(found) == len(rows)
+    truth = {r[0]: r[2] for r in rows}
+    held = [r for r in found if r.held_out]
+    assert sum(r.lang_pred == truth[r.doc_id] for r in held) / len(held) > 0.95
+    assert len({r.lang_pred for r in found}) > 210
+    assert len({(r.doc_id, r.lang_pred, r.score) for r in found}) == len(truth)
+
+
+def test_ftrl_equals_the_plain_formula():
+    rng = np.random.default_rng(12)
+    rows = [(np.sort(rng.choice(50, 5, replace=False)), rng.random(5)) for _ in range(30)]
+    y = rng.integers(0, 3, 30)
+    z, n = {}, {}
+
+    def weight(c, j):
+        s = z.get((c, j), 0.0)
+        return 0.0 if abs(s) <= 0.05 else -(s - (0.05 if s > 0 else -0.05)) / ((1.0 + n.get((c, j), 0.0) ** 0.5) / 0.7 + 0.2)
+
+    for _ in range(2):
+        for (at, x), label in zip(rows, y, strict=True):
+            pairs = [*zip(at.tolist(), x.tolist(), strict=True), (langid.BUCKETS, 1.0)]
+            w = {(c, j): weight(c, j) for c in range(3) for j, _ in pairs}
+            e = [np.exp(sum(w[c, j] * v for j, v in pairs)) for c in range(3)]
+            for c in range(3):
+                for j, v in pairs:
+                    g = (e[c] / sum(e) - (c == label)) * v
+                    old = n.get((c, j), 0.0)
+                    z[c, j] = z.get((c, j), 0.0) + g - ((old + g * g) ** 0.5 - old**0.5) / 0.7 * w[c, j]
+                    n[c, j] = old + g * g
+    got = langid.ftrl(rows, y, 3, epochs=2, alpha=0.7, beta=1.0, l1=0.05, l2=0.2)
+    for c in range(3):
+        for j in [*range(50), langid.BUCKETS]:
+            assert got[c, j] == pytest.approx(weight(c, j), abs=1e-9)
+
+
+def test_trees_equal_a_walk_and_lower_the_loss():
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(400, 4))
+    y = ((x[:, 0] > 0.3) ^ (x[:, 2] > 0)).astype(float)
+    model = toxicity.boosted(x, y, trees=20)
+
+    def walk(row):
+        out = model.start
+        for feature, threshold, value in model.trees:
+            k = 0
+            while feature[k] >= 0:
+                k = 2 * k + (2 if row[feature[k]] > threshold[k] else 1)
+            out += value[k]
+        return out
+
+    raw = model.raw(x)
+    assert raw == pytest.approx([walk(r) for r in x])
+    assert ((raw > 0) == (y > 0)).mean() > 0.95
+    feature, threshold, _ = model.trees[0]
+    p = y.mean()
+    gains = {}
+    for f in range(4):
+        for cut in np.unique(np.quantile(x[:, f], np.linspace(0, 1, 49)[1:-1])):
+            left = x[:, f] <= cut
+            if min(left.sum(), (~left).sum()) >= 20:
+                gain = sum(((y - p)[s].sum()) ** 2 / (p * (1 - p) * s.sum() + 1) for s in (left, ~left)) - (y - p).sum() ** 2 / (p * (1 - p) * len(y) + 1)
+                gains[f, float(cut)] = gain
+    best = max(gains, key=gains.get)
+    assert (feature[0], threshold[0]) == pytest.approx(best) if gains[best] > 4 else feature[0] == -1
