@@ -5,13 +5,16 @@ quarters have a second revision, and some quarters point back to the first."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from muster.contracts import RELEASE, PanelSpec
-from muster.operators import panel
+from muster.functions.shared import written
+from muster.operators import metrics, panel, publish
 
-SPEC = PanelSpec(at_risk=("F",), claim_status="O")
+SPEC = PanelSpec(at_risk=("F",), claim_status="O", instructions="Look the key up where the list was published.")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,28 +67,73 @@ def landed(rows: DataFrame, found: DataFrame) -> DataFrame:
     return rows.join(ids, "as_of_date").where((F.col("release_revision") == 1) | (F.col("source_line_no") % 50 != 1))
 
 
+CARRIED = ("last_renewal_date", "last_renewal_date_unparseable", "current_status_date", "current_status_date_unparseable")
+
+
 class Panel:
-    """The frames of the panel; each is a plan, and nothing runs before it is asked for."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.sf_dir, self.spec = spark, sf_dir, SPEC
-        self.revisions = revisions(spark, sf_dir)
-        self.pointers = pointers(self.revisions)
-        self.promoted = panel.promote(self.revisions, self.pointers)
-        self.pairs = panel.adjacent_pairs(self.promoted)
-        self.raw = orders(spark, sf_dir)
-        self.landed = landed(self.raw, self.revisions)
-        self.staged = panel.staged(self.landed)
-        self.records = panel.promoted_records(self.staged, self.promoted)
-        #: The last order of each customer and quarter: what makes (release, key) unique.
+    """The frames of the panel; each is a plan, and nothing runs before it is asked for. Frames named in `stored` are
+    written when they are first asked for, so that those made from them start from the table."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, stored: Sequence[str] = ()) -> None:
+        self.spark, self.sf_dir, self.spec, self.stored = spark, sf_dir, SPEC, frozenset(stored)
+
+    def __getattr__(self, name: str) -> DataFrame:
+        makes = vars(type(self)).get(f"_{name}")
+        if makes is None:
+            raise AttributeError(name)
+        df = makes(self)
+        vars(self)[name] = written(df, name) if name in self.stored else df
+        return vars(self)[name]
+
+    def _revisions(self) -> DataFrame:
+        return revisions(self.spark, self.sf_dir)
+
+    def _pointers(self) -> DataFrame:
+        return pointers(self.revisions)
+
+    def _promoted(self) -> DataFrame:
+        return panel.promote(self.revisions, self.pointers)
+
+    def _pairs(self) -> DataFrame:
+        return panel.adjacent_pairs(self.promoted)
+
+    def _raw(self) -> DataFrame:
+        return orders(self.spark, self.sf_dir)
+
+    def _landed(self) -> DataFrame:
+        return landed(self.raw, self.revisions)
+
+    def _staged(self) -> DataFrame:
+        return panel.staged(self.landed)
+
+    def _records(self) -> DataFrame:
+        return panel.promoted_records(self.staged, self.promoted)
+
+    def _panel_records(self) -> DataFrame:
+        """Of the last order of each customer and quarter: what makes (release, key) unique."""
         last = self.raw.groupBy("as_of_date", "__custkey").agg(F.max_by(F.struct(*self.raw.columns), "__order").alias("r")).select("r.*")
-        self.staged_panel = panel.staged(landed(last, self.revisions))
-        self.panel_records = panel.promoted_records(self.staged_panel, self.promoted)
-        self.snapshots = panel.keyed_snapshots(self.panel_records, SPEC)
-        carried = ("last_renewal_date", "last_renewal_date_unparseable", "current_status_date", "current_status_date_unparseable")
-        self.sequence = panel.observation_sequence(self.snapshots, panel.date_spine(self.promoted), carried)
-        self.transitions = panel.transitions(self.sequence, self.promoted, carried)
-        self.spells = panel.spells(self.sequence)
+        return panel.promoted_records(panel.staged(landed(last, self.revisions)), self.promoted)
+
+    def _snapshots(self) -> DataFrame:
+        return panel.keyed_snapshots(self.panel_records, SPEC)
+
+    def _sequence(self) -> DataFrame:
+        return panel.observation_sequence(self.snapshots, panel.date_spine(self.promoted), CARRIED)
+
+    def _transitions(self) -> DataFrame:
+        return panel.transitions(self.sequence, self.promoted, CARRIED)
+
+    def _cells(self) -> DataFrame:
+        return metrics.transition_cells(self.transitions)
+
+    def _spells(self) -> DataFrame:
+        return panel.spells(self.sequence)
+
+    def _runs(self) -> DataFrame:
+        return metrics.capture_runs(self.attempts())
+
+    def _classes(self) -> DataFrame:
+        return publish.eligibility(self.snapshots, self.classifications())
 
     def classifications(self) -> DataFrame:
         k = F.col("c_custkey")

@@ -5,13 +5,28 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new path below the session's spark.checkpoint.dir; below a local folder only where the session names none."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
+def shared_dir(spark: SparkSession) -> str:
+    """The session's spark.checkpoint.dir. A local session that names none gets a local folder; a cluster is an error,
+    since its executors would not see one."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-muster-"))
-        base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/muster-{name}-{uuid.uuid4().hex}"
+        named = spark.sparkContext.getCheckpointDir()
+    return named.rstrip("/")
+
+
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_dir(spark)}/muster-{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder, made once for several consumers."""
+    path = fresh_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,7 +1,7 @@
 """Aggregate marts over dispositions, transitions, spells and capture attempts.
 
-Counts per pair of releases come from one pass over the transitions (pair_counts), which several marts share. All
-groupings here end in a row per release, pair or status, and combine before they shuffle.
+Counts per pair of releases come from one grouping of the transitions (transition_cells), which has few rows and which
+several marts share. All groupings here end in a row per release, pair or status, and combine before they shuffle.
 """
 
 from __future__ import annotations
@@ -34,12 +34,24 @@ def population_coverage(records: DataFrame) -> DataFrame:
     return records.groupBy(*RELEASE, "source_list", "status", kind).agg(F.count("*").alias("record_count"))
 
 
-def transition_matrix(transitions: DataFrame) -> DataFrame:
-    return transitions.groupBy(*PAIR_GAP, "observed_at_start", "observed_at_end", "transition_class", "start_status", "end_status").agg(F.count("*").alias("transition_count"))
+def transition_cells(transitions: DataFrame) -> DataFrame:
+    """Transitions counted by all that the marts of pairs ask of them: ends, class, statuses, and the renewal dates'
+    state. A few rows for each pair, so marts that need several countings are made from these."""
+    state = {}
+    if "start_last_renewal_date" in transitions.columns:
+        populated = F.col("start_last_renewal_date").isNotNull() | F.col("start_last_renewal_date_unparseable")
+        cleared = F.col("end_last_renewal_date").isNull() & ~F.coalesce("end_last_renewal_date_unparseable", F.lit(False))
+        state = {"renewal_populated": F.coalesce(populated, F.lit(False)), "renewal_cleared": F.coalesce(populated & cleared, F.lit(False))}
+    keys = [*PAIR_GAP, "observed_at_start", "observed_at_end", "transition_class", "start_status", "end_status", "start_at_risk", "end_at_risk"]
+    return transitions.groupBy(*keys, *(c.alias(name) for name, c in state.items())).agg(F.count("*").alias("cell_count"))
+
 
+def transition_matrix(cells: DataFrame) -> DataFrame:
+    return cells.groupBy(*PAIR_GAP, "observed_at_start", "observed_at_end", "transition_class", "start_status", "end_status").agg(F.sum("cell_count").alias("transition_count"))
 
-def pair_counts(transitions: DataFrame) -> DataFrame:
-    """Every conditional count per pair that the marts below need, in one pass."""
+
+def pair_counts(cells: DataFrame) -> DataFrame:
+    """Every conditional count per pair that the marts below need."""
     start, end = F.col("start_at_risk"), F.col("end_at_risk")
     at_start, at_end = F.col("observed_at_start"), F.col("observed_at_end")
     counts = {
@@ -51,15 +63,13 @@ def pair_counts(transitions: DataFrame) -> DataFrame:
         "matched_entry_count": is_class("delinquency_entry_observed"),
         "newly_observed_count": is_class("delinquent_newly_observed"),
     }
-    if "start_last_renewal_date" in transitions.columns:
-        populated = F.col("start_last_renewal_date").isNotNull() | F.col("start_last_renewal_date_unparseable")
-        cleared = populated & F.col("end_last_renewal_date").isNull() & ~F.coalesce("end_last_renewal_date_unparseable", F.lit(False))
+    if "renewal_populated" in cells.columns:
         counts |= {
-            "starting_clear_count": at_start & at_end & start & cleared,
-            "exit_clear_count": is_class("delinquency_exit_observed") & cleared,
-            "exit_populated_count": is_class("delinquency_exit_observed") & populated,
+            "starting_clear_count": at_start & at_end & start & F.col("renewal_cleared"),
+            "exit_clear_count": is_class("delinquency_exit_observed") & F.col("renewal_cleared"),
+            "exit_populated_count": is_class("delinquency_exit_observed") & F.col("renewal_populated"),
         }
-    return transitions.groupBy(*PAIR_GAP).agg(*(n_where(c).alias(name) for name, c in counts.items()))
+    return cells.groupBy(*PAIR_GAP).agg(*(F.coalesce(F.sum(F.when(c, F.col("cell_count"))), F.lit(0)).cast("bigint").alias(name) for name, c in counts.items()))
 
 
 def largest_transitions(matrix: DataFrame) -> DataFrame:
@@ -183,13 +193,33 @@ def membership_fingerprint(snapshots: DataFrame) -> DataFrame:
     return keys.groupBy(*RELEASE).agg(F.count("*").alias("n_keys"), F.sum(half(1) % 1_000_000_007).alias("sum_a"), F.sum(half(13) % 1_000_000_007).alias("sum_b"))
 
 
-def membership_hash(snapshots: DataFrame) -> DataFrame:
-    """Per release SHA-256 over its sorted distinct keys, each with a line feed: the exact form. It sorts keys within
-    ranges of their first two characters, and hashes the ranges' digests in order, so no task holds all keys; one
-    release in one range is the least that a task holds."""
-    keys = snapshots.select(*RELEASE, "key").distinct().withColumn("range", F.substring(F.sha2("key", 256), 1, 2))
-    ranges = keys.groupBy(*RELEASE, "range").agg(F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("key")), lambda k: F.concat(k, F.lit("\n"))), ""), 256).alias("digest"), F.count("*").alias("n"))
-    return ranges.groupBy(*RELEASE).agg(F.sum("n").alias("n_keys"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("range", "digest"))), lambda x: F.concat(x["range"], x["digest"])), ""), 256).alias("membership_sha256"))
+#: Keys of a range of membership_hash, on average.
+RANGE_KEYS = 65_536
+
+
+def membership_hash(snapshots: DataFrame, range_keys: int = RANGE_KEYS) -> DataFrame:
+    """Per release a SHA-256 that two releases share if and only if they have the same keys. Keys fall into ranges by
+    the beginning of their own SHA-256, as many digits of it as leave about `range_keys` keys to a range of the largest
+    release (two at least), so no task holds more; a range's sorted keys, each with a line feed, make its digest, and
+    the digests in order make the release's, in a second step by the first two digits."""
+    keys = snapshots.select(*RELEASE, "key").distinct()
+    most = keys.groupBy(*RELEASE).count().agg(F.max("count")).first()[0] or 0
+    digits = 2
+    while most > range_keys * 16**digits and digits < 12:
+        digits += 1
+    joined = lambda rows: F.sha2(F.array_join(F.array_sort(F.collect_list(rows)), ""), 256)
+    ranges = keys.groupBy(*RELEASE, F.substring(F.sha2("key", 256), 1, digits).alias("range")).agg(joined(F.concat("key", F.lit("\n"))).alias("digest"), F.count("*").alias("n"))
+    for d in range(digits - 2, 1, -2):
+        ranges = ranges.groupBy(*RELEASE, F.substring("range", 1, d).alias("range")).agg(joined(F.concat("range", "digest")).alias("digest"), F.sum("n").alias("n"))
+    return ranges.groupBy(*RELEASE).agg(F.sum("n").alias("n_keys"), joined(F.concat("range", "digest")).alias("membership_sha256"))
+
+
+def membership_digest(snapshots: DataFrame) -> DataFrame:
+    """Per release the plain form: SHA-256 over all its sorted distinct keys, each with a line feed. It needs all keys of a
+    release in one place, so it is for releases of some million keys; membership_hash has no such bound."""
+    keys = snapshots.select(*RELEASE, "key").distinct()
+    lines = F.array_join(F.transform(F.array_sort(F.collect_list("key")), lambda k: F.concat(k, F.lit("\n"))), "")
+    return keys.groupBy(*RELEASE).agg(F.count("*").alias("n_keys"), F.sha2(lines, 256).alias("membership_sha256"))
 
 
 def capture_runs(attempts: DataFrame) -> DataFrame:

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from muster.contracts import RELEASE
 from muster.operators.metrics import publication_status
 
-INSTRUCTIONS = "Verify this organization's current status using the official search tool of the registry and the exact registration number above."
 #: Columns that an aggregate export may not have.
 IDENTITY = ("key", "organization_name", "city", "state", "federal_id", "state_file_number")
 
@@ -26,7 +25,7 @@ def eligible(classes: DataFrame) -> DataFrame:
     return classes.where(F.col("eligibility_classification") == "eligible").select("key")
 
 
-def organizations(snapshots: DataFrame, classes: DataFrame, promoted: DataFrame, attributes: Sequence[str]) -> DataFrame:
+def organizations(snapshots: DataFrame, classes: DataFrame, promoted: DataFrame, attributes: Sequence[str], instructions: str = "") -> DataFrame:
     """The latest observation of each eligible key, taken whole, and whether the latest release has the key.
 
     The latest release is matched by date and revision, not by fingerprint."""
@@ -42,7 +41,7 @@ def organizations(snapshots: DataFrame, classes: DataFrame, promoted: DataFrame,
         F.col("r.status").alias("latest_status"),
         F.col("r.at_risk").alias("latest_at_risk"),
         *(F.col(f"r.{c}").alias(f"latest_{c}") for c in RELEASE),
-        F.lit(INSTRUCTIONS).alias("official_verification_instructions"),
+        F.lit(instructions).alias("official_verification_instructions"),
         F.when(F.coalesce("current", F.lit(False)), "observed").otherwise("not_observed").alias("latest_release_observation_state"),
     )
 

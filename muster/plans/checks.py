@@ -46,6 +46,11 @@ def columns_hold(df: DataFrame, check: str, not_null: Sequence[str] = (), accept
     return first_reason(counted, check, {name: F.col(f"c{i}") > 0 for i, name in enumerate(tests)})
 
 
+def bare(raw: str) -> Column:
+    """A landed column without the space separators at its ends."""
+    return F.regexp_extract(F.col(f"`{raw}`"), r"(?s)^\p{Zs}*(.*?)\p{Zs}*$", 1)
+
+
 def pairs_positive(pairs: DataFrame) -> DataFrame:
     return first_reason(pairs, "adjacent_pairs_positive", {"gap": F.col("gap_days") <= 0, "order": F.col("from_as_of_date") >= F.col("to_as_of_date")})
 
@@ -76,17 +81,30 @@ def dispositions_reconcile(records: DataFrame, staged: DataFrame, promoted: Data
 
 
 def coverage_reconciles(coverage: DataFrame, records: DataFrame) -> DataFrame:
-    here = coverage.groupBy(*RELEASE).agg(F.sum("record_count").alias("n"), F.sum(F.when(F.col("coverage_class") == "keyed", F.col("record_count")).otherwise(0)).alias("k"))
-    there = records.groupBy(*RELEASE).agg(F.count("*").alias("n"), F.count(F.when(F.col("key").isNotNull() & F.col("status").isNotNull(), 1)).alias("k"))
-    return unequal(here, there, RELEASE, "coverage_reconciles", "totals")
+    """Counts by list, status and class against the records, and totals by release against both."""
+    check, group = "coverage_reconciles", [*RELEASE, "source_list", "status", "coverage_class"]
+    kind = F.when(F.col("key").isNotNull() & F.col("status").isNotNull(), "keyed").otherwise("unkeyed").alias("coverage_class")
+    there = records.groupBy(*RELEASE, "source_list", "status", kind).agg(F.count("*").alias("record_count"))
+    here = coverage.groupBy(*RELEASE).agg(F.sum("record_count").alias("n"))
+    whole = records.groupBy(*RELEASE).agg(F.count("*").alias("n"))
+    return unequal(coverage.select(*group, "record_count"), there, group, check, "groups").union(unequal(here, whole, RELEASE, check, "totals"))
 
 
 def snapshots_reconcile(snapshots: DataFrame, records: DataFrame, spec: PanelSpec) -> DataFrame:
-    check = "snapshots_reconcile"
-    here = snapshots.groupBy(*RELEASE).agg(F.count("*").alias("n"))
-    there = records.where("key is not null and status is not null").groupBy(*RELEASE).agg(F.count("*").alias("n"))
+    """Keyed snapshots against the records: the same lines with the same key and status, each once; totals by release and
+    list; at-risk by exact membership."""
+    check, line = "snapshots_reconcile", [*RELEASE, "source_list", "source_line_no"]
+    keyed = records.where("key is not null and status is not null")
+    here, there = (df.groupBy(*RELEASE, "source_list").agg(F.count("*").alias("n")) for df in (snapshots, keyed))
     risk = snapshots.where(~F.col("at_risk").eqNullSafe(F.array_contains(F.array(*map(F.lit, spec.at_risk)), F.col("status"))))
-    return columns_hold(snapshots, check, ["key", "status", "at_risk"]).union(unequal(here, there, RELEASE, check, "totals")).union(fault(risk, check, "at_risk")).union(repeated(snapshots, [*RELEASE, "key"], check))
+    return (
+        columns_hold(snapshots, check, ["key", "status", "at_risk"])
+        .union(unequal(snapshots.select(*line, "key", "status"), keyed.select(*line, "key", "status"), line, check, "lines"))
+        .union(unequal(here, there, [*RELEASE, "source_list"], check, "totals"))
+        .union(fault(risk, check, "at_risk"))
+        .union(repeated(snapshots, [*RELEASE, "key"], check))
+        .union(repeated(snapshots, line, check))
+    )
 
 
 def promotion_holds(promoted: DataFrame, revisions: DataFrame, pointers: DataFrame) -> DataFrame:
@@ -139,7 +157,8 @@ def pairs_are_promoted(transitions: DataFrame, promoted: DataFrame) -> DataFrame
 
 
 def spells_hold(spells: DataFrame, sequence: DataFrame) -> DataFrame:
-    """Grain, order of bounds, exclusive states, and the number of at-risk observations that spells cover."""
+    """Grain, order of bounds, exclusive states, unbroken ordinals, the at-risk observations that spells cover, and all of
+    them made anew: runs as islands of ordinals, bounds by joins with the releases beside."""
     check = "spells_hold"
     rules = {
         "onset_order": F.col("onset_left") >= F.col("onset_right"),
@@ -150,10 +169,25 @@ def spells_hold(spells: DataFrame, sequence: DataFrame) -> DataFrame:
         "flags": (F.col("is_right_censored") != (F.col("terminal_state") == "right_censored")) | (F.col("is_lost_to_observation") != (F.col("terminal_state") == "lost_to_observation")),
         "state": ~F.col("terminal_state").isin(*TERMINAL_STATES),
     }
-    rows = sequence.where("at_risk").select("key", "as_of_date").groupBy("key").agg(F.count("*").alias("n"))
-    spans = spells.select("key", F.col("onset_right").alias("a"), F.col("exit_left").alias("b"))
-    covered = sequence.where("at_risk").select("key", "as_of_date").join(spans, "key").where("as_of_date between a and b").groupBy("key").agg(F.count("*").alias("n"))
-    return first_reason(spells, check, rules).union(repeated(spells, ["key", "spell_number"], check)).union(unequal(rows, covered, ["key"], check, "coverage"))
+    risk = sequence.where("at_risk")
+    spans = spells.select("key", "spell_number", F.col("onset_right").alias("a"), F.col("exit_left").alias("b"))
+    inside = risk.select("key", "as_of_date", "ordinal").join(spans, "key").where("as_of_date between a and b").groupBy("key", "spell_number")
+    inside = inside.agg(F.count("*").alias("n"), F.min("ordinal").alias("low"), F.max("ordinal").alias("high"))
+    covered = inside.groupBy("key").agg(F.sum("n").alias("n"))
+    last = sequence.agg(F.max("ordinal").alias("panel_last"))
+    island = F.col("ordinal") - F.row_number().over(Window.partitionBy("key").orderBy("ordinal"))
+    runs = risk.select("key", "as_of_date", "ordinal", island.alias("island")).groupBy("key", "island").agg(F.min("as_of_date").alias("onset_right"), F.max("as_of_date").alias("exit_left"), F.min("ordinal").alias("low"), F.max("ordinal").alias("high"))
+    beside = lambda name, at, bound: sequence.select("key", (F.col("ordinal") + at).alias(name), F.col("as_of_date").alias(bound))
+    made = runs.join(beside("low", 1, "onset_left"), ["key", "low"], "left").join(beside("high", -1, "exit_right"), ["key", "high"], "left").crossJoin(F.broadcast(last))  # one row
+    state = F.when(F.col("exit_right").isNotNull(), "observed_exit").when(F.col("high") == F.col("panel_last"), "right_censored").otherwise("lost_to_observation")
+    made = made.select("key", F.row_number().over(Window.partitionBy("key").orderBy("low")).cast("bigint").alias("spell_number"), "onset_left", "onset_right", "exit_left", "exit_right", state.alias("terminal_state"))
+    return (
+        first_reason(spells, check, rules)
+        .union(repeated(spells, ["key", "spell_number"], check))
+        .union(fault(inside.where("n <> high - low + 1"), check, "broken_run"))
+        .union(unequal(risk.groupBy("key").agg(F.count("*").alias("n")), covered, ["key"], check, "coverage"))
+        .union(unequal(spells.select(made.columns), made, ["key", "spell_number"], check, "made_anew"))
+    )
 
 
 def metrics_add_up(metrics: DataFrame, transitions: DataFrame) -> DataFrame:
@@ -167,25 +201,74 @@ def metrics_add_up(metrics: DataFrame, transitions: DataFrame) -> DataFrame:
         "share": (F.col("starting_at_risk_count") == 0) != F.col("observed_exit_proportion").isNull(),
         "interval": (F.col("observed_exit_wilson_95_lower") > F.col("observed_exit_proportion") + 1e-9) | (F.col("observed_exit_wilson_95_upper") < F.col("observed_exit_proportion") - 1e-9),
     }
+    a, b, s, e = (F.coalesce(c, F.lit(False)) for c in ("observed_at_start", "observed_at_end", "start_at_risk", "end_at_risk"))
+    counts = {
+        "starting_at_risk_count": s, "ending_at_risk_count": e, "observed_exit_count": a & b & s & ~e, "still_at_risk_count": a & b & s & e,
+        "not_observed_count": s & ~b, "matched_entry_count": a & b & ~s & e, "newly_observed_count": e & ~a,
+    }
+    again = transitions.groupBy(*PAIR).agg(*(F.count(F.when(c, 1)).alias(name) for name, c in counts.items()))
     both = transitions.where("observed_at_start and observed_at_end").groupBy(*PAIR, "start_status", "end_status").agg(F.count("*").alias("n"))
-    top = both.groupBy(*PAIR).agg(F.max("n").alias("n"))
-    return first_reason(metrics, check, rules).union(unequal(top, metrics.where("largest_count is not null").select(*PAIR, F.col("largest_count").alias("n")), PAIR, check, "largest"))
+    top = both.groupBy(*PAIR).agg(F.min(F.struct(-F.col("n"), "start_status", "end_status")).alias("t"))
+    top = top.select(*PAIR, F.col("t.start_status").alias("largest_from_status"), F.col("t.end_status").alias("largest_to_status"), (-F.col("t.col1")).alias("largest_count"))
+    own = metrics.where("largest_count is not null").select(top.columns)
+    return first_reason(metrics, check, rules).union(unequal(metrics.select(again.columns), again, PAIR, check, "counts")).union(unequal(own, top, PAIR, check, "largest"))
 
 
-def diagnostics_add_up(diagnostic: DataFrame) -> DataFrame:
+def diagnostics_add_up(diagnostic: DataFrame, transitions: DataFrame) -> DataFrame:
+    """Bounds, grain, and the three measures counted anew, a row each, from the transitions."""
+    check = "diagnostics_add_up"
     rules = {"numerator": F.col("numerator_count") > F.col("denominator_count"), "value": (F.col("denominator_count") == 0) != F.col("measure_value").isNull()}
-    return first_reason(diagnostic, "diagnostics_add_up", rules).union(repeated(diagnostic, [*PAIR, "measure_name"], "diagnostics_add_up"))
+    there = F.coalesce("start_last_renewal_date_unparseable", F.lit(False)) | F.col("start_last_renewal_date").isNotNull()
+    gone = F.col("end_last_renewal_date").isNull() & ~F.coalesce("end_last_renewal_date_unparseable", F.lit(False))
+    seen = transitions.where("start_at_risk and observed_at_end").select(*PAIR, (~F.col("end_at_risk")).alias("leaves"), there.alias("there"), (there & gone).alias("clears"))
+    parts = {"conditional_precision": "clears", "eligible_exit_sensitivity": "leaves and there", "all_exit_sensitivity": "leaves"}
+    every = [seen.groupBy(*PAIR).agg(F.count(F.when(F.expr(of), 1)).alias("denominator_count"), F.count(F.when(F.expr(f"({of}) and leaves and clears"), 1)).alias("numerator_count")).withColumn("measure_name", F.lit(name)) for name, of in parts.items()]
+    again = every[0].unionByName(every[1]).unionByName(every[2])
+    grain = [*PAIR, "measure_name"]
+    own = diagnostic.select(again.columns).join(seen.select(*PAIR).distinct(), PAIR, "left_semi")
+    idle = diagnostic.join(seen.select(*PAIR).distinct(), PAIR, "left_anti").where("denominator_count <> 0 or numerator_count <> 0")
+    return first_reason(diagnostic, check, rules).union(repeated(diagnostic, grain, check)).union(unequal(own, again, grain, check, "counts")).union(fault(idle, check, "counts"))
+
+
+def claim_holds(claim: DataFrame, transitions: DataFrame, pairs: DataFrame, spec: PanelSpec) -> DataFrame:
+    """The claim's row made anew from the transitions of the first pair alone, with what the second pair adds."""
+    check = "claim_holds"
+    ends = pairs.agg(F.slice(F.array_sort(F.collect_list(F.struct(*PAIR_GAP))), 1, 2).alias("p"))  # pairs are a row for each release
+    first = ends.select(*(F.col("p")[0][c].alias(c) for c in PAIR_GAP), F.try_element_at("p", F.lit(2)).alias("second")).where("from_as_of_date is not null")
+    own = transitions.join(F.broadcast(first.select(*PAIR)), PAIR)  # one row
+    entry = F.coalesce(F.col("observed_at_start") & F.col("observed_at_end") & ~F.col("start_at_risk") & F.col("end_at_risk"), F.lit(False))
+    told = F.coalesce((F.col("start_status") == spec.claim_status) & F.col("end_at_risk"), F.lit(False))
+    counts = own.agg(F.count(F.when(told, 1)).alias("support_count"), F.count(F.when(entry, 1)).alias("support_denominator_count"), F.count(F.when(F.col("end_at_risk") & (entry | ~F.col("observed_at_start")), 1)).alias("total_entrant_count"))
+    dates = own.where(entry).groupBy(F.col("end_current_status_date").alias("date")).agg(F.count("*").alias("n"))
+    best = dates.agg(F.min(F.struct(-F.col("n"), F.col("date").isNull(), "date")).alias("d")).select(F.col("d.date").alias("dominant_status_date"), F.coalesce(-F.col("d.col1"), F.lit(0)).alias("dominant_status_date_count"))
+    made = first.select(*PAIR_GAP, F.col("second.from_as_of_date").alias("next_from_as_of_date"), F.col("second.gap_days").alias("next_gap_days")).crossJoin(F.broadcast(counts)).crossJoin(F.broadcast(best))  # one row each
+    shares = {"support_share": ("support_count", "support_denominator_count"), "dominant_status_date_share": ("dominant_status_date_count", "support_denominator_count")}
+    rules = {name: ~F.coalesce(F.abs(F.col(name) * F.col(n) - F.col(k)) < 1e-6, F.col(name).isNull() & (F.col(n) == 0)) for name, (k, n) in shares.items()}
+    return unequal(claim.select(made.columns), made, PAIR, check, "made_anew").union(first_reason(claim, check, rules))
+
+
+def staging_equals_landed(staged: DataFrame, landed: DataFrame, columns: dict[str, str], required: Sequence[str] = (), forbidden: Sequence[str] = ()) -> DataFrame:
+    """Every landed line is staged once, its texts trimmed and blank as null, and nothing else; names of columns that have
+    to be there, and parts of names that must not."""
+    check, line = "staging_equals_landed", [*RELEASE, "source_list", "source_line_no"]
+    plain = landed.select(*line, *(F.when(bare(raw) != "", bare(raw)).alias(name) for raw, name in columns.items()))
+    names = [f"missing:{c}" for c in required if c not in staged.columns] + [f"forbidden:{c}" for c in staged.columns if any(f in c.lower() for f in forbidden)]
+    named = staged.sparkSession.createDataFrame([(check, n) for n in names], "check_id string, failure_reason string")
+    return unequal(staged.select(*line, *columns.values()), plain, line, check, "lines").union(repeated(staged, line, check)).union(named)
 
 
 def eligibility_complete(classes: DataFrame, snapshots: DataFrame, organizations: DataFrame, latest: DataFrame) -> DataFrame:
     check = "eligibility_complete"
     keys = snapshots.select("key").distinct()
     public = organizations.select("key")
+    now = snapshots.join(F.broadcast(latest), (F.col("as_of_date") == F.col("published_as_of_date")) & (F.col("release_revision") == F.col("published_release_revision"))).select("key").distinct()  # one row
+    shown = organizations.where("latest_release_observation_state = 'observed'").select("key")
     return (
         unequal(classes.select("key"), keys, ["key"], check, "keys")
         .union(columns_hold(classes, check, ["eligibility_classification"], {"eligibility_classification": ELIGIBILITY}))
         .union(unequal(public, classes.where("eligibility_classification = 'eligible'").select("key"), ["key"], check, "public_keys"))
         .union(repeated(organizations, ["key"], check))
+        .union(unequal(shown, now.join(public, "key", "left_semi"), ["key"], check, "latest_flag"))
         .union(fault(latest.agg(F.count("*").alias("n")).where("n > 1"), check, "banner"))
     )
 
@@ -220,10 +303,13 @@ def totals_match(totals: DataFrame, golden: DataFrame, on: Sequence[str] = RELEA
     return first_reason(joined, "totals_match", {c: F.coalesce(f"a_{c}", F.lit(-1)) != F.coalesce(f"b_{c}", F.lit(-1)) for c in rest})
 
 
-def keys_exact(staged: DataFrame, landed_key: Column, federal: str = "federal_id") -> DataFrame:
-    """Keys are what was landed, trimmed, and were never filled from the federal id."""
-    filled = F.col("key").isNotNull() & (F.trim(landed_key) == "")
-    return first_reason(staged, "keys_exact", {"filled": filled, "from_federal_id": filled & (F.col("key") == F.col(federal))})
+def keys_exact(staged: DataFrame, landed: DataFrame, key: str = "State Charity Reg#", federal: str = "federal_id") -> DataFrame:
+    """Keys are what was landed, trimmed, line by line, and were never filled from the federal id."""
+    line = [*RELEASE, "source_list", "source_line_no"]
+    own = landed.select(*line, bare(key).alias("landed_key"))
+    joined = staged.select(*line, "key", F.col(federal).alias("federal")).join(own, line)
+    blank = F.coalesce(F.col("landed_key"), F.lit("")) == ""
+    return first_reason(joined, "keys_exact", {"changed": ~blank & ~F.col("key").eqNullSafe(F.col("landed_key")), "filled": blank & F.col("key").isNotNull(), "from_federal_id": blank & (F.col("key") == F.col("federal"))})
 
 
 def sequence_neighbours(sequence: DataFrame, snapshots: DataFrame) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from muster.adapters import SPEC, Panel, table
+from muster.adapters import CARRIED, SPEC, Panel, table
 from muster.contracts import ATTEMPT_KEYS, RELEASE
 from muster.functions.expr import normal_as_of_date
 from muster.functions.shared import fresh_path
@@ -18,7 +18,6 @@ from muster.sources import landing
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
-CARRIED = ("last_renewal_date", "last_renewal_date_unparseable", "current_status_date", "current_status_date_unparseable")
 ATTRIBUTES = SPEC.attributes
 
 _PAIR = ", ".join(metrics.PAIR)
@@ -147,10 +146,10 @@ WITH ord AS (
 """
 
 
-def query(sql: str | None = None) -> Callable:
+def query(sql: str | None = None, stored: Sequence[str] = ()) -> Callable:
     def add(f: Callable[[Panel], DataFrame]) -> Callable[[Panel], DataFrame]:
         name = f.__name__
-        QUERIES[name] = lambda spark, sf_dir: f(Panel(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: f(Panel(spark, sf_dir, stored))
         if sql is not None:
             ORACLE_SQL[name] = BASE + sql
         return f
@@ -210,7 +209,7 @@ def transitions(p: Panel) -> DataFrame:
 
 @query("SELECT * FROM matrix")
 def transition_matrix(p: Panel) -> DataFrame:
-    return metrics.transition_matrix(p.transitions)
+    return metrics.transition_matrix(p.cells)
 
 
 _TOP = f"""SELECT {_PAIR}, start_status AS largest_from_status, end_status AS largest_to_status, transition_count AS largest_count FROM matrix WHERE observed_at_start AND observed_at_end
@@ -222,15 +221,15 @@ _TOP = f"""SELECT {_PAIR}, start_status AS largest_from_status, end_status AS la
   observed_exit_count::DOUBLE / nullif(starting_at_risk_count, 0) AS observed_exit_proportion, largest_from_status, largest_to_status, largest_count,
   'matched_observed_entry_population_v1' AS matched_entry_denominator_id, 'all_entrant_population_v1' AS total_entrant_denominator_id,
   {_wilson("observed_exit_count", "starting_at_risk_count", "lower")} AS observed_exit_wilson_95_lower, {_wilson("observed_exit_count", "starting_at_risk_count", "upper")} AS observed_exit_wilson_95_upper
-  FROM counts LEFT JOIN ({_TOP}) USING ({_PAIR})""")
+  FROM counts LEFT JOIN ({_TOP}) USING ({_PAIR})""", stored=("cells",))
 def pair_metrics(p: Panel) -> DataFrame:
-    return metrics.pair_metrics(metrics.pair_counts(p.transitions), metrics.transition_matrix(p.transitions))
+    return metrics.pair_metrics(metrics.pair_counts(p.cells), metrics.transition_matrix(p.cells))
 
 
 @query(f"""SELECT {_PAIR}, gap_days, starting_at_risk_count, still_at_risk_count, observed_exit_count, not_observed_count, 'starting_published_delinquent_cohort_v1' AS persistence_denominator_id,
   still_at_risk_count::DOUBLE / nullif(starting_at_risk_count, 0) AS persistence_proportion FROM counts""")
 def cohort_persistence(p: Panel) -> DataFrame:
-    return metrics.cohort_persistence(metrics.pair_counts(p.transitions))
+    return metrics.cohort_persistence(metrics.pair_counts(p.cells))
 
 
 @query(f"""SELECT {_PAIR}, gap_days, 'release_quality_diagnostic' AS diagnostic_role, measure_name, denominator_definition_id, n AS diagnostic_eligible_count, k AS numerator_count, n AS denominator_count,
@@ -239,7 +238,7 @@ def cohort_persistence(p: Panel) -> DataFrame:
   SELECT *, 'eligible_exit_sensitivity', 'observed_exits_with_populated_start_v1', exit_clear_count, exit_populated_count FROM counts UNION ALL
   SELECT *, 'all_exit_sensitivity', 'all_observed_exits_v1', exit_clear_count, observed_exit_count FROM counts)""")
 def renewal_diagnostic(p: Panel) -> DataFrame:
-    return metrics.renewal_diagnostic(metrics.pair_counts(p.transitions))
+    return metrics.renewal_diagnostic(metrics.pair_counts(p.cells))
 
 
 @query(f"""SELECT r.as_of_date, r.release_revision, r.revision_fingerprint, parser_contract_version, 'F' AS category, c AS category_count, keyed AS keyed_record_count, total - keyed AS unkeyed_record_count,
@@ -283,9 +282,9 @@ _LEADS = ", ".join(f"lead({c}) OVER o AS next_{c}" for c in ("from_as_of_date",
   FROM (SELECT *, {_LEADS}, row_number() OVER o AS place,
           (SELECT count(*) FROM transitions t WHERE t.from_as_of_date = c.from_as_of_date AND observed_at_start AND start_status = 'O' AND end_at_risk) AS s FROM counts c WINDOW o AS (ORDER BY {_PAIR})) c
   LEFT JOIN (SELECT from_as_of_date AS f, end_current_status_date AS date, count(*) AS n FROM transitions WHERE transition_class = 'delinquency_entry_observed' GROUP BY from_as_of_date, end_current_status_date
-             QUALIFY row_number() OVER (PARTITION BY f ORDER BY n DESC, date NULLS LAST) = 1) d ON d.f = c.from_as_of_date WHERE place = 1""")
+             QUALIFY row_number() OVER (PARTITION BY f ORDER BY n DESC, date NULLS LAST) = 1) d ON d.f = c.from_as_of_date WHERE place = 1""", stored=("promoted", "transitions", "cells"))
 def claim_support(p: Panel) -> DataFrame:
-    found = metrics.pair_metrics(metrics.pair_counts(p.transitions), metrics.transition_matrix(p.transitions))
+    found = metrics.pair_metrics(metrics.pair_counts(p.cells), metrics.transition_matrix(p.cells))
     return metrics.claim_support(p.transitions, found, SPEC)
 
 
@@ -317,12 +316,12 @@ def membership_hash(p: Panel) -> DataFrame:
 
 @query("SELECT * FROM runs")
 def capture_runs(p: Panel) -> DataFrame:
-    return metrics.capture_runs(p.attempts())
+    return p.runs
 
 
 @query("SELECT *, NULL::VARCHAR AS supersedes_rule_id, NULL::BIGINT AS supersedes_rule_version FROM flags")
 def release_flags(p: Panel) -> DataFrame:
-    return metrics.release_flags(p.promoted, metrics.capture_runs(p.attempts()), p.records)
+    return metrics.release_flags(p.promoted, p.runs, p.records)
 
 
 @query("""SELECT p.as_of_date, p.release_revision, p.revision_fingerprint, p.parser_contract_version, CASE WHEN f.review = 0 THEN 'accepted_healthy' ELSE 'accepted_review' END AS release_health_state,
@@ -332,9 +331,9 @@ def release_flags(p: Panel) -> DataFrame:
   FROM promoted p JOIN (SELECT as_of_date, count(*) AS n, count(*) FILTER (result = 'pass') AS pass, count(*) FILTER (result = 'review') AS review,
     string_agg(DISTINCT rule_id || ':' || rule_version || ':' || parameter_version, ',' ORDER BY rule_id || ':' || rule_version || ':' || parameter_version) AS rules FROM flags WHERE scope = 'release' GROUP BY as_of_date) f USING (as_of_date)
   LEFT JOIN (SELECT revision_fingerprint, count(*) AS n, count(*) FILTER (normalized_outcome IN ('accepted', 'recovered')) AS ok, count(*) FILTER (normalized_outcome = 'rejected') AS bad,
-    count(*) FILTER (normalized_outcome = 'no_new_release') AS none FROM runs GROUP BY revision_fingerprint) c ON c.revision_fingerprint = p.revision_fingerprint""")
+    count(*) FILTER (normalized_outcome = 'no_new_release') AS none FROM runs GROUP BY revision_fingerprint) c ON c.revision_fingerprint = p.revision_fingerprint""", stored=("promoted", "runs"))
 def release_quality(p: Panel) -> DataFrame:
-    runs = metrics.capture_runs(p.attempts())
+    runs = p.runs
     return metrics.release_quality(p.promoted, metrics.release_flags(p.promoted, runs, p.records), runs)
 
 
@@ -345,21 +344,21 @@ def publication_status(p: Panel) -> DataFrame:
 
 @query("SELECT key, eligibility_classification, classification_version FROM classes")
 def public_eligibility(p: Panel) -> DataFrame:
-    return publish.eligibility(p.snapshots, p.classifications())
+    return p.classes
 
 
 @query(f"""SELECT s.key, organization_name, city, state, status AS latest_status, at_risk AS latest_at_risk, as_of_date AS latest_as_of_date, release_revision AS latest_release_revision,
-  revision_fingerprint AS latest_revision_fingerprint, '{publish.INSTRUCTIONS.replace("'", "''")}' AS official_verification_instructions,
+  revision_fingerprint AS latest_revision_fingerprint, '{SPEC.instructions.replace("'", "''")}' AS official_verification_instructions,
   CASE WHEN ordinal = (SELECT max(ordinal) FROM spine) THEN 'observed' ELSE 'not_observed' END AS latest_release_observation_state
   FROM snapshots s JOIN classes c ON s.key = c.key AND eligibility_classification = 'eligible' QUALIFY row_number() OVER (PARTITION BY s.key ORDER BY ordinal DESC) = 1""")
 def public_organizations(p: Panel) -> DataFrame:
-    return publish.organizations(p.snapshots, publish.eligibility(p.snapshots, p.classifications()), p.promoted, ATTRIBUTES)
+    return publish.organizations(p.snapshots, p.classes, p.promoted, ATTRIBUTES, SPEC.instructions)
 
 
 @query("""SELECT c.key, r.as_of_date, r.release_revision, r.revision_fingerprint, CASE WHEN s.key IS NULL THEN 'not_observed' ELSE 'observed' END AS observation_state, organization_name, city, state, status, at_risk
   FROM classes c CROSS JOIN promoted r LEFT JOIN snapshots s ON s.key = c.key AND s.as_of_date = r.as_of_date WHERE eligibility_classification = 'eligible'""")
 def public_observations(p: Panel) -> DataFrame:
-    return publish.observations(p.snapshots, publish.eligibility(p.snapshots, p.classifications()), p.promoted, ATTRIBUTES)
+    return publish.observations(p.snapshots, p.classes, p.promoted, ATTRIBUTES)
 
 
 @query("""SELECT code, rank, source_list, line_no, count FROM (
@@ -424,7 +423,7 @@ def publication_manifest(p: Panel) -> DataFrame:
 @query("""SELECT attempt_id, normalized_outcome, ended_at_utc, coalesce(normalized_outcome = 'rejected' OR normalized_outcome IN ('accepted', 'recovered') AND NOT coalesce(revision_fingerprint IN (SELECT revision_fingerprint FROM promoted), false), true) AS warning
   FROM runs ORDER BY ended_at_utc DESC NULLS LAST, attempt_id DESC LIMIT 1""")
 def capture_status(p: Panel) -> DataFrame:
-    return publish.capture_status(metrics.capture_runs(p.attempts()), p.promoted)
+    return publish.capture_status(p.runs, p.promoted)
 
 
 def attempt_bodies(attempts: DataFrame) -> DataFrame:
@@ -453,17 +452,37 @@ def attempt_documents(p: Panel) -> DataFrame:
     return found.select("attempt_id", "attempt_shape", "raw_status", "schema_version")
 
 
-@query("SELECT NULL::VARCHAR AS check_id, NULL::VARCHAR AS failure_reason WHERE false")
+STORED = ("revisions", "promoted", "staged", "records", "panel_records", "snapshots", "sequence", "transitions", "cells", "spells", "runs", "classes")
+
+
+@query("SELECT NULL::VARCHAR AS check_id, NULL::VARCHAR AS failure_reason WHERE false", stored=STORED)
 def panel_checks(p: Panel) -> DataFrame:
     """Checks of the whole panel; no rows if all is well."""
-    counts, matrix = metrics.pair_counts(p.transitions), metrics.transition_matrix(p.transitions)
-    found = metrics.pair_metrics(counts, matrix)
+    return united(every_panel_check(p))
+
+
+@query("SELECT NULL::VARCHAR AS check_id, NULL::VARCHAR AS failure_reason WHERE false", stored=STORED)
+def publication_checks(p: Panel) -> DataFrame:
+    return united(every_publication_check(p))
+
+
+def united(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for one in frames[1:]:
+        out = out.union(one)
+    return out
+
+
+def every_panel_check(p: Panel) -> list[DataFrame]:
+    counts = metrics.pair_counts(p.cells)
+    found = metrics.pair_metrics(counts, metrics.transition_matrix(p.cells))
     flat = panel.sequence_columns(p.sequence)
-    runs = metrics.capture_runs(p.attempts())
-    every = [
+    return [
         checks.pairs_positive(p.pairs),
         checks.blank_status_excluded(p.records),
-        checks.capture_runs_normal(runs),
+        checks.capture_runs_normal(p.runs),
+        checks.staging_equals_landed(p.staged, p.landed, panel.STAGED, panel.STAGED_DATES.values(), ("accepted_submission", "exact_onset", "onset_date")),
+        checks.keys_exact(p.staged, p.landed),
         checks.dispositions_reconcile(p.records, p.staged, p.promoted),
         checks.coverage_reconciles(metrics.population_coverage(p.records), p.records),
         checks.promotion_holds(p.promoted, p.revisions, p.pointers),
@@ -472,24 +491,58 @@ def panel_checks(p: Panel) -> DataFrame:
         checks.pairs_are_adjacent(p.transitions, p.pairs),
         checks.spells_hold(p.spells, flat),
         checks.metrics_add_up(found, p.transitions),
-        checks.diagnostics_add_up(metrics.renewal_diagnostic(counts)),
-        checks.flags_hold(metrics.release_flags(p.promoted, runs, p.records)),
+        checks.diagnostics_add_up(metrics.renewal_diagnostic(counts), p.transitions),
+        checks.claim_holds(metrics.claim_support(p.transitions, found, SPEC), p.transitions, p.pairs, SPEC),
+        checks.flags_hold(metrics.release_flags(p.promoted, p.runs, p.records)),
         checks.sequence_neighbours(flat, p.snapshots),
     ]
-    out = every[0]
-    for one in every[1:]:
-        out = out.union(one)
-    return out
 
 
-@query("SELECT NULL::VARCHAR AS check_id, NULL::VARCHAR AS failure_reason WHERE false")
-def publication_checks(p: Panel) -> DataFrame:
-    classes = publish.eligibility(p.snapshots, p.classifications())
-    organizations = publish.organizations(p.snapshots, classes, p.promoted, ATTRIBUTES)
-    grid = publish.observations(p.snapshots, classes, p.promoted, ATTRIBUTES)
-    snapshots = checks.snapshots_reconcile(p.snapshots, p.panel_records, SPEC)
-    complete = checks.eligibility_complete(classes, p.snapshots, organizations, metrics.publication_status(p.promoted))
-    return snapshots.union(complete).union(checks.public_grid_complete(grid, organizations, p.promoted)).union(checks.pairs_are_promoted(p.transitions, p.promoted))
+def every_publication_check(p: Panel) -> list[DataFrame]:
+    organizations = publish.organizations(p.snapshots, p.classes, p.promoted, ATTRIBUTES, SPEC.instructions)
+    grid = publish.observations(p.snapshots, p.classes, p.promoted, ATTRIBUTES)
+    return [
+        checks.snapshots_reconcile(p.snapshots, p.panel_records, SPEC),
+        checks.eligibility_complete(p.classes, p.snapshots, organizations, metrics.publication_status(p.promoted)),
+        checks.public_grid_complete(grid, organizations, p.promoted),
+        checks.pairs_are_promoted(p.transitions, p.promoted),
+    ]
+
+
+#: What damaged() does to each frame, and the reasons that the checks must give for it.
+DAMAGE_FOUND = {
+    "claim_holds": ["made_anew"], "coverage_reconciles": ["groups", "totals"], "diagnostics_add_up": ["counts"], "eligibility_complete": ["latest_flag"], "keys_exact": ["changed"],
+    "metrics_add_up": ["counts"], "public_grid_complete": ["rows"], "sequence_neighbours": ["neighbours"], "snapshots_reconcile": ["lines", "totals"], "spells_hold": ["coverage", "made_anew"],
+    "staging_equals_landed": ["lines"], "transitions_complete": ["endpoints"],
+}
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{r}')" for c, reasons in DAMAGE_FOUND.items() for r in reasons) + ") AS t(check_id, failure_reason)", stored=STORED)
+def damaged_panel(p: Panel) -> DataFrame:
+    """The checks on frames that lack or change some rows: each must give its reasons, and no other."""
+    k = F.xxhash64("key") % 3 == 0
+    some = p.transitions.where(~(k & F.col("end_at_risk"))).union(p.transitions.where(k & F.col("end_at_risk") & F.col("end_at_risk").isNull()))
+    less = metrics.pair_counts(metrics.transition_cells(some))
+    found = metrics.pair_metrics(less, metrics.transition_matrix(p.cells))
+    kept = p.snapshots.where(~k)
+    organizations = publish.organizations(p.snapshots, p.classes, p.promoted, ATTRIBUTES).withColumn("latest_release_observation_state", F.when(k, "not_observed").otherwise(F.col("latest_release_observation_state")))
+    flat = panel.sequence_columns(p.sequence)
+    changed = p.staged.withColumn("key", F.when(k, F.concat(F.lit("0"), "key")).otherwise(F.col("key")))
+    every = [
+        checks.claim_holds(metrics.claim_support(some, found, SPEC), p.transitions, p.pairs, SPEC),
+        checks.coverage_reconciles(metrics.population_coverage(p.records.where(~F.coalesce(k, F.lit(True)))), p.records),
+        checks.diagnostics_add_up(metrics.renewal_diagnostic(metrics.pair_counts(metrics.transition_cells(p.transitions.where(~(k & F.col("start_at_risk")) | F.col("start_at_risk").isNull())))), p.transitions),
+        checks.eligibility_complete(p.classes, p.snapshots, organizations, metrics.publication_status(p.promoted)),
+        checks.keys_exact(changed, p.landed),
+        checks.staging_equals_landed(changed, p.landed, panel.STAGED),
+        checks.metrics_add_up(found, p.transitions).where("failure_reason <> 'largest'"),
+        checks.public_grid_complete(publish.observations(kept, p.classes, p.promoted, ATTRIBUTES), organizations, p.promoted),
+        checks.sequence_neighbours(flat, kept),
+        checks.snapshots_reconcile(kept, p.panel_records, SPEC),
+        checks.spells_hold(p.spells.where(~k), flat),
+        checks.transitions_complete(some, p.snapshots, p.pairs),
+    ]
+    return united(every).distinct()
 
 
 def sensitive_text(spark: SparkSession, sf_dir: str) -> DataFrame:

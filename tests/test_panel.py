@@ -116,8 +116,8 @@ def test_checks_pass_on_panels_and_fail_on_mutations(spark):
     revisions, promoted, staged, records, snapshots, sequence = frames(spark, random_panel(7, 25))
     pairs, found = panel.adjacent_pairs(promoted), panel.transitions(sequence, promoted)
     spells, flat = panel.spells(sequence), panel.sequence_columns(sequence)
-    matrix = metrics.transition_matrix(found)
-    pair_metrics = metrics.pair_metrics(metrics.pair_counts(found), matrix)
+    matrix = metrics.transition_matrix(metrics.transition_cells(found))
+    pair_metrics = metrics.pair_metrics(metrics.pair_counts(metrics.transition_cells(found)), matrix)
     for rows in (
         checks.pairs_positive(pairs), checks.transitions_classified(found), checks.transitions_complete(found, snapshots, pairs), checks.pairs_are_adjacent(found, pairs),
         checks.pairs_are_promoted(found, promoted), checks.spells_hold(spells, flat), checks.metrics_add_up(pair_metrics, found), checks.sequence_neighbours(flat, snapshots),
@@ -174,7 +174,7 @@ def test_empty_panel(spark):
     _, promoted, _, records, snapshots, sequence = frames(spark, {("a", 0): "D"})
     none = sequence.where("false")
     assert panel.spells(none).count() == panel.transitions(none, promoted).count() == 0
-    assert metrics.transition_matrix(panel.transitions(none, promoted)).count() == 0
+    assert metrics.transition_matrix(metrics.transition_cells(panel.transitions(none, promoted))).count() == 0
 
 
 def test_exact_membership(spark):
