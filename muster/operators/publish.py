@@ -74,8 +74,9 @@ def lookup(rows: DataFrame, key: str, order: Sequence[str] = RELEASE) -> DataFra
     return found.orderBy(*order)
 
 
-def csv_line(df: DataFrame, columns: Sequence[str]) -> Column:
-    """One line of an export: text in quotes with quotes doubled, null as nothing, dates in ISO form."""
+def csv_line(df: DataFrame, columns: Sequence[str], places: int | None = None) -> Column:
+    """One line of an export: text in quotes with quotes doubled, null as nothing, dates in ISO form; with `places`,
+    fractions are rounded to so many."""
     kinds = dict(df.dtypes)
 
     def cell(name: str) -> Column:
@@ -84,6 +85,8 @@ def csv_line(df: DataFrame, columns: Sequence[str]) -> Column:
             return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
         if kinds[name] == "date":
             return F.date_format(c, "yyyy-MM-dd")
+        if kinds[name] == "double" and places is not None:
+            return c.cast(f"decimal(20,{places})").cast("string")
         return c.cast("string")
 
     return F.concat_ws(",", *(F.coalesce(cell(c), F.lit("")) for c in columns))
@@ -103,13 +106,13 @@ def export_csv(df: DataFrame, path: str, columns: Sequence[str], grain: Sequence
     df.sparkSession.createDataFrame([(",".join(columns),)], "line string").coalesce(1).write.mode("errorifexists").text(f"{path}/header")
 
 
-def export_faults(df: DataFrame, columns: Sequence[str], grain: Sequence[str], aggregate: bool) -> DataFrame:
+def export_faults(df: DataFrame, columns: Sequence[str], grain: Sequence[str], aggregate: bool, identity: Sequence[str] = IDENTITY) -> DataFrame:
     """What speaks against publishing: columns other than listed, a grain that repeats, identities in an aggregate."""
     spark = df.sparkSession
     faults = []
     if tuple(df.columns) != tuple(columns):
         faults.append("columns")
-    if aggregate and set(df.columns) & set(IDENTITY):
+    if aggregate and set(df.columns) & set(identity):
         faults.append("identity_columns")
     fixed = spark.createDataFrame([(f,) for f in faults], "failure_reason string")
     if not set(grain) <= set(df.columns):
@@ -119,8 +122,9 @@ def export_faults(df: DataFrame, columns: Sequence[str], grain: Sequence[str], a
 
 
 def content_fingerprint(df: DataFrame, name: str, columns: Sequence[str], grain: Sequence[str]) -> DataFrame:
-    """A manifest row: number of rows, and an order-free digest of the lines."""
-    line = F.sha2(csv_line(df, columns), 256)
+    """A manifest row: number of rows, and an order-free digest of the lines, fractions rounded to nine places so that it
+    doesn't hang on a last bit."""
+    line = F.sha2(csv_line(df, columns, 9), 256)
     part = lambda at: F.sum(F.conv(F.substring(line, at, 12), 16, 10).cast("bigint") % 1_000_000_007)
     return df.agg(F.count("*").alias("row_count"), F.coalesce(part(1), F.lit(0)).alias("digest_a"), F.coalesce(part(13), F.lit(0)).alias("digest_b")).select(
         F.lit(name).alias("export"), "row_count", "digest_a", "digest_b", F.lit(",".join(grain)).alias("grain")

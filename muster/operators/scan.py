@@ -1,36 +1,57 @@
 """Detectors for sensitive text in the rows of a table. They tell where and how often, never what.
 
-Patterns use ASCII classes, so that results are the same in engines without Unicode classes."""
+Digits and letters of the patterns are ASCII, so that results are the same in engines without Unicode classes."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The detectors' patterns.
-PATTERNS = {
-    "federal_id": r"\b[0-9]{2}-[0-9]{7}\b",
-    "phone": r"(?:\+?1[-. ]?)?\(?[0-9]{3}\)?[-. ][0-9]{3}[-. ][0-9]{4}\b",
-    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}",
-    "windows_path": r"\b[A-Za-z]:\\[A-Za-z0-9_.\\-]+",
-    "home_path": r"/(?:Users|home)/[A-Za-z0-9_.-]+",
-}
-LABELLED_ID = r"(?i)(?:\bfein\b|\bein\b|federal id|employer identification).{0,40}?\b[0-9]{9}\b"
-ADDRESS = r"\b[0-9]{1,6} (?:[A-Z][A-Za-z'.-]* ){1,4}(?:Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd|Lane|Ln|Drive|Dr|Court|Ct|Way|Place|Pl)\b"
-COUNTED = r"(?i)^[0-9]+ (?:of|records|rows|days|organizations) "
-URL = r"https?://[^\s\"'<>]+"
+# The detectors' patterns, labels and lists.
+FEDERAL_ID = r"\b[0-9]{2}-[0-9]{7}\b"
+NINE_DIGITS = r"\b[0-9]{9}\b"
+LABEL, LABEL_WINDOW = r"(?:FEIN|EIN|Federal\s+(?:Employer|Tax)\s+ID(?:entification)?(?:\s+Number)?)", 40
+PHONE = r"\b[0-9]{3}-[0-9]{3}-[0-9]{4}\b"
+EMAIL = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"
+WINDOWS_PATH = r"\b[A-Za-z]:[\\/][^\s\"'<>|]*"
+HOME_PATH = r"/(?:Users|home)/[^\s\"'<>|]*"
+ADDRESS = r"(?i)\b[0-9]{1,6}\s+[A-Za-z0-9.'-]+(?:\s+[A-Za-z0-9.'-]+){0,3}\s+(?:St|Street|Ave|Avenue|Blvd|Boulevard|Rd|Road|Dr|Drive|Ln|Lane|Way|Ct|Court)\b"
+URL = r"(?i)https?://[^\s\"'<>]+"
 JOIN_KEYS = ("fein", "ein", "ssn")
+COUNTED, COUNTED_END, PLACE_BEFORE, BEFORE = ("files", "records", "rows", "documents"), r"\s+the\s+same\s+way$", r"(?i)\b(?:address|mailing|located|location|street)\b", 80
+
+#: Detectors that are one pattern.
+PATTERNS = {"federal_id": FEDERAL_ID, "phone": PHONE, "email": EMAIL, "windows_path": WINDOWS_PATH, "home_path": rf"(?<![A-Za-z0-9_/]){HOME_PATH}"}
+#: Nine digits with a label that begins and ends in the characters before, line ends among them.
+LABELLED_ID = rf"(?is)(?<=(?={LABEL}).{{3,{LABEL_WINDOW}}}){NINE_DIGITS}"
+
+
+def addresses(body: Column) -> Column:
+    """How many addresses the text has. '12 of the records the same way' and its like are counted things, no address,
+    unless a word for a place is before or a comma behind. The text around a match is what lies between the matches."""
+    found = F.regexp_extract_all(body, F.lit(f"({ADDRESS})"), F.lit(1))
+    between = F.split(body, ADDRESS)
+    at = F.when(F.size(found) > 0, F.sequence(F.lit(1), F.size(found))).otherwise(F.array().cast("array<int>"))
+
+    def counted(i: Column) -> Column:
+        low = F.lower(F.element_at(found, i))
+        before = F.substring(F.concat(F.lit(" " * BEFORE), F.aggregate(F.slice(F.arrays_zip(between.alias("a"), found.alias("b")), 1, i), F.lit(""), lambda t, x: F.right(F.concat(t, x["a"], F.coalesce(x["b"], F.lit(""))), F.lit(4000)))), 1, 1 << 20)
+        before = F.right(F.substring(before, F.lit(1), F.length(before) - F.length(low)), F.lit(BEFORE))
+        inside = F.regexp_replace(F.regexp_replace(low, COUNTED_END, ""), r"^[0-9]+\s+", "")
+        words = low.rlike(COUNTED_END) & inside.rlike(rf"(^|\s)(?:{'|'.join(COUNTED)})(\s|$)")
+        return words & ~before.rlike(PLACE_BEFORE) & ~F.coalesce(F.element_at(between, i + 1), F.lit("")).rlike(r"^\s?,")
+
+    return F.size(F.filter(at, lambda i: ~counted(i)))
 
 
 def findings(df: DataFrame, key: str, text: str, allowed_urls: tuple[str, ...] = ()) -> DataFrame:
     """(category, key, count) of each row with findings; one pass over the text."""
     body = F.coalesce(F.col(text), F.lit(""))
-    addresses = F.filter(F.regexp_extract_all(body, F.lit(ADDRESS), F.lit(0)), lambda a: ~a.rlike(COUNTED))
     query = lambda u: F.lower(F.coalesce(F.try_parse_url(u, F.lit("QUERY")), F.lit("")))
     place = lambda u: F.concat(F.coalesce(F.try_parse_url(u, F.lit("HOST")), F.lit("")), F.coalesce(F.try_parse_url(u, F.lit("PATH")), F.lit("")))
     urls = F.filter(F.regexp_extract_all(body, F.lit(URL), F.lit(0)), lambda u: query(u).rlike(rf"(^|&)({'|'.join(JOIN_KEYS)})=") & ~F.coalesce(place(u).isin(*allowed_urls), F.lit(False)))
     counts = {name: F.regexp_count(body, F.lit(p)) for name, p in PATTERNS.items()}
-    counts |= {"labelled_id": F.regexp_count(body, F.lit(LABELLED_ID)), "street_address": F.size(addresses), "join_url": F.size(urls)}
+    counts |= {"labelled_id": F.regexp_count(body, F.lit(LABELLED_ID)), "street_address": addresses(body), "join_url": F.size(urls)}
     each = F.explode(F.array(*(F.struct(F.lit(name).alias("category"), c.cast("bigint").alias("n")) for name, c in sorted(counts.items()))))
     return df.select(F.col(key).alias("row_id"), each.alias("f")).select("f.category", "row_id", F.col("f.n").alias("finding_count")).where("finding_count > 0")
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from muster.adapters import CARRIED, SPEC, Panel, table
 from muster.contracts import ATTEMPT_KEYS, RELEASE
 from muster.functions.expr import normal_as_of_date
 from muster.functions.shared import fresh_path
-from muster.operators import metrics, panel, publish, scan, validation
+from muster.operators import exports, metrics, panel, publish, scan, validation
 from muster.plans import checks
 from muster.sources import landing
 
@@ -550,4 +551,97 @@ def sensitive_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["sensitive_text"] = sensitive_text
-ORACLE_SQL["sensitive_text"] = "SELECT category, doc_id AS row_id, n::BIGINT AS finding_count FROM (" + " UNION ALL ".join(f"SELECT '{name}' AS category, doc_id, len(regexp_extract_all(coalesce(text, ''), '{p}')) AS n FROM documents" for name, p in {**scan.PATTERNS, "labelled_id": scan.LABELLED_ID}.items()) + ") WHERE n > 0"
+
+
+def _sensitive_sql() -> str:
+    """All eight detectors, without look-behind: what it would look at is matched, or taken from the pieces between."""
+    body = "coalesce(text, '')"
+    q = lambda p: p.replace("'", "''")
+    one = {name: f"len(regexp_extract_all({body}, '{q(p)}'))" for name, p in scan.PATTERNS.items() if name != "home_path"}
+    one["home_path"] = f"len(regexp_extract_all({body}, '{q('(?:^|[^A-Za-z0-9_/])' + scan.HOME_PATH)}'))"
+    one["join_url"] = f"len(list_filter(regexp_extract_all({body}, '{q(scan.URL)}'), lambda u: regexp_matches(u, '(?i)^[^?#]*\\?([^#]*&)?({'|'.join(scan.JOIN_KEYS)})=')))"
+    rows = [f"SELECT '{name}' AS category, doc_id, {n} AS n FROM documents" for name, n in one.items()]
+
+    def pieces(pattern: str, keep: str) -> str:
+        """A row for each match, with all text before and after it."""
+        return f"""SELECT doc_id, count(*) AS n FROM (
+          SELECT doc_id, m[i] AS match, array_to_string(flatten(list_transform(list_zip(b[1:i - 1], m[1:i - 1]), lambda x: [x[1], x[2]])), '') || b[i] AS before, b[i + 1] AS after FROM (
+            SELECT doc_id, regexp_extract_all({body}, '{q(pattern)}') AS m, string_split_regex({body}, '{q(pattern)}') AS b FROM documents), unnest(range(1, len(m) + 1)) AS t(i)) WHERE {keep} GROUP BY doc_id"""
+
+    rows.append("SELECT 'labelled_id', * FROM (" + pieces(scan.NINE_DIGITS, f"regexp_matches(right(before, {scan.LABEL_WINDOW}), '(?i){scan.LABEL}')") + ")")
+    counted = f"regexp_matches(lower(match), '{scan.COUNTED_END}') AND regexp_matches(lower(match), '^[0-9]+(\\s+\\S+)*\\s+(?:{'|'.join(scan.COUNTED)})(\\s+\\S+)*\\s+the\\s+same\\s+way$')"
+    rows.append("SELECT 'street_address', * FROM (" + pieces(scan.ADDRESS, f"NOT ({counted} AND NOT regexp_matches(right(before, {scan.BEFORE}), '{scan.PLACE_BEFORE}') AND NOT regexp_matches(after, '^\\s?,'))") + ")")
+    return "SELECT category, doc_id AS row_id, n::BIGINT AS finding_count FROM (" + " UNION ALL ".join(rows) + ") WHERE n > 0"
+
+
+ORACLE_SQL["sensitive_text"] = _sensitive_sql()
+
+
+def located_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line of each finding of a single pattern."""
+    return scan.located(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+QUERIES["located_text"] = located_text
+ORACLE_SQL["located_text"] = "SELECT category, row_id, line_no, n::BIGINT AS finding_count FROM (" + " UNION ALL ".join(
+    f"SELECT '{name}' AS category, row_id, line_no, len(regexp_extract_all(line, '{(p if name != 'home_path' else '(?:^|[^A-Za-z0-9_/])' + scan.HOME_PATH).replace(chr(39), chr(39) * 2)}')) AS n FROM lines" for name, p in scan.PATTERNS.items()
+) + ") WHERE n > 0"
+ORACLE_SQL["located_text"] = "WITH lines AS (SELECT doc_id AS row_id, i AS line_no, l[i] AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents), unnest(range(1, len(l) + 1)) AS t(i)) " + ORACLE_SQL["located_text"]
+
+
+def marts(p: Panel) -> dict[str, DataFrame]:
+    """Every mart that is exported, by name."""
+    counts = metrics.pair_counts(p.cells)
+    found = metrics.pair_metrics(counts, metrics.transition_matrix(p.cells))
+    return {
+        "public_organizations": publish.organizations(p.snapshots, p.classes, p.promoted, ATTRIBUTES, SPEC.instructions),
+        "public_observations": publish.observations(p.snapshots, p.classes, p.promoted, ATTRIBUTES),
+        "pair_metrics": found,
+        "claim_support": metrics.claim_support(p.transitions, found, SPEC),
+        "renewal_diagnostic": metrics.renewal_diagnostic(counts),
+        "publication_status": metrics.publication_status(p.promoted),
+        "population_coverage": metrics.population_coverage(p.records),
+        "release_quality": metrics.release_quality(p.promoted, metrics.release_flags(p.promoted, p.runs, p.records), p.runs),
+        "snapshot_metrics": metrics.snapshot_metrics(p.records, p.promoted, SPEC),
+        "status_age": metrics.status_age(p.snapshots),
+        "spell_censoring": metrics.spell_censoring(p.spells),
+        "cohort_persistence": metrics.cohort_persistence(counts),
+    }
+
+
+def _exports_sql() -> str:
+    """The manifest over the marts' own SQL; a cell's form follows its type."""
+    cell = lambda c: f"""coalesce(CASE WHEN typeof({c}) = 'VARCHAR' THEN '"' || replace({c}::VARCHAR, '"', '""') || '"' WHEN typeof({c}) = 'DOUBLE' THEN TRY_CAST(TRY_CAST({c}::VARCHAR AS DOUBLE) AS DECIMAL(20, 9))::VARCHAR ELSE {c}::VARCHAR END, '')"""
+    rows = []
+    for name, e in sorted(exports.EXPORTS.items()):
+        mart = ORACLE_SQL[e.mart].removeprefix(BASE)
+        line = " || ',' || ".join(cell(own) for own in e.columns.values())
+        half = "CAST('0x' || substr(h, {at}, 12) AS BIGINT) % 1000000007"
+        rows.append(f"SELECT '{name}' AS export, count(*) AS row_count, coalesce(sum({half.format(at=1)}), 0)::BIGINT AS digest_a, coalesce(sum({half.format(at=13)}), 0)::BIGINT AS digest_b, '{','.join(e.grain)}' AS grain FROM (SELECT sha256({line}) AS h FROM ({mart}))")
+    return f"SELECT *, (SELECT count(*) FROM promoted) AS release_count, (SELECT count(*) FROM classes WHERE eligibility_classification = 'eligible') AS eligible_count FROM ({' UNION ALL '.join(rows)})"
+
+
+@query(_exports_sql(), stored=STORED)
+def publication_exports(p: Panel) -> DataFrame:
+    """The manifest of all twelve exports: rows, digests of their lines, grain, releases and eligible keys."""
+    frames = marts(p)
+    entries = {name: (exports.exported(frames[e.mart], e), tuple(e.columns), e.grain) for name, e in exports.EXPORTS.items()}
+    eligible = p.classes.agg(F.count(F.when(F.col("eligibility_classification") == "eligible", 1)).alias("eligible_count"))
+    return publish.manifest(entries, p.promoted).crossJoin(F.broadcast(eligible))  # one row
+
+
+@query("SELECT * FROM (VALUES ('mart_release_quality', 'columns'), ('mart_status_age', 'grain_not_unique'), ('dim_public_organizations', 'eligible_keys'), ('mart_named', 'identity_columns')) AS t(export, failure_reason)", stored=STORED)
+def publication_gate(p: Panel) -> DataFrame:
+    """The gate over all exports, which gives nothing for them, and over four broken ones."""
+    frames = marts(p)
+    good = {name: exports.exported(frames[e.mart], e) for name, e in exports.EXPORTS.items()}
+    passed = [exports.gate(df, exports.EXPORTS[name]) for name, df in good.items()]
+    age = exports.EXPORTS["mart_source_reported_status_age"]
+    named = replace(exports.EXPORTS["dim_public_organizations"], name="mart_named", named=False)
+    broken = [
+        exports.gate(good["mart_release_quality"].drop("capture_failed_count"), exports.EXPORTS["mart_release_quality"]),
+        exports.gate(good[age.name].union(good[age.name]), replace(age, name="mart_status_age")),
+        exports.gate(good["dim_public_organizations"], named),
+        exports.eligible_keys_agree(good["dim_public_organizations"].where("latest_release_observation_state = 'observed'"), p.classes),
+    ]
+    return united([*passed, exports.eligible_keys_agree(good["dim_public_organizations"], p.classes), *broken])
