@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -10,21 +9,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from muster.functions.shared import shared_dir
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where the session names none."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="spark-muster-")
-        spark.sparkContext.setCheckpointDir(named)
-        named = spark.sparkContext.getCheckpointDir()
-    return named.rstrip("/")
-
-
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """The frame as a table in the shared folder: its lineage ends there, and lost executors don't lose it."""
     spark = df.sparkSession

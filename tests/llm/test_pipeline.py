@@ -65,3 +65,20 @@ def test_tokens_decode_to_the_texts(stages):
 def test_run_gives_what_the_stages_give(spark, stages):
     got = corpus_pipeline.run(spark, DATA)
     assert got.exceptAll(stages[5]).count() == stages[5].exceptAll(got).count() == 0
+
+
+def test_odd_rows_pass_the_stages(spark, tmp_path):
+    """Nulls in every column, empty and long texts, repeated rows, names that the stages use themselves; and no rows."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, odd string, tid int, times int, sid int, key string, epoch int"
+    extra = (0.5, "o", 1, 2, 3, "k", 4)
+    words = " ".join(f"word{i}" for i in range(60))
+    rows = [(1, words, "en", "src1", 300, *extra)] * 3 + [(2, words + " more", None, None, None, *extra), (3, None, "en", "src1", 0, *extra), (4, "", "en", "src1", 0, *extra), (None, "an id is missing here", "en", "src1", 1, *extra)]
+    rows += [(5, "mail a.b@c.example.com " * 3000, "de", "src2", 9, *extra), (6, "quite another text of its own", "fr", "src3", 9, *([None] * 7))]
+    labels = spark.read.parquet(f"{DATA}/labels.parquet").where("doc_id < 0")
+    for name, some in (("odd", rows), ("none", [])):
+        path = str(tmp_path / name)
+        spark.createDataFrame(some, schema).write.parquet(f"{path}/documents.parquet")
+        labels.write.parquet(f"{path}/labels.parquet")
+    kept = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path / "odd")).collect()}
+    assert kept == {1, None, 5, 6}
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
