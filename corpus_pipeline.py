@@ -1,4 +1,10 @@
-"""A corpus from raw documents to token ids, in five stages that are each written and read again."""
+"""A corpus from raw documents to token ids, in five stages that are each written and read again.
+
+Nulls: documents without text or words pass the first three stages (nothing speaks against them, they are like no other
+and hold no personal data) and are never taken by the mix. Documents without an id stay as they are; null languages and
+sources are leaves of the mix. Of repeated rows and near copies one row stays. Further columns, whatever they are called,
+are carried to the last stage, which returns ids and digests. An empty table gives no rows.
+"""
 
 from __future__ import annotations
 
