@@ -148,9 +148,10 @@ def classification_faults(rows: DataFrame) -> DataFrame:
 
 
 def landed_table(df: DataFrame, path: str) -> None:
-    """Landed records with their release's identity as Zstandard Parquet, partitioned by release, in order of lines."""
-    sorted_rows = df.repartition("as_of_date", "release_revision", "source_list").sortWithinPartitions("source_list", "source_line_no")
-    sorted_rows.write.mode("errorifexists").option("compression", "zstd").partitionBy(*RELEASE[:2]).parquet(path)
+    """Landed records with their release's identity as Zstandard Parquet, partitioned by release, in order of lines. Ranges
+    of lines are dealt out, so that a list of any size is written by many tasks."""
+    order = (*RELEASE[:2], "source_list", "source_line_no")
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("errorifexists").option("compression", "zstd").partitionBy(*RELEASE[:2]).parquet(path)
 
 
 def landed_faults(df: DataFrame) -> DataFrame:
