@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muster.adapters import CARRIED, SPEC, Panel, table
-from muster.contracts import ATTEMPT_KEYS, RELEASE
+from muster.contracts import ATTEMPT_KEYS, CLASSIFICATIONS, HEADERS, LANDED, REASON_RANK, RELEASE, SOURCE_LISTS, STATUSES
 from muster.functions.expr import normal_as_of_date
-from muster.functions.shared import fresh_path
+from muster.functions.shared import fresh_path, written
 from muster.operators import exports, metrics, panel, publish, scan, validation
 from muster.plans import checks
 from muster.sources import landing
@@ -391,22 +391,18 @@ def list_parts(p: Panel) -> DataFrame:
     return landing.part_lines(p.spark, path).where("line_no > 1 and text <> ''")
 
 
-@query("""SELECT as_of_date || '.' || replace(source_list, '/', '-') AS source_list, line_no, text FROM (
+@query("""SELECT as_of_date || '.' || replace(source_list, '/', '-') AS source_list, line_no, text, len(string_split(text, ','))::BIGINT AS n_fields FROM (
   SELECT as_of_date, source_list, 1::BIGINT + row_number() OVER (PARTITION BY as_of_date, source_list ORDER BY source_line_no) AS line_no, o_orderkey || ',' || coalesce(status, '') || ',"x' AS text FROM plain)""")
 def landing_files(p: Panel) -> DataFrame:
-    """The lines of landing_lines, each under its list's name."""
-    return list_parts(p)
+    """The lines of landing_lines and how many fields each has."""
+    return landing.fields(list_parts(p)).select("source_list", "line_no", "text", F.size("fields").cast("bigint").alias("n_fields"))
 
 
-@query("""SELECT as_of_date || '.' || source_list AS source_list, line_no, text FROM (
+@query("""SELECT as_of_date || '.' || replace(source_list, '/', '-') AS source_list, line_no, text FROM (
   SELECT as_of_date, source_list, 1::BIGINT + row_number() OVER (PARTITION BY as_of_date, source_list ORDER BY source_line_no) AS line_no, o_orderkey || ',' || coalesce(status, '') || ',"x' AS text FROM plain)""")
 def landing_lines(p: Panel) -> DataFrame:
-    """Orders written as lists and read back; the lists' names are in landing_files."""
-    return list_parts(p).select(F.lit(None).cast("string").alias("source_list"), "line_no", "text")
-
-
-ORACLE_SQL["landing_lines"] = BASE + """SELECT NULL::VARCHAR AS source_list, line_no, text FROM (
-  SELECT 1::BIGINT + row_number() OVER (PARTITION BY as_of_date, source_list ORDER BY source_line_no) AS line_no, o_orderkey || ',' || coalesce(status, '') || ',"x' AS text FROM plain)"""
+    """Orders written as lists in parts and read back, each line under its list's name."""
+    return list_parts(p)
 
 
 @query("""SELECT '"' || key || '",' || spell_number || ',' || CASE WHEN onset_left IS NULL THEN '' ELSE '"' || onset_left || '"' END || ',"' || onset_right || '","' || terminal_state || '"' AS line FROM spells""")
@@ -446,11 +442,10 @@ def attempt_forms(p: Panel) -> DataFrame:
     return landing.attempts(p.spark.read.text(path))
 
 
-@query("""SELECT attempt_id, attempt_shape, raw_status, source_schema_version AS schema_version FROM attempts WHERE event_id % 5 >= 2""")
+@query("""SELECT attempt_id, attempt_shape, raw_status, source_schema_version AS schema_version FROM attempts""")
 def attempt_documents(p: Panel) -> DataFrame:
-    """Those of attempt_forms that have the second form."""
-    found = attempt_forms(p).where("attempt_shape = 'v2'")
-    return found.select("attempt_id", "attempt_shape", "raw_status", "schema_version")
+    """What attempt_forms tells of each document's form."""
+    return attempt_forms(p).select("attempt_id", "attempt_shape", "raw_status", "schema_version")
 
 
 STORED = ("revisions", "promoted", "staged", "records", "panel_records", "snapshots", "sequence", "transitions", "cells", "spells", "runs", "classes")
@@ -645,3 +640,145 @@ def publication_gate(p: Panel) -> DataFrame:
         exports.eligible_keys_agree(good["dim_public_organizations"].where("latest_release_observation_state = 'observed'"), p.classes),
     ]
     return united([*passed, exports.eligible_keys_agree(good["dim_public_organizations"], p.classes), *broken])
+
+
+def _sql_list(values: Sequence[str]) -> str:
+    return "[" + ", ".join(f"'{v}'" for v in values) + "]"
+
+
+#: The orders as four lists of one release with a fault of every kind, and what is left of them as records.
+_TOLD = f""", told AS (
+  SELECT o_orderkey AS k, {_sql_list(SOURCE_LISTS)}[1 + o_orderkey % 4] AS source_list, (1 + row_number() OVER (PARTITION BY o_orderkey % 4 ORDER BY o_orderkey))::BIGINT AS line_no,
+         CASE WHEN o_orderkey % 331 = 0 THEN 'CT7' WHEN o_orderkey % 313 = 0 THEN 'X' || o_orderkey WHEN o_orderkey % 97 = 0 THEN '' ELSE o_orderkey::VARCHAR END AS reg,
+         CASE WHEN o_orderkey % 307 = 0 THEN '' WHEN o_orderkey % 311 = 0 THEN '1999/01/01' ELSE '2020/01/15' END AS listed
+  FROM orders
+), nonblank AS (
+  SELECT * FROM told WHERE k % 229 <> 1
+), kept AS (
+  SELECT * FROM nonblank WHERE source_list <> '{SOURCE_LISTS[1]}' OR line_no % 50 <> 7
+), reasons AS (
+  SELECT 'parse.decode_failed' AS code, source_list, min(line_no) AS line_no, count(*) AS count FROM nonblank WHERE k % 211 = 0 GROUP BY source_list
+  UNION ALL SELECT 'parse.header_mismatch', source_list, 1, 1 FROM nonblank WHERE source_list = '{SOURCE_LISTS[3]}' GROUP BY source_list
+  UNION ALL SELECT 'parse.arity_mismatch', source_list, min(line_no), 1 FROM nonblank WHERE k % 223 = 0 GROUP BY source_list
+  UNION ALL SELECT 'parse.line_record_mismatch', source_list, NULL, 1 FROM nonblank GROUP BY source_list HAVING count(*) <> (SELECT count(*) FROM kept WHERE kept.source_list = nonblank.source_list)
+  UNION ALL SELECT 'date.blank', source_list, line_no, 1 FROM kept WHERE listed = ''
+  UNION ALL SELECT 'date.mismatch', source_list, line_no, 1 FROM kept WHERE listed = '1999/01/01'
+  UNION ALL SELECT 'registration.unknown_format', source_list, line_no, 1 FROM kept WHERE reg LIKE 'X%'
+  UNION ALL SELECT 'registration.duplicate', source_list, line_no, 1 FROM kept WHERE reg = 'CT7' AND (SELECT count(*) FROM kept WHERE reg = 'CT7') > 1
+  UNION ALL SELECT 'set.unknown_registry_status', source_list, NULL, count(*) FROM kept WHERE k % 337 = 0 GROUP BY source_list
+)
+"""
+
+
+def faulty_reasons(p: Panel) -> DataFrame:
+    """The orders written as four lists of one release with a fault of every kind, read back, and the reasons against them.
+
+    One list has another header, lines are blank, too long or hold bytes that mean nothing, and records of one list are lost."""
+    k = F.col("o_orderkey")
+    text = k.cast("string")
+    reg = F.when(k % 331 == 0, "CT7").when(k % 313 == 0, F.concat(F.lit("X"), text)).when(k % 97 == 0, "").otherwise(text)
+    status = F.when(k % 337 == 0, "F").otherwise(F.get(F.array(*map(F.lit, STATUSES)), (k % len(STATUSES)).cast("int")))
+    date = F.when(k % 307 == 0, "").when(k % 311 == 0, "1999/01/01").otherwise("2020/01/15")
+    name = F.when(k % 211 == 0, "Fund \u0081").otherwise(F.concat(F.lit("Fund "), text))
+    line = F.concat(F.concat_ws(",", status, reg, F.lit(""), F.lit(""), name, F.lit("City"), F.lit("CA"), F.lit(""), F.lit(""), F.lit(""), date), F.when(k % 223 == 0, ",more").otherwise(""))
+    file = F.get(F.array(*map(F.lit, SOURCE_LISTS)), (k % len(SOURCE_LISTS)).cast("int"))
+    rows = table(p.spark, p.sf_dir, "orders").select(file.alias("file"), k.alias("place"), F.when(k % 229 == 1, "").otherwise(line).alias("line"))
+    own = F.col("file") == SOURCE_LISTS[3]
+    parts = []
+    for some, header in ((rows.where(~own), HEADERS), (rows.where(own), HEADERS[::-1])):
+        path = fresh_path(p.spark, "faulty")
+        landing.written_lists(some, ",".join(header), path)
+        parts.append(landing.part_lines(p.spark, path))
+    lines = landing.union_lists(parts)
+    records = landing.records(lines).where((F.col("source_list") != SOURCE_LISTS[1]) | (F.col("source_line_no") % 50 != 7))
+    return validation.registry_reasons(lines, records)
+
+
+_RANKS = "CASE code " + " ".join(f"WHEN '{c}' THEN {r}" for c, r in REASON_RANK.items()) + " END"
+
+
+@query(_TOLD + f"SELECT code, {_RANKS} AS rank, source_list, line_no::BIGINT AS line_no, count::BIGINT AS count FROM reasons")
+def faulty_release(p: Panel) -> DataFrame:
+    """The reasons against a release with a fault of every kind, in their order."""
+    return validation.ordered(faulty_reasons(p))
+
+
+@query(_TOLD + """SELECT 'all' AS reasons, 'source_contract_mismatch' AS verdict, count(*) AS reason_count FROM reasons
+  UNION ALL SELECT 'repeats', CASE WHEN count(*) > 0 THEN 'structural_rejection' ELSE 'accepted' END, count(*) FROM reasons WHERE code = 'registration.duplicate'
+  UNION ALL SELECT 'none', 'accepted', 0""")
+def faulty_verdicts(p: Panel) -> DataFrame:
+    """The verdict on all reasons of the faulty release, on its repeated keys alone, and on none."""
+    found = written(faulty_reasons(p), "reasons")
+    cases = {"all": found, "repeats": found.where("code = 'registration.duplicate'"), "none": found.where("code = ''")}
+    return united([validation.verdict(df).select(F.lit(name).alias("reasons"), "verdict", "reason_count") for name, df in cases.items()])
+
+
+@query("""SELECT r.as_of_date, r.release_revision, r.revision_fingerprint, source_list, source_line_no, coalesce(key, '') AS reg, strftime(o_orderdate, '%Y/%m/%d') AS issue_date
+  FROM plain l JOIN revisions r ON l.as_of_date = r.as_of_date WHERE r.release_revision = 1 OR o_orderkey % 50 <> 0""")
+def landed_releases(p: Panel) -> DataFrame:
+    """Every revision's records written as landed Parquet, and read back release by release through the catalogue."""
+    path = fresh_path(p.spark, "landed")
+    landing.landed_table(p.landed.select(*(F.col(f"`{f.name}`") for f in LANDED), *RELEASE), path)
+    ids = p.revisions.select(*RELEASE).collect()  # one row for each release
+    back = landing.read_landed(p.spark, [(f"{path}/as_of_date={d}/release_revision={r}", d, r, fingerprint) for d, r, fingerprint in ids])
+    return back.select(*RELEASE, "source_list", "source_line_no", F.col("`State Charity Reg#`").alias("reg"), F.col("`Issue Date`").alias("issue_date"))
+
+
+@query("""SELECT CASE WHEN count(*) <> count(DISTINCT line) THEN 'line_numbers' WHEN min(line) < 2 THEN 'header_line' ELSE 'replacement_character' END AS failure_reason FROM (
+    SELECT r.as_of_date, r.release_revision, source_list, substr(r.as_of_date, 4, 1) AS y, source_line_no,
+           CASE WHEN substr(r.as_of_date, 4, 1) = '3' THEN source_line_no % 5 WHEN substr(r.as_of_date, 4, 1) = '5' THEN -source_line_no ELSE source_line_no END AS line
+    FROM plain l JOIN revisions r ON l.as_of_date = r.as_of_date WHERE r.release_revision = 1 OR o_orderkey % 50 <> 0)
+  GROUP BY as_of_date, release_revision, source_list, y HAVING count(*) <> count(DISTINCT line) OR min(line) < 2 OR bool_or(y = '7' AND source_line_no % 2 = 0)""")
+def landed_table_faults(p: Panel) -> DataFrame:
+    """What the read-back finds in a landed table where some years' line numbers repeat or are too small, or names are broken."""
+    year, line = F.substring("as_of_date", 4, 1), F.col("source_line_no")
+    damaged = p.landed.withColumns({"source_line_no": F.when(year == "3", line % 5).when(year == "5", -line).otherwise(line), "Name": F.when((year == "7") & (line % 2 == 0), "Fund \ufffd").otherwise(F.col("Name"))})
+    path = fresh_path(p.spark, "damaged")
+    landing.landed_table(damaged.select(*(F.col(f"`{f.name}`") for f in LANDED), *RELEASE), path)
+    return landing.landed_faults(p.spark.read.parquet(path))
+
+
+@query("""SELECT r.*, r.release_revision = 1 AND substr(r.as_of_date, 6, 2) = '04' AND substr(r.as_of_date, 1, 4)::INT % 2 = 0 AS is_pointed_at FROM revisions r""")
+def revision_catalogue(p: Panel) -> DataFrame:
+    """All revisions and whether a pointer names them, both catalogues read back from where they were written."""
+    paths = {name: fresh_path(p.spark, name) for name in ("revisions", "pointers")}
+    p.revisions.write.parquet(paths["revisions"])
+    p.pointers.write.parquet(paths["pointers"])
+    named = landing.read_pointers(p.spark, paths["pointers"]).withColumn("is_pointed_at", F.lit(True))
+    return landing.read_revisions(p.spark, paths["revisions"]).join(named, list(RELEASE), "left").withColumn("is_pointed_at", F.coalesce("is_pointed_at", F.lit(False)))
+
+
+@query("""SELECT c_custkey::VARCHAR AS registration_number, CASE WHEN c_custkey % 11 = 0 THEN 'ambiguous_natural_person' WHEN c_custkey % 13 = 0 THEN 'unclassified' ELSE 'eligible' END AS classification, 'v1' AS classification_version
+  FROM customer WHERE c_custkey % 11 = 0 OR c_custkey % 13 = 0 OR c_custkey % 17 = 0""")
+def sidecar_classes(p: Panel) -> DataFrame:
+    """The customers' classes written as a sidecar of JSON and read back."""
+    path = fresh_path(p.spark, "sidecar")
+    p.classifications().write.json(path)
+    return landing.read_classifications(p.spark, path, required=True)
+
+
+@query(""", sidecar AS (
+    SELECT CASE WHEN c_custkey % 41 = 0 THEN '' WHEN c_custkey % 43 = 0 THEN ' ' || c_custkey ELSE c_custkey::VARCHAR END AS reg, CASE WHEN c_custkey % 47 = 0 THEN 'strange' ELSE 'eligible' END AS class
+    FROM customer, range(CASE WHEN c_custkey % 53 = 0 THEN 2 ELSE 1 END))
+  SELECT CASE WHEN reg = '' THEN 'blank_key' WHEN reg LIKE ' %' THEN 'untrimmed_key' ELSE 'unknown_class' END AS failure_reason FROM sidecar WHERE reg = '' OR reg LIKE ' %' OR class = 'strange'
+  UNION ALL SELECT 'duplicate_key' FROM sidecar GROUP BY reg HAVING count(*) > 1""")
+def sidecar_faults(p: Panel) -> DataFrame:
+    """What is wrong with a sidecar where keys are blank, padded or repeated and classes unknown."""
+    k = F.col("c_custkey")
+    text = k.cast("string")
+    key = F.when(k % 41 == 0, "").when(k % 43 == 0, F.concat(F.lit(" "), text)).otherwise(text)
+    times = F.explode(F.when(k % 53 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    rows = table(p.spark, p.sf_dir, "customer").select(key.alias("registration_number"), F.when(k % 47 == 0, "strange").otherwise("eligible").alias("classification"), F.lit("v1").alias("classification_version"), times.alias("n"))
+    path = fresh_path(p.spark, "sidecar")
+    rows.drop("n").write.json(path)
+    return landing.classification_faults(p.spark.read.schema(CLASSIFICATIONS).json(path))
+
+
+@query("""SELECT sha256('[' || string_agg('["' || l || '","' || sha256(l || '|' || n || '|' || a || '|' || b) || '"]', ',' ORDER BY l) || ']') AS revision_fingerprint
+  FROM (SELECT o_orderpriority AS l, count(*) AS n, min(o_orderkey) AS a, max(o_orderkey) AS b FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY 1)""")
+def catalogue_fingerprint(p: Panel) -> DataFrame:
+    """The fingerprint of a file for each list that says how many records it has and which are the first and last."""
+    k = F.col("o_orderkey")
+    lists = table(p.spark, p.sf_dir, "orders").where("o_orderpriority is not null").groupBy(F.col("o_orderpriority").alias("l")).agg(F.concat_ws("|", F.first("o_orderpriority"), F.count("*"), F.min(k), F.max(k)).alias("text"))
+    names = sorted(r["l"] for r in lists.select("l").collect())  # one row for each list
+    return landing.release_fingerprint(lists.select(F.concat(F.lit("/lists/"), "l", F.lit(".csv")).alias("path"), F.encode("text", "UTF-8").alias("content")), names)
