@@ -726,13 +726,13 @@ def landed_releases(p: Panel) -> DataFrame:
 
 @query("""SELECT CASE WHEN count(*) <> count(DISTINCT line) THEN 'line_numbers' WHEN min(line) < 2 THEN 'header_line' ELSE 'replacement_character' END AS failure_reason FROM (
     SELECT r.as_of_date, r.release_revision, source_list, substr(r.as_of_date, 4, 1) AS y, source_line_no,
-           CASE WHEN substr(r.as_of_date, 4, 1) = '3' THEN source_line_no % 5 WHEN substr(r.as_of_date, 4, 1) = '5' THEN -source_line_no ELSE source_line_no END AS line
+           CASE WHEN substr(r.as_of_date, 4, 1) = '8' THEN source_line_no % 5 WHEN substr(r.as_of_date, 4, 1) = '5' THEN -source_line_no ELSE source_line_no END AS line
     FROM plain l JOIN revisions r ON l.as_of_date = r.as_of_date WHERE r.release_revision = 1 OR o_orderkey % 50 <> 0)
   GROUP BY as_of_date, release_revision, source_list, y HAVING count(*) <> count(DISTINCT line) OR min(line) < 2 OR bool_or(y = '7' AND source_line_no % 2 = 0)""")
 def landed_table_faults(p: Panel) -> DataFrame:
     """What the read-back finds in a landed table where some years' line numbers repeat or are too small, or names are broken."""
     year, line = F.substring("as_of_date", 4, 1), F.col("source_line_no")
-    damaged = p.landed.withColumns({"source_line_no": F.when(year == "3", line % 5).when(year == "5", -line).otherwise(line), "Name": F.when((year == "7") & (line % 2 == 0), "Fund \ufffd").otherwise(F.col("Name"))})
+    damaged = p.landed.withColumns({"source_line_no": F.when(year == "8", line % 5).when(year == "5", -line).otherwise(line), "Name": F.when((year == "7") & (line % 2 == 0), "Fund \ufffd").otherwise(F.col("Name"))})
     path = fresh_path(p.spark, "damaged")
     landing.landed_table(damaged.select(*(F.col(f"`{f.name}`") for f in LANDED), *RELEASE), path)
     return landing.landed_faults(p.spark.read.parquet(path))
