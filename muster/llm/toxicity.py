@@ -4,13 +4,14 @@ Features: densities of a given and of a learned lexicon (words and word beginnin
 capitals, punctuation, and obfuscation (digits or signs inside words, spelled-out letters, hits after undoing them).
 
 Training takes a bounded sample of the labelled rows (SAMPLE rows, those with the smallest hash of their id, one per
-group of near copies, that with the smallest id). The same rows give the same scores however they are partitioned. Half of it teaches the lexicon: distributed counts, per class, of the texts that hold a word or a
-word's beginning. The other half gives features, of which 70 % train the trees and 30 % the calibration; so neither
-the trees nor the calibration see features that were fitted to their own rows. Scoring reads every whole text.
-
-Null and empty texts get the score of all-zero features; repeated rows are scored alike and kept or dropped together. Labels that are null are not used; a document labelled twice
-counts as toxic if one label says so. With no labelled rows of one class, every score is the share of the other
-class's complement (0, 0.5 without any rows, or 1). Only the key and the text are read, so other columns don't matter.
+group of near copies, that with the smallest id). The same rows give the same scores however they are partitioned. Half
+of the sample teaches the lexicon: distributed counts, per class, of the texts that hold a word or a word's beginning.
+The other half gives features, of which 70 % train the trees and 30 % the calibration; so neither the trees nor the
+calibration see features that were fitted to their own rows. Scoring reads every whole text.
+
+Null and empty texts get the score of all-zero features; repeated rows are scored alike and kept or dropped together.
+Labels that are null are not used; a document labelled twice counts as toxic if one label says so. With labelled rows
+of one class only, every score is that class (0 or 1); without any labelled rows it is 0.5. Only the key and the text are read, so other columns don't matter.
 """
 
 from __future__ import annotations

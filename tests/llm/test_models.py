@@ -211,3 +211,78 @@ def test_trees_equal_a_walk_and_lower_the_loss():
                 gains[f, float(cut)] = gain
     best = max(gains, key=gains.get)
     assert (feature[0], threshold[0]) == pytest.approx(best) if gains[best] > 4 else feature[0] == -1
+
+
+def test_languages_equal_a_plain_model(spark):
+    """Grams cut one by one, document frequencies counted over all allowed rows, TF-IDF and softmax in plain loops."""
+    rows = [*documents(300, seed=3), (901, "Ünd DER -- die\tmit 12 ist", None, "s", 0.0, "k"), (902, "a", "aa", "s", 0.0, "k"), (903, None, "aa", "s", 0.0, "k"), (904, "the and " * 4000, "aa", "s", 0.0, "k")]
+    docs = spark.createDataFrame(rows, DOCS)
+
+    def bucket(gram: str) -> int:
+        h = 0
+        for c in gram:
+            h = (h * 0x01000193 + ord(c)) % 2**32
+        h = (h ^ h >> 15) * (0x85EBCA6B + 2 * len(gram)) % 2**32
+        return ((h ^ h >> 13) * 0xC2B2AE35 % 2**32) >> 18
+
+    def grams(text: str | None) -> dict[int, int]:
+        plain = "".join(c if c.isalpha() else " " for c in (text or "").lower())
+        words = plain.split()
+        if not words:
+            return {}
+        cut, out = [], {}  # of a run of other signs its first is left if it follows a letter
+        for i, c in enumerate(plain):
+            if c != " " or (i and plain[i - 1] != " "):
+                cut.append(c)
+        whole = " " + "".join(cut) + " "
+        for n in (1, 2, 3):
+            for i in range(len(whole) - n + 1):
+                b = bucket(whole[i : i + n])
+                out[b] = out.get(b, 0) + 1
+        return out
+
+    model = langid.train(docs, ~langid.held_out(docs.doc_id))
+    taught = [grams(r[1]) for r in rows if r[2] is not None and zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    taught = [g for g in taught if g]
+    frequency = {}
+    for g in taught:
+        for b in g:
+            frequency[b] = frequency.get(b, 0) + 1
+    idf = lambda b: np.log((1 + len(taught)) / (1 + frequency.get(b, 0))) + 1
+    found = {r.doc_id: r for r in langid.identify(docs, model).collect()}
+    for i, text, *_ in rows:
+        own = grams(text)
+        if not own:
+            assert (found[i].lang_pred, found[i].score) == ("und", 0.0)
+            continue
+        x = {b: np.log(1 + n) * idf(b) for b, n in own.items()}
+        norm = sum(v * v for v in x.values()) ** 0.5
+        z = [(sum(model.weights[c, b] * v / norm for b, v in x.items()) + model.weights[c, -1]) / model.temperature for c in range(len(model.languages))]
+        p = [np.exp(v - max(z)) for v in z]
+        assert found[i].lang_pred == model.languages[z.index(max(z))]
+        assert found[i].score == pytest.approx(max(p) / sum(p), abs=1e-9)
+
+
+def test_features_equal_plain_counts(spark):
+    terms = {"tepid": 3.0, "lowe*": 4.0}
+    at = {name: i for i, name in enumerate(toxicity.FEATURES)}
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect() if r.text and r.text.strip()]
+    texts += ["YOU are a TEPID loweish idiot, you idiot!", "x" * 500 + " you idiot"]
+    own = toxicity.Tokens(terms)
+    for text in texts:
+        got = own.features(text)
+        words = toxicity.LETTERS.findall(text.lower())
+        known = [w for w in words if w in terms or w[:4] + "*" in terms and len(w) >= 4]
+        n = max(1, len(words))
+        expected = {
+            "insult_density": sum(w in toxicity.INSULTS for w in words) / n,
+            "learned_density": len(known) / n,
+            "second_person": sum(w in toxicity.SECOND_PERSON for w in words) / n,
+            "capitals": sum(c.isupper() for c in text) / len(text),
+            "exclamations": sum(c in "!?¡¿" for c in text) / len(text),
+            "digits": sum(c.isdigit() for c in text) / len(text),
+            "words": np.log1p(len(words)),
+            "word_length": sum(map(len, words)) / n,
+            "distinct": len(set(text.split())) / len(text.split()),
+        }
+        assert {k: got[at[k]] for k in expected} == pytest.approx(expected)
