@@ -1,10 +1,14 @@
 from __future__ import annotations
 
+import duckdb
+import public_tokenizers
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
+from test_ngram_join import brute
 
 import corpus_pipeline
-from muster.llm import mixing, ngram_join, pii, queries, toxicity
+from muster.llm import bpe, mixing, ngram_join, pii, queries, toxicity
 from muster.llm.common import written
 
 DATA = "/root/testdata/sf0.001"
@@ -62,6 +66,24 @@ def test_tokens_decode_to_the_texts(stages):
     assert all(len(r.ids) == r.n_tokens for r in stages[5].collect())
 
 
+def test_stages_equal_brute_force(stages, tmp_path):
+    """Near duplicates by all pairs, the mix by its SQL, tokens by the library's own encoder."""
+    rows = [(r.doc_id, r.text) for r in stages[1].collect()]
+    assert sorted(r.doc_id for r in stages[2].collect()) == sorted({label for _, label, _ in brute(rows)})
+
+    stages[3].write.parquet(str(tmp_path / "docs"))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/docs/*.parquet'")
+    taken = con.sql(f"SELECT doc_id FROM ({queries.ORACLE_SQL['op7_mixing']})").fetchall()
+    assert sorted(r.doc_id for r in stages[4].collect()) == sorted(i for (i,) in taken)
+
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    plain = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.ranks(path), special_tokens={})
+    texts = {r.doc_id: r.text or "" for r in stages[4].collect()}
+    for r in stages[5].collect():
+        assert list(r.ids) == plain.encode_ordinary(texts[r.doc_id])
+
+
 def test_run_gives_what_the_stages_give(spark, stages):
     got = corpus_pipeline.run(spark, DATA)
     assert got.exceptAll(stages[5]).count() == stages[5].exceptAll(got).count() == 0
