@@ -66,6 +66,16 @@ def wilson(k: Column, n: Column, side: str) -> Column:
     return F.when(n == 0, F.lit(None).cast("double")).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), bound)))
 
 
+def number_text(v: Column) -> Column:
+    """A double as text with the fewest digits that tell it from others; plain between 1e-4 and 1e16, else like 2e-05."""
+    tries = [F.format_string(f"%.{d}e", v) for d in (14, 15, 16)]
+    digits = F.when(tries[0].cast("double") == v, tries[0]).when(tries[1].cast("double") == v, tries[1]).otherwise(tries[2])
+    plain = F.regexp_replace(digits.try_cast("decimal(38,20)").cast("string"), r"0+$", "")
+    short = F.regexp_replace(digits, r"\.?0*e", "e")
+    fixed = (F.abs(v) >= 1e-4) & (F.abs(v) < 1e16)
+    return F.when(v == 0, "0.0").when(fixed, F.regexp_replace(plain, r"\.$", ".0")).when(v.isNotNull(), short)
+
+
 def seconds_between(start: Column, end: Column) -> Column:
     """Second boundaries crossed from one timestamp text to the other."""
     at = lambda c: F.unix_seconds(c.try_cast("timestamp"))

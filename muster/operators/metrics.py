@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from muster.contracts import RELEASE, PanelSpec
-from muster.functions.expr import days_between, n_where, ratio, seconds_between, wilson
+from muster.functions.expr import days_between, n_where, number_text, ratio, seconds_between, wilson
 from muster.operators.panel import adjacent_pairs
 
 PAIR = [*(f"from_{c}" for c in RELEASE), *(f"to_{c}" for c in RELEASE)]
@@ -258,16 +258,16 @@ def release_flags(promoted: DataFrame, runs: DataFrame, records: DataFrame) -> D
         )
 
     known = F.col("parser_contract_version") == 1
-    parser = flags(promoted, "parser_contract_version_known_v1", "deterministic", "known-parser-contract-version-1-v1", F.col("parser_contract_version").cast("double"), F.when(known, "pass").otherwise("review"))
+    parser = flags(promoted, "parser_contract_version_known_v1", "deterministic", "known-parser-contract-version-1-v1", F.col("parser_contract_version").cast("string"), F.when(known, "pass").otherwise("review"))
     linked = runs.where(" and ".join(f"{c} is not null" for c in RELEASE)).groupBy(*RELEASE).agg(n_where(F.col("normalized_outcome").isin("accepted", "recovered")).alias("n"))
     n = F.coalesce("n", F.lit(0))
-    capture = flags(promoted.join(linked, list(RELEASE), "left"), "capture_outcome_available_v1", "deterministic", "linked-accepted-or-recovered-capture-run-v1", n.cast("double"), F.when(n > 0, "pass").otherwise("review"))
+    capture = flags(promoted.join(linked, list(RELEASE), "left"), "capture_outcome_available_v1", "deterministic", "linked-accepted-or-recovered-capture-run-v1", n.cast("string"), F.when(n > 0, "pass").otherwise("review"))
     keyed = records.where(F.col("disposition") == KEYED).groupBy(*RELEASE).agg(F.count("*").alias("n"))
     side = lambda name: keyed.select(*(F.col(c).alias(f"{name}_{c}") for c in RELEASE), F.col("n").alias(f"{name}_n"))
     pairs = adjacent_pairs(promoted).join(side("from"), [f"from_{c}" for c in RELEASE], "left").join(side("to"), [f"to_{c}" for c in RELEASE], "left")
     start, end = F.coalesce("from_n", F.lit(0)), F.coalesce("to_n", F.lit(0))
     change = ratio(F.abs(end - start), start)
-    coverage = flags(pairs, "keyed_coverage_change_fraction_v1", "heuristic_review", "absolute-relative-change-0.10-v1", change, F.when(start == 0, "not_applicable").when(change >= 0.10, "review").otherwise("pass"))
+    coverage = flags(pairs, "keyed_coverage_change_fraction_v1", "heuristic_review", "absolute-relative-change-0.10-v1", number_text(change), F.when(start == 0, "not_applicable").when(change >= 0.10, "review").otherwise("pass"))
     return parser.union(capture).union(coverage)
 
 

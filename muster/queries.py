@@ -129,15 +129,15 @@ WITH ord AS (
   SELECT 'parser_contract_version_known_v1' AS rule_id, 1::BIGINT AS rule_version, 'deterministic' AS rule_class, 'release' AS scope, as_of_date, release_revision, revision_fingerprint,
          NULL::VARCHAR AS pair_from_as_of_date, NULL::BIGINT AS pair_from_release_revision, NULL::VARCHAR AS pair_from_revision_fingerprint,
          NULL::VARCHAR AS pair_to_as_of_date, NULL::BIGINT AS pair_to_release_revision, NULL::VARCHAR AS pair_to_revision_fingerprint,
-         parser_contract_version::DOUBLE AS observed_value, 'known-parser-contract-version-1-v1' AS parameter_version, CASE WHEN parser_contract_version = 1 THEN 'pass' ELSE 'review' END AS result
+         parser_contract_version::VARCHAR AS observed_value, 'known-parser-contract-version-1-v1' AS parameter_version, CASE WHEN parser_contract_version = 1 THEN 'pass' ELSE 'review' END AS result
   FROM promoted
   UNION ALL
   SELECT 'capture_outcome_available_v1', 1, 'deterministic', 'release', p.as_of_date, p.release_revision, p.revision_fingerprint, NULL, NULL, NULL, NULL, NULL, NULL,
-         count(r.attempt_id)::DOUBLE, 'linked-accepted-or-recovered-capture-run-v1', CASE WHEN count(r.attempt_id) > 0 THEN 'pass' ELSE 'review' END
+         count(r.attempt_id)::VARCHAR, 'linked-accepted-or-recovered-capture-run-v1', CASE WHEN count(r.attempt_id) > 0 THEN 'pass' ELSE 'review' END
   FROM promoted p LEFT JOIN runs r ON r.revision_fingerprint = p.revision_fingerprint AND normalized_outcome IN ('accepted', 'recovered') GROUP BY p.as_of_date, p.release_revision, p.revision_fingerprint
   UNION ALL
   SELECT 'keyed_coverage_change_fraction_v1', 1, 'heuristic_review', 'release_pair', NULL, NULL, NULL, from_as_of_date, from_release_revision, from_revision_fingerprint, to_as_of_date, to_release_revision, to_revision_fingerprint,
-         CASE WHEN a > 0 THEN abs(b - a)::DOUBLE / a END, 'absolute-relative-change-0.10-v1', CASE WHEN a = 0 THEN 'not_applicable' WHEN abs(b - a)::DOUBLE / a >= 0.10 THEN 'review' ELSE 'pass' END
+         (CASE WHEN a > 0 THEN abs(b - a)::DOUBLE / a END)::VARCHAR, 'absolute-relative-change-0.10-v1', CASE WHEN a = 0 THEN 'not_applicable' WHEN abs(b - a)::DOUBLE / a >= 0.10 THEN 'review' ELSE 'pass' END
   FROM (SELECT p.*, (SELECT count(*) FROM records r WHERE r.as_of_date = from_as_of_date AND disposition LIKE 'eligible%') AS a, (SELECT count(*) FROM records r WHERE r.as_of_date = to_as_of_date AND disposition LIKE 'eligible%') AS b FROM pairs p)
 ), classes AS (
   SELECT k.key AS key, CASE WHEN c_custkey % 11 = 0 THEN 'ambiguous_natural_person' WHEN c_custkey % 13 = 0 THEN 'unclassified' ELSE 'eligible' END AS eligibility_classification,

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import random
 
 import duckdb
 import pytest
@@ -62,3 +63,11 @@ def test_seconds_count_boundaries(spark):
 def test_days(spark):
     df = spark.createDataFrame([(dt.date(2024, 2, 28), "2024-03-01")], "a date, b string")
     assert df.select(expr.days_between(F.col("a"), F.col("b"))).first()[0] == 2
+
+
+def test_numbers_as_text_are_those_of_the_other_engine(spark):
+    rng = random.Random(4)
+    values = [rng.randrange(1, 10**6) / rng.randrange(1, 10**6) for _ in range(3000)] + [rng.random() * 10 ** rng.randint(-9, 15) for _ in range(3000)]
+    values += [0.0, 1.0, 1.5, 0.1, 0.001, 2e-3, 1e-4, 9.5e-4, 2e-5, 1 / 30000, 2.0**-44, 12345678.5, 1e15]
+    got = [r.t for r in spark.createDataFrame([(v,) for v in [*values, None]], "v double").select(expr.number_text(F.col("v")).alias("t")).collect()]
+    assert got == [*(duckdb.execute("SELECT list_transform(?::DOUBLE[], lambda v: v::VARCHAR)", [values]).fetchone()[0]), None]
