@@ -197,3 +197,52 @@ WITH v AS (
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM best) WHERE rank <= 5
 """
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm import filter_audit
+
+    return filter_audit.audited(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+#: The audit step by step: each of the 120 orders is applied to every group of documents, with no use of coalitions.
+ORACLE_SQL["op12_filter_audit"] = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM documents
+), firsts AS (
+  SELECT text, min(doc_id) AS first_id FROM texts GROUP BY text
+), known AS (
+  SELECT doc_id, coalesce(max(CAST(quality = 1 AS INTEGER)), 0) AS good, coalesce(max(CAST(toxic = 1 AS INTEGER)), 0) AS toxic
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), failed AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, count(*) AS n, {
+      'A': len(words) < 200, 'B': 100 * len(list_distinct(words)) < 50 * len(words),
+      'C': 100 * length(regexp_replace(t.text, '[^A-Z]', '', 'g')) > 2 * length(t.text), 'D': regexp_matches(t.text, '[#$%&*|]'),
+      'E': coalesce(t.doc_id > first_id, false)} AS fails
+  FROM texts t LEFT JOIN firsts f ON t.text = f.text LEFT JOIN known k ON t.doc_id = k.doc_id GROUP BY ALL
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter
+), orders_of AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.letter, b.letter, c.letter, d.letter, e.letter])) = 5
+), steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, CAST(step AS INTEGER), 1) AS own FROM orders_of, range(1, 6) r(step)
+), walked AS (
+  SELECT part, filter_order, step, own, n, good, toxic, map_extract(m, own)[1] AS fails_own,
+         len(list_filter(range(1, step), lambda i: map_extract(m, substr(filter_order, i, 1))[1])) > 0 AS gone,
+         len(list_filter(range(1, 6), lambda i: map_extract(m, substr(filter_order, i, 1))[1])) AS failures
+  FROM (SELECT *, map(['A', 'B', 'C', 'D', 'E'], [fails.A, fails.B, fails.C, fails.D, fails.E]) AS m FROM failed), steps
+), summed AS (
+  SELECT part, filter_order, step, own, sum(CASE WHEN NOT gone AND NOT fails_own THEN n ELSE 0 END) AS kept,
+         sum(CASE WHEN NOT gone AND fails_own THEN n ELSE 0 END) AS removed, sum(CASE WHEN gone AND fails_own THEN n ELSE 0 END) AS redundant,
+         sum(CASE WHEN fails_own AND failures = 1 THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN NOT gone AND fails_own THEN n * good ELSE 0 END) AS good_lost, sum(CASE WHEN NOT gone AND fails_own THEN n * toxic ELSE 0 END) AS toxic_lost
+  FROM walked GROUP BY ALL
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM summed
+"""
