@@ -25,8 +25,18 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/muster-{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a table in the shared folder, made once for several consumers."""
+def written(df: DataFrame, name: str = "table") -> DataFrame:
+    """The frame as a table in the shared folder: its lineage ends there, and lost executors don't lose it."""
     path = fresh_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def forget(*frames: DataFrame) -> None:
+    """Removes the written tables that the frames read, once what was made of them is written too; others stay."""
+    for frame in frames:
+        spark = frame.sparkSession
+        for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+            if folder.rsplit("/", 1)[1].startswith("muster-"):
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
