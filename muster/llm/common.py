@@ -2,28 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from muster.functions.shared import shared_dir
+from muster.functions.shared import written  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str = "table") -> DataFrame:
-    """The frame as a table in the shared folder: its lineage ends there, and lost executors don't lose it."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/muster-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def chunks(batches: Iterator[pa.RecordBatch], text: str, most_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that each piece holds one row, or at most so many bytes of its text column."""
     for batch in batches:

@@ -246,3 +246,46 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
        CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
 FROM summed
 """
+
+
+@query
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm import vector_codes
+
+    return vector_codes.compressed(table(spark, sf_dir, "embeddings"))
+
+
+def _codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2) -> str:
+    """All distances in each round."""
+    nearest = lambda a, b: f"""
+{a} AS MATERIALIZED (
+  SELECT rid, part, CAST(min(d * {entries} + entry) % {entries} AS BIGINT) AS entry, CAST(min(d * {entries} + entry) // {entries} AS BIGINT) AS d FROM (
+    SELECT p.rid, p.part, b.entry, CAST(list_sum(list_transform(list_zip(p.y, b.y), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS BIGINT) AS d
+    FROM p JOIN {b} b ON p.part = b.part) GROUP BY rid, part)"""
+    moved = lambda b, a, old: f"""
+{b} AS MATERIALIZED (
+  SELECT o.part, o.entry, coalesce(n.y, o.y) AS y FROM {old} o LEFT JOIN (
+    SELECT part, entry, list(m ORDER BY place) AS y FROM (
+      SELECT a.part, a.entry, place, CAST(floor(sum(y[place]) / count(*)) AS BIGINT) AS m
+      FROM {a} a JOIN p ON a.rid = p.rid AND a.part = p.part, unnest(range(1, len(y) + 1)) u(place) GROUP BY ALL) GROUP BY part, entry
+  ) n ON o.part = n.part AND o.entry = n.entry)"""
+    steps = [nearest("a0", "b0")]
+    for r in range(rounds):
+        steps += [moved(f"b{r + 1}", f"a{r}", f"b{r}"), nearest(f"a{r + 1}", f"b{r + 1}")]
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS MATERIALIZED (
+  SELECT rid, part, x[part * (len(x) // {parts}) + 1 : (part + 1) * (len(x) // {parts})] AS y FROM v, range({parts}) r(part)
+), b0 AS (SELECT part, rid - 1 AS entry, y FROM p WHERE rid <= {entries}),{",".join(steps)},
+coded AS (
+  SELECT rid, string_agg(lower(lpad(to_hex(entry), 2, '0')), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{rounds} GROUP BY rid
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY part, entry)) FROM b{rounds}) AS codebooks_sha256
+FROM coded JOIN v ON coded.rid = v.rid
+"""
+
+
+ORACLE_SQL["op13_vector_codes"] = _codes_sql()
