@@ -33,7 +33,11 @@ def _columns(text: str) -> dict[str, str]:
     return dict((w.split("=") * 2)[:2] for w in text.split())
 
 
-# Fixed values of the published contract: names, columns in order, grains, and what an aggregate may not have.
+# Fixed values of the published contract: names, columns in order, grains, what an aggregate may not have, and
+# the control source.
+DIALECT = "quoted-text-csv-v1"
+CONTROL_FILE = "capture-status.json"
+CONTROL_COLUMNS = ("outcome", "reason_category", "ended_at_utc", "newer_attempt_not_accepted", "source_publication_state", "source_publication_retired_on")
 PROHIBITED = ("state_charity_registration_number", "organization_name", "city", "state")
 _PAIR = "from_as_of_date from_release_revision from_revision_fingerprint to_as_of_date to_release_revision to_revision_fingerprint"
 _RELEASE = "as_of_date release_revision revision_fingerprint"

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from muster.contracts import RELEASE, PanelSpec
+from muster.functions.digests import streamed_sha256
 from muster.functions.expr import days_between, n_where, number_text, ratio, seconds_between, wilson
 from muster.operators.panel import adjacent_pairs
 
@@ -215,11 +216,10 @@ def membership_hash(snapshots: DataFrame, range_keys: int = RANGE_KEYS) -> DataF
 
 
 def membership_digest(snapshots: DataFrame) -> DataFrame:
-    """Per release the plain form: SHA-256 over all its sorted distinct keys, each with a line feed. It needs all keys of a
-    release in one place, so it is for releases of some million keys; membership_hash has no such bound."""
+    """Per release the plain form: SHA-256 over all its sorted distinct keys, each with a line feed. A release's keys stream
+    through one task in order; membership_hash spreads them over many, at the price of a form of its own."""
     keys = snapshots.select(*RELEASE, "key").distinct()
-    lines = F.array_join(F.transform(F.array_sort(F.collect_list("key")), lambda k: F.concat(k, F.lit("\n"))), "")
-    return keys.groupBy(*RELEASE).agg(F.count("*").alias("n_keys"), F.sha2(lines, 256).alias("membership_sha256"))
+    return streamed_sha256(keys, RELEASE, ["key"], F.concat("key", F.lit("\n"))).select(*RELEASE, F.col("n").alias("n_keys"), F.col("sha256").alias("membership_sha256"))
 
 
 def capture_runs(attempts: DataFrame) -> DataFrame:

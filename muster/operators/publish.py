@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from muster.contracts import RELEASE
+from muster.contracts import CONTROL_OUTCOMES, CONTROL_REASONS, RELEASE
+from muster.functions.digests import parts_in_order, streamed_sha256
 from muster.operators.metrics import publication_status
 
 #: Columns that an aggregate export may not have.
@@ -92,18 +93,35 @@ def csv_line(df: DataFrame, columns: Sequence[str], places: int | None = None) -
     return F.concat_ws(",", *(F.coalesce(cell(c), F.lit("")) for c in columns))
 
 
-def export_lines(df: DataFrame, columns: Sequence[str], grain: Sequence[str]) -> DataFrame:
+def export_lines(df: DataFrame, columns: Sequence[str], grain: Sequence[str], places: int | None = None) -> DataFrame:
     """The lines of an export in the order of its grain, nulls last."""
-    return df.orderBy(*(F.asc_nulls_last(c) for c in grain)).select(csv_line(df, columns).alias("line"))
+    return df.orderBy(*(F.asc_nulls_last(c) for c in grain)).select(csv_line(df, columns, places).alias("line"))
 
 
-def export_csv(df: DataFrame, path: str, columns: Sequence[str], grain: Sequence[str], single: bool = False) -> None:
-    """Writes UTF-8 lines below a plain header. Wide marts stay in several files in order; one file only for aggregates.
+#: Most lines of a part file: a part is read back as one value.
+PART_LINES = 250_000
 
-    The header is a file of its own that sorts first, so that parts joined by name are the whole export."""
-    lines = export_lines(df, columns, grain)
-    (lines.coalesce(1) if single else lines).write.mode("errorifexists").text(f"{path}/rows")
+
+def export_csv(df: DataFrame, path: str, columns: Sequence[str], grain: Sequence[str], single: bool = False, places: int | None = None) -> int:
+    """Writes UTF-8 lines below a plain header, and returns their number. Wide marts stay in several files in order; one
+    file only for aggregates.
+
+    The header is a file of its own that sorts first, so that parts joined in their order are the whole export."""
+    seen = Observation()
+    lines = export_lines(df, columns, grain, places).observe(seen, F.count(F.lit(1)).alias("n"))  # above the sort, which runs what is below it twice
+    (lines.coalesce(1) if single else lines).write.mode("errorifexists").option("maxRecordsPerFile", PART_LINES).text(f"{path}/rows")
     df.sparkSession.createDataFrame([(",".join(columns),)], "line string").coalesce(1).write.mode("errorifexists").text(f"{path}/header")
+    return int(seen.get["n"])
+
+
+def export_digests(spark: SparkSession, base: str) -> DataFrame:
+    """(file_name, sha256) of the exports below a folder, each in a folder of its name: SHA-256 over the bytes of the header
+    and of all parts in the order in which they were written, as one file would have it."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(base)
+    path = F.col("path")
+    named = files.select(F.regexp_extract(path, "/([^/]+)/(?:header|rows)/[^/]+$", 1).alias("file_name"), "path", "content")
+    first = F.when(path.contains("/header/"), 0).otherwise(1)
+    return streamed_sha256(named, ["file_name"], [first, *parts_in_order(path)], F.col("content")).select("file_name", "sha256")
 
 
 def export_faults(df: DataFrame, columns: Sequence[str], grain: Sequence[str], aggregate: bool, identity: Sequence[str] = IDENTITY) -> DataFrame:
@@ -121,34 +139,68 @@ def export_faults(df: DataFrame, columns: Sequence[str], grain: Sequence[str], a
     return fixed.union(repeated)
 
 
-def content_fingerprint(df: DataFrame, name: str, columns: Sequence[str], grain: Sequence[str]) -> DataFrame:
-    """A manifest row: number of rows, and an order-free digest of the lines, fractions rounded to nine places so that it
-    doesn't hang on a last bit."""
-    line = F.sha2(csv_line(df, columns, 9), 256)
-    part = lambda at: F.sum(F.conv(F.substring(line, at, 12), 16, 10).cast("bigint") % 1_000_000_007)
-    return df.agg(F.count("*").alias("row_count"), F.coalesce(part(1), F.lit(0)).alias("digest_a"), F.coalesce(part(13), F.lit(0)).alias("digest_b")).select(
-        F.lit(name).alias("export"), "row_count", "digest_a", "digest_b", F.lit(",".join(grain)).alias("grain")
-    )
+def manifest(spark: SparkSession, base: str, entries: dict[str, tuple[DataFrame, Sequence[str], Sequence[str]]], promoted: DataFrame, dialect: str = "") -> DataFrame:
+    """Writes the exports (frame, columns, grain) below a folder that is not there yet, and gives a row for each: its file,
+    rows, SHA-256 of the file's bytes as they are read back, grain, dialect, and how many releases it rests on. Fractions
+    are rounded to nine places, so that the bytes don't hang on a last bit."""
+    rows = [(name, f"{name}.csv", export_csv(df, f"{base}/{name}.csv", columns, grain, places=9), ",".join(grain), dialect) for name, (df, columns, grain) in sorted(entries.items())]
+    listed = spark.createDataFrame(rows, "export string, file_name string, row_count bigint, grain string, dialect string")
+    releases = promoted.agg(F.count("*").alias("release_count"))
+    return listed.join(export_digests(spark, base), "file_name").crossJoin(F.broadcast(releases)).select("export", "file_name", "row_count", "sha256", "grain", "dialect", "release_count")  # one row
 
 
-def manifest(exports: dict[str, tuple[DataFrame, Sequence[str], Sequence[str]]], promoted: DataFrame) -> DataFrame:
-    """Rows for all exports, with how many releases they rest on."""
-    rows = [content_fingerprint(df, name, columns, grain) for name, (df, columns, grain) in sorted(exports.items())]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.union(r)
-    return out.crossJoin(F.broadcast(promoted.agg(F.count("*").alias("release_count"))))  # one row
+def last_run(runs: DataFrame) -> DataFrame:
+    """The latest attempt: the latest end, then the greatest id."""
+    return runs.orderBy(F.desc_nulls_last("ended_at_utc"), F.desc("attempt_id")).limit(1)
 
 
 def capture_status(runs: DataFrame, promoted: DataFrame) -> DataFrame:
     """The latest attempt and whether it calls for a warning: rejected, failed, or accepted but not published."""
-    last = runs.orderBy(F.desc_nulls_last("ended_at_utc"), F.desc("attempt_id")).limit(1)
+    last = last_run(runs)
     published = promoted.select(*RELEASE).withColumn("published", F.lit(True))
     outcome = F.col("normalized_outcome")
     warn = outcome.isNull() | outcome.isin("rejected", "operational_error") | (outcome.isin("accepted", "recovered") & ~F.coalesce("published", F.lit(False)))
     return last.join(published, list(RELEASE), "left").select("attempt_id", "normalized_outcome", "ended_at_utc", warn.alias("warning"))
 
 
+def control_source(runs: DataFrame, promoted: DataFrame, retired_on: str | None = None) -> DataFrame:
+    """What the pages show of the latest capture, one row with the six columns of the control source.
+
+    Outcomes are those of the closed vocabulary: a recovered capture counts as accepted, one that no rule reached as an
+    operational error. Reasons follow from the outcome unless the runs have a reason_category. An accepted capture is
+    warned of until its release is published. Retirement is the caller's decision, with a date."""
+    raw = F.coalesce("normalized_outcome", F.lit("operational_error"))
+    outcome = F.when(raw == "recovered", "accepted").otherwise(raw)
+    implied = F.when(outcome == "accepted", "none").when(outcome == "no_new_release", "source_not_advanced").when(outcome == "rejected", "structural_rejection").otherwise("source_transfer_error")
+    reason = F.coalesce("reason_category", implied) if "reason_category" in runs.columns else implied
+    published = promoted.select(*RELEASE).withColumn("published", F.lit(True))
+    warn = outcome.isin("rejected", "operational_error") | ((outcome == "accepted") & ~F.coalesce("published", F.lit(False)))
+    return last_run(runs).join(published, list(RELEASE), "left").select(
+        outcome.alias("outcome"),
+        reason.alias("reason_category"),
+        "ended_at_utc",
+        warn.alias("newer_attempt_not_accepted"),
+        F.lit("active" if retired_on is None else "retired").alias("source_publication_state"),
+        F.lit(retired_on).cast("string").alias("source_publication_retired_on"),
+    )
+
+
+def control_faults(rows: DataFrame) -> DataFrame:
+    """What speaks against a control row: outcomes and reasons outside the vocabulary, a warning that its outcome excludes or
+    calls for, a retirement without a date or a date without one."""
+    c = F.col
+    faults = {
+        "outcome": ~F.coalesce(c("outcome").isin(*CONTROL_OUTCOMES), F.lit(False)),
+        "reason_category": ~F.coalesce(c("reason_category").isin(*CONTROL_REASONS), F.lit(False)),
+        "warning": c("newer_attempt_not_accepted").isNull() | (c("outcome").isin("rejected", "operational_error") & ~c("newer_attempt_not_accepted")) | ((c("outcome") == "no_new_release") & c("newer_attempt_not_accepted")),
+        "retirement": ~F.coalesce(c("source_publication_state").isin("active", "retired"), F.lit(False))
+        | ((c("source_publication_state") == "active") & c("source_publication_retired_on").isNotNull())
+        | ((c("source_publication_state") == "retired") & c("source_publication_retired_on").try_cast("date").isNull()),
+    }
+    found = F.filter(F.array(*(F.when(F.coalesce(bad, F.lit(True)), F.lit(name)) for name, bad in faults.items())), lambda r: r.isNotNull())
+    return rows.select(F.explode(found).alias("failure_reason"))
+
+
 def empty(spark: SparkSession, schema) -> DataFrame:
     """No rows, with the full schema; what an absent input is."""
     return spark.createDataFrame([], schema)

@@ -315,6 +315,12 @@ def membership_hash(p: Panel) -> DataFrame:
     return metrics.membership_hash(p.snapshots)
 
 
+@query("""SELECT as_of_date, release_revision, revision_fingerprint, count(*) AS n_keys, sha256(string_agg(key || chr(10), '' ORDER BY key)) AS membership_sha256
+  FROM (SELECT DISTINCT as_of_date, release_revision, revision_fingerprint, key FROM snapshots) GROUP BY ALL""")
+def membership_digest(p: Panel) -> DataFrame:
+    return metrics.membership_digest(p.snapshots)
+
+
 @query("SELECT * FROM runs")
 def capture_runs(p: Panel) -> DataFrame:
     return p.runs
@@ -410,11 +416,25 @@ def export_lines(p: Panel) -> DataFrame:
     return publish.export_lines(p.spells, ("key", "spell_number", "onset_left", "onset_right", "terminal_state"), ("key", "spell_number"))
 
 
-@query("""SELECT 'spells' AS export, (SELECT count(*) FROM spells) AS row_count, (SELECT count(*) FROM promoted) AS release_count
-  UNION ALL SELECT 'totals', (SELECT count(DISTINCT as_of_date) FROM records), (SELECT count(*) FROM promoted)""")
+def _cell(c: str) -> str:
+    """A cell of an export; its form follows its type."""
+    return f"""coalesce(CASE WHEN typeof({c}) = 'VARCHAR' THEN '"' || replace({c}::VARCHAR, '"', '""') || '"' WHEN typeof({c}) = 'DOUBLE' THEN TRY_CAST(TRY_CAST({c}::VARCHAR AS DOUBLE) AS DECIMAL(20, 9))::VARCHAR ELSE {c}::VARCHAR END, '')"""
+
+
+def _file_sql(name: str, rows: str, columns: dict[str, str], grain: Sequence[str], dialect: str) -> str:
+    """The manifest row of an export: all its lines put together in the order of its grain."""
+    line = " || ',' || ".join(_cell(own) for own in columns.values())
+    order = ", ".join(f"{columns[g]} NULLS LAST" for g in grain)
+    return f"""SELECT '{name}' AS export, '{name}.csv' AS file_name, count(*) AS row_count, sha256('{",".join(columns)}' || chr(10) || coalesce(string_agg({line} || chr(10), '' ORDER BY {order}), '')) AS sha256,
+      '{",".join(grain)}' AS grain, '{dialect}' AS dialect FROM ({rows})"""
+
+
+@query(f"""SELECT *, (SELECT count(*) FROM promoted) AS release_count FROM ({_file_sql("spells", "SELECT * FROM spells", {c: c for c in ("key", "spell_number", "terminal_state")}, ("key", "spell_number"), "")}
+  UNION ALL {_file_sql("totals", "SELECT as_of_date, count(*) AS total_count FROM records GROUP BY 1", {c: c for c in ("as_of_date", "total_count")}, ("as_of_date",), "")})""")
 def publication_manifest(p: Panel) -> DataFrame:
+    """Two exports outside the contract, written and read back."""
     exports = {"spells": (p.spells, ("key", "spell_number", "terminal_state"), ("key", "spell_number")), "totals": (metrics.release_totals(p.records, SPEC), ("as_of_date", "total_count"), ("as_of_date",))}
-    return publish.manifest(exports, p.promoted).select("export", "row_count", "release_count")
+    return publish.manifest(p.spark, fresh_path(p.spark, "exports"), exports, p.promoted)
 
 
 @query("""SELECT attempt_id, normalized_outcome, ended_at_utc, coalesce(normalized_outcome = 'rejected' OR normalized_outcome IN ('accepted', 'recovered') AND NOT coalesce(revision_fingerprint IN (SELECT revision_fingerprint FROM promoted), false), true) AS warning
@@ -423,6 +443,26 @@ def capture_status(p: Panel) -> DataFrame:
     return publish.capture_status(p.runs, p.promoted)
 
 
+@query("""SELECT CASE normalized_outcome WHEN 'recovered' THEN 'accepted' ELSE coalesce(normalized_outcome, 'operational_error') END AS outcome,
+    CASE normalized_outcome WHEN 'no_new_release' THEN 'source_not_advanced' WHEN 'rejected' THEN 'structural_rejection' WHEN 'accepted' THEN 'none' WHEN 'recovered' THEN 'none' ELSE 'source_transfer_error' END AS reason_category,
+    ended_at_utc, coalesce(normalized_outcome NOT IN ('no_new_release', 'accepted', 'recovered'), true)
+      OR normalized_outcome IN ('accepted', 'recovered') AND NOT coalesce(revision_fingerprint IN (SELECT revision_fingerprint FROM promoted), false) AS newer_attempt_not_accepted,
+    CASE WHEN v.retired_on IS NULL THEN 'active' ELSE 'retired' END AS source_publication_state, v.retired_on AS source_publication_retired_on, 0::BIGINT AS faults
+  FROM (SELECT * FROM runs ORDER BY ended_at_utc DESC NULLS LAST, attempt_id DESC LIMIT 1), (SELECT NULL::VARCHAR AS retired_on UNION ALL SELECT max(as_of_date) FROM promoted) v""", stored=("promoted", "runs"))
+def control_source(p: Panel) -> DataFrame:
+    """The control row of the publication, active and retired at the last release, written as JSON and read back, with the
+    number of its faults."""
+    last = p.promoted.agg(F.max("as_of_date")).first()[0]
+    out = []
+    for retired_on in (None, last):
+        path = f"{fresh_path(p.spark, 'control')}/{exports.CONTROL_FILE}"
+        publish.control_source(p.runs, p.promoted, retired_on).coalesce(1).write.option("ignoreNullFields", "false").json(path)
+        back = p.spark.read.schema("outcome string, reason_category string, ended_at_utc string, newer_attempt_not_accepted boolean, source_publication_state string, source_publication_retired_on string").json(path)
+        faults = publish.control_faults(back).agg(F.count("*").alias("faults"))
+        out.append(back.select(*exports.CONTROL_COLUMNS).crossJoin(F.broadcast(faults)))  # one row
+    return united(out)
+
+
 def attempt_bodies(attempts: DataFrame) -> DataFrame:
     """Attempts as JSON documents (value), each with the exact keys of its own form; null values are written."""
     value = F.lit(None).cast("string")
@@ -605,24 +645,18 @@ def marts(p: Panel) -> dict[str, DataFrame]:
 
 
 def _exports_sql() -> str:
-    """The manifest over the marts' own SQL; a cell's form follows its type."""
-    cell = lambda c: f"""coalesce(CASE WHEN typeof({c}) = 'VARCHAR' THEN '"' || replace({c}::VARCHAR, '"', '""') || '"' WHEN typeof({c}) = 'DOUBLE' THEN TRY_CAST(TRY_CAST({c}::VARCHAR AS DOUBLE) AS DECIMAL(20, 9))::VARCHAR ELSE {c}::VARCHAR END, '')"""
-    rows = []
-    for name, e in sorted(exports.EXPORTS.items()):
-        mart = ORACLE_SQL[e.mart].removeprefix(BASE)
-        line = " || ',' || ".join(cell(own) for own in e.columns.values())
-        half = "CAST('0x' || substr(h, {at}, 12) AS BIGINT) % 1000000007"
-        rows.append(f"SELECT '{name}' AS export, count(*) AS row_count, coalesce(sum({half.format(at=1)}), 0)::BIGINT AS digest_a, coalesce(sum({half.format(at=13)}), 0)::BIGINT AS digest_b, '{','.join(e.grain)}' AS grain FROM (SELECT sha256({line}) AS h FROM ({mart}))")
+    """The manifest over the marts' own SQL."""
+    rows = [_file_sql(name, ORACLE_SQL[e.mart].removeprefix(BASE), e.columns, e.grain, exports.DIALECT) for name, e in sorted(exports.EXPORTS.items())]
     return f"SELECT *, (SELECT count(*) FROM promoted) AS release_count, (SELECT count(*) FROM classes WHERE eligibility_classification = 'eligible') AS eligible_count FROM ({' UNION ALL '.join(rows)})"
 
 
 @query(_exports_sql(), stored=STORED)
 def publication_exports(p: Panel) -> DataFrame:
-    """The manifest of all twelve exports: rows, digests of their lines, grain, releases and eligible keys."""
+    """All twelve exports written, and their manifest: file, rows, SHA-256 of its bytes, grain, releases and eligible keys."""
     frames = marts(p)
     entries = {name: (exports.exported(frames[e.mart], e), tuple(e.columns), e.grain) for name, e in exports.EXPORTS.items()}
     eligible = p.classes.agg(F.count(F.when(F.col("eligibility_classification") == "eligible", 1)).alias("eligible_count"))
-    return publish.manifest(entries, p.promoted).crossJoin(F.broadcast(eligible))  # one row
+    return publish.manifest(p.spark, fresh_path(p.spark, "exports"), entries, p.promoted, exports.DIALECT).crossJoin(F.broadcast(eligible))  # one row
 
 
 @query("SELECT * FROM (VALUES ('mart_release_quality', 'columns'), ('mart_status_age', 'grain_not_unique'), ('dim_public_organizations', 'eligible_keys'), ('mart_named', 'identity_columns')) AS t(export, failure_reason)", stored=STORED)
