@@ -289,3 +289,10 @@ FROM coded JOIN v ON coded.rid = v.rid
 
 
 ORACLE_SQL["op13_vector_codes"] = _codes_sql()
+
+
+@query
+def op11_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from muster.llm import quality_cnn
+
+    return quality_cnn.predictions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
