@@ -67,12 +67,34 @@ def observations(snapshots: DataFrame, classes: DataFrame, promoted: DataFrame,
     )
 
 
+def keyed_table(rows: DataFrame, path: str, key: str = "key", order: Sequence[str] = RELEASE, expected: int = 100_000, group_rows: int = 100_000) -> DataFrame:
+    """The rows as a table that is read by key: dealt out by ranges of keys, sorted, with a Bloom filter of the keys in each
+    row group. Ranges of the row groups rule out most of them, filters the rest that don't have the key."""
+    sorted_rows = rows.repartitionByRange(key, *order).sortWithinPartitions(key, *order)
+    options = {f"parquet.bloom.filter.enabled#{key}": "true", f"parquet.bloom.filter.expected.ndv#{key}": str(expected), "parquet.block.row.count.limit": str(group_rows)}
+    sorted_rows.write.mode("errorifexists").option("compression", "zstd").options(**options).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+#: Most keys of one lookup: each is compared with the filters of the row groups.
+LOOKED_UP = 10
+
+
+def histories(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = RELEASE, strict: bool = True) -> DataFrame:
+    """The rows of the keys in order, in one scan with the keys pushed into it. A key that isn't there fails the query, or,
+    if not strict, comes back with nulls."""
+    asked = list(dict.fromkeys(keys))
+    if len(asked) > LOOKED_UP:
+        raise ValueError(f"a lookup takes at most {LOOKED_UP} keys; join a table of more")
+    wanted = rows.sparkSession.createDataFrame([(k,) for k in asked], "asked string")
+    found = wanted.join(rows.where(F.col("key").isin(*asked)), F.col("asked") == F.col("key"), "left")
+    there = F.when(F.col("key").isNotNull(), F.col("key")).otherwise(F.raise_error(F.lit("no such key")).cast("string")) if strict else F.col("asked")
+    return found.withColumn("key", there).drop("asked").select(rows.columns).orderBy("key", *order)
+
+
 def lookup(rows: DataFrame, key: str, order: Sequence[str] = RELEASE) -> DataFrame:
-    """History of exactly one key; an error unless the key is there."""
-    found = rows.where(F.col("key") == key)
-    if found.isEmpty():
-        raise KeyError("no such key")
-    return found.orderBy(*order)
+    """History of exactly one key, in one scan; the query fails if the key isn't there."""
+    return histories(rows, [key], order)
 
 
 def csv_line(df: DataFrame, columns: Sequence[str], places: int | None = None) -> Column:

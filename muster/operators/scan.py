@@ -4,6 +4,8 @@ Digits and letters of the patterns are ASCII, so that results are the same in en
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,12 +28,17 @@ PATTERNS = {"federal_id": FEDERAL_ID, "phone": PHONE, "email": EMAIL, "windows_p
 LABELLED_ID = rf"(?is)(?<=(?={LABEL}).{{3,{LABEL_WINDOW}}}){NINE_DIGITS}"
 
 
-def addresses(body: Column) -> Column:
-    """How many addresses the text has. '12 of the records the same way' and its like are counted things, no address,
-    unless a word for a place is before or a comma behind. The text around a match is what lies between the matches."""
+#: Stands before each match in a marked text; where a text has it, another sign takes its place.
+MARK, INSTEAD = "\u0001", "\u0002"
+
+Pieces = tuple[Column, Column, Callable[[Column], Column]]
+
+
+def address_pieces(body: Column) -> Pieces:
+    """The matches of addresses, the text between them, and which match (by its number from 1) is one. '12 of the records
+    the same way' and its like are counted things, no address, unless a word for a place is before or a comma behind."""
     found = F.regexp_extract_all(body, F.lit(f"({ADDRESS})"), F.lit(1))
     between = F.split(body, ADDRESS)
-    at = F.when(F.size(found) > 0, F.sequence(F.lit(1), F.size(found))).otherwise(F.array().cast("array<int>"))
 
     def counted(i: Column) -> Column:
         low = F.lower(F.element_at(found, i))
@@ -41,23 +48,60 @@ def addresses(body: Column) -> Column:
         words = low.rlike(COUNTED_END) & inside.rlike(rf"(^|\s)(?:{'|'.join(COUNTED)})(\s|$)")
         return words & ~before.rlike(PLACE_BEFORE) & ~F.coalesce(F.element_at(between, i + 1), F.lit("")).rlike(r"^\s?,")
 
-    return F.size(F.filter(at, lambda i: ~counted(i)))
+    return found, between, lambda i: ~counted(i)
+
+
+def joins(url: Column, allowed: Sequence[str]) -> Column:
+    """Whether a query key of the URL, decoded, is one that joins records, unless its host and the beginning of its path are
+    allowed ('host/path'; the host must be equal, both in any case)."""
+    fields = F.split(F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1), "&")
+    named = lambda f: F.lower(F.coalesce(F.try_url_decode(F.substring_index(f, "=", 1)), F.substring_index(f, "=", 1))).isin(*JOIN_KEYS)
+    host = F.lower(F.regexp_extract(url, r"(?i)^https?://(?:[^/?#]*@)?([^/?#:@]*)", 1))
+    path = F.lower(F.regexp_extract(url, r"(?i)^https?://[^/?#]*([^?#]*)", 1))
+    good = F.lit(False)
+    for one in allowed:
+        name, _, prefix = one.lower().partition("/")
+        good = good | ((host == name) & F.startswith(path, F.lit(f"/{prefix}")))
+    return F.exists(fields, named) & ~good
+
 
+def url_pieces(body: Column, allowed: Sequence[str]) -> Pieces:
+    found = F.regexp_extract_all(body, F.lit(f"({URL})"), F.lit(1))
+    return found, F.split(body, URL), lambda i: joins(F.element_at(found, i), allowed)
 
-def findings(df: DataFrame, key: str, text: str, allowed_urls: tuple[str, ...] = ()) -> DataFrame:
+
+def numbers(found: Column) -> Column:
+    return F.when(F.size(found) > 0, F.sequence(F.lit(1), F.size(found))).otherwise(F.array().cast("array<int>"))
+
+
+def before_kept(pieces: Pieces) -> Column:
+    """The text with a mark before each match that is one."""
+    found, between, keep = pieces
+    piece = lambda i: F.concat(F.element_at(between, i), F.when(keep(i), MARK).otherwise(""), F.element_at(found, i))
+    return F.concat(F.array_join(F.transform(numbers(found), piece), ""), F.element_at(between, -1))
+
+
+def findings(df: DataFrame, key: str, text: str, allowed_urls: Sequence[str] = ()) -> DataFrame:
     """(category, key, count) of each row with findings; one pass over the text."""
     body = F.coalesce(F.col(text), F.lit(""))
-    query = lambda u: F.lower(F.coalesce(F.try_parse_url(u, F.lit("QUERY")), F.lit("")))
-    place = lambda u: F.concat(F.coalesce(F.try_parse_url(u, F.lit("HOST")), F.lit("")), F.coalesce(F.try_parse_url(u, F.lit("PATH")), F.lit("")))
-    urls = F.filter(F.regexp_extract_all(body, F.lit(URL), F.lit(0)), lambda u: query(u).rlike(rf"(^|&)({'|'.join(JOIN_KEYS)})=") & ~F.coalesce(place(u).isin(*allowed_urls), F.lit(False)))
-    counts = {name: F.regexp_count(body, F.lit(p)) for name, p in PATTERNS.items()}
-    counts |= {"labelled_id": F.regexp_count(body, F.lit(LABELLED_ID)), "street_address": addresses(body), "join_url": F.size(urls)}
+    counts = {name: F.regexp_count(body, F.lit(p)) for name, p in (PATTERNS | {"labelled_id": LABELLED_ID}).items()}
+    for name, (found, _, keep) in {"street_address": address_pieces(body), "join_url": url_pieces(body, allowed_urls)}.items():
+        counts[name] = F.size(F.filter(numbers(found), keep))
     each = F.explode(F.array(*(F.struct(F.lit(name).alias("category"), c.cast("bigint").alias("n")) for name, c in sorted(counts.items()))))
     return df.select(F.col(key).alias("row_id"), each.alias("f")).select("f.category", "row_id", F.col("f.n").alias("finding_count")).where("finding_count > 0")
 
 
-def located(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(category, key, line) of each finding of a pattern that stays within a line."""
-    lines = df.select(F.col(key).alias("row_id"), F.posexplode(F.split(F.coalesce(text, F.lit("")), "\n")).alias("at", "line"))
-    each = F.explode(F.array(*(F.struct(F.lit(name).alias("category"), F.regexp_count("line", F.lit(p)).cast("bigint").alias("n")) for name, p in sorted(PATTERNS.items()))))
-    return lines.select("row_id", (F.col("at") + 1).cast("bigint").alias("line_no"), each.alias("f")).select("f.category", "row_id", "line_no", F.col("f.n").alias("finding_count")).where("finding_count > 0")
+def located(df: DataFrame, key: str, text: str, allowed_urls: Sequence[str] = ()) -> DataFrame:
+    """(category, key, line, count) of each line in which findings begin; they may reach over its end.
+
+    Each match gets a mark before it, in one pass over the text, and the marks of a line are counted; so offsets need not
+    be kept, and a text with many findings costs no more than its length."""
+    rows = df.select(F.col(key).alias("row_id"), F.translate(F.coalesce(F.col(text), F.lit("")), MARK, INSTEAD).alias("body"))
+    body = F.col("body")
+    marked = {name: F.regexp_replace(body, f"({p})", f"{MARK}$1") for name, p in (PATTERNS | {"labelled_id": LABELLED_ID}).items()}
+    marked |= {"street_address": before_kept(address_pieces(body)), "join_url": before_kept(url_pieces(body, allowed_urls))}
+    each = F.explode(F.array(*(F.struct(F.lit(name).alias("category"), t.alias("marked")) for name, t in sorted(marked.items()))))
+    some = rows.select("row_id", each.alias("f")).select("row_id", "f.category", "f.marked").where(F.contains("marked", F.lit(MARK)))
+    lines = some.select("category", "row_id", F.posexplode(F.split("marked", "\n")).alias("at", "line"))
+    n = F.length("line") - F.length(F.replace("line", F.lit(MARK), F.lit("")))
+    return lines.select("category", "row_id", (F.col("at") + 1).cast("bigint").alias("line_no"), n.cast("bigint").alias("finding_count")).where("finding_count > 0")

@@ -1,16 +1,17 @@
 """Validation of a whole release: predicates that each give reasons (code, rank, source_list, line_no, count).
 
-No reasons: the release is admitted, whole. Every check is an aggregate or a window over the release's rows."""
+No reasons: the release is admitted, whole. Every check is an aggregate over the release's rows, or a join with one."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from muster.contracts import CONTRACT_REASONS, HEADERS, KEY_FORM, REASON_RANK, SOURCE_LISTS, STATUSES
 from muster.functions.expr import py_strip
+from muster.functions.shared import written
 from muster.sources.landing import UNDEFINED, fields
 
 
@@ -55,7 +56,9 @@ def record_reasons(rows: DataFrame, key: str, status: str, date: str, key_form:
     odd = own.join(F.broadcast(modal_date(own, F.col("d"))), (F.col("d") != F.col("modal")) & (F.col("d") != ""))  # one row
     keyed = own.where("k <> ''")
     unknown = keyed.where(~F.col("k").rlike(key_form))
-    repeated = keyed.withColumn("n", F.count("*").over(Window.partitionBy("k"))).where("n > 1")
+    # counts combine before the shuffle and are written; the join is one of plain shuffles, whose hot keys adaptive execution splits
+    twice = written(keyed.groupBy("k").count().where("count > 1").select("k"), "repeated")
+    repeated = keyed.join(twice, "k")
     out = reason(blank, "date.blank", line).union(reason(odd, "date.mismatch", line)).union(reason(unknown, "registration.unknown_format", line)).union(reason(repeated, "registration.duplicate", line))
     if statuses is not None:
         strange = own.where((F.col("s") != "") & ~F.col("s").isin(*statuses)).groupBy("source_list").agg(F.count("*").alias("n"))

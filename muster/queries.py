@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from muster.adapters import CARRIED, SPEC, Panel, table
-from muster.contracts import ATTEMPT_KEYS, CLASSIFICATIONS, HEADERS, LANDED, REASON_RANK, RELEASE, SOURCE_LISTS, STATUSES
+from muster.contracts import ATTEMPT_KEYS, ATTEMPTS, CLASSIFICATIONS, HEADERS, LANDED, REASON_RANK, RELEASE, SOURCE_LISTS, STATUSES
 from muster.functions.expr import normal_as_of_date
 from muster.functions.shared import fresh_path, written
 from muster.operators import exports, metrics, panel, publish, scan, validation
 from muster.plans import checks
 from muster.sources import landing
+from muster.streaming import jobs
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -368,6 +369,18 @@ def public_observations(p: Panel) -> DataFrame:
     return publish.observations(p.snapshots, p.classes, p.promoted, ATTRIBUTES)
 
 
+@query("""SELECT w.key, g.as_of_date, g.release_revision, g.revision_fingerprint, g.observation_state, g.organization_name, g.status FROM (
+    SELECT c_custkey::VARCHAR AS key FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 8) w LEFT JOIN (
+    SELECT c.key, r.as_of_date, r.release_revision, r.revision_fingerprint, CASE WHEN s.key IS NULL THEN 'not_observed' ELSE 'observed' END AS observation_state, organization_name, status
+    FROM classes c CROSS JOIN promoted r LEFT JOIN snapshots s ON s.key = c.key AND s.as_of_date = r.as_of_date WHERE eligibility_classification = 'eligible') g ON g.key = w.key""", stored=("promoted",))
+def key_histories(p: Panel) -> DataFrame:
+    """The histories of the eight customers with the largest balances, looked up in a table that is laid out by key; a key
+    without a history comes with nulls."""
+    wanted = table(p.spark, p.sf_dir, "customer").orderBy(F.desc("c_acctbal"), "c_custkey").limit(8).select(F.col("c_custkey").cast("string").alias("key")).collect()
+    rows = publish.keyed_table(publish.observations(p.snapshots, p.classes, p.promoted, ATTRIBUTES), fresh_path(p.spark, "keyed"))
+    return publish.histories(rows, [r["key"] for r in wanted], strict=False).select("key", *RELEASE, "observation_state", "organization_name", "status")
+
+
 @query("""SELECT code, rank, source_list, line_no, count FROM (
   SELECT 'registration.duplicate' AS code, 120 AS rank, source_list, source_line_no AS line_no, 1::BIGINT AS count FROM plain WHERE key IS NOT NULL QUALIFY count(*) OVER (PARTITION BY key) > 1
   UNION ALL SELECT 'date.mismatch', 100, source_list, source_line_no, 1 FROM plain WHERE as_of_date <> (SELECT as_of_date FROM plain GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
@@ -588,40 +601,63 @@ def sensitive_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES["sensitive_text"] = sensitive_text
 
 
-def _sensitive_sql() -> str:
-    """All eight detectors, without look-behind: what it would look at is matched, or taken from the pieces between."""
-    body = "coalesce(text, '')"
+def _found_sql(rows: str, key: str, text: str, allowed: Sequence[str] = ()) -> str:
+    """A row for each match of the eight detectors, with all text before it; without look-behind: what it would look at is
+    matched, or taken from the pieces between."""
+    body = f"coalesce({text}, '')"
     q = lambda p: p.replace("'", "''")
-    one = {name: f"len(regexp_extract_all({body}, '{q(p)}'))" for name, p in scan.PATTERNS.items() if name != "home_path"}
-    one["home_path"] = f"len(regexp_extract_all({body}, '{q('(?:^|[^A-Za-z0-9_/])' + scan.HOME_PATH)}'))"
-    one["join_url"] = f"len(list_filter(regexp_extract_all({body}, '{q(scan.URL)}'), lambda u: regexp_matches(u, '(?i)^[^?#]*\\?([^#]*&)?({'|'.join(scan.JOIN_KEYS)})=')))"
-    rows = [f"SELECT '{name}' AS category, doc_id, {n} AS n FROM documents" for name, n in one.items()]
-
-    def pieces(pattern: str, keep: str) -> str:
-        """A row for each match, with all text before and after it."""
-        return f"""SELECT doc_id, count(*) AS n FROM (
-          SELECT doc_id, m[i] AS match, array_to_string(flatten(list_transform(list_zip(b[1:i - 1], m[1:i - 1]), lambda x: [x[1], x[2]])), '') || b[i] AS before, b[i + 1] AS after FROM (
-            SELECT doc_id, regexp_extract_all({body}, '{q(pattern)}') AS m, string_split_regex({body}, '{q(pattern)}') AS b FROM documents), unnest(range(1, len(m) + 1)) AS t(i)) WHERE {keep} GROUP BY doc_id"""
-
-    rows.append("SELECT 'labelled_id', * FROM (" + pieces(scan.NINE_DIGITS, f"regexp_matches(right(before, {scan.LABEL_WINDOW}), '(?i){scan.LABEL}')") + ")")
+
+    def pieces(name: str, pattern: str, keep: str = "true", before: str = "before") -> str:
+        return f"""SELECT '{name}' AS category, row_id, {before} AS before FROM (
+          SELECT row_id, m[i] AS match, array_to_string(flatten(list_transform(list_zip(b[1:i - 1], m[1:i - 1]), lambda x: [x[1], x[2]])), '') || b[i] AS before, b[i + 1] AS after FROM (
+            SELECT {key} AS row_id, regexp_extract_all({body}, '{q(pattern)}') AS m, string_split_regex({body}, '{q(pattern)}') AS b FROM {rows}), unnest(range(1, len(m) + 1)) AS t(i)) WHERE {keep}"""
+
+    out = [pieces(name, p) for name, p in scan.PATTERNS.items() if name != "home_path"]
+    out.append(pieces("home_path", "(?:^|[^A-Za-z0-9_/])" + scan.HOME_PATH, before="before || CASE WHEN match[1] = '/' THEN '' ELSE match[1] END"))
+    out.append(pieces("labelled_id", scan.NINE_DIGITS, f"regexp_matches(right(before, {scan.LABEL_WINDOW}), '(?i){scan.LABEL}')"))
     counted = f"regexp_matches(lower(match), '{scan.COUNTED_END}') AND regexp_matches(lower(match), '^[0-9]+(\\s+\\S+)*\\s+(?:{'|'.join(scan.COUNTED)})(\\s+\\S+)*\\s+the\\s+same\\s+way$')"
-    rows.append("SELECT 'street_address', * FROM (" + pieces(scan.ADDRESS, f"NOT ({counted} AND NOT regexp_matches(right(before, {scan.BEFORE}), '{scan.PLACE_BEFORE}') AND NOT regexp_matches(after, '^\\s?,'))") + ")")
-    return "SELECT category, doc_id AS row_id, n::BIGINT AS finding_count FROM (" + " UNION ALL ".join(rows) + ") WHERE n > 0"
+    out.append(pieces("street_address", scan.ADDRESS, f"NOT ({counted} AND NOT regexp_matches(right(before, {scan.BEFORE}), '{scan.PLACE_BEFORE}') AND NOT regexp_matches(after, '^\\s?,'))"))
+    keys = f"len(list_filter(string_split(regexp_extract(match, '^[^?#]*\\?([^#]*)', 1), '&'), lambda f: lower(url_decode(split_part(f, '=', 1))) IN {tuple(scan.JOIN_KEYS)})) > 0"
+    spared = "".join(f" AND NOT regexp_matches(match, '(?i)^https?://{a.lower().replace('.', '[.]')}')" for a in allowed)
+    out.append(pieces("join_url", scan.URL, keys + spared))
+    return " UNION ALL ".join(out)
 
 
-ORACLE_SQL["sensitive_text"] = _sensitive_sql()
+ORACLE_SQL["sensitive_text"] = f"SELECT category, row_id, count(*) AS finding_count FROM ({_found_sql('documents', 'doc_id', 'text')}) GROUP BY category, row_id"
 
 
 def located_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The line of each finding of a single pattern."""
+    """The lines in which findings begin, of all eight detectors."""
     return scan.located(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
 QUERIES["located_text"] = located_text
-ORACLE_SQL["located_text"] = "SELECT category, row_id, line_no, n::BIGINT AS finding_count FROM (" + " UNION ALL ".join(
-    f"SELECT '{name}' AS category, row_id, line_no, len(regexp_extract_all(line, '{(p if name != 'home_path' else '(?:^|[^A-Za-z0-9_/])' + scan.HOME_PATH).replace(chr(39), chr(39) * 2)}')) AS n FROM lines" for name, p in scan.PATTERNS.items()
-) + ") WHERE n > 0"
-ORACLE_SQL["located_text"] = "WITH lines AS (SELECT doc_id AS row_id, i AS line_no, l[i] AS line FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents), unnest(range(1, len(l) + 1)) AS t(i)) " + ORACLE_SQL["located_text"]
+_LINE = "(1 + length(before) - length(replace(before, chr(10), '')))::BIGINT AS line_no"
+ORACLE_SQL["located_text"] = f"SELECT category, row_id, {_LINE}, count(*) AS finding_count FROM ({_found_sql('documents', 'doc_id', 'text')}) GROUP BY ALL"
+
+#: Hosts and paths whose links may carry keys.
+ALLOWED_LINKS = ("blog.tionsh.example.net/", "m.tionsh.example.net/e", "Blog.ththsh.example.com/")
+
+
+def link_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each page's address on a line of its own with queries of several forms, and with an address and an id over two lines."""
+    forms = ["?ein=1", "?x=1&E%69N=2", "#?ein=1", "?SSN", "/ein=4", "?x=ein&y"]
+    form = F.element_at(F.array(*map(F.lit, forms)), (F.col("page_id") % len(forms) + 1).cast("int"))
+    url = F.when(F.col("page_id") % 4 == 1, F.upper("url")).otherwise(F.col("url"))
+    text = F.concat(F.lit("see\n"), url, form, F.lit(" at 12 Main\nStreet\nor EIN\n"), F.lpad(F.col("page_id").cast("string"), 9, "7"))
+    return table(spark, sf_dir, "pages").select("page_id", text.alias("text"))
+
+
+def located_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of findings in the pages' link texts; links to some places may carry keys."""
+    return scan.located(link_lines(spark, sf_dir), "page_id", "text", ALLOWED_LINKS)
+
+
+QUERIES["located_links"] = located_links
+ORACLE_SQL["located_links"] = f"""WITH links AS (
+  SELECT page_id, 'see' || chr(10) || CASE WHEN page_id % 4 = 1 THEN upper(url) ELSE url END || ['?ein=1', '?x=1&E%69N=2', '#?ein=1', '?SSN', '/ein=4', '?x=ein&y'][page_id % 6 + 1]
+    || ' at 12 Main' || chr(10) || 'Street' || chr(10) || 'or EIN' || chr(10) || lpad(page_id::VARCHAR, 9, '7') AS text FROM pages)
+SELECT category, row_id, {_LINE}, count(*) AS finding_count FROM ({_found_sql('links', 'page_id', 'text', ALLOWED_LINKS)}) GROUP BY ALL"""
 
 
 def marts(p: Panel) -> dict[str, DataFrame]:
@@ -750,26 +786,50 @@ def faulty_verdicts(p: Panel) -> DataFrame:
 @query("""SELECT r.as_of_date, r.release_revision, r.revision_fingerprint, source_list, source_line_no, coalesce(key, '') AS reg, strftime(o_orderdate, '%Y/%m/%d') AS issue_date
   FROM plain l JOIN revisions r ON l.as_of_date = r.as_of_date WHERE r.release_revision = 1 OR o_orderkey % 50 <> 0""")
 def landed_releases(p: Panel) -> DataFrame:
-    """Every revision's records written as landed Parquet, and read back release by release through the catalogue."""
+    """Every revision's records written as landed Parquet, and all of them read back through the catalogue in one scan."""
     path = fresh_path(p.spark, "landed")
     landing.landed_table(p.landed.select(*(F.col(f"`{f.name}`") for f in LANDED), *RELEASE), path)
-    ids = p.revisions.select(*RELEASE).collect()  # one row for each release
-    back = landing.read_landed(p.spark, [(f"{path}/as_of_date={d}/release_revision={r}", d, r, fingerprint) for d, r, fingerprint in ids])
+    back = landing.read_landed(p.spark, path, p.revisions)
     return back.select(*RELEASE, "source_list", "source_line_no", F.col("`State Charity Reg#`").alias("reg"), F.col("`Issue Date`").alias("issue_date"))
 
 
-@query("""SELECT CASE WHEN count(*) <> count(DISTINCT line) THEN 'line_numbers' WHEN min(line) < 2 THEN 'header_line' ELSE 'replacement_character' END AS failure_reason FROM (
+_DAMAGED = """, lying AS (
     SELECT r.as_of_date, r.release_revision, source_list, substr(r.as_of_date, 4, 1) AS y, source_line_no,
            CASE WHEN substr(r.as_of_date, 4, 1) = '8' THEN source_line_no % 5 WHEN substr(r.as_of_date, 4, 1) = '5' THEN -source_line_no ELSE source_line_no END AS line
-    FROM plain l JOIN revisions r ON l.as_of_date = r.as_of_date WHERE r.release_revision = 1 OR o_orderkey % 50 <> 0)
-  GROUP BY as_of_date, release_revision, source_list, y HAVING count(*) <> count(DISTINCT line) OR min(line) < 2 OR bool_or(y = '7' AND source_line_no % 2 = 0)""")
+    FROM plain l JOIN revisions r ON l.as_of_date = r.as_of_date WHERE r.release_revision = 1 OR o_orderkey % 50 <> 0
+  ), there AS (
+    SELECT * FROM lying WHERE NOT (y = '4' AND source_line_no % 3 = 0)
+  ), lists AS (
+    SELECT as_of_date, release_revision, source_list, y, count(*) AS n, count(DISTINCT line) AS lines, min(line) AS least, bool_or(y = '7' AND source_line_no % 2 = 0) AS broken FROM there GROUP BY ALL
+  )
+"""
+
+
+@query(_DAMAGED + """SELECT 'lists' AS landed_table, CASE WHEN n <> lines THEN 'line_numbers' WHEN least < 2 THEN 'header_line' ELSE 'replacement_character' END AS failure_reason FROM lists WHERE n <> lines OR least < 2 OR broken
+  UNION ALL SELECT 'lists', 'order' FROM lists WHERE y = '6' AND n > 1
+  UNION ALL SELECT 'lists', 'row_count' FROM lying WHERE y = '4' GROUP BY as_of_date, release_revision, source_list HAVING bool_or(source_line_no % 3 = 0)
+  UNION ALL SELECT * FROM (VALUES ('columns', 'column_order'), ('types', 'schema:source_line_no'), ('types', 'schema:FEIN')) AS t""")
 def landed_table_faults(p: Panel) -> DataFrame:
-    """What the read-back finds in a landed table where some years' line numbers repeat or are too small, or names are broken."""
+    """What the read-back finds in landed tables with a fault of every kind: in some years line numbers repeat or are too
+    small, names are broken, rows lie in falling order or are lost; another table has its columns in another order, and a
+    third has other types and lacks a column."""
     year, line = F.substring("as_of_date", 4, 1), F.col("source_line_no")
-    damaged = p.landed.withColumns({"source_line_no": F.when(year == "8", line % 5).when(year == "5", -line).otherwise(line), "Name": F.when((year == "7") & (line % 2 == 0), "Fund \ufffd").otherwise(F.col("Name"))})
+    columns = [*(F.col(f"`{f.name}`") for f in LANDED), *RELEASE]
+    whole = p.landed.withColumns({"source_line_no": F.when(year == "8", line % 5).when(year == "5", -line).otherwise(line), "Name": F.when((year == "7") & (line % 2 == 0), "Fund \ufffd").otherwise(F.col("Name"))})
+    damaged = whole.where(~((year == "4") & (line % 3 == 0))).select(columns)
     path = fresh_path(p.spark, "damaged")
-    landing.landed_table(damaged.select(*(F.col(f"`{f.name}`") for f in LANDED), *RELEASE), path)
-    return landing.landed_faults(p.spark.read.parquet(path))
+    landing.landed_table(damaged.where(year != "6"), path)
+    falling = (*RELEASE[:2], "source_list")
+    landing.written_landed(damaged.where(year == "6").repartition(*falling).sortWithinPartitions(*falling, F.desc("source_line_no")), path, "append")
+    expected = whole.groupBy(*RELEASE[:2], "source_list").agg(F.count("*").alias("n"))
+    read = p.spark.read.schema(f"{', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in LANDED)}, as_of_date string, release_revision bigint").parquet(path)
+    found = {"lists": landing.landed_faults(read.drop("revision_fingerprint"), expected)}
+    some = p.landed.where("release_revision = 1 and source_line_no % 100 = 51")
+    for name, chosen in (("columns", [columns[1], columns[0], *columns[2:]]), ("types", [c for i, c in enumerate(columns) if i not in (2, 12)] + [line.cast("string").alias("source_line_no")])):
+        path = fresh_path(p.spark, name)
+        landing.written_landed(some.select(chosen), path)
+        found[name] = landing.landed_faults(p.spark.read.parquet(path))
+    return united([df.select(F.lit(name).alias("landed_table"), "failure_reason") for name, df in found.items()])
 
 
 @query("""SELECT r.*, r.release_revision = 1 AND substr(r.as_of_date, 6, 2) = '04' AND substr(r.as_of_date, 1, 4)::INT % 2 = 0 AS is_pointed_at FROM revisions r""")
@@ -782,6 +842,66 @@ def revision_catalogue(p: Panel) -> DataFrame:
     return landing.read_revisions(p.spark, paths["revisions"]).join(named, list(RELEASE), "left").withColumn("is_pointed_at", F.coalesce("is_pointed_at", F.lit(False)))
 
 
+#: Of the streamed attempts: days of a batch, how many batches later some come, files of a batch.
+STREAM_DAYS, STREAM_LAG, STREAM_FILES = 5, 3, 2
+
+_ARRIVING = f""", timed AS (
+    SELECT *, least(5, date_diff('day', (SELECT min(date_trunc('day', ts)) FROM events), date_trunc('day', ts)) // {STREAM_DAYS}) AS b
+    FROM (SELECT event_id, ts FROM events WHERE event_id % 5 >= 2)
+  )
+"""
+
+
+@query(_ARRIVING + """SELECT 'a' || event_id AS attempt_id, CASE WHEN event_id % 19 = 0 AND b <= 2 THEN 'late' ELSE 'taken' END AS side,
+    (CASE WHEN event_id % 19 = 0 AND b <= 2 AND event_id % 7 = 0 THEN 2 ELSE 1 END)::BIGINT AS documents, ['accepted', 'no_new_release', 'rejected', 'recovered'][event_id % 4 + 1] AS raw_status FROM timed""")
+def streamed_attempts(p: Panel) -> DataFrame:
+    """The timed attempts as a stream in batches of some days: some documents come a second time, others long after the
+    watermark has passed them. Each attempt is taken once; what came late is in the side table, document by document."""
+    e = F.col("attempt_id").substr(2, 20).cast("bigint")
+    attempts = p.attempts().where("attempt_shape = 'v2'").withColumn("e", e)
+    ts = table(p.spark, p.sf_dir, "events").select(F.col("event_id").alias("e"), F.to_date("ts").alias("day"))
+    first = table(p.spark, p.sf_dir, "events").agg(F.to_date(F.min("ts")).alias("zero"))
+    batch = F.least(F.lit(5), F.floor(F.datediff("day", "zero") / STREAM_DAYS))
+    arriving = attempts.join(ts, "e").crossJoin(F.broadcast(first)).withColumn("b", batch)  # one row
+    at = F.when((F.col("e") % 19 == 0) & (F.col("b") <= 2), F.col("b") + STREAM_LAG).otherwise(F.col("b"))
+    arriving = arriving.withColumn("at", F.explode(F.when(F.col("e") % 7 == 0, F.array(at, at + 1)).otherwise(F.array(at))))
+    arriving = written(arriving.drop("day", "zero", "b"), "arriving")
+    base = fresh_path(p.spark, "attempt-stream")
+    for b in range(7):  # a batch's files are written before those of the next
+        arriving.where(F.col("at") == b).drop("e", "at").repartition(STREAM_FILES).write.mode("append").json(f"{base}/in")
+    jobs.attempt_job(p.spark, f"{base}/in", f"{base}/taken", f"{base}/late", f"{base}/state", files=STREAM_FILES)
+    taken = p.spark.read.parquet(f"{base}/taken").select("attempt_id", F.lit("taken").alias("side"), "raw_status")
+    late = p.spark.read.option("recursiveFileLookup", "true").schema(ATTEMPTS).parquet(f"{base}/late").select("attempt_id", F.lit("late").alias("side"), "raw_status")
+    return taken.union(late).groupBy("attempt_id", "side", "raw_status").agg(F.count("*").alias("documents")).select("attempt_id", "side", "documents", "raw_status")
+
+
+@query("""SELECT r.as_of_date, CASE WHEN s = 'accepted' THEN r.release_revision END AS release_revision, CASE WHEN s = 'rejected' THEN md5(r.revision_fingerprint) ELSE r.revision_fingerprint END AS revision_fingerprint, s AS raw_status,
+    (CASE WHEN s = 'accepted' THEN (SELECT count(*) FROM plain l WHERE l.as_of_date = r.as_of_date AND (r.release_revision = 1 OR o_orderkey % 50 <> 0)) ELSE 0 END)::BIGINT AS landed_rows
+  FROM revisions r, (SELECT unnest(['accepted', 'no_new_release', 'rejected']) AS s)
+  WHERE s = 'accepted' OR (s = 'no_new_release' AND r.release_revision = 1 AND substr(r.as_of_date, 6, 2) IN ('01', '04')) OR (s = 'rejected' AND r.release_revision = 1 AND substr(r.as_of_date, 6, 2) = '07')""", stored=("revisions",))
+def streamed_catalogue(p: Panel) -> DataFrame:
+    """The quarters' revisions as a stream of candidates: first ones, then second ones beside first ones that come again,
+    then faulty ones. What becomes of each, and how many rows landed for it."""
+    month, revision = F.substring("as_of_date", 6, 2), F.col("release_revision")
+    ids = p.revisions.select(*RELEASE)
+    good, bad = F.lit(0).cast("bigint"), F.lit(3).cast("bigint")
+    batches = [
+        ids.where(revision == 1).withColumn("reason_count", good),
+        ids.where((revision == 2) | month.isin("01", "04")).withColumn("reason_count", good),
+        ids.where((revision == 1) & (month == "07")).withColumn("revision_fingerprint", F.md5("revision_fingerprint")).withColumn("reason_count", bad),
+    ]
+    base = fresh_path(p.spark, "landing-stream")
+    for batch in batches:
+        batch.select("as_of_date", "revision_fingerprint", "reason_count").coalesce(1).write.mode("append").json(f"{base}/in")  # a row for each release
+    columns = [*(F.col(f"`{f.name}`") for f in LANDED), *RELEASE]
+    candidates = p.spark.readStream.schema(jobs.CANDIDATE).option("maxFilesPerTrigger", 1).json(f"{base}/in")
+    jobs.landing_job(candidates, lambda accepted: p.landed.join(accepted.drop("release_revision"), ["as_of_date", "revision_fingerprint"]).select(columns), f"{base}/landed", f"{base}/catalogue", f"{base}/state")
+    outcomes = p.spark.read.option("recursiveFileLookup", "true").schema(jobs.OUTCOME).parquet(f"{base}/catalogue")
+    counted = p.spark.read.option("recursiveFileLookup", "true").parquet(f"{base}/landed").groupBy(*RELEASE).agg(F.count("*").alias("landed_rows"))
+    joined = outcomes.join(counted, list(RELEASE), "left")
+    return joined.select(*RELEASE, "raw_status", F.coalesce("landed_rows", F.lit(0)).cast("bigint").alias("landed_rows"))
+
+
 @query("""SELECT c_custkey::VARCHAR AS registration_number, CASE WHEN c_custkey % 11 = 0 THEN 'ambiguous_natural_person' WHEN c_custkey % 13 = 0 THEN 'unclassified' ELSE 'eligible' END AS classification, 'v1' AS classification_version
   FROM customer WHERE c_custkey % 11 = 0 OR c_custkey % 13 = 0 OR c_custkey % 17 = 0""")
 def sidecar_classes(p: Panel) -> DataFrame:

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from muster.contracts import ATTEMPT_KEYS, ATTEMPTS, CLASSIFICATIONS, ELIGIBILITY, HEADERS, LANDED, POINTERS, RELEASE, REVISIONS
+from muster.functions.digests import parts_in_order
 
 #: What code page 1252 defines for the bytes 0x80 to 0x9F; the five that it leaves open stay as they are.
 _BYTES = [b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
@@ -80,14 +83,22 @@ def records(lines: DataFrame, headers: Sequence[str] = HEADERS) -> DataFrame:
     return rows.select(*(F.try_element_at("fields", F.lit(i + 1)).alias(h) for i, h in enumerate(headers)), "source_list", F.col("line_no").alias("source_line_no"))
 
 
-def read_landed(spark: SparkSession, releases: Sequence[tuple[str, str, int, str]]) -> DataFrame:
-    """Landed Parquet of releases (path, date, revision, fingerprint) with exact schema; none gives no rows."""
-    schema = T.StructType([*LANDED.fields, *POINTERS.fields])
-    out = spark.createDataFrame([], schema)
-    for path, date, revision, fingerprint in releases:
-        one = spark.read.schema(LANDED).parquet(path)
-        out = out.union(one.select(*(F.col(f"`{f.name}`") for f in LANDED), F.lit(date).alias("as_of_date"), F.lit(revision).cast("bigint").alias("release_revision"), F.lit(fingerprint).alias("revision_fingerprint")))
-    return out
+def landed_schema(spark: SparkSession, path: str) -> None:
+    """Fails unless the footers of all files of a landed table agree with its schema (a distributed read of the footers)."""
+    merged = spark.read.option("mergeSchema", "true").parquet(path).drop(*RELEASE).schema
+    wrong = [f.name for f in merged if f.name not in LANDED.names or f.dataType != LANDED[f.name].dataType] + [n for n in LANDED.names if n not in merged.names]
+    if wrong:
+        raise ValueError(f"a landed table has other columns: {', '.join(sorted(wrong))}")
+
+
+def read_landed(spark: SparkSession, path: str, catalogue: DataFrame) -> DataFrame:
+    """Records of the catalogue's releases (date, revision, fingerprint) from one landed table, in one scan however many
+    they are: the catalogue's partitions are read, others are pruned. An empty catalogue gives no rows."""
+    landed_schema(spark, path)
+    parts = [T.StructField("as_of_date", T.StringType()), T.StructField("release_revision", T.LongType())]
+    rows = spark.read.schema(T.StructType([*LANDED.fields, *parts])).parquet(path)
+    ids = catalogue.select(*RELEASE).where(F.col("as_of_date").isNotNull() & F.col("release_revision").isNotNull())
+    return rows.join(ids, list(RELEASE[:2])).select(*(F.col(f"`{f.name}`") for f in LANDED), *RELEASE)
 
 
 def union_lists(lists: Sequence[DataFrame]) -> DataFrame:
@@ -147,25 +158,101 @@ def classification_faults(rows: DataFrame) -> DataFrame:
     return rows.select(reason.alias("failure_reason")).where(F.col("failure_reason").isNotNull()).union(repeated)
 
 
-def landed_table(df: DataFrame, path: str) -> None:
-    """Landed records with their release's identity as Zstandard Parquet, partitioned by release, in order of lines. Ranges
-    of lines are dealt out, so that a list of any size is written by many tasks."""
+#: Rows of a row group of a landed table.
+GROUP_ROWS = 122_880
+
+
+def landed_table(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Landed records with their release's identity as Zstandard Parquet, partitioned by release, in order of lines, in row
+    groups of GROUP_ROWS. Ranges of lines are dealt out, so that a list of any size is written by many tasks."""
     order = (*RELEASE[:2], "source_list", "source_line_no")
-    df.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("errorifexists").option("compression", "zstd").partitionBy(*RELEASE[:2]).parquet(path)
+    written_landed(df.repartitionByRange(*order).sortWithinPartitions(*order), path, mode)
 
 
-def landed_faults(df: DataFrame) -> DataFrame:
-    """What a read-back finds wrong: schema, line numbers that repeat or are below 2, replacement characters."""
+def written_landed(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """As landed_table(), but in the order that the rows have, which has to begin with the release: the writer sorts by it
+    if it doesn't, and then drops any other order."""
+    df.write.mode(mode).option("compression", "zstd").option("parquet.block.row.count.limit", GROUP_ROWS).partitionBy(*RELEASE[:2]).parquet(path)
+
+
+def physical_runs(rows: DataFrame, own: Sequence[str]) -> DataFrame:
+    """Of a table as it lies on disk: runs of rows of one file and of equal `own` columns, with file, first row index, n,
+    first and last line, and whether lines repeat, fall, or hold replacement characters within the run.
+
+    A task reads its rows in the order of the file, so a run is followed batch by batch, and no row is shuffled."""
+    broken = F.exists(F.array(*(F.col(f"`{h}`") for h in HEADERS if h in rows.columns)), lambda v: F.coalesce(v.contains("\ufffd"), F.lit(False)))
+    plain = rows.select(
+        F.to_json(F.struct(*own), {"ignoreNullFields": "false"}).alias("own"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.row_index").alias("row_index"),
+        F.col("source_line_no").cast("bigint").alias("line"),
+        broken.alias("broken"),
+    )
+    kind = "own string, file string, start bigint, n bigint, first bigint, last bigint, repeats boolean, falls boolean, nulls boolean, broken boolean"
+    names = [k.split()[0] for k in kind.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now: list | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            own_codes, file_codes = (batch.column(c).dictionary_encode() for c in ("own", "file"))
+            a, b = own_codes.indices.to_numpy(), file_codes.indices.to_numpy()
+            line, null = batch.column("line").fill_null(0).to_numpy(), batch.column("line").is_null().to_numpy(zero_copy_only=False)
+            bad, index = batch.column("broken").to_numpy(zero_copy_only=False), batch.column("row_index").to_numpy()
+            cuts = [0, *(np.flatnonzero((a[1:] != a[:-1]) | (b[1:] != b[:-1])) + 1).tolist(), len(a)]
+            done = []
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                key = (own_codes.dictionary[a[i]].as_py(), file_codes.dictionary[b[i]].as_py())
+                step = np.diff(line[i:j])
+                flags = [bool((step == 0).any()), bool((step < 0).any()), bool(null[i:j].any()), bool(bad[i:j].any())]
+                if now is not None and now[:2] == list(key) and now[2] + now[3] == index[i]:
+                    flags[0] |= bool(line[i] == now[5])
+                    flags[1] |= bool(line[i] < now[5])
+                    now[3], now[5], now[6:] = now[3] + j - i, int(line[j - 1]), [x or y for x, y in zip(now[6:], flags, strict=True)]
+                    continue
+                if now is not None:
+                    done.append(now)
+                now = [*key, int(index[i]), j - i, int(line[i]), int(line[j - 1]), *flags]
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*done, strict=True)], names)
+        if now is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([c]) for c in now], names)
+
+    return plain.mapInArrow(run, kind)
+
+
+def landed_faults(df: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+    """What a read-back of a landed table finds wrong, by release and list: column types and their order; line numbers that
+    repeat, are null or below 2; rows that don't lie in the order of their lines; replacement characters; and, given the
+    rows expected (the columns that tell lists apart, and n), lists with another number of rows.
+
+    Runs of rows are summed up where they are read; what is compared is a row for each run and file. Only where rows lie
+    in no order are their lines counted one by one."""
     spark = df.sparkSession
     wrong = [f"schema:{f.name}" for f in LANDED if f.name not in df.columns or df.schema[f.name].dataType != f.dataType]
+    if not wrong and [c for c in df.columns if c in LANDED.names] != LANDED.names:
+        wrong = ["column_order"]
     fixed = spark.createDataFrame([(w,) for w in wrong], "failure_reason string")
-    if wrong:
+    if any(w.startswith("schema:") for w in wrong):
         return fixed
-    broken = F.exists(F.array(*(F.col(f"`{h}`") for h in HEADERS)), lambda v: F.coalesce(v.contains("�"), F.lit(False)))
-    own = [c for c in (*RELEASE, "source_list") if c in df.columns]
-    found = df.groupBy(*own).agg(F.count("*").alias("n"), F.count_distinct("source_line_no").alias("lines"), F.min("source_line_no").alias("first"), F.max(broken).alias("broken"))
-    reason = F.when(F.col("n") != F.col("lines"), "line_numbers").when(F.col("first") < 2, "header_line").when(F.col("broken"), "replacement_character")
-    return fixed.union(found.select(reason.alias("failure_reason")).where(F.col("failure_reason").isNotNull()))
+    own = [c for c in (*RELEASE, "source_list") if c in df.columns and (expected is None or c in expected.columns)]
+    runs = physical_runs(df, own)
+    place = Window.partitionBy("own").orderBy(*parts_in_order(F.col("file")), "start")
+    before = F.lag("last").over(place)
+    runs = runs.withColumns({"repeats": F.col("repeats") | F.coalesce(F.col("first") == before, F.lit(False)), "falls": F.col("falls") | F.coalesce(F.col("first") < before, F.lit(False))})
+    found = runs.groupBy("own").agg(F.sum("n").alias("n"), F.min(F.least("first", "last")).alias("least"), *(F.max(c).alias(c) for c in ("repeats", "falls", "nulls", "broken")))
+    loose = df.select(F.to_json(F.struct(*own), {"ignoreNullFields": "false"}).alias("own"), "source_line_no").join(F.broadcast(found.where("falls").select("own")), "own")  # a row for each list that lies in no order
+    counted = loose.groupBy("own").agg((F.count("*") != F.count_distinct("source_line_no")).alias("twice"), F.min("source_line_no").alias("lowest"))
+    joined = found.join(counted, "own", "left").withColumns({"repeats": F.coalesce("twice", "repeats"), "least": F.coalesce("lowest", "least")})
+    reason = F.when(F.col("repeats") | F.col("nulls"), "line_numbers").when(F.col("least") < 2, "header_line").when(F.col("broken"), "replacement_character")
+    faults = [reason, F.when(F.col("falls"), "order")]
+    if expected is not None:
+        want = expected.select(F.to_json(F.struct(*own), {"ignoreNullFields": "false"}).alias("own"), F.col("n").alias("wanted"))
+        joined = joined.join(want, "own", "full_outer")
+        faults.append(F.when(~F.col("n").eqNullSafe(F.col("wanted")), "row_count"))
+    each = joined.select(F.explode(F.filter(F.array(*faults), lambda r: r.isNotNull())).alias("failure_reason"))
+    return fixed.union(each)
 
 
 def release_fingerprint(files: DataFrame, order: Sequence[str]) -> DataFrame:

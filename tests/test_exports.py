@@ -29,6 +29,24 @@ def test_detectors(spark):
     assert counted(spark, "http://a.b/c?x=1&EIN=2 https://ok.example.org/check?ein=3 http://a.b/ein=4") == {"join_url": 1}
 
 
+def test_allowed_links_and_decoded_keys(spark):
+    assert counted(spark, "https://OK.example.org/CHECK/more?ein=1 https://ok.example.org/checked?SSN=1") == {}
+    assert counted(spark, "https://ok.example.org/chec?ein=1 https://ok.example.org.evil.com/check?ein=1 https://ok.example.org@evil.com/check?ein=1") == {"join_url": 3, "email": 1}
+    assert counted(spark, "https://me:pw@ok.example.org:8080/check?ein=1 http://a.b/c?e%69n=4 http://a.b/c?x=1&SSN http://a.b/c#?ein=1 http://a.b/c?x=ein http://a.b/?e%zzn=1") == {"join_url": 2, "email": 1}
+
+
+def test_findings_over_line_ends(spark):
+    """Every detector's lines against a plain scan by offsets."""
+    text = "a 12 Main\nStreet, 12 of records the same\nway and\nEIN\n123456789 http://a.b/?ein=1\n\n987654321 http://ok.example.org/check?ein=2 12-3456789\u0001 12-3456789\n4 N.\nOak\n\nAve\n/home/x"
+    df = spark.createDataFrame([(1, text), (2, None), (3, "x" * 50_000 + "\n" * 2000 + "a@b.org " * 3000)], "id long, text string")
+    got = sorted((r.row_id, r.category, r.line_no, r.finding_count) for r in scan.located(df, "id", "text", ("ok.example.org/check",)).collect())
+    line = lambda part: text[: text.index(part)].count("\n") + 1
+    assert got == sorted([
+        (1, "street_address", line("12 Main"), 1), (1, "street_address", line("4 N."), 1), (1, "street_address", line("12 of"), 1), (1, "labelled_id", line("123456789"), 1), (1, "labelled_id", line("987654321"), 1), (1, "join_url", line("http://a.b"), 1),
+        (1, "federal_id", line("12-3456789"), 2), (1, "home_path", line("/home/x"), 1), (3, "email", 2001, 3000),
+    ])
+
+
 def test_lines_of_findings(spark):
     df = spark.createDataFrame([(1, "a\n12-3456789\n\nb@c.org 12-3456789"), (2, None)], "id long, text string")
     assert sorted((r.category, r.line_no, r.finding_count) for r in scan.located(df, "id", "text").collect()) == [("email", 4, 1), ("federal_id", 2, 1), ("federal_id", 4, 1)]

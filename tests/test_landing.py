@@ -114,15 +114,113 @@ def test_landed_table_round_trip(spark, tmp_path):
     landing.landed_table(stamped, str(tmp_path / "out"))
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 4 and landing.landed_faults(back).count() == 0
-    rows.write.parquet(str(tmp_path / "one"))
-    read = landing.read_landed(spark, [(str(tmp_path / "one"), "2020-01-15", 1, "f"), (str(tmp_path / "one"), "2020-02-15", 1, "g")])
+    landing.landed_table(stamped.withColumn("as_of_date", F.lit("2020-02-15")), str(tmp_path / "out"), "append")
+    ids = "as_of_date string, release_revision long, revision_fingerprint string"
+    read = landing.read_landed(spark, str(tmp_path / "out"), spark.createDataFrame([("2020-01-15", 1, "f"), ("2020-02-15", 1, "g"), ("2020-03-15", 1, "h"), (None, 1, "i")], ids))
     assert read.count() == 8 and [f.name for f in read.schema][: len(LANDED)] == [f.name for f in LANDED]
-    assert landing.read_landed(spark, []).count() == 0
+    assert {(r.as_of_date, r.revision_fingerprint) for r in read.collect()} == {("2020-01-15", "f"), ("2020-02-15", "g")}
+    assert landing.read_landed(spark, str(tmp_path / "out"), spark.createDataFrame([], ids)).count() == 0
+    assert landing.read_landed(spark, str(tmp_path / "out"), spark.createDataFrame([("2020-02-15", 1, "g")], ids)).count() == 4
     assert landing.landed_faults(back.withColumn("source_line_no", F.lit(1).cast("long"))).count() > 0
     with pytest.raises(Exception):
         landing.landed_table(stamped, str(tmp_path / "out"))
 
 
+def stamped(spark, n, date="2020-01-15", step=1):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(n).select(*(F.concat(F.lit(f"{h} "), "id").alias(h) for h in HEADERS), F.when(F.col("id") % 2 == 0, SOURCE_LISTS[0]).otherwise(SOURCE_LISTS[1]).alias("source_list"), (F.col("id") * step + 2).alias("source_line_no"))
+    return rows.withColumns({"as_of_date": F.lit(date), "release_revision": F.lit(1).cast("long"), "revision_fingerprint": F.lit("f")})
+
+
+def test_one_scan_reads_forty_releases(spark, tmp_path):
+    dates = [f"20{20 + i // 12}-{1 + i % 12:02d}-15" for i in range(40)]
+    landing.landed_table(stamped(spark, 8).drop("as_of_date").crossJoin(spark.createDataFrame([(d,) for d in dates], "as_of_date string")), str(tmp_path / "t"))
+    ids = spark.createDataFrame([(d, 1, "x") for d in dates], "as_of_date string, release_revision long, revision_fingerprint string")
+    ids.write.parquet(str(tmp_path / "ids"))
+    some = spark.read.parquet(str(tmp_path / "ids")).where("as_of_date < '2020-04'")
+    read = landing.read_landed(spark, str(tmp_path / "t"), some)
+    plan = read._jdf.queryExecution().toString()
+    assert plan.split("== Physical Plan ==")[1].count("FileScan parquet") - plan.split("== Physical Plan ==")[1].count("/ids") <= 2  # the table once; the catalogue, and once more where it prunes
+    assert "dynamicpruning" in plan.lower()
+    assert read.count() == 24 and landing.read_landed(spark, str(tmp_path / "t"), ids).count() == 320
+
+
+def test_other_columns_in_one_file_are_found(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    landing.landed_table(stamped(spark, 4), str(tmp_path / "t"))
+    landing.written_landed(stamped(spark, 4, "2020-02-15").withColumn("more", F.lit(1)), str(tmp_path / "t"), "append")
+    with pytest.raises(ValueError, match="more"):
+        landing.read_landed(spark, str(tmp_path / "t"), spark.createDataFrame([("2020-01-15", 1, "f")], "as_of_date string, release_revision long, revision_fingerprint string"))
+
+
+def test_row_groups_and_order_on_disk(spark, tmp_path, monkeypatch):
+    import pyarrow.parquet as pq
+
+    assert landing.GROUP_ROWS == 122_880
+    monkeypatch.setattr(landing, "GROUP_ROWS", 1000)
+    landing.landed_table(stamped(spark, 20_000), str(tmp_path / "t"))
+    files = sorted((tmp_path / "t").rglob("*.parquet"))
+    sizes = []
+    for f in files:
+        footer = pq.ParquetFile(f).metadata
+        groups = [footer.row_group(i) for i in range(footer.num_row_groups)]
+        sizes += [g.num_rows for g in groups]
+        assert all(g.num_rows <= 1000 for g in groups) and {g.column(0).compression for g in groups} == {"ZSTD"}
+        rows = pq.read_table(f, partitioning=None).to_pandas()
+        assert (rows == rows.sort_values(["source_list", "source_line_no"], kind="stable")).all(axis=None)
+    assert sum(sizes) == 20_000 and max(sizes) == 1000
+    before = {f: f.stat().st_mtime_ns for f in files}
+    with pytest.raises(Exception, match="(?i)exists"):
+        landing.landed_table(stamped(spark, 5), str(tmp_path / "t"))
+    assert {f: f.stat().st_mtime_ns for f in sorted((tmp_path / "t").rglob("*.parquet"))} == before
+
+
+def test_order_on_disk_over_batches_and_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        landing.landed_table(stamped(spark, 500), str(tmp_path / "good"))
+        read = lambda name: spark.read.parquet(str(tmp_path / name)).withColumn("as_of_date", F.col("as_of_date").cast("string"))
+        counts = stamped(spark, 500).groupBy("as_of_date", "release_revision", "source_list").agg(F.count("*").alias("n"))
+        release = ("as_of_date", "release_revision")
+        assert landing.landed_faults(read("good").drop("release_revision"), counts).count() == 0
+        assert [r[0] for r in landing.landed_faults(read("good").drop("release_revision"), counts.withColumn("n", F.col("n") + 1)).collect()] == ["row_count"] * 2
+        more = counts.union(spark.createDataFrame([("2020-01-15", 1, "another", 3)], counts.schema))
+        assert [r[0] for r in landing.landed_faults(read("good").drop("release_revision"), more).collect()] == ["row_count"]
+        mixed = stamped(spark, 500).repartition(*release, "source_list").sortWithinPartitions(*release, "source_list", F.col("source_line_no") % 100)
+        landing.written_landed(mixed, str(tmp_path / "mixed"))
+        assert [r[0] for r in landing.landed_faults(read("mixed").drop("release_revision")).collect()] == ["order"] * 2
+        twice = stamped(spark, 500).union(stamped(spark, 1)).repartition(1).sortWithinPartitions(*release, "source_list", F.desc("source_line_no"))
+        landing.written_landed(twice, str(tmp_path / "twice"))
+        assert sorted(r[0] for r in landing.landed_faults(read("twice").drop("release_revision")).collect()) == ["line_numbers", "order", "order"]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_a_hot_key_is_split(spark):
+    """One key on a third of the rows: the join that finds its occurrences is one that adaptive execution splits."""
+    from pyspark.sql import functions as F
+
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 60_000
+        key = F.when(F.col("id") % 3 == 0, "CT7").otherwise(F.col("id").cast("string"))
+        rows = spark.range(0, n, 1, 8).select(F.lit("Current").alias("Registry Status"), key.alias("State Charity Reg#"), F.lit("2020/01/15").alias("As-of Date"), F.lit(SOURCE_LISTS[0]).alias("source_list"), F.abs(F.xxhash64("id")).alias("source_line_no"))
+        found = validation.record_reasons(rows, "State Charity Reg#", "Registry Status", "As-of Date").where("code = 'registration.duplicate'")
+        tasks = [r["task"] for r in found.select("line_no", F.spark_partition_id().alias("task")).collect()]
+        sizes = [tasks.count(t) for t in set(tasks)]
+        assert sum(sizes) == n // 3 and max(sizes) < n // 6 and len(sizes) > 2
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_attempt_documents(spark, tmp_path):
     good = [
         {"schema_version": 1, "attempt_id": "a", "status": "rejected", "as_of_date": None, "reason_count": 3},

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 import random
 
 import pytest
@@ -154,8 +155,8 @@ def test_public_view(spark, tmp_path):
     assert checks.eligibility_complete(classes, snapshots, orgs, metrics.publication_status(promoted)).count() == 0
     assert checks.eligibility_complete(classes, snapshots, orgs.limit(1), metrics.publication_status(promoted)).count() == 1
     assert publish.lookup(grid, "a").count() == 5
-    with pytest.raises(KeyError):
-        publish.lookup(grid, "zz")
+    with pytest.raises(Exception, match="no such key"):
+        publish.lookup(grid, "zz").collect()
     totals = metrics.release_totals(records, SPEC)
     columns, grain = tuple(totals.columns), ("as_of_date",)
     assert publish.export_faults(totals, columns, grain, True).count() == 0
@@ -165,6 +166,98 @@ def test_public_view(spark, tmp_path):
     assert lines[0].startswith('"2032-01-05",1,"f0",') and len(lines) == 5
 
 
+def scanned(df):
+    """Rows that the file scans of a run plan gave out."""
+    df.collect()
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if "AdaptiveSparkPlan" in name:
+            return walk(node.executedPlan())
+        if "QueryStage" in name:
+            return walk(node.plan())
+        if "FileSourceScan" in name:
+            return [node.metrics().apply("numOutputRows").value()]
+        return [n for i in range(node.children().size()) for n in walk(node.children().apply(i))]
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_lookup_reads_few_row_groups(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    n = 40_000
+    rows = spark.range(n).select(F.format_string("k%06d", F.col("id") * 2).alias("key"), F.lit("2020-01-15").alias("as_of_date"), F.lit(1).cast("long").alias("release_revision"), F.lit("f").alias("revision_fingerprint"))
+    table = publish.keyed_table(rows, str(tmp_path / "t"), expected=2000, group_rows=2000)
+    one = publish.lookup(table, "k020000")
+    assert [r.key for r in one.collect()] == ["k020000"]
+    read = scanned(one)
+    assert len(read) == 1 and 0 < read[0] <= 2000  # one scan, one row group
+    absent = publish.histories(table, ["k020001", "k050003"], strict=False)
+    assert [(r.key, r.as_of_date) for r in absent.collect()] == [("k020001", None), ("k050003", None)]
+    assert scanned(table.where(F.col("key").isin("k020001", "k050003"))) == [0]  # within the ranges, ruled out by the filters
+    with pytest.raises(ValueError):
+        publish.histories(table, [str(i) for i in range(11)])
+
+
+def test_digests_stream_over_batches(spark):
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    from muster.functions.digests import streamed_sha256
+
+    rows = [(g, i, None if i % 7 == 3 else f"line é {i} {g}") for g in ("a", "b", None) for i in range(101)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "8")
+    try:
+        got = {r.g: (r.n, r.sha256) for r in streamed_sha256(spark.createDataFrame(rows, "g string, i long, t string").repartition(5), ["g"], ["i"], F.concat("t", F.lit("\n"))).collect()}
+        whole = streamed_sha256(spark.createDataFrame(rows, "g string, i long, t string"), [], ["i", F.col("g")], F.col("t")).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for g in ("a", "b", None):
+        text = "".join(f"{t}\n" for h, _, t in rows if h == g and t is not None)
+        assert got[g] == (101, hashlib.sha256(text.encode()).hexdigest())
+    order = sorted(rows, key=lambda r: (r[1], r[0] is not None, r[0] or ""))
+    assert [tuple(r) for r in whole] == [(303, hashlib.sha256("".join(t or "" for *_, t in order).encode()).hexdigest())]
+    assert streamed_sha256(spark.createDataFrame([], "g string, i long, t string"), ["g"], ["i"], F.col("t")).count() == 0
+
+
+def test_export_digest_is_that_of_the_file(spark, tmp_path, monkeypatch):
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(publish, "PART_LINES", 40)
+    df = spark.range(1000).select(F.format_string("k%04d", F.col("id")).alias("key"), (F.col("id") / 3).alias("x"), F.when(F.col("id") % 5 > 0, F.lit('a "b"')).alias("t")).repartition(7)
+    empty = df.where("false")
+    promoted = spark.createDataFrame([("d",)], "as_of_date string")
+    found = {r.export: r for r in publish.manifest(spark, str(tmp_path / "out"), {"one": (df, ("key", "x", "t"), ("key",)), "none": (empty, ("key",), ("key",))}, promoted).collect()}
+    lines = ["key,x,t"] + [f'"k{i:04d}",{i / 3:.9f},' + ('"a ""b"""' if i % 5 else "") for i in range(1000)]
+    assert found["one"].row_count == 1000 and found["one"].sha256 == hashlib.sha256("".join(f"{x}\n" for x in lines).encode()).hexdigest()
+    assert found["none"].row_count == 0 and found["none"].sha256 == hashlib.sha256(b"key\n").hexdigest()
+    parts = sorted((tmp_path / "out" / "one.csv" / "rows").glob("part-*"))
+    assert len(parts) > 20 and b"".join((tmp_path / "out" / "one.csv" / d / p.name).read_bytes() for d in ("header", "rows") for p in sorted((tmp_path / "out" / "one.csv" / d).glob("part-*"))) == "".join(f"{x}\n" for x in lines).encode()
+
+
+def test_control_source(spark):
+    runs = "attempt_id string, normalized_outcome string, ended_at_utc string, as_of_date string, release_revision long, revision_fingerprint string"
+    promoted = spark.createDataFrame([("d", 1, "f")], "as_of_date string, release_revision long, revision_fingerprint string")
+    got = {}
+    for outcome in ("accepted", "recovered", "no_new_release", "rejected", None):
+        for f in ("f", "g"):
+            row = publish.control_source(spark.createDataFrame([("a", "accepted", "2020", "d", 1, "f"), ("b", outcome, "2021", "d", 1, f)], runs), promoted, None if f == "f" else "2026-01-01")
+            assert publish.control_faults(row).count() == 0
+            got[outcome, f] = tuple(row.first())
+    assert got["accepted", "f"] == ("accepted", "none", "2021", False, "active", None)
+    assert got["recovered", "g"] == ("accepted", "none", "2021", True, "retired", "2026-01-01")
+    assert got["no_new_release", "g"][:4] == ("no_new_release", "source_not_advanced", "2021", False)
+    assert got["rejected", "f"][:4] == ("rejected", "structural_rejection", "2021", True) and got[None, "f"][:4] == ("operational_error", "source_transfer_error", "2021", True)
+    bad = [("odd", "none", "t", True, "active", None), ("rejected", "odd", "t", False, "retired", None), ("no_new_release", "none", "t", True, "active", "2020-01-01"), ("accepted", "none", "t", None, None, "x")]
+    schema = "outcome string, reason_category string, ended_at_utc string, newer_attempt_not_accepted boolean, source_publication_state string, source_publication_retired_on string"
+    faults = [sorted(r[0] for r in publish.control_faults(spark.createDataFrame([b], schema)).collect()) for b in bad]
+    assert faults == [["outcome"], ["reason_category", "retirement", "warning"], ["retirement", "warning"], ["retirement", "warning"]]
+
+
 def test_csv_quotes_and_nulls(spark):
     df = spark.createDataFrame([('a "b"', None, 3, None)], "s string, t string, n long, d date")
     assert publish.export_lines(df, ("s", "t", "n", "d"), ("s",)).first()[0] == '"a ""b""",,3,'
@@ -182,5 +275,9 @@ def test_exact_membership(spark):
     a, b = metrics.membership_hash(snapshots), metrics.membership_hash(snapshots.where("key <> 'k3'"))
     differ = {r.as_of_date for r in a.exceptAll(b).collect()}
     assert differ == {r.as_of_date for r in snapshots.where("key = 'k3'").collect()}
+    keys = {}
+    for r in snapshots.collect():
+        keys.setdefault(r.as_of_date, set()).add(r.key)
+    assert {r.as_of_date: (r.n_keys, r.membership_sha256) for r in metrics.membership_digest(snapshots.union(snapshots)).collect()} == {d: (len(k), hashlib.sha256("".join(f"{x}\n" for x in sorted(k)).encode()).hexdigest()) for d, k in keys.items()}
     one, two = metrics.membership_fingerprint(snapshots), metrics.membership_fingerprint(snapshots.union(snapshots))
     assert one.exceptAll(two).count() == 0
