@@ -1,9 +1,11 @@
 """PII: keyed surrogates that keep type and form.
 
-Detected are mail addresses, telephone, card and social-security numbers, account numbers (IBAN), IP addresses, access
-keys, passwords and tokens after their names, and persons after a form of address. An entity is its type and its
-canonical value: the digits of a number, an address in lower case, and each word of a person's name by itself, whatever
-form of address it had. So "Mrs Anna Berg", "Dr Anna Berg", "Anna Berg" and "Ms Berg" get the same words. A surrogate
+Detected are mail addresses (letters of any script), telephone numbers (international, North American, and national ones
+that begin with 0), card and social-security numbers, account numbers (IBAN), IP addresses of both versions, access keys,
+passwords and tokens after their names, and persons after a form of address or several ("Frau Prof. Dr. Berg"). An entity
+is its type and its canonical value: the digits of a number, an address in lower case, and each word of a person's name by
+itself, whatever form of address and letter case it had. So "Mrs Anna Berg", "DR ANNA BERG", "anna berg" and "Ms Berg" get
+the same words. A surrogate
 follows from a keyed hash (HMAC-SHA-256) of type and value, so an entity has one surrogate in all texts, and keeps the
 form: separators, lengths, letter case, script, country codes, check digits, private or public address, gender of a given
 name (from the form of address; for Cyrillic and Greek names from their ending). Where texts give a word several genders,
@@ -17,8 +19,12 @@ numbers, IBAN, IP addresses) then have an end, that of their form; after DISTINC
 as long as surrogates differ. Only words and values that drew anew, or have a gender settled, are handed to the pass that
 rewrites: broadcast up to BROADCAST of them, joined by text beyond.
 
-A secret without letters and digits is a mask (`********`) and stays. A name is found after a form of address, and in the
-same text wherever it (or its last word) occurs again; a name that never has a form of address in its text stays.
+A secret without letters and digits is a mask (`********`) and stays. What follows the name of a password is one from six
+signs on, unless it is a word that prose has there (PROSE); behind other names it must hold a digit, be in quotes, or have
+twelve signs. A name is found after a form of address, and in the same text wherever it occurs again, in any case, or its
+last word does, in the same case or in capitals; so a word that is also a name ("The Berg is high") is replaced where a
+person of that name is in the text. Initials stay. Offices ("Mr Chairman") and pronouns ("Sir, I") are no names. A name
+that never has a form of address in its text stays.
 Null text stays null and empty text empty; texts without entities come back unchanged. Long texts are read whole.
 Repeated rows come back as often as they went in. Columns of the input stay, whatever they are called; the text column is
 replaced.
@@ -28,6 +34,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -54,6 +61,13 @@ LONGEST = {"email": 64, "secret": 200}
 MALE = "Mr Mister Sir Herr Monsieur Señor Sr Signor Don Г-н Господин".split()
 FEMALE = "Mrs Ms Miss Madam Frau Madame Mme Mademoiselle Mlle Señora Sra Srta Signora Doña Г-жа Госпожа".split()
 NEUTRAL = "Dr Prof Mx Professor Doctor Doktor Professeur Доктор".split()
+#: What follows a form of address without being a name, and what follows the word for a password in prose.
+OFFICES = frozenset(
+    "i you he she we they it the a an this that and or chairman chair chairwoman chairperson president speaker minister secretary ambassador mayor judge senator governor "
+    "ich er sie wir präsident präsidentin vorsitzender vorsitzende minister ministerin bürgermeister kanzler kanzlerin président présidente ministre maire juge je nous vous "
+    "presidente presidenta ministro ministra alcalde alcaldesa juez yo usted ustedes".split()
+)
+PROSE = frozenset("required optional protected incorrect invalid missing changed change expired policy reset manager strength length hidden unknown encrypted recovery protection forgotten needed".split())
 #: Beginnings and, by gender, endings of given and family names, by script.
 STEMS = {
     "LATIN": ["Al", "Ber", "Cor", "Dan", "El", "Fer", "Gal", "Hen", "Is", "Jul", "Kar", "Lor", "Mar", "Nor", "Ol", "Pet", "Ros", "Sel", "Tor", "Val"],
@@ -68,19 +82,24 @@ ENDINGS = {
 }
 
 _TITLES = "|".join(sorted(map(re.escape, MALE + FEMALE + NEUTRAL), key=len, reverse=True))
-_NAME = r"[^\W\d_a-zà-ÿа-яα-ω][^\W\d_]*(?:['’\-][^\W\d_]+)*"
-PERSON = re.compile(rf"\b({_TITLES})(\.?[ \t]+)({_NAME}(?:[ \t]+{_NAME}){{0,2}})")
-EMAIL = re.compile(r"[A-Za-z0-9._%+\-]{1,64}@[A-Za-z0-9](?:[A-Za-z0-9\-]{0,62})(?:\.[A-Za-z0-9\-]{1,63})*\.[A-Za-z]{2,24}")
-SECRET = re.compile(r"(?i)((?:password|passwd|pwd|token|secret|api[_\-]?key|access[_\-]?key)[\"']?\s{0,3}[=:]\s{0,3})([\"']?)([^\s\"',;]{6,200})")
+_NAME = rf"(?!(?:{_TITLES})(?![\w\-]))[^\W\d_a-zà-ÿа-яα-ω][^\W\d_]*(?:['’\-][^\W\d_]+)*"
+_INITIALS = r"(?:[^\W\d_a-zà-ÿа-яα-ω]\.[ \t]?)*"
+PERSON = re.compile(rf"\b((?:{_TITLES})\.?(?:[ \t]+(?:{_TITLES})(?![\w\-])\.?)*)[ \t]+({_INITIALS}{_NAME}(?:[ \t]+{_INITIALS}{_NAME}){{0,2}})")
+EMAIL = re.compile(r"[\w.%+\-]{1,64}@[^\W_](?:[^\W_]|-){0,62}(?:\.(?:[^\W_]|-){1,63})*\.[^\W\d_]{2,24}(?![\w])")
+SECRET = re.compile(r"(?i)((?P<name>password|passwd|pwd|token|secret|api[_\-]?key|access[_\-]?key)[\"']?\s{0,3}[=:]\s{0,3})([\"']?)([^\s\"',;]{6,200})")
 ACCESS = re.compile(r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])")
 IP = re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?![A-Za-z0-9])")
 SSN = re.compile(r"(?<![\d\-])\d{3}-\d{2}-\d{4}(?![\d\-])")
 CARD = re.compile(r"(?<![\d.])(?:\d{13,19}|\d{4}(?:[ \-]\d{4}){3})(?![\d])")
+IP6 = re.compile(r"(?<![\w:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:])")
+NATIONAL = re.compile(r"(?<![\w.])(?<!\d[ ])0\d{1,4}[ /\-]\d{3,8}(?:[ \-]\d{2,4}){0,2}(?![\d])")
 PHONE = re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?![\d])")
-_MARK = re.compile(r"[0-9@]")
+_MARK = re.compile(r"[0-9@]|::")
 _WORDS = re.compile(r"(?i)password|passwd|pwd|token|secret|key")
 
+_MALE, _FEMALE = frozenset(MALE), frozenset(FEMALE)
+
 Found = tuple[int, int, str, str, str]  # start, end, type, canonical value, gender of a name
 
 
@@ -94,8 +113,10 @@ def detect(text: str) -> list[Found]:
 
     if _WORDS.search(text):
         for m in SECRET.finditer(text):
-            if any(map(str.isalnum, m[3])) and (any(map(str.isdigit, m[3])) or len(m[3]) >= 12):
-                take(m.start(3), m.end(3), "secret", m[3])
+            value = m[4]
+            named = m["name"].lower() in ("password", "passwd", "pwd") and value.strip(".!?)").lower() not in PROSE
+            if any(map(str.isalnum, value)) and (named or m[3] or any(map(str.isdigit, value)) or len(value) >= 12):
+                take(m.start(4), m.end(4), "secret", value)
     if _MARK.search(text):
         if "@" in text:
             for m in EMAIL.finditer(text):
@@ -103,31 +124,57 @@ def detect(text: str) -> list[Found]:
         if "A" in text:
             for m in ACCESS.finditer(text):
                 take(m.start(), m.end(), "access_key", m[0])
-        for kind, rule in (("ip", IP), ("iban", IBAN), ("ssn", SSN), ("card", CARD), ("phone", PHONE)):
+        for kind, rule in (("ip", IP), ("iban", IBAN), ("ssn", SSN), ("card", CARD), ("phone", PHONE), ("phone", NATIONAL)):
             for m in rule.finditer(text):
+                digits = sum(map(str.isdigit, m[0]))
+                if kind == "phone" and m[0][0] == "0" and not 9 <= digits <= 12:
+                    continue
                 take(m.start(), m.end(), kind, re.sub(r"[^A-Z0-9.]" if kind in ("ip", "iban") else r"\D", "", m[0]))
-    titled = [(m[1], m.start(3), re.sub(r"['’]s$", "", m[3])) for m in PERSON.finditer(text)]
+        if ":" in text:
+            for m in IP6.finditer(text):
+                if (value := _ip6(m[0])) is not None:
+                    take(m.start(), m.end(), "ip6", value)
+    titled = []
+    for m in PERSON.finditer(text):
+        name = re.sub(r"['’]s$", "", m[2])
+        parts = [w for w in re.split(r"[ \t]+|(?<=\.)", name) if w and not w.endswith(".")]
+        if parts and parts[0].casefold() not in OFFICES and (len(parts) > 1 or len(parts[0]) > 1):
+            titles = {t.rstrip(".") for t in m[1].split()}
+            titled.append(("m" if titles & _MALE else "f" if titles & _FEMALE else "n", m.start(2), name, parts))
     if titled:
         genders: dict[str, str] = {}  # of given names
-        again: dict[str, None] = {}
-        for title, _, name in titled:
-            for word in name.split()[:-1]:
-                genders[word] = min(genders.get(word, "n"), "m" if title in MALE else "f" if title in FEMALE else "n")
-            again[" ".join(name.split())] = None
-        again |= dict.fromkeys(name.split()[-1] for name in [*again])
+        again: dict[str, str] = {}  # patterns of names that may occur again
+        for gender, _, _, parts in titled:
+            for word in parts[:-1]:
+                genders[word.casefold()] = min(genders.get(word.casefold(), "n"), gender)
+            if len(parts) > 1:
+                again[r"[ \t]+".join(map(re.escape, parts)).casefold()] = "(?i:" + r"[ \t]+".join(map(re.escape, parts)) + ")"
+            last = parts[-1]
+            again[last] = f"(?:{re.escape(last)}|{re.escape(last.upper())})"
 
         def words(start: int, name: str) -> None:
-            for w in re.finditer(r"\S+", name):
-                take(start + w.start(), start + w.end(), "name", w[0].casefold(), _gender(w[0], genders.get(w[0], "n")))
+            for w in re.finditer(r"[^\s.]+(?:\.(?=[ \t]|$))?|\.", name):
+                if not w[0].endswith("."):
+                    take(start + w.start(), start + w.end(), "name", w[0].casefold(), _gender(w[0], genders.get(w[0].casefold(), "n")))
 
-        for _, start, name in titled:
+        for _, start, name, _ in titled:
             words(start, name)
-        for name in again:  # the same name elsewhere in the text, without a form of address
-            for m in re.finditer(rf"(?<![\w\-]){re.escape(name)}(?![\w\-])", text):
+        for pattern in again.values():  # the same name elsewhere in the text, without a form of address
+            for m in re.finditer(rf"(?<![\w\-]){pattern}(?![\w\-])", text):
                 words(m.start(), m[0])
     return sorted(out)
 
 
+def _ip6(text: str) -> str | None:
+    """All eight groups of an address of version 6, in full; None if the text is none, or has under three groups."""
+    if sum(map(bool, text.split(":"))) < 3:
+        return None
+    try:
+        return ipaddress.IPv6Address(text).exploded
+    except ValueError:
+        return None
+
+
 def _gender(word: str, given: str) -> str:
     """That of the form of address for a given name; by the ending where the script has gendered endings."""
     script, last = _script(word), word[-1:].casefold()
@@ -212,12 +259,15 @@ def surrogate(key: bytes, kind: str, value: str, draw: int = 0, gender: str = "n
             octets, kept = ([10], 1) if more < 12 else (octets, 0)
         fresh = [d.of([x for x in range(1, 224) if x not in (10, 127, 169, 172, 192)]), *(d.below(254) + 1 for _ in range(3))]
         return ".".join(map(str, octets[:kept] + fresh[kept:]))
+    if kind == "ip6":
+        groups = value.split(":")
+        return ":".join([groups[0], *(g if g == "0000" else f"{d.of('123456789abcdef')}{d.below(4096):03x}"[4 - len(g.lstrip("0")) :].zfill(4) if len(g.lstrip("0")) < 4 and not more else f"{1 + d.below(65535):04x}" for g in groups[1:])])
     if kind == "card":
         body = value[0] + "".join(d.of("0123456789") for _ in value[1:-1])
         last = d.below(10) if _luhn(value) else next(x for x in range(10) if _luhn(body + str(x)) == 0)
         return body + str(last)
     if kind == "phone":
-        kept = max(0, len(value) - 10) if more < 12 else 0
+        kept = max(value[0] == "0", len(value) - 10) if more < 12 else 0
         return value[:kept] + "".join(d.of("23456789" if i in (0, 3) else "0123456789") for i in range(len(value) - kept))
     if kind == "ssn":
         return ("9" if more < 12 else d.of("0123456789")) + "".join(d.of("0123456789") for _ in range(8))
@@ -247,9 +297,22 @@ def dressed(kind: str, original: str, value: str) -> str:
         return value[:1].upper() + value[1:] if original[:1].isupper() else value
     if kind == "email":
         return value.upper() if original.isupper() else value
+    if kind == "ip6":
+        return _in_form(original, value)
     return value
 
 
+def _in_form(original: str, value: str) -> str:
+    """The eight groups of an address of version 6 with the original's gap, letter case, and zeros before a group."""
+    fresh, parts = value.split(":"), original.split(":")
+    head, tail = original.partition("::")[::2] if "::" in original else (original, "")
+    first, last = ([x for x in side.split(":") if x] for side in (head, tail))
+    own = [*zip(first, fresh, strict=False), *zip(last, fresh[8 - len(last) :] if last else [], strict=True)]
+    shown = [g.zfill(4) if len(o) == 4 else g.lstrip("0") or "0" for o, g in own]
+    text = ":".join(shown[: len(first)]) + ("::" + ":".join(shown[len(first) :]) if "::" in original else "")
+    return text.upper() if any(map(str.isupper, "".join(parts))) else text
+
+
 Known = dict[tuple[str, str], tuple[int, str]]  # draw and gender by type and value
 
 

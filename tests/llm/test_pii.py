@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import ipaddress
 import random
 import re
 
@@ -166,3 +167,67 @@ def test_rows_equal_the_plain_rewriting(spark, bound, monkeypatch):
 
 def test_empty_table(spark):
     assert pii.pseudonymised(spark.createDataFrame([], SCHEMA), KEY).count() == 0
+
+
+def test_stacked_titles_other_case_and_words_that_are_no_names():
+    new = surrogates("Frau Dr. Anna Schmidt met ANNA BERG, anna berg and Dr Anna Berg, Herr Prof. Dr. K. Ott.")
+    m = re.fullmatch(r"Frau Dr\. (\w+) (\w+) met (\w+) (\w+), (\w+) (\w+) and Dr (\w+) (\w+), Herr Prof\. Dr\. K\. (\w+)\.", new)
+    assert m and m[1] != "Anna" and m[2] != "Schmidt" and m[9] != "Ott"
+    assert m[3] == m[7].upper() == m[1].upper() and m[5] == m[7].lower() and m[4] == m[8].upper() and m[6] == m[8].lower()
+    for plain in ("Sir I am here, Mr Chairman. The Berg is high.", "Herr Doktor war da, Mr Speaker", "password: required; secret: nobody knows", "at 12:30:45, std::vector, abc::def", "0123 4567"):
+        assert surrogates(plain) == plain
+
+
+def test_secrets_numbers_and_addresses_of_more_forms():
+    text = "password: letmein; token = 'abcdefgh'; 030 1234567 or 0171/1234567; 2001:db8::8a2e:370:7334 and 2001:0DB8:0:0:0:8A2E:370:7334; käthe@größe.example"
+    new = surrogates(text)
+    for gone in ("letmein", "abcdefgh", "1234567", "8a2e", "8A2E", "370:7334", "käthe", "größe"):
+        assert gone not in new
+    short, long = re.search(r"; (2001:[0-9a-f]+::[0-9a-f]+:[0-9a-f]+:[0-9a-f]+) and (2001:[0-9A-F]{4}:0:0:0:[0-9A-F]+:[0-9A-F]+:[0-9A-F]+);", new).groups()
+    assert ipaddress.ip_address(short) == ipaddress.ip_address(long)
+    assert re.search(r"; 0\d\d \d{7} or 0\d{3}/\d{7};", new) and re.search(r"; \w{5}@\w{5}\.example$", new)
+    assert [x[2] for x in pii.detect(new)] == [x[2] for x in pii.detect(text)]
+
+
+def test_every_planted_entity_is_replaced_and_nothing_else(spark):
+    """Texts put together from plain words and planted entities: the new text is taken apart along the plain words, with no
+    help of the detector. Each entity has one surrogate in all texts, no two share one, none is a real one, forms stay."""
+    rng = random.Random(11)
+    first, last = ["Anna", "Otto", "Maria", "Jean", "Ида", "Иван"], ["Berg", "Schmidt", "O'Neil", "Weiß", "Петров", "Lopez", "Ito"]
+    titles = {"": ["Dr", "Prof. Dr.", "Mx"], "m": ["Mr", "Herr", "Señor"], "f": ["Mrs", "Frau Dr.", "Madame"]}
+    digits = lambda n: "".join(rng.choice("123456789") for _ in range(n))
+    makers = {
+        "email": lambda: f"{rng.choice('abcxyz')}{digits(3)}@h{digits(2)}.example.org", "ssn": lambda: f"{digits(3)}-{digits(2)}-{digits(4)}", "phone": lambda: f"+{digits(1)} ({digits(3)}) {digits(3)}-{digits(4)}",
+        "national": lambda: f"0{digits(2)} {digits(7)}", "ip": lambda: f"{rng.choice(['10', '8'])}.{rng.randint(1, 254)}.{rng.randint(1, 254)}.{rng.randint(1, 254)}", "secret": lambda: f"pw{digits(6)}",
+    }
+    pool = {kind: [make() for _ in range(25)] for kind, make in makers.items()}
+    shape = lambda t: re.sub(r"[a-z]", "a", re.sub(r"[A-Z]", "A", re.sub(r"\d", "9", t)))
+    docs = []
+    for i in range(150):
+        pieces = []
+        for _ in range(rng.randint(0, 8)):
+            pieces.append((None, " " + " ".join(rng.choice(["the", "old", "house", "was", "sold", "für", "maison"]) for _ in range(rng.randint(1, 6))) + " "))
+            kind = rng.choice([*pool, "person"])
+            if kind == "person":
+                pieces += [(None, f"{rng.choice(titles[rng.choice(list(titles))])} "), ("name", rng.choice(first)), (None, " "), ("name", rng.choice(last)), (None, " ")]
+            elif kind == "secret":
+                pieces += [(None, "password="), (kind, rng.choice(pool[kind])), (None, " ")]
+            else:
+                pieces += [(kind, rng.choice(pool[kind])), (None, " ")]
+        docs.append((i, pieces))
+    frame = spark.createDataFrame([(i, "".join(t for _, t in p), "v", "t", 1) for i, p in docs], SCHEMA)
+    found = {r.doc_id: r.text for r in pii.pseudonymised(frame, KEY).collect()}
+    became: dict = {}
+    for i, pieces in docs:
+        pattern = "".join(re.escape(t) if kind is None else "(.+?)" for kind, t in pieces)
+        m = re.fullmatch(pattern, found[i])
+        assert m, (found[i], pieces)
+        for (kind, old), new in zip(((k, t) for k, t in pieces if k), m.groups(), strict=True):
+            assert new != old and became.setdefault((kind, old), new) == new
+            if kind not in ("name", "ip", "email"):
+                assert shape(new) == shape(old)
+    for kind in {k for k, _ in became}:
+        new = [v for (k, _), v in became.items() if k == kind]
+        assert len(set(new)) == len(new) and not set(new) & {old for k, old in became if k == kind}
+    for old, new in ((o, n) for (k, o), n in became.items() if k == "name"):
+        assert ("а" <= new[-1] <= "я") == ("а" <= old[-1].lower() <= "я")
