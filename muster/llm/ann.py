@@ -7,7 +7,7 @@ parts of about PART rows, and the queries of a list into parts of about QUERIES,
 rows is many tasks. In a part, distances to all rows come from tables by code (asymmetric: the query is not
 quantised); the RERANKED best, ties to the smaller id, are ranked anew by exact cosine in double precision.
 
-Null, zero and non-finite vectors and those of another length than most take no part. Equal vectors tie, and ties go to
+Null, zero and non-finite vectors take no part; shorter ones are filled up with zeros. Equal vectors tie, and ties go to
 the smaller id. Of rows with one id, the best score counts, be they repeated or different vectors, asked or found: an id is
 found once per query, and rows with the query's own id are never its neighbours. An empty table gives no rows.
 
@@ -32,6 +32,8 @@ from muster.llm.vectors import lists, matrix, sample, usable
 SAMPLE = 16_384
 #: Least and most coarse centroids, dimensions of a code, codes of a codebook.
 FEWEST, MOST, WIDTH, CODES = 1, 1024, 4, 256
+#: Queries whose lists are looked for at a time.
+ASKED = 256
 #: Lists that a query is sent to (as a share of all, and at least), rows and queries of a part, rows reranked exactly.
 SHARE, PROBES, PART, QUERIES, RERANKED = 0.35, 16, 4096, 1024, 100
 
@@ -127,9 +129,7 @@ def search(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "e
     probes = max(PROBES, round(SHARE * len(sizes)))
 
     def probed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(i, ASKED) for b in batches for i in range(0, b.num_rows, ASKED)):
             x = unit(matrix(batch.column("vector")))
             order = np.argsort(((index.centroids**2).sum(1)[None] - 2 * x @ index.centroids.T), 1, kind="stable")
             own, at = [], []
@@ -138,11 +138,11 @@ def search(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "e
                 need = int(np.searchsorted(np.cumsum(sizes[full]), k + 1)) + 1
                 at.append(full[: max(probes, need)])
                 own.append(np.full(len(at[-1]), i))
-            take = pa.array(np.concatenate(own))
-            yield pa.RecordBatch.from_arrays([batch.column("key").take(take), batch.column("vector").take(take), pa.array(np.concatenate(at).astype(np.int32))], ["query", "vector", "list"])
+            yield pa.RecordBatch.from_arrays([batch.column("uid").take(pa.array(np.concatenate(own))), pa.array(np.concatenate(at).astype(np.int32))], ["uid", "list"])
 
-    asked = table.select(F.col("key").alias(key), F.col("vector").alias("__vector")).where(queries).select(F.col(key).alias("key"), F.col("__vector").alias("vector"))
-    sent = written(asked.mapInArrow(probed, "query bigint, vector array<double>, list int"), "ivf-queries")
+    asked = table.select(F.col("key").alias(key), F.col("vector").alias("__vector")).where(queries).select(F.col(key).alias("query"), F.col("__vector").alias("vector"))
+    asked = written(asked.withColumn("uid", F.xxhash64("query", "vector")).dropDuplicates(["uid"]), "ivf-asked")
+    sent = written(asked.select("uid", "vector").mapInArrow(probed, "uid bigint, list int"), "ivf-queries")
     asks = np.zeros(len(sizes), np.int64)
     for r in sent.groupBy("list").count().collect():
         asks[r["list"]] = r["count"]
@@ -150,8 +150,8 @@ def search(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "e
     cuts = F.broadcast(cuts)  # a row for each centroid: at most MOST
     data = table.join(cuts, "list").withColumn("part", F.pmod(F.xxhash64("key"), "parts").cast("int")).withColumn("crowd", F.explode(F.sequence(F.lit(0), F.col("crowds") - 1)))
     data = data.select("list", "part", "crowd", "key", "vector", "codes")
-    crowd = sent.join(cuts, "list").withColumn("crowd", F.pmod(F.xxhash64("query"), "crowds").cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    crowd = crowd.select(F.col("list").alias("of_list"), F.col("part").alias("of_part"), F.col("crowd").alias("of_crowd"), "query", F.col("vector").alias("asked"))
+    crowd = sent.join(cuts, "list").withColumn("crowd", F.pmod(F.xxhash64("uid"), "crowds").cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    crowd = crowd.join(asked, "uid").select(F.col("list").alias("of_list"), F.col("part").alias("of_part"), F.col("crowd").alias("of_crowd"), "query", F.col("vector").alias("asked"))
 
     def scanned(group: pa.Table, asking: pa.Table) -> pa.Table:
         out: list[tuple] = []

@@ -9,14 +9,15 @@ inequality nothing in an annulus is nearer than the gap between that distance an
 First pass: each query's k-th best score in a bounded sample bounds its true k-th from below; with it follows the widest
 gap that may hold a better score, and so, for each pivot, the range of distances in which a query still has to look. A
 join by pivot and range sends it to the shards in that range, no others. Second pass: a task takes a shard and some
-queries, goes through the annuli from the smallest gap on, and stops for a query when no later annulus can hold a score
-as good as its k-th best. Scores are integers, computed exactly; bounds have a margin for rounding, so nothing is lost.
+queries, goes through the annuli from the smallest gap of any of them on, and skips for a query those that can't hold a score as
+good as its k-th best. Scores are integers, computed exactly; bounds have a margin for rounding, so nothing is lost.
 
 Pivots are rows of the sample; they only steer the order of work. Blocks and groups of queries have bounded sizes; equal
 vectors, however many, are spread over blocks by their id.
 
-Null vectors and those with null or non-finite components or of another length than most take no part; zero vectors
-do. Ties go to the smaller id. Of rows with one id, the best score counts, be they repeated or different vectors, asked or
+Null vectors and those with null or non-finite components take no part; zero vectors do, and shorter ones are filled up
+with zeros. Components beyond 2^90 after scaling count as 2^90; rows are ranked by their exact scores, and scores beyond a
+long are shown as its greatest or least value. Ties go to the smaller id. Of rows with one id, the best score counts, be they repeated or different vectors, asked or
 found: an id is found once per query, and rows with the query's own id are never its neighbours. An empty table gives no
 rows.
 """
@@ -32,12 +33,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from muster.llm.common import written
-from muster.llm.vectors import lists, matrix, sample, usable
+from muster.llm.vectors import EXACT, lists, matrix, sample, usable, whole
 
 #: Pivots and the sample they come from; rows of a block, blocks of a task, queries of a task.
 PIVOTS, SAMPLE, BLOCK, BLOCKS, QUERIES = 64, 8192, 1024, 32, 1024
-#: Sums below this are exact in double precision.
-EXACT = float(1 << 53)
+#: Scores are longs.
+LONG = (1 << 63) - 1
+#: A score in parts of 62 bits, highest first: products of components up to 2^90 are far below 2^248.
+WIDE, DIGIT = ("w3", "w2", "w1", "w0"), (1 << 62) - 1
 
 
 def pivots_of(x: np.ndarray, n: int) -> np.ndarray:
@@ -56,8 +59,8 @@ def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Inner products of integers (held as doubles), exact; as Python integers where doubles can't hold them."""
     if np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * q.shape[1] < EXACT:
         return q @ x.T
-    whole = lambda m: np.array([[int(v) for v in r] for r in m], object)
-    return whole(q).dot(whole(x).T)
+    exact = lambda m: np.array([[int(v) for v in r] for r in m], object).reshape(m.shape)
+    return exact(q).dot(exact(x).T)
 
 
 def top(scores: np.ndarray, ids: np.ndarray, k: int, own: int) -> list[tuple[int, int]]:
@@ -84,8 +87,7 @@ def search(df: DataFrame, queries: Column, scale: int = 256, key: str = "vec_id"
     """(query_id, rank, key, score) of each row that `queries`, a condition on `key`, marks; score is the inner product
     of the vectors with each component x taken as floor(scale * x)."""
     spark = df.sparkSession
-    whole = F.transform("vector", lambda v: F.floor(v * scale).cast("double"))
-    rows = usable(df, key, vector, True).select("key", whole.alias("vector"))
+    rows = usable(df, key, vector, True).select("key", F.transform("vector", lambda v: whole(v, scale)).alias("vector"))
     rows = written(rows.withColumn("square", F.aggregate("vector", F.lit(0.0), lambda a, v: a + v * v)), "vectors")
     most = rows.agg(F.max("square")).first()[0]
     if most is None:
@@ -162,7 +164,7 @@ def search(df: DataFrame, queries: Column, scale: int = 256, key: str = "vec_id"
     crowd = crowd.select(F.col("shard").alias("of_shard"), F.pmod(F.col("uid"), "crowds").cast("int").alias("of_crowd"), "query", "asked", "kth")
 
     def scanned(group: pa.Table, asking: pa.Table) -> pa.Table:
-        none = pa.table({"query": pa.array([], pa.int64()), "found": pa.array([], pa.int64()), "score": pa.array([], pa.int64())})
+        none = pa.table({name: pa.array([], pa.int64()) for name in ("query", "found", *WIDE, "score")})
         if not group.num_rows or not asking.num_rows:
             return none
         who = asking.column("query").to_numpy()
@@ -193,9 +195,12 @@ def search(df: DataFrame, queries: Column, scale: int = 256, key: str = "vec_id"
         if not out:
             return none
         a, b, c = zip(*out, strict=True)
-        return pa.table({"query": pa.array(a, pa.int64()), "found": pa.array(b, pa.int64()), "score": pa.array(c, pa.int64())})
-
-    found = data.groupBy("shard", "crowd").cogroup(crowd.groupBy("of_shard", "of_crowd")).applyInArrow(scanned, "query bigint, found bigint, score bigint")
-    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "found"))
-    found = found.groupBy("query", "found").agg(F.max("score").alias("score"))
+        parts = [[score >> 186, score >> 124 & DIGIT, score >> 62 & DIGIT, score & DIGIT] for score in c]  # in order as the scores, however wide
+        columns = [a, b, *zip(*parts, strict=True), [min(max(score, -LONG - 1), LONG) for score in c]]
+        return pa.table({name: pa.array(column, pa.int64()) for name, column in zip(("query", "found", *WIDE, "score"), columns, strict=True)})
+
+    found = data.groupBy("shard", "crowd").cogroup(crowd.groupBy("of_shard", "of_crowd")).applyInArrow(scanned, ", ".join(f"{name} bigint" for name in ("query", "found", *WIDE, "score")))
+    found = found.groupBy("query", "found").agg(F.max(F.struct(*WIDE, "score")).alias("s"))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("s"), "found"))
+    found = found.withColumn("score", F.col("s.score"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select(F.col("query").alias("query_id"), "rank", F.col("found").alias(key), "score")

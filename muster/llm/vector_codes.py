@@ -36,13 +36,14 @@ from pyspark.sql import functions as F
 
 from muster.functions.shared import forget
 from muster.llm.common import written
+from muster.llm.vectors import EXACT
+from muster.llm.vectors import whole as whole_of
 
 #: Parts of a vector, entries of a codebook, rounds of training.
 PARTS, ENTRIES, ROUNDS = 16, 64, 2
 #: Entries next after the own one that are listed at first (as a share of all) and at least, and the share of parts that they shall do for.
 LISTED, FEWEST, COVERED = 0.125, 2, 0.95
-#: Components beyond this count as this; whole numbers below EXACT are exact in doubles.
-LARGEST, EXACT, LONG = float(1 << 90), float(1 << 53), (1 << 63) - 1
+LONG = (1 << 63) - 1
 #: Bytes of vectors that are worked on at a time.
 PIECE = 4 << 20
 #: Bounds lose this share when they are taken, which is more than rounding adds.
@@ -54,8 +55,7 @@ def integers(df: DataFrame, key: str, vector: str, label: str, scale: int) -> Da
     v = F.col("x")
     rows = df.select(F.col(key).alias("key"), F.col(label).alias("label"), F.col(vector).cast("array<double>").alias("x")).where(v.isNotNull())
     rows = rows.where(~F.coalesce(F.exists(v, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf"))), F.lit(True)))
-    fit = lambda c: F.greatest(F.least(c * scale, F.lit(LARGEST)), F.lit(-LARGEST))
-    return rows.withColumn("x", F.transform(v, lambda c: F.when(F.abs(fit(c)) < EXACT, F.floor(fit(c)).cast("double")).otherwise(fit(c))))
+    return rows.withColumn("x", F.transform(v, lambda c: whole_of(c, scale)))
 
 
 def padded(column: pa.Array, length: int) -> np.ndarray:

@@ -4,21 +4,33 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Scaled components beyond this count as this; whole numbers below EXACT are exact in doubles.
+LARGEST, EXACT = float(1 << 90), float(1 << 53)
+
+
 def usable(df: DataFrame, key: str, vector: str, zero: bool) -> DataFrame:
     """(key, vector as array of doubles) of the rows that take part: key and vector not null, no null or non-finite
-    component, the most frequent length (the smaller of two), and, unless `zero`, not all zero."""
+    component, and, unless `zero`, not all zero. Vectors shorter than the longest are filled up with zeros."""
     x = F.col("vector")
-    rows = df.select(F.col(key).cast("bigint").alias("key"), F.col(vector).cast("array<double>").alias("vector")).where(F.col("key").isNotNull() & x.isNotNull() & (F.size(x) > 0))
+    rows = df.select(F.col(key).cast("bigint").alias("key"), F.col(vector).cast("array<double>").alias("vector")).where(F.col("key").isNotNull() & x.isNotNull())
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
     rows = rows.where(~F.coalesce(bad, F.lit(True)))
     if not zero:
         rows = rows.where(F.exists(x, lambda v: v != 0))
-    common = rows.groupBy(F.size(x).alias("n")).count().orderBy(F.desc("count"), "n").limit(1).collect()
-    return rows.where(F.size(x) == (common[0]["n"] if common else 0))
+    least, most = rows.agg(F.min(F.size(x)), F.max(F.size(x))).first()
+    if least != most or not most:
+        rows = rows.withColumn("vector", F.concat(x, F.array_repeat(F.lit(0.0), F.lit(max(1, most or 0)) - F.size(x))))
+    return rows
+
+
+def whole(component: Column, scale: int) -> Column:
+    """floor(scale * component) in a double, which holds it exactly; beyond LARGEST it is that."""
+    fit = F.greatest(F.least(component * scale, F.lit(LARGEST)), F.lit(-LARGEST))
+    return F.when(F.abs(fit) < EXACT, F.floor(fit).cast("double")).otherwise(fit)
 
 
 def matrix(column: pa.Array) -> np.ndarray:

@@ -81,6 +81,32 @@ def test_exact_topk_large_components(spark):
     assert exact_topk.products(x[:2], x)[0][1] == sum(a * b for a, b in zip(fit[0][1], fit[1][1], strict=True))
 
 
+def test_scores_beyond_doubles_and_longs(spark):
+    """Rows are ranked by their exact scores, which are shown as far as a long goes; shorter vectors end in zeros."""
+    schema = "vec_id long, embedding array<double>, label int, score double, key string"
+    rows = [(i, [1e17 * (i % 3 - 1), 3.5, float(i)]) for i in range(30)] + [(40 + i, [1e8 * (i % 4), float(2**30 + i), -1.0]) for i in range(30)] + [(80, [2.5]), (81, []), (85, [1e300, -1e300, 0.5])]
+    found = exact_topk.search(spark.createDataFrame([(i, v, 1, 0.5, "k") for i, v in rows], schema), F.col("vec_id") % 5 == 0)
+    limit = 1 << 90
+    fit = [(i, [max(-limit, min(limit, math.floor(256 * x) if abs(x) < 1e290 else int(math.copysign(limit, x)))) for x in v] + [0] * (3 - len(v))) for i, v in rows]
+    expected = {}
+    for i, v in fit:
+        if i % 5 == 0:
+            exact = sorted((-sum(a * b for a, b in zip(v, w, strict=True)), j) for j, w in fit if j != i)[:5]
+            expected[i] = [(n + 1, j, max(-(2**63), min(2**63 - 1, -s))) for n, (s, j) in enumerate(exact)]
+    got = collected(found)
+    assert {i: [(n, s) for n, _, s in t] for i, t in got.items()} == {i: [(n, s) for n, _, s in t] for i, t in expected.items()}
+    assert got == expected
+
+
+def test_ann_in_small_slices_and_ragged_vectors(spark, monkeypatch):
+    rows = odd_rows(600, 8, 3) + [(2000 + i, [float(i % 7), 1.0, float(i % 3)]) for i in range(40)]
+    monkeypatch.setattr(ann, "ASKED", 7)
+    found = collected(ann.search(table(spark, rows), F.col("vec_id") % 20 == 0))
+    truth = brute_cos([(i, [*v, *[0.0] * (8 - len(v))] if v is not None else None) for i, v in rows], 20)
+    assert found.keys() == truth.keys()
+    assert sum(len({j for _, j, _ in truth[i]} & {j for _, j, _ in found[i]}) for i in truth) >= 0.9 * sum(map(len, truth.values()))
+
+
 def test_few_rows_and_empty_tables(spark):
     for search in (exact_topk.search, ann.search):
         assert search(table(spark, []), F.col("vec_id") % 50 == 0).count() == 0
