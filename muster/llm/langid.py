@@ -4,8 +4,10 @@ Text is lower-cased, whatever is no letter becomes one space, and the 1- to GRAM
 BUCKETS features, weighted by log(1 + count) and by the inverse document frequency over all rows that may be learned
 from, and scaled to length one. The regression is trained by follow-the-regularised-leader with elastic-net penalties
 on a bounded sample (PER_LANGUAGE rows of each language on average, MOST in all, or LEAST for each language if that is
-more, chosen by a hash of the row's key); a third of the sample is kept for the temperature that calibrates the scores.
-Every language that a row may be learned from with is learned; the languages' names and counts are held by the driver.
+more, chosen by a hash of the row's key). Of each language two thirds of its sampled rows are trained on, one at least; the
+others are kept for the temperature that calibrates the scores. So every language that a row may be learned from with is
+learned, be it by a single row. The driver holds the languages' names and counts, and, while it trains, two numbers for
+each language and feature; the tasks get the weights that aren't zero, by broadcast.
 
 Null texts and texts without a letter are `und` with score 0. Rows with a null language are not learned from; with
 nothing to learn from, every text is `und`. Repeated rows are predicted alike; long texts are read whole. Only the
@@ -56,11 +58,33 @@ def counts(text: str | None) -> np.ndarray | None:
     return np.bincount(np.concatenate(found), minlength=BUCKETS)
 
 
+class Weights:
+    """The weights that aren't zero, feature by feature (the intercept last): languages and values from start[f] on."""
+
+    def __init__(self, dense: np.ndarray) -> None:
+        self.classes = len(dense)
+        feature, self.language = np.nonzero(dense.T)
+        self.value = dense.T[feature, self.language]
+        self.start = np.searchsorted(feature, np.arange(dense.shape[1] + 1))
+
+    def __getitem__(self, at: tuple[int, int]) -> float:
+        """The weight of a language and a feature."""
+        own = slice(*self.start[[at[1] % (len(self.start) - 1), at[1] % (len(self.start) - 1) + 1]])
+        return float(self.value[own][self.language[own] == at[0]].sum())
+
+    def logits(self, at: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Of each language, for a row's features and their values."""
+        at, x = np.append(at, len(self.start) - 2), np.append(x, 1.0)
+        low, sizes = self.start[at], self.start[at + 1] - self.start[at]
+        own = np.repeat(low - np.append(0, np.cumsum(sizes)[:-1]), sizes) + np.arange(sizes.sum())
+        return np.bincount(self.language[own], self.value[own] * np.repeat(x, sizes), self.classes)
+
+
 @dataclass
 class Model:
     languages: list[str]
     idf: np.ndarray
-    weights: np.ndarray  # by language and feature, the intercept last
+    weights: Weights
     temperature: float
 
     def vector(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,15 +93,11 @@ class Model:
         norm = np.sqrt((x * x).sum())
         return at, x / norm if norm else x
 
-    def logits(self, found: np.ndarray) -> np.ndarray:
-        at, x = self.vector(found)
-        return self.weights[:, at] @ x + self.weights[:, -1]
-
     def predict(self, text: str | None) -> tuple[str, float]:
         found = counts(text) if self.languages else None
         if found is None:
             return "und", 0.0
-        z = self.logits(found) / self.temperature
+        z = self.weights.logits(*self.vector(found)) / self.temperature
         p = np.exp(z - z.max())
         best = int(z.argmax())
         return self.languages[best], float(p[best] / p.sum())
@@ -158,9 +178,8 @@ def train(docs: DataFrame, allowed: Column, key: str = "doc_id", text: str = "te
         frequency[r["at"]] = r["n"]
     idf = np.log((1 + frequency[-1]) / (1 + frequency[:-1])) + 1
     sample = seen.where("lang is not null").orderBy(F.xxhash64("key", F.lit("order")), "key", "lang").limit(most).select("lang", "at", "n").toArrow()
-    model = Model(languages, idf, np.zeros((len(languages), BUCKETS + 1)), 1.0)
     if not sample.num_rows:
-        return Model([], idf, model.weights, 1.0)
+        return Model([], idf, Weights(np.zeros((0, BUCKETS + 1))), 1.0)
     found = []
     for at, n in zip(sample.column("at"), sample.column("n"), strict=True):
         at = at.values.to_numpy().astype(np.int32)
@@ -168,20 +187,25 @@ def train(docs: DataFrame, allowed: Column, key: str = "doc_id", text: str = "te
         found.append((at, x / np.sqrt((x * x).sum())))
     place_of = {name: i for i, name in enumerate(languages)}
     y = np.array([place_of[name] for name in sample.column("lang").to_pylist()])
-    cut = max(1, len(found) * 2 // 3)
-    model.weights = ftrl(found[:cut], y[:cut], len(languages))
-    logits = np.array([model.weights[:, at] @ x + model.weights[:, -1] for at, x in found[cut:]]).reshape(-1, len(languages))
-    model.temperature = tempered(logits, y[cut:])
-    return model
+    order = np.argsort(y, kind="stable")
+    place, size = np.empty(len(y), np.int64), np.bincount(y, minlength=len(languages))
+    place[order] = np.arange(len(y)) - np.repeat(np.cumsum(size) - size, size)  # of a row among those of its language
+    taught = place < np.maximum(1, size[y] * 2 // 3)
+    own, rest = np.flatnonzero(taught).tolist(), np.flatnonzero(~taught).tolist()
+    weights = Weights(ftrl([found[i] for i in own], y[own], len(languages)))
+    logits = np.array([weights.logits(*found[i]) for i in rest]).reshape(-1, len(languages))
+    return Model(languages, idf, weights, tempered(logits, y[rest]))
 
 
 def identify(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, lang_pred, score) of every row, from its text alone."""
     kind = docs.schema[key].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
         for batch in chunks(batches, "text", 1 << 20):
-            got = [model.predict(t.as_py()) for t in batch.column(1)]
+            got = [own.predict(t.as_py()) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())], ["key", "lang_pred", "score"])
 
     found = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, f"key {kind}, lang_pred string, score double")

@@ -155,6 +155,31 @@ def test_every_language_is_learned(spark):
     assert len({(r.doc_id, r.lang_pred, r.score) for r in found}) == len(truth)
 
 
+def test_languages_with_one_row_are_learned(spark):
+    """Thirteen languages with one allowed row each beside large ones: each row is predicted as what it is, and null ids teach."""
+    rows = documents(120, seed=9)
+    letters = "bcdfghjklmnpq"
+    allowed = [i for i in range(5000, 5400) if zlib.crc32(str(i).encode()) % 3 != 1]
+    for k, c in enumerate(letters):
+        rows.append((allowed[k], f"{c}a{c}o{c} {c}e{c} {c}u{c}i " * 6, f"z{c}", "s", 0.0, "k"))
+    rows.append((None, "öäü öüä üäö " * 9, "zz", "s", 0.0, "k"))
+    found = {r.doc_id: r for r in langid.predictions(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [found[allowed[k]].lang_pred for k in range(13)] == [f"z{c}" for c in letters]
+    assert found[None].lang_pred == "zz" and found[None].held_out is False
+
+
+def test_sparse_weights_equal_dense_ones():
+    rng = np.random.default_rng(3)
+    dense = rng.normal(size=(5, 41)) * (rng.random((5, 41)) < 0.3)
+    own = langid.Weights(dense)
+    for n in (0, 1, 7, 40):
+        at = np.sort(rng.choice(40, n, replace=False))
+        x = rng.random(n)
+        assert own.logits(at, x) == pytest.approx(dense[:, at] @ x + dense[:, -1])
+    assert all(own[c, j] == dense[c, j] for c in range(5) for j in range(-1, 40))
+    assert len(own.value) == (dense != 0).sum()
+
+
 def test_ftrl_equals_the_plain_formula():
     rng = np.random.default_rng(12)
     rows = [(np.sort(rng.choice(50, 5, replace=False)), rng.random(5)) for _ in range(30)]
