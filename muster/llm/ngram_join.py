@@ -26,6 +26,7 @@ the same class_id if that id is the smallest in both). Other columns are not rea
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -119,6 +120,24 @@ def standing(counts: dict[int, list[int]], trees: int, threshold: float, recall:
         crowd *= FACTOR
 
 
+#: Most trees that a threshold may need.
+MOST_TREES = 256
+
+
+def trees_for(threshold: float, recall: float, trees: int) -> int:
+    """So many trees, or as many more as the recall at the threshold needs when all prefixes are as short as they get.
+
+    A pair shares a prefix of FLOOR minima in a tree with a chance of threshold^FLOOR: 24 trees do for 0.8, 0.5 takes 143.
+    A threshold that needs over MOST_TREES (under about 0.43) is an error, not a silent loss."""
+    if not 0 < threshold <= 1 or not 0 <= recall < 1:
+        raise ValueError("the threshold lies above 0 up to 1, the recall from 0 to below 1")
+    missed = 1 - threshold**FLOOR
+    need = math.ceil(math.log(1 - recall) / math.log(missed)) if 0 < missed < 1 else 1
+    if need > MOST_TREES:
+        raise ValueError(f"a threshold of {threshold} with a recall of {recall} takes {need} trees; at most {MOST_TREES} are built")
+    return max(trees, need)
+
+
 def met(sets: DataFrame, trees: int, threshold: float, recall: float) -> DataFrame:
     """(sid, bucket) of the nodes that sets (sid, upper, lower) stand in and may share."""
     member = sets.select("sid", F.posexplode(F.arrays_zip("upper", "lower")).alias("tree", "x")).select("sid", "tree", "x.upper", "x.lower")
@@ -196,6 +215,7 @@ def smallest(n: int, pairs: np.ndarray, ids: np.ndarray) -> np.ndarray:
 
 def classified(docs: DataFrame, key: str, text: str, n: int, threshold: float, trees: int, recall: float) -> tuple[DataFrame, DataFrame]:
     """Rows (key, tid, size, digest), and of each distinct set (digest, rep, tid, copies): its component and links."""
+    trees = trees_for(threshold, recall, trees)
     base = docs.select(F.col(key).cast("bigint").alias("key"), F.xxhash64(text).alias("tid"), F.col(text).alias("text"))
     rows = written(signed(base, n, trees), "signatures")
     sets = rows.where("size > 0 and key is not null").groupBy("digest").agg(F.min(F.struct("key", "tid")).alias("first"), F.count("*").alias("copies"), F.min_by(F.struct("size", "upper", "lower"), F.struct("key", "tid")).alias("x"))

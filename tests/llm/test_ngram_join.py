@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 
+import pytest
+
 from muster.llm import ngram_join
 from muster.llm.components import components
 
@@ -163,3 +165,24 @@ def test_components_on_paths_and_stars(spark):
     assert {found[i] for i in range(41)} == {0}
     assert {found[i] for i in range(100, 140)} == {100}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_low_thresholds_get_trees_or_an_error(spark):
+    assert ngram_join.trees_for(0.8, 0.9999, 24) == 24 and ngram_join.trees_for(0.5, 0.9999, 24) == 143 and ngram_join.trees_for(1.0, 0.9999, 3) == 3
+    for threshold, recall in ((0.3, 0.9999), (0.0, 0.9), (0.8, 1.0)):
+        with pytest.raises(ValueError):
+            ngram_join.trees_for(threshold, recall, 24)
+    rng = random.Random(5)
+    base = [[f"w{rng.randrange(900)}" for _ in range(120)] for _ in range(12)]
+    texts = []
+    for words in base:
+        for _ in range(4):
+            own = words[:]
+            for _ in range(rng.randint(0, 9)):
+                own[rng.randrange(len(own))] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(own))
+    grams = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    links = [sum(i != j and len(a & b) >= 0.5 * len(a | b) for j, b in enumerate(grams)) for i, a in enumerate(grams)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.n_links for r in ngram_join.join(docs, threshold=0.5).collect()}
+    assert sum(found.values()) >= 0.99 * sum(links) and all(found[i] <= n for i, n in enumerate(links)) and sum(links) > 40
