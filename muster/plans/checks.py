@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from muster.contracts import DISPOSITIONS, ELIGIBILITY, FLAG_CLASSES, FLAG_RESULTS, FLAG_SCOPES, OUTCOMES, RELEASE, TERMINAL_STATES, TRANSITION_CLASSES, PanelSpec
+from muster.contracts import DISPOSITIONS, ELIGIBILITY, FLAG_CLASSES, FLAG_RESULTS, FLAG_SCOPES, FLAG_WORDS, OUTCOMES, RELEASE, TERMINAL_STATES, TRANSITION_CLASSES, PanelSpec
 from muster.operators.metrics import PAIR, PAIR_GAP
 
 
@@ -285,7 +285,8 @@ def flags_hold(flags: DataFrame) -> DataFrame:
     check = "flags_hold"
     single, pair = F.col("as_of_date").isNotNull(), F.col("pair_from_as_of_date").isNotNull()
     held = columns_hold(flags, check, ["rule_id", "rule_version", "result"], {"result": FLAG_RESULTS, "rule_class": FLAG_CLASSES, "scope": FLAG_SCOPES})
-    shape = first_reason(flags, check, {"identity": single == pair, "scope": (F.col("scope") == "release") != single})
+    told = F.lower(F.concat_ws(" ", "rule_id", "parameter_version", "result"))
+    shape = first_reason(flags, check, {"identity": single == pair, "scope": (F.col("scope") == "release") != single, "wording": told.rlike("|".join(FLAG_WORDS))})
     return held.union(shape).union(repeated(flags, ["rule_id", "rule_version", *RELEASE, *(f"pair_{c}" for c in PAIR)], check))
 
 

@@ -204,7 +204,7 @@ def observation_sequence(p: Panel) -> DataFrame:
 _TRANSITION = ", ".join(f"{s}_{c}" for c in ("status", "at_risk", *CARRIED) for s in ("start", "end"))
 
 
-@query(f"SELECT {_PAIR}, gap_days, key, observed_at_start, observed_at_end, {_TRANSITION}, transition_class FROM transitions")
+@query(f"SELECT {_PAIR}, gap_days, key, observed_at_start, observed_at_end, {_TRANSITION}, transition_class FROM transitions", stored=("revisions", "promoted"))
 def transitions(p: Panel) -> DataFrame:
     return p.transitions
 
@@ -260,7 +260,7 @@ def status_age(p: Panel) -> DataFrame:
 
 
 @query("""SELECT key, spell_number, onset_left, onset_right, exit_left, exit_right, is_left_censored, terminal_state = 'right_censored' AS is_right_censored,
-  terminal_state = 'lost_to_observation' AS is_lost_to_observation, terminal_state FROM spells""")
+  terminal_state = 'lost_to_observation' AS is_lost_to_observation, terminal_state FROM spells""", stored=("revisions", "promoted"))
 def spells(p: Panel) -> DataFrame:
     return p.spells
 
@@ -311,7 +311,7 @@ def membership_fingerprint(p: Panel) -> DataFrame:
 
 @query("""SELECT as_of_date, release_revision, revision_fingerprint, sum(n)::BIGINT AS n_keys, sha256(string_agg(r || d, '' ORDER BY r)) AS membership_sha256 FROM (
   SELECT as_of_date, release_revision, revision_fingerprint, substr(sha256(key), 1, 2) AS r, count(*) AS n, sha256(string_agg(key || chr(10), '' ORDER BY key)) AS d
-  FROM (SELECT DISTINCT as_of_date, release_revision, revision_fingerprint, key FROM snapshots) GROUP BY ALL) GROUP BY ALL""")
+  FROM (SELECT DISTINCT as_of_date, release_revision, revision_fingerprint, key FROM snapshots) GROUP BY ALL) GROUP BY ALL""", stored=("snapshots",))
 def membership_hash(p: Panel) -> DataFrame:
     return metrics.membership_hash(p.snapshots)
 
@@ -364,7 +364,7 @@ def public_organizations(p: Panel) -> DataFrame:
 
 
 @query("""SELECT c.key, r.as_of_date, r.release_revision, r.revision_fingerprint, CASE WHEN s.key IS NULL THEN 'not_observed' ELSE 'observed' END AS observation_state, organization_name, city, state, status, at_risk
-  FROM classes c CROSS JOIN promoted r LEFT JOIN snapshots s ON s.key = c.key AND s.as_of_date = r.as_of_date WHERE eligibility_classification = 'eligible'""")
+  FROM classes c CROSS JOIN promoted r LEFT JOIN snapshots s ON s.key = c.key AND s.as_of_date = r.as_of_date WHERE eligibility_classification = 'eligible'""", stored=("revisions", "promoted", "snapshots"))
 def public_observations(p: Panel) -> DataFrame:
     return publish.observations(p.snapshots, p.classes, p.promoted, ATTRIBUTES)
 
@@ -584,7 +584,7 @@ def damaged_panel(p: Panel) -> DataFrame:
         checks.eligibility_complete(p.classes, p.snapshots, organizations, metrics.publication_status(p.promoted)),
         checks.keys_exact(changed, p.landed),
         checks.staging_equals_landed(changed, p.landed, panel.STAGED),
-        checks.metrics_add_up(found, p.transitions).where("failure_reason <> 'largest'"),
+        checks.metrics_add_up(found, p.transitions),
         checks.public_grid_complete(publish.observations(kept, p.classes, p.promoted, ATTRIBUTES), organizations, p.promoted),
         checks.sequence_neighbours(flat, kept),
         checks.snapshots_reconcile(kept, p.panel_records, SPEC),
@@ -594,6 +594,67 @@ def damaged_panel(p: Panel) -> DataFrame:
     return united(every).distinct()
 
 
+#: What damaged_rows() does to further frames, and the reasons that the checks must give for it.
+ROWS_FOUND = {
+    "adjacent_pairs_positive": ["gap", "order"], "blank_status_excluded": ["blank_status_kept"],
+    "capture_runs_normal": ["no_id", "outcome", "duration_without_timing", "negative_duration", "v1_timed", "grain_repeats"],
+    "promotion_holds": ["pointer_lost", "not_highest", "grain_repeats"], "dispositions_reconcile": ["null:disposition", "value:disposition", "totals", "grain_repeats"],
+    "flags_hold": ["null:rule_version", "value:result", "value:rule_class", "identity", "scope", "wording", "grain_repeats"], "pairs_are_promoted": ["from_not_promoted", "to_not_promoted"],
+    "transitions_classified": ["class", "start_side", "end_side", "absent_at_both"], "pairs_are_adjacent": ["invented_pair", "pair_without_transitions"],
+    "totals_match": ["total_count", "keyed_count"], "provenance_closed": ["list", "line", "identity"],
+}
+
+
+@query("SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{r}')" for c, reasons in ROWS_FOUND.items() for r in reasons) + ") AS t(check_id, failure_reason)", stored=STORED)
+def damaged_rows(p: Panel) -> DataFrame:
+    """The remaining checks on frames of which some rows are changed, lost or there twice: each must give all its reasons,
+    and no other; and none for the frames as they are."""
+    c = F.col
+    at = lambda column, n, of: F.pmod(F.xxhash64(column), F.lit(n)) == of
+    changed = lambda name, *cases: F.coalesce(*(F.when(when, value) for when, value in cases), c(name))
+    lists = [r[0] for r in p.raw.select("source_list").distinct().collect()]  # a row for each list
+    totals = metrics.release_totals(p.records, SPEC)
+    flags = metrics.release_flags(p.promoted, p.runs, p.records)
+    line = c("source_line_no")
+
+    pairs = p.pairs.withColumn("gap_days", -c("gap_days")).withColumn("from_as_of_date", F.when(c("from_as_of_date") < "1997", F.lit("2100-01-01")).otherwise(c("from_as_of_date")))
+    kept = p.records.withColumn("disposition", F.when(c("status").isNull(), "eligible_for_keyed_path").otherwise(c("disposition")))
+    timed = c("timing_state") == "timing_available"
+    runs = p.runs.where(c("timing_state").isNotNull()).withColumns({
+        "attempt_id": F.when(at("attempt_id", 50, 1), F.lit(None).cast("string")).otherwise(c("attempt_id")), "normalized_outcome": F.when(at("attempt_id", 50, 2), "odd").otherwise(c("normalized_outcome")),
+        "timing_state": F.when(at("attempt_id", 50, 3), "timing_unavailable").otherwise(c("timing_state")), "duration_seconds": F.when(timed & at("attempt_id", 50, 4), -1).otherwise(c("duration_seconds")),
+        "attempt_shape": F.when(at("attempt_id", 50, 5), "store_v1").otherwise(c("attempt_shape")),
+    })
+    first = p.revisions.where("release_revision = 1").select(p.promoted.columns)
+    second = p.revisions.where("release_revision = 2").select(p.promoted.columns)
+    promoted = [second.unionByName(p.promoted.join(second.select("as_of_date"), "as_of_date", "left_anti")), first, p.promoted.unionByName(first)]
+    spoiled = p.records.withColumn("disposition", changed("disposition", (line % 40 == 3, F.lit("odd")))).withColumn("disposition", F.when(line % 40 == 4, F.lit(None).cast("string")).otherwise(c("disposition")))
+    spoiled = spoiled.where(line % 40 != 5).unionByName(spoiled.where(line % 40 == 6))
+    odd_flags = [
+        flags.withColumn("rule_version", F.lit(None).cast("bigint")).withColumn("result", F.lit("odd")).withColumn("rule_class", F.lit("odd")),
+        flags.withColumn("as_of_date", F.lit("2000-01-01")), flags.withColumn("scope", F.when(c("scope") == "release", "release_pair").otherwise("release")),
+        flags.withColumn("rule_id", F.concat("rule_id", F.lit("_Risk"))), flags.unionByName(flags),
+    ]
+    less = p.promoted.where("substr(as_of_date, 1, 4) <> '1997'")
+    unclassed = p.transitions.withColumns({
+        "transition_class": F.when(at("key", 9, 1), "odd").otherwise(c("transition_class")), "start_status": F.when(at("key", 9, 2), F.when(c("start_status").isNull(), "F")).otherwise(c("start_status")),
+        "end_status": F.when(at("key", 9, 3), F.when(c("end_status").isNull(), "F")).otherwise(c("end_status")), "observed_at_start": c("observed_at_start") & ~at("key", 9, 4), "observed_at_end": c("observed_at_end") & ~at("key", 9, 4),
+    })
+    moved = p.transitions.withColumn("gap_days", F.when(c("from_as_of_date") < "1997", c("gap_days") + 1).otherwise(c("gap_days")))
+    golden = totals.select(*RELEASE, (c("total_count") + 1).alias("total_count"), F.when(c("as_of_date") > "1997", c("keyed_count")).alias("keyed_count"), "at_risk_count")
+    nowhere = p.records.withColumns({"source_list": F.when(line % 40 == 3, "odd").otherwise(c("source_list")), "source_line_no": F.when(line % 40 == 4, 0).otherwise(line), "revision_fingerprint": F.when(line % 40 == 5, F.lit(None).cast("string")).otherwise(c("revision_fingerprint"))})
+
+    sound = [
+        checks.pairs_positive(p.pairs), checks.blank_status_excluded(p.records), checks.capture_runs_normal(p.runs), checks.promotion_holds(p.promoted, p.revisions, p.pointers), checks.dispositions_reconcile(p.records, p.staged, p.promoted),
+        checks.flags_hold(flags), checks.pairs_are_promoted(p.transitions, p.promoted), checks.transitions_classified(p.transitions), checks.pairs_are_adjacent(p.transitions, p.pairs), checks.totals_match(totals, totals), checks.provenance_closed(p.records, lists),
+    ]
+    broken = [
+        checks.pairs_positive(pairs), checks.blank_status_excluded(kept), checks.capture_runs_normal(runs), *(checks.promotion_holds(x, p.revisions, p.pointers) for x in promoted), checks.dispositions_reconcile(spoiled, p.staged, p.promoted),
+        *map(checks.flags_hold, odd_flags), checks.pairs_are_promoted(p.transitions, less), checks.transitions_classified(unclassed), checks.pairs_are_adjacent(moved, p.pairs), checks.totals_match(totals, golden), checks.provenance_closed(nowhere, lists),
+    ]
+    return united([*(df.select(F.concat(F.lit("sound:"), "check_id").alias("check_id"), "failure_reason") for df in sound), *broken]).distinct()
+
+
 def sensitive_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan.findings(table(spark, sf_dir, "documents"), "doc_id", "text")
 
