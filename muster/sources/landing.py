@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from muster.contracts import ATTEMPT_KEYS, ATTEMPTS, CLASSIFICATIONS, ELIGIBILITY, HEADERS, LANDED, POINTERS, RELEASE, REVISIONS
 from muster.functions.digests import parts_in_order
+from muster.functions.shared import written
 
 #: What code page 1252 defines for the bytes 0x80 to 0x9F; the five that it leaves open stay as they are.
 _BYTES = [b for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)]
@@ -56,20 +57,35 @@ def list_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _numbered(texts: DataFrame, name: Column, whole: Column) -> DataFrame:
-    """`whole` tells which files are numbered through, in order of their paths."""
-    lines = texts.select(
-        name.alias("source_list"),
-        whole.alias("whole"),
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("id"),
-        cp1252(F.col("value")).alias("text"),
-    )
+    """`whole` tells which files are numbered through, in order of their paths. The files are read once: each task counts the
+    lines of its blocks as they come, and these lines are written, so that what sums up the blocks before and what numbers
+    the lines start from the same rows."""
+    kind = "source_list string, whole string, file string, block bigint, place bigint, text string"
+    names = [k.split()[0] for k in kind.split(", ")]
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, seen = None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            file, block = batch.column("file").dictionary_encode(), batch.column("block").to_numpy()
+            index, paths = file.indices.to_numpy(), file.dictionary.to_pylist()
+            change = np.flatnonzero((index[1:] != index[:-1]) | (block[1:] != block[:-1])) + 1
+            place = np.empty(len(index), np.int64)
+            for i, j in zip([0, *change.tolist()], [*change.tolist(), len(index)], strict=True):
+                if (paths[index[i]], block[i]) != own:
+                    own, seen = (paths[index[i]], block[i]), 0
+                place[i:j] = np.arange(seen, seen + j - i)
+                seen += j - i
+            columns = [batch.column(n) if n != "place" else pa.array(place) for n in names]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    meta = {"source_list": name, "whole": whole, "file": F.col("_metadata.file_path"), "block": F.col("_metadata.file_block_start"), "text": cp1252(F.col("value"))}
+    lines = written(texts.select(*(c.alias(n) for n, c in meta.items())).mapInArrow(counted, kind), "lines")
     order = Window.partitionBy("whole").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = lines.groupBy("whole", "file", "block").agg(F.count("*").alias("n"), F.min("id").alias("first"))
-    blocks = blocks.select("file", "block", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"), "first")
-    # ids rise by one within a block, as a block is read by one task in order
-    return lines.join(blocks, ["file", "block"]).select("source_list", (F.col("before") + F.col("id") - F.col("first") + 1).alias("line_no"), "text")
+    blocks = lines.groupBy("whole", "file", "block").agg(F.count("*").alias("n"))
+    blocks = blocks.select("file", "block", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
+    return lines.join(blocks, ["file", "block"]).select("source_list", (F.col("before") + F.col("place") + 1).alias("line_no"), "text")
 
 
 def fields(lines: DataFrame) -> DataFrame:

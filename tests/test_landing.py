@@ -133,6 +133,27 @@ def stamped(spark, n, date="2020-01-15", step=1):
     return rows.withColumns({"as_of_date": F.lit(date), "release_revision": F.lit(1).cast("long"), "revision_fingerprint": F.lit("f")})
 
 
+def test_lines_are_numbered_over_small_blocks_in_one_scan(spark, tmp_path):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    rows = [line(key=str(i), name="x" * (i % 50)) for i in range(3000)]
+    path = release(tmp_path, operate=rows, status=["", *rows[:7], ""])
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "11")
+        lines = landing.list_lines(spark, path)
+        plan = lines._jdf.queryExecution().toString().split("== Physical Plan ==")[1]
+        assert "FileScan text" not in plan and "monotonically" not in plan
+        got = sorted((r.source_list, r.line_no, r.text) for r in lines.collect())
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    expected = []
+    for name in SOURCE_LISTS:
+        body = open(f"{path}/{name}.csv", "rb").read().decode("cp1252").split("\r\n")[:-1]
+        expected += [(name, i + 1, text) for i, text in enumerate(body)]
+    assert got == sorted(expected)
+
+
 def test_one_scan_reads_forty_releases(spark, tmp_path):
     dates = [f"20{20 + i // 12}-{1 + i % 12:02d}-15" for i in range(40)]
     landing.landed_table(stamped(spark, 8).drop("as_of_date").crossJoin(spark.createDataFrame([(d,) for d in dates], "as_of_date string")), str(tmp_path / "t"))
