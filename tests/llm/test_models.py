@@ -311,3 +311,121 @@ def test_features_equal_plain_counts(spark):
             "distinct": len(set(text.split())) / len(text.split()),
         }
         assert {k: got[at[k]] for k in expected} == pytest.approx(expected)
+
+
+def plain_features(text, terms):
+    """All features of a text without a token of over 64 signs, one by one, with patterns of the test's own."""
+    import regex
+
+    tokens = (text or "").split()
+    if not tokens:
+        return dict.fromkeys(toxicity.FEATURES, 0.0)
+    undo = str.maketrans("013457@$!|", "oieastasil", "*.-_+")
+    weight = lambda w: max([terms.get(w, 0.0)] + [terms.get(w[:k] + "*", 0.0) for k in (4, 5, 6) if len(w) >= k])
+    rows = []
+    for token in tokens:
+        low = token.lower()
+        plain = low.isalpha()
+        words = [low] if plain else regex.findall(r"\p{L}+", low)
+        kinds = "" if plain else "".join("p" if c in ".,;:'\"()[]-–—«»…" else "e" if c in "!?¡¿" else "d" if c.isdigit() else "" if c.isalnum() or c.isspace() or ord(c) <= 32 else "s" for c in token if not c.isupper())
+        capitals = sum(c.isupper() for c in token)
+        undone = [] if plain or not words else [w.translate(undo) for w in regex.findall(r"\p{L}+(?:[0-9@$!|*._+\-]+\p{L}+)+", low)]
+        shouted = int(capitals == len(token) > 2) if plain else len(toxicity.CAPITAL_WORDS.findall(token)) if capitals > 2 else 0
+        rows.append((token, words, kinds, capitals, undone, shouted, plain and len(low) == 1))
+    n = max(1, sum(len(r[1]) for r in rows))
+    every = [w for r in rows for w in r[1]]
+    insults = sum(w in toxicity.INSULTS for w in every)
+    learned = sum(weight(w) > 0 for w in every)
+    marked = [i for i, r in enumerate(rows) if any(w in toxicity.INSULTS or weight(w) > 0 for w in r[1])]
+    you = [i for i, r in enumerate(rows) if any(w in toxicity.SECOND_PERSON for w in r[1])]
+    hits = lambda ws: sum(w in toxicity.INSULTS or weight(w) > 0 for w in ws)
+    spelled = []
+    if any(all(r[6] for r in rows[i : i + 3]) for i in range(len(rows) - 2)):
+        spelled = ["".join(regex.findall(r"\p{L}", m)) for m in regex.findall(r"(?<!\w)(?:\p{L}[ .*_\-]){2,}\p{L}(?!\w)", text.lower())]
+    undone = [w for r in rows for w in r[4]]
+    values = [
+        insults / n, min(insults, 20), learned / n, min(learned, 50), len({r[0] for r in rows if any(weight(w) > 0 for w in r[1])}), max(max((weight(w) for w in r[1]), default=0.0) for r in rows),
+        sum(any(abs(i - j) <= 5 for j in you) for i in marked) / n * 100, sum(w in toxicity.SECOND_PERSON for w in every) / n,
+        sum(r[3] for r in rows) / len(text), sum(r[5] for r in rows) / n, *("".join(r[2] for r in rows).count(k) / len(text) for k in "pesd"),
+        len(undone) / n, hits(undone), len(spelled) / n, hits(spelled), np.log1p(len(every)), sum(map(len, every)) / n, len(set(tokens)) / len(tokens),
+    ]
+    return dict(zip(toxicity.FEATURES, values, strict=True))
+
+
+def test_all_features_equal_plain_ones(spark):
+    terms = {"tepid": 3.0, "lowe*": 4.0, "thor": 2.6}
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect() if r.text and max(map(len, r.text.split()), default=0) <= 64]
+    texts += ["YOU are a T3P1D loweish IDIOT, you 1d10t!", "i d i o t and s.c.u.m you", "a b c l o w e", "No!!! ¿Qué? $$$ @you «x» … 12", "tepid", "You're L0SER lo-ser TRASH;", "\x0b"]
+    own = toxicity.Tokens(terms)
+    for text in texts:
+        assert dict(zip(toxicity.FEATURES, own.features(text), strict=True)) == pytest.approx(plain_features(text, terms)), text
+
+
+def test_toxicity_equals_a_plain_model(spark):
+    """Sample, halves, lexicon, features, the trees' walk, pooled means and the score of every document, in plain loops; the
+    trees themselves are held against their formula above."""
+    import pyarrow as pa
+    import regex
+    from pyspark.sql import functions as F
+
+    from muster.llm.ngram_join import gram_sets
+
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    marks = {}
+    for r in labels.collect():
+        if r.toxic is not None and r.doc_id in texts and zlib.crc32(str(r.doc_id).encode()) % 4 != 2:
+            marks[r.doc_id] = max(marks.get(r.doc_id, 0), r.toxic)
+    ids = sorted(marks)
+    grams = gram_sets(pa.RecordBatch.from_arrays([pa.array([texts[i] for i in ids])], ["text"]), "text", 5)
+    firsts = {}
+    for i, g in zip(ids, grams, strict=True):
+        firsts.setdefault(int(g[0]) if len(g) else 0, i)
+    half = {r.doc_id: r.h for r in docs.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit("half")), F.lit(10)).alias("h")).collect()}
+    chosen = sorted(firsts.values())
+    teach, rest = [i for i in chosen if half[i] < 5], [i for i in chosen if half[i] >= 5]
+    assert len(rest) >= 40
+    pos, counted = sum(marks[i] for i in teach), {}
+    for i in teach:
+        words = {w for w in regex.split(r"[^\p{L}]+", texts[i].lower()) if len(w) > 2}
+        for term in words | {w[:k] + "*" for w in words for k in (4, 5, 6) if len(w) >= k}:
+            c = counted.setdefault(term, [0, 0])
+            c[1 - marks[i]] += 1
+    odds = {t: np.log((p + 0.5) / (pos + 1)) - np.log((n + 0.5) / (len(teach) - pos + 1)) for t, (p, n) in counted.items() if p >= max(3, round(0.01 * pos))}
+    best = sorted((t for t, w in odds.items() if w >= 2.5), key=lambda t: (-counted[t][0] * odds[t], t))[:400]
+    model = toxicity.train(docs, labels, ~toxicity.held_out(F.col("doc_id"), 4, 2))
+    assert model.terms == pytest.approx({t: odds[t] for t in best})
+    rest.sort(key=lambda i: ((i * 0x9E3779B97F4A7C15 % 2**64) >> 20, i))
+    x = [list(plain_features(texts[i], model.terms).values()) for i in rest]
+    y = [float(marks[i]) for i in rest]
+    cut = round(0.7 * len(y))
+    trees = toxicity.boosted(np.array(x[:cut]), np.array(y[:cut]), least=int(np.clip(cut // 50, 3, 20)))
+
+    def raw(row):
+        out = trees.start
+        for feature, threshold, value in trees.trees:
+            k = 0
+            while feature[k] >= 0:
+                k = 2 * k + (2 if row[feature[k]] > threshold[k] else 1)
+            out += value[k]
+        return out
+
+    points = sorted(((raw(r), i) for i, r in enumerate(x[cut:])), key=lambda p: p[0])
+    blocks = [[v, v, y[cut + i], 1] for v, i in points]
+    at = 0
+    while at < len(blocks) - 1:
+        (a, _, s, n), (_, d, t, m) = blocks[at], blocks[at + 1]
+        if s / n >= t / m:
+            blocks[at : at + 2] = [[a, d, s + t, n + m]]
+            at = max(0, at - 1)
+        else:
+            at += 1
+    xs = [v for a, b, *_ in blocks for v in ([a, b] if b > a else [a])]
+    ys = [s / n for a, b, s, n in blocks for _ in ([a, b] if b > a else [a])]
+    found = {r.doc_id: r for r in toxicity.predictions(docs, labels).collect()}
+    for i, text in texts.items():
+        if max(map(len, text.split()), default=0) > 64:
+            continue
+        z = raw(list(plain_features(text, model.terms).values()))
+        expected = 0.998 * np.interp(z, xs, ys) + 0.002 / (1 + np.exp(-z))
+        assert found[i].score == pytest.approx(expected, abs=1e-9) and found[i].predicted == int(expected >= 0.3)
