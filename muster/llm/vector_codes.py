@@ -42,7 +42,7 @@ from muster.llm.vectors import whole as whole_of
 #: Parts of a vector, entries of a codebook, rounds of training.
 PARTS, ENTRIES, ROUNDS = 16, 64, 2
 #: Entries next after the own one that are listed at first (as a share of all) and at least, and the share of parts that they shall do for.
-LISTED, FEWEST, COVERED = 0.125, 2, 0.95
+LISTED, FEWEST, COVERED = 0.25, 2, 0.95
 LONG = (1 << 63) - 1
 #: Bytes of vectors that are worked on at a time.
 PIECE = 4 << 20
