@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import random
+
 import duckdb
 import public_tokenizers
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 from test_ngram_join import brute
+from test_pii import check_planted, planted
 
 import corpus_pipeline
 from muster.llm import bpe, mixing, ngram_join, pii, queries, toxicity
@@ -84,6 +87,33 @@ def test_stages_equal_brute_force(stages, tmp_path):
         assert list(r.ids) == plain.encode_ordinary(texts[r.doc_id])
 
 
+def test_planted_private_data_is_replaced_by_the_stage(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = planted()
+    frame = spark.createDataFrame([(i, "".join(t for _, t in p), "en", "src1", 0) for i, p in docs], schema)
+    found = corpus_pipeline.with_surrogates(spark, frame, DATA).collect()
+    check_planted(docs, {r.doc_id: r.text for r in found})
+    assert all(r.n_chars == len(r.text) for r in found)
+
+
+def test_planted_toxic_documents_go_and_clean_ones_stay(spark, tmp_path):
+    """Insults that the given lexicon lacks, learned from labels: every document that holds several goes, all others stay."""
+    rng = random.Random(8)
+    plain, bad = [f"{a}{b}" for a in ("ka", "lo", "mi", "nu", "re") for b in ("ber", "din", "sol", "tav", "wen")], ["grzmork", "flubnit", "skarvex"]
+    rows = []
+    for i in range(400):
+        words = [rng.choice(plain) for _ in range(rng.randint(30, 90))]
+        if i % 4 == 0:
+            for _ in range(6):
+                words.insert(rng.randrange(len(words)), rng.choice(bad))
+        rows.append((i, " ".join(words), "en", "src1", 0))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(300)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    left = corpus_pipeline.without_toxic(spark, frame, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in left) == [i for i in range(400) if i % 4]
+    assert {tuple(r) for r in left} <= set(rows)
+
+
 def test_run_gives_what_the_stages_give(spark, stages):
     got = corpus_pipeline.run(spark, DATA)
     assert got.exceptAll(stages[5]).count() == stages[5].exceptAll(got).count() == 0
