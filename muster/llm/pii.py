@@ -96,7 +96,7 @@ IP6 = re.compile(r"(?<![\w:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:]
 NATIONAL = re.compile(r"(?<![\w.])(?<!\d[ ])0\d{1,4}[ /\-]\d{3,8}(?:[ \-]\d{2,4}){0,2}(?![\d])")
 PHONE = re.compile(r"(?<![\w.])(?:\+\d{1,3}[ .\-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .\-]?\d{2,4}){1,4}|\(\d{3}\) ?\d{3}[ .\-]\d{4}|\d{3}[.\-]\d{3}[.\-]\d{4})(?![\d])")
 _MARK = re.compile(r"[0-9@]|::")
-_WORDS = re.compile(r"(?i)password|passwd|pwd|token|secret|key")
+_WORDS = ("password", "passwd", "pwd", "token", "secret", "key")
 
 _MALE, _FEMALE = frozenset(MALE), frozenset(FEMALE)
 
@@ -111,7 +111,8 @@ def detect(text: str) -> list[Found]:
         if all(end <= a or start >= b for a, b, *_ in out):
             out.append((start, end, kind, value, gender))
 
-    if _WORDS.search(text):
+    low = text.lower()
+    if any(w in low for w in _WORDS):
         for m in SECRET.finditer(text):
             value = m[4]
             named = m["name"].lower() in ("password", "passwd", "pwd") and value.strip(".!?)").lower() not in PROSE
