@@ -77,6 +77,8 @@ def test_huge_components(spark):
 def test_fewer_rows_than_entries_and_none(spark):
     assert coded(spark, vectors(5, 8, 1), 4) == brute(vectors(5, 8, 1), 4, 64, 2)
     assert coded(spark, []) == [] == coded(spark, [(1, None, 1)])
+    for rows in ([(1, [1.0, 2.0], 3)], [(1, [1.0] * 16, 3), (1, [1.0] * 16, None)], [(None, [], None)]):
+        assert coded(spark, rows) == brute(rows, 16, 64, 2)
 
 
 def test_bounds_hold_and_spare_distances():
