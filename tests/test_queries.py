@@ -33,6 +33,16 @@ def test_query_equals_its_sql(spark, tables, tmp_path, name):
         assert tables.sql(f"SELECT {listed} FROM {a} EXCEPT ALL SELECT {listed} FROM {b}").fetchall() == []
 
 
+def test_landed_table_faults_of_rows_in_no_order(spark, tmp_path):
+    """Orders in falling order, of keys that all tables of the query take."""
+    path = str(tmp_path / "orders.parquet")
+    con = duckdb.connect()
+    con.execute(f"COPY (SELECT * REPLACE (o_orderkey * 100 + 50 AS o_orderkey) FROM '{SF}/orders.parquet' ORDER BY o_orderkey DESC) TO '{path}' (FORMAT parquet)")
+    con.execute(f"CREATE VIEW orders AS SELECT * FROM '{path}'")
+    found = queries.QUERIES["landed_table_faults"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, found)) == sorted(con.sql(queries.ORACLE_SQL["landed_table_faults"]).fetchall())
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
