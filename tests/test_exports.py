@@ -29,6 +29,16 @@ def test_detectors(spark):
     assert counted(spark, "http://a.b/c?x=1&EIN=2 https://ok.example.org/check?ein=3 http://a.b/ein=4") == {"join_url": 1}
 
 
+def test_letters_and_spaces_beside_ascii(spark):
+    """As engines read the patterns whose word ends are those of ASCII."""
+    assert counted(spark, "12 Main stä, ä12 Main St, 12 Main Stx") == {"street_address": 2}
+    assert counted(spark, "12 Main \u017ft, 12 Par\u212a Way, 12 M\u0131n Way, 12\x0bMain St") == {"street_address": 2}
+    assert counted(spark, "ä415-555-0100ö ü12-3456789 öa@b.org EIN 123456789ß") == {"phone": 1, "federal_id": 1, "email": 1, "labelled_id": 1}
+    assert counted(spark, "EIN" + "\U0001f600" * 36 + " 123456789; EIN" + "\U0001f600" * 37 + " 123456789") == {"labelled_id": 1}
+    assert counted(spark, "EIN 111111111 222222222 333333333 444444444 555555555 666666666") == {"labelled_id": 4}
+    assert counted(spark, "mailing " + "12" + " " * 5000 + "of records the same way") == {"street_address": 1}
+
+
 def test_allowed_links_and_decoded_keys(spark):
     assert counted(spark, "https://OK.example.org/CHECK/more?ein=1 https://ok.example.org/checked?SSN=1") == {}
     assert counted(spark, "https://ok.example.org/chec?ein=1 https://ok.example.org.evil.com/check?ein=1 https://ok.example.org@evil.com/check?ein=1") == {"join_url": 3, "email": 1}
