@@ -57,6 +57,11 @@ def test_findings_over_line_ends(spark):
     ])
 
 
+def test_lines_of_findings_beside_other_letters(spark):
+    df = spark.createDataFrame([(1, "ä\n12 Main stä\n\x0b12 Main\nStö EIN\n123456789")], "id long, text string")
+    assert sorted((r.category, r.line_no) for r in scan.located(df, "id", "text").collect()) == [("labelled_id", 5), ("street_address", 2), ("street_address", 3)]
+
+
 def test_lines_of_findings(spark):
     df = spark.createDataFrame([(1, "a\n12-3456789\n\nb@c.org 12-3456789"), (2, None)], "id long, text string")
     assert sorted((r.category, r.line_no, r.finding_count) for r in scan.located(df, "id", "text").collect()) == [("email", 4, 1), ("federal_id", 2, 1), ("federal_id", 4, 1)]
