@@ -28,12 +28,16 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(zs_trim(c), F.lit(""))
 
 
+def date_of(text: Column) -> Column:
+    """A date of trimmed text: year, month and day with one of four separators, short parts allowed; null for anything else.
+
+    One pattern tests and one takes all parts; years of up to seven digits are read, so short ones are filled up in front."""
+    parts = F.regexp_replace(text, f"(?s){DATE_FORM.removesuffix('$')}.*", "000$1-$3-$4")
+    return F.when(text.rlike(DATE_FORM), parts.try_cast("date"))
+
+
 def safe_date(c: Column) -> Column:
-    """A date from year, month and day with one of four separators, short parts allowed; null for anything else."""
-    text = blank_to_null(c)
-    part = lambda i, n: F.lpad(F.regexp_extract(text, DATE_FORM, i), n, "0")
-    joined = F.concat_ws("-", part(1, 4), part(3, 2), part(4, 2))
-    return F.when(text.rlike(DATE_FORM), joined.try_cast("date"))
+    return date_of(blank_to_null(c))
 
 
 def nonblank_unparseable(c: Column) -> Column:

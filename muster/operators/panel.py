@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from muster.contracts import RELEASE, PanelSpec
-from muster.functions.expr import blank_to_null, days_between, nonblank_unparseable, safe_date
+from muster.functions.expr import blank_to_null, date_of, days_between
 
 STAGED = {
     "Registry Status": "status",
@@ -30,10 +30,13 @@ STAGED_DATES = {"Issue Date": "issue_date", "Last Renewal": "last_renewal_date",
 
 def staged(landed: DataFrame, columns: dict[str, str] = STAGED, dates: dict[str, str] = STAGED_DATES, carried: Sequence[str] = (*RELEASE, "source_list", "source_line_no")) -> DataFrame:
     """Trimmed text, blank as null, and each date with a flag for what is there but no date."""
-    own = lambda name: F.col(f"`{name}`")
-    text = [blank_to_null(own(raw)).alias(name) for raw, name in columns.items()]
-    parsed = [c for raw, name in dates.items() for c in (safe_date(own(raw)).alias(name), nonblank_unparseable(own(raw)).alias(f"{name}_unparseable"))]
-    return landed.select(*text, *parsed, *carried)
+    trimmed = lambda raw, name: blank_to_null(F.col(f"`{raw}`")).alias(name)
+    texts = {name: f"{name}_text" for name in dates.values()}
+    # each step is used more than once by the next, so texts are trimmed once and dates are parsed once
+    rows = landed.select(*(trimmed(raw, name) for raw, name in columns.items()), *(trimmed(raw, texts[name]) for raw, name in dates.items()), *carried)
+    rows = rows.select("*", *(date_of(F.col(text)).alias(name) for name, text in texts.items()))
+    parsed = [c for name, text in texts.items() for c in (F.col(name), (F.col(text).isNotNull() & F.col(name).isNull()).alias(f"{name}_unparseable"))]
+    return rows.select(*columns.values(), *parsed, *carried)
 
 
 def promote(revisions: DataFrame, pointers: DataFrame) -> DataFrame:

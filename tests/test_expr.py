@@ -71,3 +71,18 @@ def test_numbers_as_text_are_those_of_the_other_engine(spark):
     values += [0.0, 1.0, 1.5, 0.1, 0.001, 2e-3, 1e-4, 9.5e-4, 2e-5, 1 / 30000, 2.0**-44, 12345678.5, 1e15]
     got = [r.t for r in spark.createDataFrame([(v,) for v in [*values, None]], "v double").select(expr.number_text(F.col("v")).alias("t")).collect()]
     assert got == [*(duckdb.execute("SELECT list_transform(?::DOUBLE[], lambda v: v::VARCHAR)", [values]).fetchone()[0]), None]
+
+
+def test_dates_are_parsed_once(spark):
+    """A date and its flag come from one parse, of all the forms that a date takes."""
+    from muster.operators import panel
+
+    texts = ["2020/1/5", " 5-1-1 ", "20-01-05", "0000/1/1", "2020-02-30", "2020-1/5", "2020 1 5", "2020\\1\\5", "2020-01-05T10:00", "2020-01-05 1:2:3.5 \n", "2020-01-05\u0085", "2020-01-05x", "2020", "2020-01", "+2020-01-05", "02020-01-05", "n/a", "", " ", None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i long, d string")
+    got = panel.staged(rows, {}, {"d": "d"}, ("i",))
+    form = [F.regexp_extract(expr.zs_trim(F.col("d")), expr.DATE_FORM, k) for k in (1, 3, 4)]
+    again = F.when(expr.zs_trim(F.col("d")).rlike(expr.DATE_FORM), F.concat_ws("-", *(F.lpad(p, n, "0") for p, n in zip(form, (4, 2, 2), strict=True))).try_cast("date"))
+    flag = F.coalesce(expr.zs_trim(F.col("d")) != "", F.lit(False)) & again.isNull()
+    told = [sorted(map(tuple, df.collect())) for df in (got.select("i", F.col("d").cast("string"), "d_unparseable"), rows.select("i", again.cast("string"), flag))]
+    assert told[0] == told[1] and any(t[1] for t in told[0]) and any(t[2] for t in told[0])
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 1
