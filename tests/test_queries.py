@@ -43,6 +43,23 @@ def test_landed_table_faults_of_rows_in_no_order(spark, tmp_path):
     assert sorted(map(tuple, found)) == sorted(con.sql(queries.ORACLE_SQL["landed_table_faults"]).fetchall())
 
 
+@pytest.mark.parametrize("name", ["located_text", "sensitive_text"])
+def test_findings_of_documents_with_one_id(spark, tmp_path, name):
+    """Ids that several documents have, and documents without one, count together as in the SQL."""
+    path = str(tmp_path / "documents.parquet")
+    con = duckdb.connect()
+    mail, place = "\na@b.org c@d.org\nx e@f.org", "12 Main stó\n12-3456789"
+    rows = [(1, mail), (1, place), (1, "\ng@h.org"), (None, mail), (None, place), (None, mail), (2, place), (3, None), (3, mail)]
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    con.execute(f"COPY documents TO '{path}' (FORMAT parquet)")
+    found = queries.QUERIES[name](spark, str(tmp_path)).collect()
+    order = lambda r: tuple((v is None, v or 0) for v in r)
+    wanted = con.sql(queries.ORACLE_SQL[name]).fetchall()
+    assert sorted(map(tuple, found), key=order) == sorted(wanted, key=order)
+    assert [r[-1] for r in sorted(wanted, key=order) if r[:2] == ("email", 1)] == ([3, 1] if name == "located_text" else [4])
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
     assert set(entry.oracle_sql()) <= set(entry.queries())
